@@ -1,0 +1 @@
+"""No streaming operators: every report reads a dated, complete snapshot."""
