@@ -242,7 +242,7 @@ def _view(
 ) -> DataFrame:
     chosen = {c: exprs[c] for c in (columns or exprs)}
     source = _source(spark, sf_dir, chosen.values(), lines)
-    return source.select(*(F.expr(e).alias(c) for c, e in chosen.items()))
+    return source.selectExpr(*(f"{e} AS {c}" for c, e in chosen.items()))
 
 
 def sot(

@@ -11,7 +11,7 @@ def ratio(part: Column, total: Column) -> Column:
     return F.try_divide(part, total).cast("double")
 
 
-def whole(col: Column) -> Column:
+def whole(col: Column | str) -> Column:
     """Floor to a whole number, as bigint for both double and decimal input."""
     return F.floor(col).cast("bigint")
 

@@ -1,6 +1,10 @@
 from .joins import combine, enrich, restrict
 from .measures import (
+    AIR,
     IMPACT_COLUMNS,
+    LATE,
+    MEASURED,
+    ON_TIME,
     OTS_NAMES,
     SOT_NAMES,
     cond_sum,
@@ -24,11 +28,15 @@ from .shape import (
     relabel,
     stack,
 )
-from .spine import domain_frame, month_vs_ytd, on_spine
+from .spine import domain_frame, month_vs_ytd, on_spine, sql_text
 from .topk import first_rows, snapshot_date, top_k, top_n
 
 __all__ = [
+    "AIR",
     "IMPACT_COLUMNS",
+    "LATE",
+    "MEASURED",
+    "ON_TIME",
     "OTS_NAMES",
     "SOT_NAMES",
     "beside",
@@ -55,6 +63,7 @@ __all__ = [
     "restrict",
     "roll_up",
     "snapshot_date",
+    "sql_text",
     "sot_sums",
     "stack",
     "top_k",

@@ -36,82 +36,66 @@ OTS_NAMES = (
     "PPAOTSLateUnits",
     "PPAOTSUnits",
 )
+OTS_ORDER = ("on_time", "late", "late5", "weighted", "air_late", "air")
 
 
-def plain_sum(value: Column) -> Column:
+def plain_sum(value: str) -> Column:
     """Sum that is null when any value is null, and zero on no rows."""
-    return F.when(F.count_if(value.isNull()) > 0, F.lit(None)).otherwise(
-        F.coalesce(F.sum(value), F.lit(0))
+    return F.expr(
+        f"CASE WHEN count_if(({value}) IS NULL) = 0 THEN coalesce(sum({value}), 0) END"
     )
 
 
-def cond_sum(value: Column, cond: Column, nulls: str = "lenient") -> Column:
+def cond_sum(value: str, cond: str, nulls: str = "lenient") -> Column:
     """Sum of ``value`` over the rows where ``cond`` holds; zero when there is none.
 
-    ``lenient`` skips null conditions and null values.  ``strict`` gives null if a
-    condition, or a selected value, is null.  ``subset`` skips null conditions but
-    gives null if a selected value is null.
+    Both are SQL text.  ``lenient`` skips null conditions and null values.  ``strict``
+    gives null if a condition, or a selected value, is null.  ``subset`` skips null
+    conditions but gives null if a selected value is null.
     """
-    total = F.coalesce(F.sum(F.when(cond, value)), F.lit(0))
+    total = f"coalesce(sum({value}) FILTER (WHERE {cond}), 0)"
     if nulls == "lenient":
-        return total
+        return F.expr(total)
     if nulls == "strict":
-        spoiled = cond.isNull() | (cond & value.isNull())
+        spoiled = f"({cond}) IS NULL OR (({cond}) AND ({value}) IS NULL)"
     elif nulls == "subset":
-        spoiled = F.coalesce(cond, F.lit(False)) & value.isNull()
+        spoiled = f"coalesce({cond}, false) AND ({value}) IS NULL"
     else:
         raise ValueError(f"unknown null mode {nulls!r}")
-    return F.when(F.count_if(spoiled) > 0, F.lit(None)).otherwise(total)
+    return F.expr(f"CASE WHEN count_if({spoiled}) = 0 THEN {total} END")
 
 
-def _late_measures(days: str, late_nulls: str, deep_nulls: str) -> dict[str, Column]:
-    units, late = F.col("Units"), F.col("Lateness") == "Late"
-    air = F.col("SHP_MODE_CATG_NM") == "PrepaidAir"
-    unit_days = units * F.col(days)
+ON_TIME = "Lateness = 'OnTime'"
+LATE = "Lateness = 'Late'"
+MEASURED = f"({ON_TIME} OR {LATE})"
+AIR = "SHP_MODE_CATG_NM = 'PrepaidAir'"
+
+
+def _late_measures(days: str, nulls: str, late5_nulls: str) -> dict[str, Column]:
     # Unit-days are counted on late rows with at least one day, row by row.
-    delayed = late & (F.col(days) >= 1)
-    deep = late & (F.col(days) > 5)
+    unit_days, delayed, deep = f"Units * {days}", f"{LATE} AND {days} >= 1", f"{LATE} AND {days} > 5"
     return {
-        "on_time": cond_sum(units, F.col("Lateness") == "OnTime", late_nulls),
-        "late": cond_sum(units, late, late_nulls),
-        "late5": cond_sum(units, deep, deep_nulls),
-        "weighted": cond_sum(unit_days, delayed, late_nulls),
-        "air": cond_sum(units, air, late_nulls),
-        "air_late": cond_sum(units, air & late, late_nulls),
-        "air_late5": cond_sum(units, air & deep, late_nulls),
-        "air_weighted": cond_sum(unit_days, air & delayed, late_nulls),
+        "on_time": cond_sum("Units", ON_TIME, nulls),
+        "late": cond_sum("Units", LATE, nulls),
+        "late5": cond_sum("Units", deep, late5_nulls),
+        "weighted": cond_sum(unit_days, delayed, nulls),
+        "air": cond_sum("Units", AIR, nulls),
+        "air_late": cond_sum("Units", f"{AIR} AND {LATE}", nulls),
+        "air_late5": cond_sum("Units", f"{AIR} AND {deep}", nulls),
+        "air_weighted": cond_sum(unit_days, f"{AIR} AND {delayed}", nulls),
     }
 
 
 def sot_sums(nulls: str = "strict", late5_nulls: str | None = None) -> Sums:
     """The nine shipped-side measures, raw."""
     m = _late_measures("DAYS_LATE", nulls, late5_nulls or nulls)
-    columns = (
-        plain_sum(F.col("Units")),
-        m["on_time"],
-        m["late"],
-        m["late5"],
-        m["weighted"],
-        m["air"],
-        m["air_late"],
-        m["air_late5"],
-        m["air_weighted"],
-    )
-    return dict(zip(SOT_NAMES, columns, strict=True))
+    return dict(zip(SOT_NAMES, (plain_sum("Units"), *m.values()), strict=True))
 
 
 def ots_sums(nulls: str = "strict", air_total: bool = True) -> Sums:
     """The seven stocked-side measures, raw; six without the prepaid-air total."""
     m = _late_measures("Days_Late", nulls, nulls)
-    columns = (
-        plain_sum(F.col("Units")),
-        m["on_time"],
-        m["late"],
-        m["late5"],
-        m["weighted"],
-        m["air_late"],
-        m["air"],
-    )
+    columns = (plain_sum("Units"), *(m[k] for k in OTS_ORDER))
     sums = dict(zip(OTS_NAMES, columns, strict=True))
     if not air_total:
         del sums["PPAOTSUnits"]
@@ -125,36 +109,29 @@ def measures_by(df: DataFrame, keys: Sequence[str], sums: Sums) -> DataFrame:
 
 def roll_up(base: DataFrame, keys: Sequence[str], names: Iterable[str]) -> DataFrame:
     """Add raw sums up to coarser keys; a null part makes the total null."""
-    return base.groupBy(*keys).agg(*(plain_sum(F.col(n)).alias(n) for n in names))
+    return base.groupBy(*keys).agg(*(plain_sum(n).alias(n) for n in names))
 
 
 def finish(df: DataFrame, names: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
     """Floor the raw sums to whole numbers, except those in ``keep``."""
     kept = set(keep)
-    return df.withColumns({n: whole(F.col(n)) for n in names if n not in kept})
+    return df.withColumns({n: whole(n) for n in names if n not in kept})
 
 
-def on_time_ratio(nulls: str = "lenient", within: Column | None = None) -> Column:
+def on_time_ratio(nulls: str = "lenient") -> Column:
     """On-time share of the measured (on-time plus late) units, as an aggregate."""
-    units = F.col("Units")
-    on_time = F.col("Lateness") == "OnTime"
-    measured = on_time | (F.col("Lateness") == "Late")
-    if within is not None:
-        on_time, measured = within & on_time, within & measured
-    return ratio(cond_sum(units, on_time, nulls), cond_sum(units, measured, nulls))
+    return ratio(cond_sum("Units", ON_TIME, nulls), cond_sum("Units", MEASURED, nulls))
 
 
 def impact_sums() -> Sums:
     """Raw numerators and the shared denominator of the impact shares."""
-    units = F.col("Units")
-    vendor = F.col("probable_failure") == "Vendor"
-    by_air = F.col("SHIP_MODE_CD") == "A"
+    vendor = "probable_failure = 'Vendor'"
     return {
-        "on_time": cond_sum(units, F.col("Lateness") == "OnTime", "lenient"),
-        "transport": cond_sum(units, F.col("probable_failure") == "Transportation", "subset"),
-        "vendor_air": cond_sum(units, vendor & by_air, "subset"),
-        "vendor_other": cond_sum(units, vendor & ~by_air, "subset"),
-        "measured": cond_sum(units, F.col("Lateness") != "Unmeasured", "subset"),
+        "on_time": cond_sum("Units", ON_TIME, "lenient"),
+        "transport": cond_sum("Units", "probable_failure = 'Transportation'", "subset"),
+        "vendor_air": cond_sum("Units", f"{vendor} AND SHIP_MODE_CD = 'A'", "subset"),
+        "vendor_other": cond_sum("Units", f"{vendor} AND SHIP_MODE_CD <> 'A'", "subset"),
+        "measured": cond_sum("Units", "Lateness <> 'Unmeasured'", "subset"),
     }
 
 
@@ -182,13 +159,13 @@ def impact_measures(
         "air_vendor_impact": "vendor_air",
         "vendor_non_air_impact": "vendor_other",
     }
+    known = " + ".join(shares)
     agg = agg.withColumns(
-        {share: ratio(F.col(part), F.col("measured")) for share, part in shares.items()}
-    )
-    known = sum((F.col(s) for s in shares), F.lit(0.0))
-    agg = agg.withColumn("unmeasured_impact", 1 - known).withColumns(
+        {share: F.expr(f"CAST(try_divide({part}, measured) AS DOUBLE)") for share, part in shares.items()}
+    ).withColumns(
         {
-            "total_impact": known + F.col("unmeasured_impact"),
+            "unmeasured_impact": F.expr(f"1 - ({known})"),
+            "total_impact": F.expr(f"{known} + (1 - ({known}))"),
             "sot_variance": F.col("sot_pct") - F.lit(target),
         }
     )

@@ -13,81 +13,67 @@ from .joins import combine
 POINTS = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
 
 
-def five_numbers(
-    df: DataFrame, keys: Sequence[str], col: str, buckets: int = 1024
-) -> DataFrame:
+def five_numbers(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Minimum, quartiles and maximum per group, interpolating between neighbours.
 
     1. Rows collapse to (keys, value, copies) before any shuffle.
-    2. Each group's range is cut into ``buckets`` equal slices.  Slice totals give
-       the rank at which every slice starts; that window sees at most ``buckets``
-       rows of a group.
-    3. Running counts are needed only inside the slices that hold a wanted rank, so
-       a group with a third of all rows is spread over its slices, and most of them
-       are dropped unsorted.
+    2. Values are cut into slices of about one percent of their size, in value order.
+       Slice totals give the rank at which every slice starts; that window sees one
+       row per slice, which the range of the numbers bounds, not the count of rows.
+    3. Running counts are needed only inside the few slices that hold a wanted rank.
+       The others are dropped unsorted, so a group with a third of all rows does not
+       end up in one task.
     """
-    on = {k: k for k in keys}
-    value = F.col(col)
-    counts = df.where(value.isNotNull()).groupBy(*keys, col).agg(F.count("*").alias("n"))
-    spans = counts.groupBy(*keys).agg(
-        F.min(col).alias("lo"), F.max(col).alias("hi"), F.sum("n").alias("rows")
+    on = {k: k for k in (*keys, "slice")}
+    size = F.expr(f"CAST(floor(signum({col}) * log1p(abs({col})) * 128) AS INT)")
+    counts = (
+        df.where(F.col(col).isNotNull())
+        .groupBy(*keys, col)
+        .agg(F.count("*").alias("n"))
+        .withColumn("slice", size)
     )
-    part = F.coalesce(F.try_divide(value - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0))
-    sliced = combine(counts, spans, on, "inner").withColumn(
-        "slice", F.least(F.floor(part * buckets), F.lit(buckets - 1)).cast("int")
-    )
-
+    group = Window.partitionBy(*keys)
     starts = (
-        sliced.groupBy(*keys, "slice", "rows")
+        counts.groupBy(*keys, "slice")
         .agg(F.sum("n").alias("size"))
-        .withColumn(
-            "start",
-            F.sum("size").over(Window.partitionBy(*keys).orderBy("slice")) - F.col("size"),
+        .select(
+            *keys,
+            "slice",
+            "size",
+            (F.sum("size").over(group.orderBy("slice")) - F.col("size")).alias("start"),
+            F.sum("size").over(group).alias("rows"),
         )
-        .where(_holds_rank(F.col("start"), F.col("size")))
-        .select(*keys, "slice", "start")
+        .where(_holds_rank("start", "size"))
+        .drop("size")
     )
     # Position of each distinct value: it covers ranks [first, first + n).
     inside = Window.partitionBy(*keys, "slice").orderBy(col)
+    running = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     placed = (
-        combine(sliced, starts, on | {"slice": "slice"}, "inner")
-        .withColumn(
-            "first",
-            F.col("start")
-            + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-            - F.col("n"),
-        )
-        .where(_holds_rank(F.col("first"), F.col("n")))
+        combine(counts, starts, on, "inner")
+        .withColumn("first", F.col("start") + running - F.col("n"))
+        .where(_holds_rank("first", "n"))
     )
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("first") <= rank) & (rank < F.col("first") + F.col("n"))
-        return F.max(F.when(hit, value))
-
     picks = []
     for name, p in POINTS.items():
-        below, above = _ranks(p)
-        picks += [at(below).alias(f"{name}_below"), at(above).alias(f"{name}_above")]
+        for side, rank in zip(("below", "above"), _ranks(p), strict=True):
+            held = f"first <= {rank} AND {rank} < first + n"
+            picks.append(F.expr(f"max({col}) FILTER (WHERE {held})").alias(f"{name}_{side}"))
     out = placed.groupBy(*keys, "rows").agg(*picks)
 
     def point(name: str, p: float) -> Column:
-        rank = (F.col("rows") - 1) * F.lit(p)
-        low, high = F.col(f"{name}_below"), F.col(f"{name}_above")
-        return (low + (rank - F.floor(rank)) * (high - low)).alias(name)
+        part = f"((rows - 1) * {p}D - floor((rows - 1) * {p}D))"
+        return F.expr(f"{name}_below + {part} * ({name}_above - {name}_below)").alias(name)
 
     return out.select(*keys, "rows", *(point(n, p) for n, p in POINTS.items()))
 
 
-def _ranks(p: float) -> tuple[Column, Column]:
+def _ranks(p: float) -> tuple[str, str]:
     """The two neighbouring zero-based ranks around quantile ``p``."""
-    rank = (F.col("rows") - 1) * F.lit(p)
-    return F.floor(rank), F.ceil(rank)
+    return f"floor((rows - 1) * {p}D)", f"ceil((rows - 1) * {p}D)"
 
 
-def _holds_rank(start: Column, size: Column) -> Column:
+def _holds_rank(start: str, size: str) -> Column:
     """Whether ranks [start, start + size) include one that a quantile needs."""
-    wanted = F.lit(False)
-    for p in POINTS.values():
-        for rank in _ranks(p):
-            wanted = wanted | ((start <= rank) & (rank < start + size))
-    return wanted
+    wanted = (rank for p in POINTS.values() for rank in _ranks(p))
+    return F.expr(" OR ".join(f"({start} <= {r} AND {r} < {start} + {size})" for r in wanted))

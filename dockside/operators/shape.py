@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 
 def relabel(col: str, groups: Mapping[str, tuple[str, ...]]) -> Column:
     """Many-to-one relabelling ``{new: (old, ...)}``; an unlisted value becomes null."""
-    out = F.lit(None).cast("string")
-    for new, old in groups.items():
-        out = F.when(F.col(col).isin(*old), F.lit(new)).otherwise(out)
+    (first, old), *rest = groups.items()
+    out = F.when(F.col(col).isin(*old), first)
+    for new, old in rest:
+        out = out.when(F.col(col).isin(*old), new)
     return out
 
 

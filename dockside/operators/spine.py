@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .joins import combine
 
 
+def sql_text(value: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def domain_frame(spark: SparkSession, values: Sequence[str], name: str) -> DataFrame:
     """A literal list as rows of (ordinal, name)."""
-    items = F.array(*(F.lit(v) for v in values))
-    return spark.range(1).select(F.posexplode(items).alias("ordinal", name))
+    rows = ", ".join(f"({i}, {sql_text(v)})" for i, v in enumerate(values))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(ordinal, {name})")
 
 
 def on_spine(agg: DataFrame, domain: DataFrame, key: str) -> DataFrame:

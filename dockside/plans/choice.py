@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import if_else_null, ratio
-from ..operators import combine, cond_sum, plain_sum
+from ..operators import LATE, ON_TIME, combine, cond_sum, plain_sum
 from ..params import ReportParams
 
 ROUTE = ("SHIP_MODE_CD", "Trade_Lane_Type", "SALES_TERMS_CODE", "ShipDateChoice")
@@ -17,7 +17,7 @@ def choice_base(sot: DataFrame, rules: DataFrame) -> DataFrame:
     """Units by brand, date, route, reason and status, on the spine of the route rules."""
     reason = "SHP_RSN_TYP_DESC"
     units = sot.groupBy("ReportingBrand", DATE, *ROUTE, reason, "Lateness").agg(
-        plain_sum(F.col("Units")).alias("vendor_units")
+        plain_sum("Units").alias("vendor_units")
     )
     label = if_else_null(F.col(reason) != "-", "Delay Reason", "")
     return (
@@ -45,30 +45,29 @@ def first_choice(rules: DataFrame) -> DataFrame:
     return rules.where(F.col("Ship_Choice_Status") == 1)
 
 
-def _units_where(cond: Column, nulls: str = "strict") -> Column:
-    return cond_sum(F.col("vendor_units"), cond, nulls)
+def _units_where(cond: str, nulls: str = "strict") -> Column:
+    return cond_sum("vendor_units", cond, nulls)
 
 
 def first_choice_performance(base: DataFrame, params: ReportParams) -> DataFrame:
     """On-time percent of first choices and of all choices by contract date."""
-    status, first = F.col("Lateness"), F.col("Ship_Choice_Status") == 1
-    on_time, measured = status == "OnTime", status != "Unmeasured"
+    first, measured = "Ship_Choice_Status = 1", "Lateness <> 'Unmeasured'"
     share = {
-        "sot_pct_first": (on_time & first, measured & first),
-        "sot_pct_all": (on_time, measured),
+        "sot_pct_first": (f"{ON_TIME} AND {first}", f"{measured} AND {first}"),
+        "sot_pct_all": (ON_TIME, measured),
     }
     return (
         base.where(F.col(DATE).between(*params.period))
         .groupBy(DATE)
         .agg(
-            _units_where(on_time).alias("OnTimeUnits"),
-            _units_where(status == "Late").alias("LateUnits"),
-            _units_where(status == "Unmeasured").alias("unmeasured_units"),
+            _units_where(ON_TIME).alias("OnTimeUnits"),
+            _units_where(LATE).alias("LateUnits"),
+            _units_where("Lateness = 'Unmeasured'").alias("unmeasured_units"),
             *(
                 (100 * ratio(_units_where(a, "lenient"), _units_where(b, "lenient"))).alias(n)
                 for n, (a, b) in share.items()
             ),
-            plain_sum(F.col("vendor_units")).alias("units"),
+            plain_sum("vendor_units").alias("units"),
         )
         .withColumn("choice_impact", F.col("sot_pct_first") - F.col("sot_pct_all"))
         .where(F.col("units") >= params.min_units)
@@ -77,14 +76,13 @@ def first_choice_performance(base: DataFrame, params: ReportParams) -> DataFrame
 
 def performance_by_choice(base: DataFrame, params: ReportParams) -> DataFrame:
     """On-time percent by contract date and choice status."""
-    status = F.col("Lateness")
-    total = plain_sum(F.col("vendor_units"))
+    total = plain_sum("vendor_units")
     return (
         base.groupBy(DATE, "Ship_Choice_Status")
         .agg(
-            _units_where(status == "OnTime").alias("OnTimeUnits"),
-            _units_where(status == "Late").alias("LateUnits"),
-            (100 * ratio(_units_where(status == "OnTime"), total)).alias("sot_pct"),
+            _units_where(ON_TIME).alias("OnTimeUnits"),
+            _units_where(LATE).alias("LateUnits"),
+            (100 * ratio(_units_where(ON_TIME), total)).alias("sot_pct"),
             total.alias("units"),
         )
         .where(F.col("units") >= params.min_units)
@@ -109,6 +107,6 @@ def late_brand_routes(sot: DataFrame, params: ReportParams) -> DataFrame:
     return (
         sot.where(_late_of_brand(params))
         .groupBy("ReportingBrand", *ROUTE)
-        .agg(plain_sum(F.col("Units")).alias("vendor_units"))
+        .agg(plain_sum("Units").alias("vendor_units"))
         .orderBy(F.col("vendor_units").desc_nulls_last())
     )

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import not_matching, ratio, whole
 from ..operators import (
+    LATE,
+    MEASURED,
+    ON_TIME,
     beside,
     cond_sum,
     domain_frame,
@@ -20,6 +23,7 @@ from ..operators import (
     on_time_ratio,
     plain_sum,
     relabel,
+    sql_text,
     stack,
 )
 from ..params import ReportParams
@@ -173,14 +177,12 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
     Lines are summed by centre, brand and month first.  Each of those few rows is
     then repeated for the blocks it belongs to, and the blocks are summed together.
     """
-    units, status = F.col("Units"), F.col("Lateness")
-    on_time = status == "OnTime"
     cells = (
         _rows(ots, retired=False)
         .groupBy("DC_NAME", "ReportingBrand", MONTH)
         .agg(
-            cond_sum(units, on_time).alias("on_time"),
-            cond_sum(units, on_time | (status == "Late")).alias("measured"),
+            cond_sum("Units", ON_TIME).alias("on_time"),
+            cond_sum("Units", MEASURED).alias("measured"),
         )
     )
     centre = F.col("DC_NAME")
@@ -216,16 +218,12 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
         )
         .withColumn(MONTH, F.lit(params.fis_month))
     )
-    rows = [(b, i, e) for b, listed in _spines().items() for i, e in enumerate(listed)]
-    items = F.array(
-        *(
-            F.struct(
-                F.lit(b).alias("block"), F.lit(i).alias("ordinal"), F.lit(e).alias("entity")
-            )
-            for b, i, e in rows
-        )
+    rows = ", ".join(
+        f"({b}, {i}, {sql_text(e)})"
+        for b, listed in _spines().items()
+        for i, e in enumerate(listed)
     )
-    spine = ots.sparkSession.range(1).select(F.inline(items))
+    spine = ots.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(block, ordinal, entity)")
     out = spine.join(shares, ["block", "entity"], "left")
     # The two totals always carry the month, whether or not a line was found.
     total = F.col("block").isin(2, 5)
@@ -238,12 +236,10 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
 
 def centre_by_month(ots: DataFrame) -> DataFrame:
     """Units and on-time share by month and centre, all months."""
-    units, status = F.col("Units"), F.col("Lateness")
-    on_time, late = status == "OnTime", status == "Late"
     return _rows(ots, retired=False).groupBy(MONTH, "DC_NAME").agg(
         on_time_ratio("strict").alias("ots_pct"),
-        whole(plain_sum(units)).alias("raw_units"),
-        whole(cond_sum(units, on_time | late, "strict")).alias("measured_units"),
-        whole(cond_sum(units, on_time, "strict")).alias("OnTimeUnits"),
-        whole(cond_sum(units, late, "strict")).alias("LateUnits"),
+        whole(plain_sum("Units")).alias("raw_units"),
+        whole(cond_sum("Units", MEASURED, "strict")).alias("measured_units"),
+        whole(cond_sum("Units", ON_TIME, "strict")).alias("OnTimeUnits"),
+        whole(cond_sum("Units", LATE, "strict")).alias("LateUnits"),
     )

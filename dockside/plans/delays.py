@@ -21,7 +21,7 @@ def delayed_units(sot: DataFrame, params: ReportParams) -> DataFrame:
     return (
         sot.where(_week(params))
         .groupBy("ShipCancelWeek", REASON)
-        .agg(cond_sum(F.col("Units"), F.lit(True)).alias("delayed_units"))
+        .agg(cond_sum("Units", "true").alias("delayed_units"))
         .orderBy(F.col("delayed_units").desc_nulls_last(), F.col(REASON).asc_nulls_last())
     )
 
@@ -31,7 +31,7 @@ def reason_units(sot: DataFrame, params: ReportParams, delays_only: bool = False
     rows = sot.where(_week(params))
     if delays_only:
         rows = rows.where(F.col(REASON) != NO_REASON)
-    return rows.groupBy(REASON).agg(plain_sum(F.col("Units")).alias("units"))
+    return rows.groupBy(REASON).agg(plain_sum("Units").alias("units"))
 
 
 def reason_spread(sot: DataFrame, params: ReportParams) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import matching, ratio, whole
-from ..operators import cond_sum, plain_sum, top_k
+from ..operators import LATE, MEASURED, ON_TIME, cond_sum, plain_sum, top_k
 from ..params import ReportParams
 
 DIMENSIONS = {"vendor": "Parent_Vendor", "brand": "ReportingBrand"}
@@ -28,12 +28,11 @@ def _one_month(params: ReportParams) -> Column:
 
 def weekly_series(sot: DataFrame, params: ReportParams, dimension: str) -> DataFrame:
     """On-time percent by contract date; a brand also gets its delay impact."""
-    units, status = F.col("Units"), F.col("Lateness")
-    on_time, late = (cond_sum(units, status == s) for s in ("OnTime", "Late"))
-    columns = {"sot_performance": 100 * ratio(on_time, on_time + late)}
+    on_time, done = cond_sum("Units", ON_TIME), cond_sum("Units", MEASURED)
+    columns = {"sot_performance": 100 * ratio(on_time, done)}
     if dimension == "brand":
-        delayed = cond_sum(units, (status == "Late") & (F.col("SHP_RSN_TYP_DESC") != "-"))
-        columns["delay_impact"] = 100 * ratio(delayed, on_time + late)
+        delayed = cond_sum("Units", f"{LATE} AND SHP_RSN_TYP_DESC <> '-'")
+        columns["delay_impact"] = 100 * ratio(delayed, done)
     series = (
         sot.where(_of(dimension, params) & F.col(DATE).between(*params.period))
         .groupBy(DATE)
@@ -52,7 +51,7 @@ def series_span(series: DataFrame) -> DataFrame:
 
 
 def _units(rows: DataFrame, keys: Sequence[str], floored: bool = False) -> DataFrame:
-    total = plain_sum(F.col("Units"))
+    total = plain_sum("Units")
     return (
         rows.groupBy(*keys)
         .agg((whole(total) if floored else total).alias("SOT_Units"))
@@ -90,7 +89,7 @@ def lateness(
 def brand_lateness(month_table: DataFrame) -> DataFrame:
     """A lateness table summed again to brand and status."""
     return month_table.groupBy("ReportingBrand", "Lateness").agg(
-        plain_sum(F.col("SOT_Units")).alias("shipped_units")
+        plain_sum("SOT_Units").alias("shipped_units")
     )
 
 

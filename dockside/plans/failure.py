@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,11 @@ def _with_days(sot: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def _override(late: Column, column: str, labels: dict[str, str]) -> Column:
-    """Replace a label on late lines under terms that decide the cause by themselves.
+def _deciding_terms() -> dict[str, Column]:
+    """Terms that decide the cause by themselves, under the sub-reason they give.
 
-    The terms exclude each other.  A late line whose consolidation date is unknown
-    gets null where that date decides.
+    They exclude each other.  The first three also need a consolidation more than two
+    days past the contract date.
     """
     terms, mode, choice = (
         F.col("SALES_TERMS_CODE"),
@@ -43,7 +45,7 @@ def _override(late: Column, column: str, labels: dict[str, str]) -> Column:
         F.col("ShipDateChoice"),
     )
     overdue = F.col("ACTUAL_ORIGIN_CONSOL_LCL_DATE") > F.date_add("Contract_Ship_Cancel", 2)
-    rules = {
+    return {
         "FCA Ocean": (terms == "FCA") & (mode == "O") & overdue,
         "FOB AIR": (terms == "FOB") & (mode == "A") & overdue,
         "CFR AIR": (terms == "CFR") & (mode == "A") & overdue,
@@ -51,13 +53,6 @@ def _override(late: Column, column: str, labels: dict[str, str]) -> Column:
         "DDP DCON": (terms == "DDP") & (choice == "DCON"),
         "DDU OC": (terms == "DDU") & (choice == "OC"),
     }
-    out = F.col(column)
-    for name, rule in rules.items():
-        out = if_else_null(late & rule, labels.get(name, name), out)
-    return out
-
-
-OVERRIDE_TERMS = ("FCA Ocean", "FOB AIR", "CFR AIR", "EXW", "DDP DCON", "DDU OC")
 
 
 def classify(sot: DataFrame, plan: DataFrame) -> DataFrame:
@@ -98,16 +93,25 @@ def classify(sot: DataFrame, plan: DataFrame) -> DataFrame:
             "test_by_oc": if_else_null(gate & consolidated, test, NOT_TESTED),
         }
     )
-    vendor = dict.fromkeys(OVERRIDE_TERMS, "Vendor")
-    return labelled.withColumn(
-        "is_match", F.col("probable_failure") == F.col("test_by_oc")
-    ).withColumns(
+    # A late line under deciding terms gets their label; it gets null where the
+    # deciding date is unknown.
+    terms = _deciding_terms()
+    decided = late & reduce(Column.__or__, terms.values())
+    labelled = labelled.withColumns(
         {
-            "probable_failure": _override(late, "probable_failure", vendor),
-            "sub_reason": _override(late, "sub_reason", {}),
-            "test_by_oc": _override(late, "test_by_oc", vendor),
+            "is_match": F.col("probable_failure") == F.col("test_by_oc"),
+            "__decided": decided,
+            "__terms": first_true(*((rule, name) for name, rule in terms.items())),
         }
     )
+    hit = F.col("__decided")
+    return labelled.withColumns(
+        {
+            "probable_failure": if_else_null(hit, "Vendor", F.col("probable_failure")),
+            "sub_reason": if_else_null(hit, F.col("__terms"), F.col("sub_reason")),
+            "test_by_oc": if_else_null(hit, "Vendor", F.col("test_by_oc")),
+        }
+    ).drop("__decided", "__terms")
 
 
 def vendor_air_failures(classified: DataFrame, params: ReportParams) -> DataFrame:

@@ -13,8 +13,8 @@ from ..operators import (
     combine,
     domain_frame,
     impact_measures,
-    on_spine,
     nulls_to_text,
+    on_spine,
     plain_sum,
     top_n,
 )
@@ -54,7 +54,7 @@ def leading_vendors(classified: DataFrame, params: ReportParams, n: int = 15) ->
     totals = (
         classified.where(_span(params, "year"))
         .groupBy(*keys)
-        .agg(plain_sum(F.col("Units")).alias("total_units"))
+        .agg(plain_sum("Units").alias("total_units"))
     )
     return top_n(totals, n, "total_units", ("Category",)).orderBy(
         F.col("Category").asc_nulls_last(), F.col("total_units").desc_nulls_last()
@@ -67,7 +67,7 @@ def vendor_impact(
     """Impact of the leading vendors; categories without one keep an empty row."""
     keys = ("Parent_Vendor", "Category")
     table = impact_measures(
-        classified.where(_span(params, span)), keys, {"units": plain_sum(F.col("Units"))}
+        classified.where(_span(params, span)), keys, {"units": plain_sum("Units")}
     ).withColumn("blank", F.lit(""))
     led = combine(vendors.select(*keys), table, {k: k for k in keys})
     spine = domain_frame(classified.sparkSession, domains.CATEGORIES, "Category")

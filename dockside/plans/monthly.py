@@ -12,8 +12,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ots_percent, whole
+from ..functions import ots_percent, ratio, whole
 from ..operators import (
+    LATE,
+    ON_TIME,
     OTS_NAMES,
     SOT_NAMES,
     combine,
@@ -81,7 +83,7 @@ def _levels(base: DataFrame, month: str, names: Sequence[str]) -> DataFrame:
     keys = (month, "ReportingBrand", "Category")
     sets = [[F.col(month), *(F.col(k) for k in level)] for level in LEVELS.values()]
     rolled = base.groupingSets(sets, *(F.col(k) for k in keys)).agg(
-        F.grouping_id().alias("__gid"), *(plain_sum(F.col(n)).alias(n) for n in names)
+        F.grouping_id().alias("__gid"), *(plain_sum(n).alias(n) for n in names)
     )
     # grouping_id has one bit per key, set where the key is summed over.
     label = F.element_at(
@@ -191,10 +193,10 @@ def top_countries(sot: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
 
     Units are summed per code before the names are joined.
     """
-    by_code = sot.groupBy("CountryOfOrigin").agg(plain_sum(F.col("Units")).alias("units"))
+    by_code = sot.groupBy("CountryOfOrigin").agg(plain_sum("Units").alias("units"))
     named = enrich(by_code, country.select("CTRY_CD", "CTRY_DESC"), {"CountryOfOrigin": "CTRY_CD"})
     totals = named.groupBy("CountryOfOrigin", "CTRY_DESC").agg(
-        whole(plain_sum(F.col("units"))).alias("units_by_country")
+        whole(plain_sum("units")).alias("units_by_country")
     )
     return top_k(totals, k, "units_by_country", ("CountryOfOrigin", "CTRY_DESC"))
 
@@ -202,7 +204,7 @@ def top_countries(sot: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
 def top_vendors(sot: DataFrame, k: int = 50) -> DataFrame:
     """The ``k`` vendors with most units; lines without a vendor count as one vendor."""
     totals = sot.groupBy("Parent_Vendor").agg(
-        whole(plain_sum(F.col("Units"))).alias("units_by_vendor")
+        whole(plain_sum("Units")).alias("units_by_vendor")
     )
     return top_k(totals, k, "units_by_vendor", ("Parent_Vendor",))
 
@@ -246,22 +248,18 @@ def vendor_combined(
 
 def ots_by_centre(ots: DataFrame, profile: str = "script") -> DataFrame:
     """Distribution centres by month; the notebook divides by all units."""
-    units, late = F.col("Units"), F.col("Lateness") == "Late"
-    on_time = cond_sum(units, F.col("Lateness") == "OnTime", "strict")
+    on_time = cond_sum("Units", ON_TIME, "strict")
     share = (
-        on_time_ratio("strict")
-        if profile == "script"
-        else F.try_divide(on_time, plain_sum(units)).cast("double")
+        on_time_ratio("strict") if profile == "script" else ratio(on_time, plain_sum("Units"))
     )
-    deep = late & (F.col("Days_Late") > 5)
-    delayed = late & (F.col("Days_Late") >= 1)
+    unit_days = cond_sum("Units * Days_Late", f"{LATE} AND Days_Late >= 1", "strict")
     return ots.groupBy("Fiscal_Month", "Month_Number", "DCCampus", "DC_NAME", "DestCtryCD").agg(
         whole(on_time).alias("OnTimeUnits"),
-        whole(plain_sum(units)).alias("total_units"),
+        whole(plain_sum("Units")).alias("total_units"),
         share.alias("ots_pct"),
-        whole(cond_sum(units, deep, "strict")).alias("OTSLate5daysUnits"),
-        whole(cond_sum(units * F.col("Days_Late"), delayed, "strict")).alias("WTOTSLateUnits"),
-        whole(cond_sum(units, late, "strict")).alias("LateUnits"),
+        whole(cond_sum("Units", f"{LATE} AND Days_Late > 5", "strict")).alias("OTSLate5daysUnits"),
+        whole(unit_days).alias("WTOTSLateUnits"),
+        whole(cond_sum("Units", LATE, "strict")).alias("LateUnits"),
     ).select(
         "Fiscal_Month",
         "Month_Number",
@@ -299,12 +297,10 @@ def stocked_vs_shipped(ots: DataFrame, sot: DataFrame) -> DataFrame:
     stocked = ots.where(status != STOCKED_UNKNOWN).select(
         "NUMBER_SEQ", "Month_Number", status.alias("StockedOnTime"), "Units"
     )
-    units = F.col("Units")
     sums = []
     for c in counts.values():
-        n = F.col(c)
-        weighted = cond_sum(units * n, n > 0, "subset")
-        sums += [F.sum(n).alias(c), weighted.alias(f"{c}_units")]
+        weighted = cond_sum(f"Units * {c}", f"{c} > 0", "subset")
+        sums += [F.sum(c).alias(c), weighted.alias(f"{c}_units")]
     wide = stocked.join(shipped, "NUMBER_SEQ").groupBy("Month_Number", "StockedOnTime").agg(*sums)
     cells = F.array(
         *(
@@ -330,19 +326,18 @@ def stocked_vs_shipped(ots: DataFrame, sot: DataFrame) -> DataFrame:
 
 def vendor_week_stock(ots: DataFrame, with_percent: bool = False) -> DataFrame:
     """Vendor, month and week stock units, optionally with late units and percent."""
-    units, status = F.col("Units"), F.col("Lateness")
     # Fixed value: the published spelling, which no status uses, so every line counts.
-    measurable = cond_sum(units, status != "Unmeasurable", "strict")
-    on_time = cond_sum(units, status == "OnTime", "strict")
+    measurable = cond_sum("Units", "Lateness <> 'Unmeasurable'", "strict")
+    on_time = cond_sum("Units", ON_TIME, "strict")
     columns = {
         "OnTime_Units_sum": on_time,
-        "Total_Units_sum": plain_sum(units),
+        "Total_Units_sum": plain_sum("Units"),
         "Measurable_Units_sum": measurable,
     }
     if with_percent:
         columns = {
             "OnTime_Units_sum": on_time,
-            "Late_Units_sum": cond_sum(units, status == "Late", "strict"),
+            "Late_Units_sum": cond_sum("Units", LATE, "strict"),
             "Total_Units_sum": columns["Total_Units_sum"],
             "Measurable_Units_sum": measurable,
         }
@@ -365,10 +360,7 @@ def top_delays(sot: DataFrame, key: str, n: int = 10, profile: str = "script") -
     else:
         deep = "strict" if key == "ReportingBrand" else "lenient"
         sums, adjusted = sot_sums("lenient", late5_nulls=deep), "lenient"
-    units, status = F.col("Units"), F.col("Lateness")
-    measured = cond_sum(units, status == "OnTime", adjusted) + cond_sum(
-        units, status == "Late", adjusted
-    )
+    measured = cond_sum("Units", ON_TIME, adjusted) + cond_sum("Units", LATE, adjusted)
     shown = ("SOTUnits", "AdjustedSOTUnits", *SOT_NAMES[1:5])
     sums = {n: c for n, c in (sums | {"AdjustedSOTUnits": measured}).items() if n in shown}
     keys = (key, "ShipCancelMonth", "Parent_Vendor")
