@@ -262,7 +262,15 @@ def r01_clean_ots(spark, d):
 @query
 def r02_clean_sot(spark, d):
     """The snapshot date is looked up in the fact."""
-    return cleaning.clean_sot(fx.sot(spark, d, year=YEAR), replace(PARAMS, snapshot=None))
+    return _clean_looked_up(spark, d, "script", YEAR)
+
+
+def _clean_looked_up(
+    spark: SparkSession, d: str, profile: str, year: int | None = None
+) -> DataFrame:
+    pulled = ops.snapshot_date(fx.sot(spark, d, ("Data_Pulled",)))
+    params = replace(PARAMS, snapshot=None)
+    return cleaning.clean_sot(fx.sot(spark, d, year=year), params, profile, pulled)
 
 
 @query
@@ -272,7 +280,7 @@ def r01n_clean_ots(spark, d):
 
 @query
 def r02n_clean_sot(spark, d):
-    return cleaning.clean_sot(fx.sot(spark, d), replace(PARAMS, snapshot=None), "notebook")
+    return _clean_looked_up(spark, d, "notebook")
 
 
 # ---- lists ----
@@ -779,13 +787,13 @@ ROUTES = (*choice.ROUTE, "Contract_Ship_Cancel", "SHP_RSN_TYP_DESC", "Lateness",
 ROUTE_LINES = ("ReportingBrand", *ROUTES)
 
 
-def _choice_base(spark: SparkSession, d: str) -> DataFrame:
-    return choice.choice_base(fx.sot(spark, d, ROUTE_LINES), fx.ship_choice(spark, d))
+def _routed(spark: SparkSession, d: str) -> DataFrame:
+    return choice.routed_units(fx.sot(spark, d, ROUTE_LINES), fx.ship_choice(spark, d))
 
 
 @query
 def r67_choice_base(spark, d):
-    return choice.ranked_choice_base(fx.sot(spark, d, ROUTE_LINES), fx.ship_choice(spark, d))
+    return choice.choice_base(fx.sot(spark, d, ROUTE_LINES), fx.ship_choice(spark, d))
 
 
 @query
@@ -798,13 +806,13 @@ def f15_first_choice_units(spark, d):
 
 @query
 def r68_first_choice(spark, d):
-    table = choice.first_choice_performance(_choice_base(spark, d), PARAMS)
+    table = choice.first_choice_performance(_routed(spark, d), PARAMS)
     return _rounded(table, "sot_pct_first", "sot_pct_all", "choice_impact")
 
 
 @query
 def r69_by_choice(spark, d):
-    return _rounded(choice.performance_by_choice(_choice_base(spark, d), PARAMS), "sot_pct")
+    return _rounded(choice.performance_by_choice(_routed(spark, d), PARAMS), "sot_pct")
 
 
 @query

@@ -198,7 +198,8 @@ def _source(spark: SparkSession, sf_dir: str, exprs: Iterable[str], lines: DataF
     """Join to ``lines`` the tables that the expressions read.
 
     Customer and destination are joined to orders first, so the much larger line
-    table is shuffled for orders, part and supplier only.
+    table is shuffled for orders, part and supplier only.  Lines and orders both grow
+    with the data, so neither is broadcast to the other.
     """
     text = " ".join(exprs)
     needs = {name for name, pattern in _USES.items() if pattern.search(text)}
@@ -210,26 +211,22 @@ def _source(spark: SparkSession, sf_dir: str, exprs: Iterable[str], lines: DataF
     if needs & {"orders", "customer"}:
         orders = t("orders")
         if "customer" in needs:
-            buyers = t("customer")
+            orders = orders.join(t("customer"), F.expr("o_custkey = c_custkey"))
             if "destination" in needs:
-                places = t("nation").alias("cn").join(
-                    t("region"), F.expr("cn.n_regionkey = r_regionkey")
-                )
-                buyers = buyers.join(places, F.expr("c_nationkey = cn.n_nationkey"))
+                orders = orders.join(
+                    t("nation").alias("cn"), F.expr("c_nationkey = cn.n_nationkey")
+                ).join(t("region"), F.expr("cn.n_regionkey = r_regionkey"))
             if "centre" in needs:
                 centres = spark.sql(f"SELECT * FROM {DC_MAP}")
-                buyers = buyers.join(centres, F.expr("c_nationkey % 20 = idx"), "left")
-            orders = orders.join(buyers, F.expr("o_custkey = c_custkey"))
+                orders = orders.join(centres, F.expr("c_nationkey % 20 = idx"), "left")
+            orders = orders.hint("merge")
         out = out.join(orders, F.expr("l_orderkey = o_orderkey"))
     if "part" in needs:
         out = out.join(t("part"), F.expr("l_partkey = p_partkey"))
     if "supplier" in needs:
-        vendors = t("supplier")
+        out = out.join(t("supplier"), F.expr("l_suppkey = s_suppkey"))
         if "origin" in needs:
-            vendors = vendors.join(
-                t("nation").alias("sn"), F.expr("s_nationkey = sn.n_nationkey")
-            )
-        out = out.join(vendors, F.expr("l_suppkey = s_suppkey"))
+            out = out.join(t("nation").alias("sn"), F.expr("s_nationkey = sn.n_nationkey"))
     return out
 
 

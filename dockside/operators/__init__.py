@@ -1,4 +1,4 @@
-from .joins import combine, enrich, restrict
+from .joins import combine, enrich, on_rules, restrict
 from .measures import (
     AIR,
     IMPACT_COLUMNS,
@@ -54,6 +54,7 @@ __all__ = [
     "month_vs_ytd",
     "nth_level",
     "nulls_to_text",
+    "on_rules",
     "on_spine",
     "on_time_ratio",
     "ots_sums",

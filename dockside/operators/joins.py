@@ -8,7 +8,7 @@ execution makes the same choice from measured sizes and splits skewed keys.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,3 +53,21 @@ def combine(
 ) -> DataFrame:
     """Put stocked-side measures next to shipped-side measures of the same keys."""
     return _join(shipped, stocked, on, how)
+
+
+def on_rules(df: DataFrame, rules: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """Rows under a small rule table, plus the rules that no row falls under.
+
+    An outer join that keeps the small side would shuffle the large side by rule, and
+    a third of it may fall under one rule.  Here the rules are matched in place, and
+    unused ones are found from one count per rule.  The count names ``measure``, so
+    that it reads the same aggregate as the match and the fact is read once.
+    """
+    on = {k: k for k in keys}
+    matched = restrict(df, rules, on)
+    used = df.groupBy(*keys).agg(F.count(measure).alias("__n"))
+    names = {k: f"__key_{i}" for i, k in enumerate(keys)}
+    used = used.withColumnsRenamed(names)
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()))
+    unused = rules.join(used, same, "left_anti")
+    return matched.unionByName(unused, allowMissingColumns=True)

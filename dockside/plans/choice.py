@@ -6,39 +6,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import if_else_null, ratio
-from ..operators import LATE, ON_TIME, combine, cond_sum, plain_sum
+from ..operators import LATE, ON_TIME, cond_sum, on_rules, plain_sum, restrict
 from ..params import ReportParams
 
 ROUTE = ("SHIP_MODE_CD", "Trade_Lane_Type", "SALES_TERMS_CODE", "ShipDateChoice")
 DATE = "Contract_Ship_Cancel"
 
 
-def choice_base(sot: DataFrame, rules: DataFrame) -> DataFrame:
-    """Units by brand, date, route, reason and status, on the spine of the route rules."""
-    reason = "SHP_RSN_TYP_DESC"
-    units = sot.groupBy("ReportingBrand", DATE, *ROUTE, reason, "Lateness").agg(
+REASON = "SHP_RSN_TYP_DESC"
+
+
+def _units_by_route(sot: DataFrame) -> DataFrame:
+    return sot.groupBy("ReportingBrand", DATE, *ROUTE, REASON, "Lateness").agg(
         plain_sum("Units").alias("vendor_units")
     )
-    label = if_else_null(F.col(reason) != "-", "Delay Reason", "")
+
+
+def choice_base(sot: DataFrame, rules: DataFrame) -> DataFrame:
+    """Units by brand, date, route, reason and status; every rule stays, largest first."""
+    label = if_else_null(F.col(REASON) != "-", "Delay Reason", "")
     return (
-        combine(rules, units, {k: k for k in ROUTE})
+        on_rules(_units_by_route(sot), rules, ROUTE, "vendor_units")
         .withColumn("delay_label", label)
         .select(
             "ReportingBrand",
             DATE,
             *ROUTE,
-            reason,
+            REASON,
             "Lateness",
             "vendor_units",
             "Ship_Choice_Status",
             "delay_label",
         )
+        .orderBy(F.col("vendor_units").desc_nulls_last())
     )
 
 
-def ranked_choice_base(sot: DataFrame, rules: DataFrame) -> DataFrame:
-    """The base as published: largest groups first."""
-    return choice_base(sot, rules).orderBy(F.col("vendor_units").desc_nulls_last())
+def routed_units(sot: DataFrame, rules: DataFrame) -> DataFrame:
+    """The base for performance tables: an unused rule has no date and no units there."""
+    return restrict(_units_by_route(sot), rules, {k: k for k in ROUTE})
 
 
 def first_choice(rules: DataFrame) -> DataFrame:

@@ -43,12 +43,21 @@ def clean_ots(
     return ots.where(kept)
 
 
-def clean_sot(sot: DataFrame, params: ReportParams, profile: str = "script") -> DataFrame:
+def clean_sot(
+    sot: DataFrame,
+    params: ReportParams,
+    profile: str = "script",
+    pulled: Column | None = None,
+) -> DataFrame:
     """Shipped lines of the year up to the week and the snapshot date.
 
-    The ``notebook`` profile keeps franchise brands and every fiscal year.
+    The date comes from the parameters, or else from ``pulled``, or else is looked up
+    in the fact.  The ``notebook`` profile keeps franchise brands and every fiscal year.
     """
-    pulled = snapshot_date(sot) if params.snapshot is None else F.lit(params.snapshot)
+    if params.snapshot is not None:
+        pulled = F.lit(params.snapshot)
+    elif pulled is None:
+        pulled = snapshot_date(sot)
     kept = (
         (F.col("ShipCancelWeek") <= params.eow)
         & not_matching("Parent_Vendor", *EXCLUDED_VENDORS)
