@@ -651,9 +651,30 @@ def r48_dashboard(spark, d):
     return _rounded(table, "ots_pct", "ytd_ots_pct")
 
 
+@query
+def p13_beside(spark, d):
+    """The total row from two one-row results."""
+    row = dashboard.total_row_beside(
+        _ots(spark, d, *SHARE), PARAMS, domains.NA_EU_CENTRES, domains.NA_EU_TOTAL
+    )
+    return _rounded(row, "ots_pct", "ytd_ots_pct")
+
+
+@query
+def j10_centre_month_vs_ytd(spark, d):
+    """The month table joined to the year-to-date table; a missing month matches itself."""
+    ots = _ots(spark, d, *SHARE)
+    table = ops.month_vs_ytd(
+        dashboard.centre_month(ots, PARAMS),
+        dashboard.centre_ytd(ots, PARAMS),
+        ("entity", "Month_Number"),
+    )
+    return _rounded(table, "ots_pct", "ytd_ots_pct")
+
+
 @query
 def u01_dashboard_blocks(spark, d):
-    """The dashboard as the union of its block reports."""
+    """The dashboard from separate month and year-to-date tables."""
     table = dashboard.dashboard_from_blocks(_ots(spark, d, *SHARE), PARAMS)
     return _rounded(table, "ots_pct", "ytd_ots_pct")
 

@@ -606,6 +606,8 @@ _UNION = " UNION ALL ".join(
 )
 check("r48_dashboard", _UNION)
 check("u01_dashboard_blocks", _UNION)
+CHECKS["p13_beside"] = CHECKS["r36_na_eu_row"]
+CHECKS["j10_centre_month_vs_ytd"] = CHECKS["r39_centre_joined"]
 check(
     "r44_market_check",
     f"SELECT DC_NAME, {_MARKET_CASE} AS custom_country, count(*) AS n FROM ots_c GROUP BY 1, 2",

@@ -176,6 +176,17 @@ SHIP_CHOICE = (
     "CROSS JOIN (VALUES ('DCON'),('OC'),('LP')) e(c)"
 )
 
+# The same three dimensions for the Spark side, which expands lists without joins.
+VENDOR_CATEGORIES = (
+    "Wovens", "Knits", "Denim and Woven Bottoms", "Sweaters", "IP", "Accessories",
+)
+ROUTE_VALUES = {
+    "SHIP_MODE_CD": ("A", "O"),
+    "Trade_Lane_Type": ("INTRA", "INTER"),
+    "SALES_TERMS_CODE": ("FOB", "FCA", "CFR", "EXW", "DDP", "CIF"),
+    "ShipDateChoice": ("DCON", "OC", "LP"),
+}
+
 # ---- end of fixed values ----
 
 _USES = {
@@ -280,16 +291,41 @@ def country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preferred_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(PREFERRED_VENDOR, supplier=table(spark, sf_dir, "supplier"))
+    """The listed categories of each vendor, expanded in place."""
+    pairs = F.posexplode(F.array(*(F.lit(c) for c in VENDOR_CATEGORIES)))
+    vendors = table(spark, sf_dir, "supplier")
+    columns = ("new_category", "vendor_name", "vendor_id", "category_status")
+    listed = (
+        vendors.select("*", pairs.alias("k", "category"))
+        .where("s_suppkey % 6 = k OR s_suppkey % 7 = k")
+        .select("category", "s_name", "s_suppkey", F.lit("Preferred"))
+    )
+    twice = vendors.where("s_suppkey = 6").selectExpr(
+        "'Wovens'", "s_name", "s_suppkey + 100000", "'Preferred'"
+    )
+    return listed.union(twice).toDF(*columns)
 
 
 def transit_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(TRANSIT_PLAN, region=table(spark, sf_dir, "region"))
+    place = F.explode(F.sequence(F.lit(0), F.lit(6)))
+    return (
+        table(spark, sf_dir, "region")
+        .select("*", place.alias("p"))
+        .selectExpr(
+            "concat('TP', p) AS tp_place",
+            "r_name AS geo_description",
+            "CAST(3 + (p + r_regionkey) % 7 AS INT) AS days_before_ship_cancel",
+        )
+    )
 
 
 def ship_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fixed rule matrix; it does not grow with the data."""
-    return spark.sql(SHIP_CHOICE)
+    rules = spark.range(1)
+    for name, values in ROUTE_VALUES.items():
+        rules = rules.select("*", F.explode(F.array(*(F.lit(v) for v in values))).alias(name))
+    status = F.when(F.col("ShipDateChoice") == "OC", 1).otherwise(2)
+    return rules.select(*ROUTE_VALUES, status.alias("Ship_Choice_Status"))
 
 
 def check_ctes() -> dict[str, str]:

@@ -65,7 +65,8 @@ def on_rules(df: DataFrame, rules: DataFrame, keys: Sequence[str], measure: str)
     """
     on = {k: k for k in keys}
     matched = restrict(df, rules, on)
-    used = df.groupBy(*keys).agg(F.count(measure).alias("__n"))
+    # The filter always holds; it keeps the count from being pruned away.
+    used = df.groupBy(*keys).agg(F.count(measure).alias("__n")).where("__n >= 0").drop("__n")
     names = {k: f"__key_{i}" for i, k in enumerate(keys)}
     used = used.withColumnsRenamed(names)
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()))

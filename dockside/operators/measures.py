@@ -118,9 +118,12 @@ def finish(df: DataFrame, names: Iterable[str], keep: Iterable[str] = ()) -> Dat
     return df.withColumns({n: whole(n) for n in names if n not in kept})
 
 
-def on_time_ratio(nulls: str = "lenient") -> Column:
+def on_time_ratio(nulls: str = "lenient", within: str = "true") -> Column:
     """On-time share of the measured (on-time plus late) units, as an aggregate."""
-    return ratio(cond_sum("Units", ON_TIME, nulls), cond_sum("Units", MEASURED, nulls))
+    return ratio(
+        cond_sum("Units", f"{within} AND {ON_TIME}", nulls),
+        cond_sum("Units", f"{within} AND {MEASURED}", nulls),
+    )
 
 
 def impact_sums() -> Sums:

@@ -41,10 +41,14 @@ def _rows(ots: DataFrame, retired: bool = True) -> DataFrame:
     return ots.where(kept)
 
 
-def _entity_share(
-    rows: DataFrame, entity: Column, listed: Sequence[str], name: str, params: ReportParams
+def _entity_shares(
+    rows: DataFrame,
+    entity: Column,
+    listed: Sequence[str],
+    shares: Mapping[str, Column],
+    params: ReportParams,
 ) -> DataFrame:
-    """On-time share per listed entity, on the spine of the list.
+    """On-time shares per listed entity, on the spine of the list.
 
     Unlisted entities are dropped before the aggregate, not by the spine join.
     """
@@ -52,25 +56,52 @@ def _entity_share(
         rows.withColumn("entity", entity)
         .where(F.col("entity").isin(*listed))
         .groupBy("entity")
-        .agg(on_time_ratio().alias(name))
+        .agg(*(c.alias(n) for n, c in shares.items()))
         .withColumn(MONTH, F.lit(params.fis_month))
     )
     spine = domain_frame(rows.sparkSession, listed, "entity")
-    return on_spine(agg, spine, "entity").select("entity", MONTH, name)
+    return on_spine(agg, spine, "entity").select("entity", MONTH, *shares)
+
+
+def _month(
+    rows: DataFrame, entity: Column, listed: Sequence[str], params: ReportParams
+) -> DataFrame:
+    this_month = rows.where(F.col(MONTH) == params.fis_month)
+    return _entity_shares(this_month, entity, listed, {"ots_pct": on_time_ratio()}, params)
+
+
+def _ytd(
+    rows: DataFrame, entity: Column, listed: Sequence[str], params: ReportParams
+) -> DataFrame:
+    return _entity_shares(rows, entity, listed, {"ytd_ots_pct": on_time_ratio()}, params)
+
+
+def _month_and_ytd(
+    rows: DataFrame, entity: Column, listed: Sequence[str], params: ReportParams
+) -> DataFrame:
+    """Both shares from one pass over the year-to-date rows."""
+    within = f"{MONTH} = {params.fis_month}"
+    shares = {"ots_pct": on_time_ratio(within=within), "ytd_ots_pct": on_time_ratio()}
+    return _entity_shares(rows, entity, listed, shares, params)
+
+
+def _until(rows: DataFrame, params: ReportParams) -> DataFrame:
+    return rows.where(F.col(MONTH) <= params.fis_month)
+
+
+_CENTRE, _CENTRES = "DC_NAME", domains.NA_EU_CENTRES
 
 
 def centre_month(ots: DataFrame, params: ReportParams) -> DataFrame:
-    rows = _rows(ots).where(F.col(MONTH) == params.fis_month)
-    return _entity_share(rows, F.col("DC_NAME"), domains.NA_EU_CENTRES, "ots_pct", params)
+    return _month(_rows(ots), F.col(_CENTRE), _CENTRES, params)
 
 
 def centre_ytd(ots: DataFrame, params: ReportParams) -> DataFrame:
-    rows = _rows(ots).where(F.col(MONTH) <= params.fis_month)
-    return _entity_share(rows, F.col("DC_NAME"), domains.NA_EU_CENTRES, "ytd_ots_pct", params)
+    return _ytd(_until(_rows(ots), params), F.col(_CENTRE), _CENTRES, params)
 
 
 def centre_joined(ots: DataFrame, params: ReportParams) -> DataFrame:
-    return month_vs_ytd(centre_month(ots, params), centre_ytd(ots, params), ("entity", MONTH))
+    return _month_and_ytd(_until(_rows(ots), params), F.col(_CENTRE), _CENTRES, params)
 
 
 def centre_total(
@@ -94,7 +125,22 @@ def centre_total(
 def total_row(
     ots: DataFrame, params: ReportParams, listed: Sequence[str], label: str
 ) -> DataFrame:
-    """Month and year-to-date totals side by side, labelled."""
+    """Month and year-to-date totals side by side, labelled, from one pass."""
+    return (
+        _until(_rows(ots), params)
+        .where(F.col("DC_NAME").isin(*listed))
+        .agg(
+            on_time_ratio(within=f"{MONTH} = {params.fis_month}").alias("ots_pct"),
+            on_time_ratio().alias("ytd_ots_pct"),
+        )
+        .select(F.lit(label).alias("entity"), F.lit(params.fis_month).alias(MONTH), "*")
+    )
+
+
+def total_row_beside(
+    ots: DataFrame, params: ReportParams, listed: Sequence[str], label: str
+) -> DataFrame:
+    """The same row from the two one-row totals."""
     month = centre_total(ots, params, listed, ytd=False)
     ytd = centre_total(ots, params, listed, ytd=True).select("ytd_ots_pct")
     return beside(month, ytd).withColumn("entity", F.lit(label))
@@ -105,17 +151,17 @@ def _display_brand() -> Column:
 
 
 def brand_month(ots: DataFrame, params: ReportParams) -> DataFrame:
-    rows = _rows(ots, retired=False).where(F.col(MONTH) == params.fis_month)
-    return _entity_share(rows, _display_brand(), domains.DISPLAY_BRANDS, "ots_pct", params)
+    return _month(_rows(ots, False), _display_brand(), domains.DISPLAY_BRANDS, params)
 
 
 def brand_ytd(ots: DataFrame, params: ReportParams) -> DataFrame:
-    rows = _rows(ots, retired=False).where(F.col(MONTH) <= params.fis_month)
-    return _entity_share(rows, _display_brand(), domains.DISPLAY_BRANDS, "ytd_ots_pct", params)
+    rows = _until(_rows(ots, False), params)
+    return _ytd(rows, _display_brand(), domains.DISPLAY_BRANDS, params)
 
 
 def brand_joined(ots: DataFrame, params: ReportParams) -> DataFrame:
-    return month_vs_ytd(brand_month(ots, params), brand_ytd(ots, params), ("entity", MONTH))
+    rows = _until(_rows(ots, False), params)
+    return _month_and_ytd(rows, _display_brand(), domains.DISPLAY_BRANDS, params)
 
 
 def market() -> Column:
@@ -133,28 +179,30 @@ def market_check(ots: DataFrame) -> DataFrame:
 
 
 def market_month(ots: DataFrame, params: ReportParams) -> DataFrame:
-    rows = _rows(ots, retired=False).where(F.col(MONTH) == params.fis_month)
-    return _entity_share(rows, market(), domains.MARKETS, "ots_pct", params)
+    return _month(_rows(ots, False), market(), domains.MARKETS, params)
 
 
 def market_ytd(ots: DataFrame, params: ReportParams) -> DataFrame:
     """All months of the extract: the published report has no month bound here."""
-    rows = _rows(ots, retired=False)
-    return _entity_share(rows, market(), domains.MARKETS, "ytd_ots_pct", params)
+    return _ytd(_rows(ots, False), market(), domains.MARKETS, params)
 
 
 def market_joined(ots: DataFrame, params: ReportParams) -> DataFrame:
-    return month_vs_ytd(market_month(ots, params), market_ytd(ots, params), ("entity", MONTH))
+    return _month_and_ytd(_rows(ots, False), market(), domains.MARKETS, params)
 
 
 def dashboard_from_blocks(ots: DataFrame, params: ReportParams) -> DataFrame:
-    """The dashboard as the union of its five block reports (one pass per part)."""
+    """The dashboard as published: month tables joined to year-to-date tables, stacked.
+
+    :func:`dashboard` gives the same rows from one pass.
+    """
+    keys = ("entity", MONTH)
     blocks = (
-        centre_joined(ots, params),
-        total_row(ots, params, domains.NA_EU_CENTRES, domains.NA_EU_TOTAL),
-        brand_joined(ots, params),
-        market_joined(ots, params),
-        total_row(ots, params, domains.GLOBAL_CENTRES, domains.GLOBAL_TOTAL),
+        month_vs_ytd(centre_month(ots, params), centre_ytd(ots, params), keys),
+        total_row_beside(ots, params, domains.NA_EU_CENTRES, domains.NA_EU_TOTAL),
+        month_vs_ytd(brand_month(ots, params), brand_ytd(ots, params), keys),
+        month_vs_ytd(market_month(ots, params), market_ytd(ots, params), keys),
+        total_row_beside(ots, params, domains.GLOBAL_CENTRES, domains.GLOBAL_TOTAL),
     )
     return stack(*(b.withColumn("block", F.lit(i)) for i, b in enumerate(blocks, 1))).select(
         "block", "entity", MONTH, "ots_pct", "ytd_ots_pct"
@@ -178,7 +226,7 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
     then repeated for the blocks it belongs to, and the blocks are summed together.
     """
     cells = (
-        _rows(ots, retired=False)
+        _rows(ots, False)
         .groupBy("DC_NAME", "ReportingBrand", MONTH)
         .agg(
             cond_sum("Units", ON_TIME).alias("on_time"),
@@ -236,7 +284,7 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
 
 def centre_by_month(ots: DataFrame) -> DataFrame:
     """Units and on-time share by month and centre, all months."""
-    return _rows(ots, retired=False).groupBy(MONTH, "DC_NAME").agg(
+    return _rows(ots, False).groupBy(MONTH, "DC_NAME").agg(
         on_time_ratio("strict").alias("ots_pct"),
         whole(plain_sum("Units")).alias("raw_units"),
         whole(cond_sum("Units", MEASURED, "strict")).alias("measured_units"),
