@@ -29,7 +29,7 @@ from .shape import (
     stack,
 )
 from .spine import domain_frame, month_vs_ytd, on_spine, sql_text
-from .topk import first_rows, snapshot_date, top_k, top_n
+from .topk import first_rows, read_snapshot_date, snapshot_date, top_k, top_n
 
 __all__ = [
     "AIR",
@@ -60,6 +60,7 @@ __all__ = [
     "ots_sums",
     "peek",
     "plain_sum",
+    "read_snapshot_date",
     "relabel",
     "restrict",
     "roll_up",

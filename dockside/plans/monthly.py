@@ -139,8 +139,8 @@ def level_combined(
 # ---- preferred vendors ----
 
 
-def _listed_copies(
-    base: DataFrame, vendors: DataFrame, names: Sequence[str], dedupe: bool
+def listed_copies(
+    base: DataFrame, vendors: DataFrame, names: Sequence[str], dedupe: bool = False
 ) -> DataFrame:
     """Restrict vendor sums to the list; a key listed twice counts twice.
 
@@ -160,7 +160,7 @@ def _listed_copies(
 
 def preferred_sot(sot: DataFrame, vendors: DataFrame, dedupe: bool = False) -> DataFrame:
     base = measures_by(sot, ("Category", "Parent_Vendor", "ShipCancelMonth"), sot_sums())
-    return finish(_listed_copies(base, vendors, SOT_NAMES, dedupe), SOT_NAMES).orderBy(
+    return finish(listed_copies(base, vendors, SOT_NAMES, dedupe), SOT_NAMES).orderBy(
         F.col("ShipCancelMonth").asc_nulls_last(), F.col("Category").asc_nulls_last()
     )
 
@@ -170,7 +170,7 @@ def preferred_ots(
 ) -> DataFrame:
     sums = ots_sums(air_total=profile == "script")
     base = measures_by(ots, ("Category", "Parent_Vendor", "Month_Number"), sums)
-    return finish(_listed_copies(base, vendors, tuple(sums), dedupe), sums).orderBy(
+    return finish(listed_copies(base, vendors, tuple(sums), dedupe), sums).orderBy(
         F.col("Month_Number").asc_nulls_last(), F.col("Category").asc_nulls_last()
     )
 
