@@ -278,10 +278,11 @@ def ots_by_centre(ots: DataFrame, profile: str = "script") -> DataFrame:
 def stocked_vs_shipped(ots: DataFrame, sot: DataFrame) -> DataFrame:
     """Stocked units by month, stocked status and shipped status of the same line.
 
-    Shipped lines collapse to one row per line id with a count per status, so an id
-    that repeats on both sides adds up without listing its pairs, and the stocked
-    side can be split freely where an id is hot.  A status outside the closed list
-    stops the job instead of being lost.
+    Both sides collapse by line id before they meet: shipped lines to one row per id
+    with a count per status, stocked lines to one row per id, month and status.  An id
+    that repeats very often shrinks in the tasks that read it, and its pairs are added
+    up without being listed.  A shipped status outside the closed list stops the job
+    instead of being lost.
     """
     counts = {s: f"__n_{s}" for s in SHIPPED_STATES}
     status = F.col("Lateness")
@@ -294,8 +295,10 @@ def stocked_vs_shipped(ots: DataFrame, sot: DataFrame) -> DataFrame:
         .groupBy("NUMBER_SEQ")
         .agg(*(F.count_if(F.col("status") == s).alias(c) for s, c in counts.items()))
     )
-    stocked = ots.where(status != STOCKED_UNKNOWN).select(
-        "NUMBER_SEQ", "Month_Number", status.alias("StockedOnTime"), "Units"
+    stocked = (
+        ots.where(status != STOCKED_UNKNOWN)
+        .groupBy("NUMBER_SEQ", "Month_Number", status.alias("StockedOnTime"))
+        .agg(plain_sum("Units").alias("Units"))
     )
     sums = []
     for c in counts.values():
