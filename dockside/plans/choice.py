@@ -38,7 +38,12 @@ def choice_base(sot: DataFrame, rules: DataFrame) -> DataFrame:
             "Ship_Choice_Status",
             "delay_label",
         )
-        .orderBy(F.col("vendor_units").desc_nulls_last())
+        # The group columns break ties, so that a very common unit count is still
+        # split over tasks by the sort.
+        .orderBy(
+            F.col("vendor_units").desc_nulls_last(),
+            *(F.col(c).asc_nulls_last() for c in (DATE, "ReportingBrand", *ROUTE, REASON, "Lateness")),
+        )
     )
 
 

@@ -55,7 +55,7 @@ def _units(rows: DataFrame, keys: Sequence[str], floored: bool = False) -> DataF
     return (
         rows.groupBy(*keys)
         .agg((whole(total) if floored else total).alias("SOT_Units"))
-        .orderBy(F.col("SOT_Units").desc_nulls_last())
+        .orderBy(F.col("SOT_Units").desc_nulls_last(), *(F.col(k).asc_nulls_last() for k in keys))
     )
 
 

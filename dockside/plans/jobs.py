@@ -113,7 +113,7 @@ def weekly_tables(
             OTS_NAMES,
         ),
         (*vendor_keys, "ShipCancelMonth"),
-    ).orderBy("ShipCancelMonth", "Category")
+    ).orderBy("ShipCancelMonth", "Category", "Parent_Vendor")
     return {
         "Monthly_Brand_Category_Combine": (level("brand_category"), True),
         "Monthly_Brand_Combine": (level("brand"), True),

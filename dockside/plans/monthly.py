@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ots_percent, ratio, whole
@@ -27,7 +27,6 @@ from ..operators import (
     ots_sums,
     plain_sum,
     restrict,
-    roll_up,
     sot_sums,
     top_k,
     top_n,
@@ -62,6 +61,11 @@ COMBINED_ORDER = (
 )
 
 
+def _in_order(*columns: str) -> list[Column]:
+    """Ascending with missing values last."""
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
 # ---- levels ----
 
 
@@ -161,7 +165,7 @@ def listed_copies(
 def preferred_sot(sot: DataFrame, vendors: DataFrame, dedupe: bool = False) -> DataFrame:
     base = measures_by(sot, ("Category", "Parent_Vendor", "ShipCancelMonth"), sot_sums())
     return finish(listed_copies(base, vendors, SOT_NAMES, dedupe), SOT_NAMES).orderBy(
-        F.col("ShipCancelMonth").asc_nulls_last(), F.col("Category").asc_nulls_last()
+        *_in_order("ShipCancelMonth", "Category", "Parent_Vendor")
     )
 
 
@@ -171,7 +175,7 @@ def preferred_ots(
     sums = ots_sums(air_total=profile == "script")
     base = measures_by(ots, ("Category", "Parent_Vendor", "Month_Number"), sums)
     return finish(listed_copies(base, vendors, tuple(sums), dedupe), sums).orderBy(
-        F.col("Month_Number").asc_nulls_last(), F.col("Category").asc_nulls_last()
+        *_in_order("Month_Number", "Category", "Parent_Vendor")
     )
 
 
@@ -369,7 +373,7 @@ def top_delays(sot: DataFrame, key: str, n: int = 10, profile: str = "script") -
     keys = (key, "ShipCancelMonth", "Parent_Vendor")
     table = finish(measures_by(sot, keys, sums), sums).select(*keys, *shown)
     return top_n(table, n, "SOTLateUnits", (key, "ShipCancelMonth")).orderBy(
-        F.col(key).asc_nulls_last(),
-        F.col("ShipCancelMonth").asc_nulls_last(),
+        *_in_order(key, "ShipCancelMonth"),
         F.col("SOTLateUnits").desc_nulls_last(),
+        *_in_order("Parent_Vendor"),
     )

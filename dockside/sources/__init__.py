@@ -1,4 +1,4 @@
-from .dims import read_dim
+from .dims import read_countries, read_dim, read_preferred_vendors
 from .facts import JdbcSource, jdbc_ranges, read_fact, write_snapshot
 from .scratch import scratch_path, stage
 from .sinks import tee, with_headings, write_book, write_report
@@ -6,8 +6,10 @@ from .sinks import tee, with_headings, write_book, write_report
 __all__ = [
     "JdbcSource",
     "jdbc_ranges",
+    "read_countries",
     "read_dim",
     "read_fact",
+    "read_preferred_vendors",
     "scratch_path",
     "stage",
     "tee",

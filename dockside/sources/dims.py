@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import COUNTRY_FILE, PREFERRED_VENDOR_FILE
+
 
 def read_dim(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
@@ -23,3 +26,18 @@ def read_dim(
         .schema(schema)
         .csv(path)
     )
+
+
+def read_preferred_vendors(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """The published vendor list; an older edition uses another separator."""
+    return read_dim(spark, path, PREFERRED_VENDOR_FILE, sep).select(
+        F.col("New Category").alias("new_category"),
+        F.col("Vendor Name").alias("vendor_name"),
+        F.col("Vendor ID").cast("bigint").alias("vendor_id"),
+        F.col("Category Status?").alias("category_status"),
+    )
+
+
+def read_countries(spark: SparkSession, path: str) -> DataFrame:
+    """The published country list; its audit columns are not used."""
+    return read_dim(spark, path, COUNTRY_FILE, sep="^").select("CTRY_CD", "CTRY_DESC")

@@ -11,8 +11,10 @@ from dockside import fixtures as fx
 from dockside import schemas
 from dockside.sources import (
     jdbc_ranges,
+    read_countries,
     read_dim,
     read_fact,
+    read_preferred_vendors,
     scratch_path,
     stage,
     tee,
@@ -32,6 +34,10 @@ def test_quoted_commas_and_leading_zeros(spark, tmp_path):
     got = read_dim(spark, str(path), schemas.PREFERRED_VENDOR_FILE).collect()
     assert [r["Vendor Name"] for r in got] == ["ACME CO., LTD", 'THE "BEST" CO']
     assert got[0]["Vendor Legacy ID"] == "000307647"
+    listed = read_preferred_vendors(spark, str(path))
+    assert listed.schema.names == schemas.PREFERRED_VENDOR.names
+    assert listed.dtypes[2] == ("vendor_id", "bigint")
+    assert tuple(listed.first()) == ("Knits", "ACME CO., LTD", 12, "Preferred")
 
 
 def test_caret_file_keeps_na_and_dash(spark, tmp_path):
@@ -40,6 +46,7 @@ def test_caret_file_keeps_na_and_dash(spark, tmp_path):
     path.write_text(f"{head}\n-^Unassigned^A^B^C^D\nNA^NAMIBIA^A^B^C^D\n")
     got = read_dim(spark, str(path), schemas.COUNTRY_FILE, sep="^").collect()
     assert [(r["CTRY_CD"], r["CTRY_DESC"]) for r in got] == [("-", "Unassigned"), ("NA", "NAMIBIA")]
+    assert read_countries(spark, str(path)).count() == 2
 
 
 def test_a_changed_header_is_noticed(spark, tmp_path):
