@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, sharding
+from . import decontam, exact, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +19,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _table(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet").select(*columns)
 
@@ -33,6 +40,27 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.exact_groups(_texts(spark, d))
 
 
+@query
+def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Words of each document that lie in a ten-word window of the benchmark."""
+    found = decontam.contamination(_texts(spark, d), _table(spark, d, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "longest_match",
+    )
+
+
+@query
+def op4_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(_texts(spark, d), tokenizer_path())
+
+
 @query
 def op8_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Whole records in 16 shuffled shards, and where each would be with 17."""

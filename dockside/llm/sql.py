@@ -15,3 +15,57 @@ SELECT doc_id,
        sha256(body) AS text_sha256
 FROM plain
 """
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+CHECKS["op3_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+b AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+b_at AS (
+  SELECT item_id, words, least(len(words), 10) AS k,
+         unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i
+  FROM b WHERE len(words) > 0
+),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(words[i:i + k - 1], ' ') AS win FROM b_at),
+d_at AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM d),
+d_win AS (
+  SELECT doc_id, i, k, array_to_string(words[i:i + k - 1], ' ') AS win
+  FROM d_at JOIN (SELECT DISTINCT k FROM windows) ON i + k - 1 <= len(words)
+),
+hits AS (SELECT doc_id, i, k, item_id FROM d_win JOIN windows USING (k, win)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM hits)) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+),
+-- Longest run of words that a document and one item share from a window on.
+pairs AS (
+  SELECT h.doc_id, h.i, b_at.item_id, b_at.i AS j, b_at.k
+  FROM hits h JOIN b_at ON h.item_id = b_at.item_id AND h.k = b_at.k
+  JOIN d ON d.doc_id = h.doc_id
+  WHERE array_to_string(b_at.words[b_at.i:b_at.i + b_at.k - 1], ' ') = array_to_string(d.words[h.i:h.i + h.k - 1], ' ')
+),
+heads AS (
+  SELECT doc_id, item_id, k, i - j AS diagonal, i,
+         i - row_number() OVER (PARTITION BY doc_id, item_id, k, i - j ORDER BY i) AS run
+  FROM pairs
+),
+longest AS (
+  SELECT doc_id, max(n) AS longest_match
+  FROM (SELECT doc_id, count(*) - 1 + k AS n FROM heads GROUP BY doc_id, item_id, k, diagonal, run) GROUP BY doc_id
+)
+SELECT d.doc_id,
+       CAST(len(d.words) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items.items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(longest_match, 0) AS BIGINT) AS longest_match
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
+"""
