@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import drop_folder, scratch_path
@@ -49,14 +49,10 @@ class Workspace:
             drop_folder(self.spark, self.root)
 
 
-def plain_text(docs: DataFrame, column: str = "text"):
-    """The text column, null as empty."""
-    return F.coalesce(F.col(column), F.lit(""))
-
-
-def text_size(docs: DataFrame, column: str = "text") -> int:
-    """Bytes of all texts."""
-    return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
+def fold(modulus: int) -> Column:
+    """The remainder that decides which rows are held out; -1 for a null id."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(F.pmod(key, F.lit(modulus)), F.lit(-1))
 
 
 # ---- Arrow columns as arrays ----
@@ -112,7 +108,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_CODES = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+BYTE_CODES = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _STEP = 0xD1342543DE82EF95
 _BACK = pow(_STEP, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -173,7 +169,7 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.starts, self.ends = runs(WORD_BYTES[data], offsets)
-        sums = prefix_hash(_BYTE_CODES[LOWER[data]])
+        sums = prefix_hash(BYTE_CODES[LOWER[data]])
         self.hashes = span_hash(sums, self.starts, self.ends)
         self.first = np.searchsorted(self.starts, offsets)
 
@@ -195,6 +191,48 @@ class Words:
         return span_hash(sums, starts, starts + length), first
 
 
+class WordTable:
+    """Word hash to place, open addressing over arrays; emptied when full, so of bounded size."""
+
+    def __init__(self, bits: int = 22):
+        self.bits, self.most = bits, int(0.6 * (1 << bits))
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.place = np.zeros(1 << self.bits, np.int32)
+        self.used = 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the keys, -1 where unknown."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.place[slot], -1)
+        live = np.flatnonzero((there != keys) & (there != 0))
+        while len(live):
+            slot[live] = (slot[live] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slot[live]]
+            hit = there == keys[live]
+            out[live[hit]] = self.place[slot[live[hit]]]
+            live = live[~hit & (there != 0)]
+        return out
+
+    def add(self, keys: np.ndarray, places: np.ndarray) -> None:
+        """Insert distinct keys that are not there yet."""
+        slot, live = self._slot(keys), np.arange(len(keys))
+        while len(live):
+            free = self.keys[slot[live]] == 0
+            self.keys[slot[live[free]]] = keys[live[free]]
+            won = self.keys[slot[live]] == keys[live]
+            self.place[slot[live[won]]] = places[live[won]]
+            live = live[~won]
+            slot[live] = (slot[live] + 1) & ((1 << self.bits) - 1)
+        self.used += len(keys)
+
+
 def text_pieces(
     batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, packing, sharding
+from . import decontam, exact, langid, packing, sharding
+from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +76,12 @@ def op8_sharding(spark: SparkSession, d: str) -> DataFrame:
         "slot",
         "grown_shard",
     )
+
+
+@query
+def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every text, learned from the rows outside the held-out fold."""
+    docs = _table(spark, d, "documents", "doc_id", "text", "lang")
+    net = langid.fit(docs.where(fold(5) != 0).select("doc_id", "text", "lang"))
+    found = langid.identify(docs, net)
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")

@@ -14,7 +14,7 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-from .base import mix, prefix_hash, ragged, span_hash
+from .base import WordTable, mix, prefix_hash, ragged, span_hash
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
 SIMPLE = 0x300
@@ -40,48 +40,6 @@ KIND, LOWER, IS_SIMPLE = _tables()
 _CODES = mix(np.arange(1, SIMPLE + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-class WordTable:
-    """Word hash to place, open addressing over arrays; emptied when full, so of bounded size."""
-
-    def __init__(self, bits: int = 22):
-        self.bits, self.most = bits, int(0.6 * (1 << bits))
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.place = np.zeros(1 << self.bits, np.int32)
-        self.used = 0
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of the keys, -1 where unknown."""
-        slot = self._slot(keys)
-        there = self.keys[slot]
-        out = np.where(there == keys, self.place[slot], -1)
-        live = np.flatnonzero((there != keys) & (there != 0))
-        while len(live):
-            slot[live] = (slot[live] + 1) & ((1 << self.bits) - 1)
-            there = self.keys[slot[live]]
-            hit = there == keys[live]
-            out[live[hit]] = self.place[slot[live[hit]]]
-            live = live[~hit & (there != 0)]
-        return out
-
-    def add(self, keys: np.ndarray, places: np.ndarray) -> None:
-        """Insert distinct keys that are not there yet."""
-        slot, live = self._slot(keys), np.arange(len(keys))
-        while len(live):
-            free = self.keys[slot[live]] == 0
-            self.keys[slot[live[free]]] = keys[live[free]]
-            won = self.keys[slot[live]] == keys[live]
-            self.place[slot[live[won]]] = places[live[won]]
-            live = live[~won]
-            slot[live] = (slot[live] + 1) & ((1 << self.bits) - 1)
-        self.used += len(keys)
-
-
 class BatchTokenizer:
     """Ids of texts, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
