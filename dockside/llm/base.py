@@ -55,6 +55,29 @@ def fold(modulus: int) -> Column:
     return F.coalesce(F.pmod(key, F.lit(modulus)), F.lit(-1))
 
 
+def take_rows(docs: DataFrame, decided: DataFrame, digest: Column) -> DataFrame:
+    """The rows of ``docs`` that a decision keeps, with all their columns.
+
+    ``decided`` has ``_id, _digest, kept`` for every row; ``digest`` gives a row's digest.  Rows
+    that agree in both are told apart by nothing: one of them stands for all, if one is kept.
+    """
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
+        F.col("doc_id").alias("_id"),
+        digest.alias("_digest"),
+    )
+    same = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & (a["_digest"] == b["_digest"])
+    told = decided.groupBy("_id", "_digest").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    keep, repeated = told.where("kept"), told.where("kept AND n > 1")
+    stay = rows.join(keep, same(rows, keep), "leftsemi")
+    if not repeated.isEmpty():
+        once = stay.join(repeated, same(stay, repeated), "leftanti")
+        more = stay.join(repeated, same(stay, repeated), "leftsemi")
+        more = more.groupBy(F.struct("_id", "_digest").alias("_key")).agg(F.first("_doc").alias("_doc"))
+        stay = once.select("_doc").unionByName(more.select("_doc"))
+    return stay.select("_doc.*")
+
+
 # ---- Arrow columns as arrays ----
 
 

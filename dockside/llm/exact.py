@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Workspace
+from .base import Workspace, take_rows
 
 CONTENT = ("digest", "size", "check")
 
@@ -84,27 +84,8 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows that agree in doc_id and text are told apart by nothing, so one of them is taken.
-    """
+    """The rows of ``docs`` that stay, with all their columns."""
     workspace = workspace or Workspace(docs.sparkSession, "exact")
     groups = workspace.stage(exact_groups(docs, workspace), "groups")
-    key = F.struct("_id", "_digest")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(
-        F.struct(*columns).alias("_doc"),
-        F.col("doc_id").alias("_id"),
-        F.sha2(normalised(F.col("text")), 256).alias("_digest"),
-    )
-    names = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")]
-    keep = groups.where("kept").select(*names)
-    repeated = groups.select(*names).groupBy("_id", "_digest").count().where("count > 1").drop("count")
-    same = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & (a["_digest"] == b["_digest"])
-    stay = rows.join(keep, same(rows, keep), "leftsemi")
-    if not repeated.isEmpty():
-        once = stay.join(repeated, same(stay, repeated), "leftanti")
-        more = stay.join(repeated, same(stay, repeated), "leftsemi")
-        more = more.groupBy(key.alias("_key")).agg(F.first("_doc").alias("_doc"))
-        stay = once.select("_doc").unionByName(more.select("_doc"))
-    return stay.select("_doc.*")
+    keep = groups.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"), "kept")
+    return take_rows(docs, keep, F.sha2(normalised(F.col("text")), 256))

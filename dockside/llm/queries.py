@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, packing, sharding
+from . import decontam, exact, langid, near, packing, sharding
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,12 @@ def op8_sharding(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op9_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return near.near_classes(_texts(spark, d)).drop("text_hash")
+
+
 @query
 def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     """Language of every text, learned from the rows outside the held-out fold."""
