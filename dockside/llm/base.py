@@ -55,6 +55,11 @@ def fold(modulus: int) -> Column:
     return F.coalesce(F.pmod(key, F.lit(modulus)), F.lit(-1))
 
 
+def share_below(key: str, share: Column | float, seed: int) -> Column:
+    """Holds for about this share of the rows, chosen by a seeded hash of the key."""
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < share
+
+
 def take_rows(docs: DataFrame, decided: DataFrame, digest: Column) -> DataFrame:
     """The rows of ``docs`` that a decision keeps, with all their columns.
 

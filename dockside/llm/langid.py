@@ -27,6 +27,7 @@ from .base import (
     prefix_hash,
     ragged,
     runs,
+    share_below,
     span_hash,
     text_pieces,
 )
@@ -207,8 +208,8 @@ class Labeller:
 def training_words(docs: DataFrame, languages: dict[str, int]) -> list[tuple[str, bytes]]:
     """A bounded sample of words with their document's language."""
     shares = [x for lang, n in languages.items() for x in (F.lit(lang), F.lit(min(1.0, SAMPLE_DOCS / n)))]
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where(F.col("lang").isin(*languages)).where(draw < F.create_map(*shares)[F.col("lang")])
+    chosen = share_below("doc_id", F.create_map(*shares)[F.col("lang")], 11)
+    sample = docs.where(F.col("lang").isin(*languages)).where(chosen)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, near, packing, sharding
+from . import decontam, exact, langid, near, packing, quality, sharding, toxicity
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,16 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.exact_groups(_texts(spark, d))
 
 
+@query
+def op2_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality of every text, learned from the rows outside the held-out fold."""
+    docs, learn = _texts(spark, d), fold(4) != 2
+    model = quality.fit(docs.where(learn), _table(spark, d, "labels", "doc_id", "quality").where(learn))
+    return quality.score(docs, model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query
 def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
     """Words of each document that lie in a ten-word window of the benchmark."""
@@ -62,6 +72,14 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_texts(spark, d), tokenizer_path())
 
 
+@query
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Expected severity of every text, learned from the rows outside the held-out fold."""
+    docs, learn = _texts(spark, d), fold(4) != 2
+    model = toxicity.fit(docs.where(learn), _table(spark, d, "labels", "doc_id", "toxic").where(learn))
+    return toxicity.severity(docs, model).withColumn("held_out", fold(4) == 2)
+
+
 @query
 def op8_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Whole records in 16 shuffled shards, and where each would be with 17."""
