@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, near, packing, quality, sharding, toxicity
+from . import decontam, exact, langid, near, packing, pii, quality, sharding, toxicity
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,15 @@ def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.severity(docs, model).withColumn("held_out", fold(4) == 2)
 
 
+@query
+def op7_pii(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in every text: the rules' finds, and all with those from contexts."""
+    found = pii.detect(_texts(spark, d))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = (count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS))
+    return found.select("doc_id", *counts, F.sha2("base_text", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op8_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Whole records in 16 shuffled shards, and where each would be with 17."""
