@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, near, packing, pii, quality, sharding, toxicity
+from . import decontam, exact, langid, near, packing, pii, quality, sharding, suffix, toxicity
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,20 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_texts(spark, d), tokenizer_path())
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes in 100-byte strings that also start earlier, removed from every text."""
+    found = suffix.remove_repeats(_texts(spark, d))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     """Expected severity of every text, learned from the rows outside the held-out fold."""

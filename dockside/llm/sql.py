@@ -69,3 +69,32 @@ SELECT d.doc_id,
        CAST(coalesce(longest_match, 0) AS BIGINT) AS longest_match
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
+
+CHECKS["op5_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+),
+windows AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS w FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d WHERE n >= 100)),
+later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS k FROM windows) WHERE k > 1
+),
+steps AS (SELECT doc_id, p, p - lag(p, 1, -1000) OVER (PARTITION BY doc_id ORDER BY p) > 100 AS fresh FROM later),
+numbered AS (SELECT doc_id, p, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM steps),
+spans AS (SELECT doc_id, run, min(p) AS low, max(p) + 100 AS high FROM numbered GROUP BY doc_id, run),
+cuts AS (
+  SELECT doc_id, low, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS begin, high FROM spans
+  UNION ALL
+  SELECT d.doc_id, n, coalesce(max(high), 0), n FROM d LEFT JOIN spans ON spans.doc_id = d.doc_id GROUP BY d.doc_id, n
+),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * begin + 1, 2 * (low - begin)), '' ORDER BY begin) AS rest
+  FROM cuts JOIN d USING (doc_id) GROUP BY doc_id
+),
+sums AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id,
+       CAST(n AS BIGINT) AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(rest)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
