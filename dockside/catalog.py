@@ -28,7 +28,7 @@ from .plans import (
     impact,
     monthly,
 )
-from .schemas import PREFERRED_VENDOR, TRANSIT_PLAN
+from .schemas import PREFERRED_VENDOR, SHIP_CHOICE, TRANSIT_PLAN
 from .sources import (
     read_dim,
     read_fact,
@@ -67,14 +67,19 @@ def _sot(spark: SparkSession, d: str, *columns: str) -> DataFrame:
 
 
 def _ots(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """Cleaned stocked lines."""
-    wanted = _columns(OTS_CLEAN, columns) if columns else None
-    return cleaning.clean_ots(fx.ots(spark, d, wanted, YEAR), PARAMS, YEAR)
+    """Cleaned stocked lines of every year."""
+    return cleaning.clean_ots(fx.ots(spark, d, _columns(OTS_CLEAN, columns)), PARAMS)
+
+
+def _ots_year(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Cleaned stocked lines of the year of the shipped side, for the combined tables."""
+    ots = fx.ots(spark, d, _columns(OTS_CLEAN, columns), YEAR)
+    return cleaning.clean_ots(ots, PARAMS, YEAR)
 
 
 def _sot_extract(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """One year of shipped lines, not cleaned: what the notebook starts from."""
-    return fx.sot(spark, d, _columns(SOT_CLEAN, columns), YEAR).where(F.col("FISCAL_YEAR") == YEAR)
+    """Shipped lines, not cleaned: what the notebook starts from."""
+    return fx.sot(spark, d, _columns(SOT_CLEAN, columns))
 
 
 def _sot_n(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -82,8 +87,8 @@ def _sot_n(spark: SparkSession, d: str, *columns: str) -> DataFrame:
 
 
 def _ots_n(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    ots = fx.ots(spark, d, _columns(OTS_CLEAN, columns), YEAR)
-    return cleaning.clean_ots(ots, PARAMS, YEAR, "notebook")
+    ots = fx.ots(spark, d, _columns(OTS_CLEAN, columns))
+    return cleaning.clean_ots(ots, PARAMS, profile="notebook")
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -176,14 +181,27 @@ def s11_tee(spark, d):
 
 @query
 def s12_book(spark, d):
-    """Two tables under one folder; the second is read back."""
+    """Two tables under one folder, both read back."""
     tables = {
         "Late lines": r70_late_brand_lines(spark, d),
         "By route": r71_late_brand_routes(spark, d),
     }
     paths = write_book(tables, scratch_path(spark, "brand_book"))
-    routes = tables["By route"]
-    return spark.read.option("header", True).schema(routes.schema).csv(paths["By route"])
+    back = [
+        spark.read.option("header", True).schema(table.schema).csv(paths[name]).select(
+            F.lit(name).alias("table"), *choice.ROUTE, F.col(units).alias("units")
+        )
+        for (name, table), units in zip(tables.items(), ("Units", "vendor_units"), strict=True)
+    ]
+    return ops.stack(*back)
+
+
+@query
+def s06_rule_table(spark, d):
+    """The shipping-choice rules through a file, and the units they cover."""
+    rules = read_dim(spark, _delimited(fx.ship_choice(spark, d), "rules", ","), SHIP_CHOICE)
+    units = _sot(spark, d, *ROUTES).groupBy(*choice.ROUTE).agg(F.sum("Units").alias("units"))
+    return ops.enrich(rules, units, {k: k for k in choice.ROUTE})
 
 
 # ---- single operators that no report shows alone ----
@@ -210,7 +228,64 @@ def p14_sixth_vendor(spark, d):
 
 @query
 def p15_random_rows(spark, d):
-    return ops.peek(r05_sot_brand_category(spark, d), 10, seed=7)
+    keys = ("ShipCancelMonth", "ReportingBrand", "Category")
+    return ops.peek(r05_sot_brand_category(spark, d), keys, 10, seed=7)
+
+
+# Measures over lines with fractional and missing values, by vendor, year and month.
+ROUGH_KEYS = ("Parent_Vendor", "FISCAL_YEAR", "ShipCancelMonth")
+ROUGH = (*ROUGH_KEYS, "Units", "Lateness", "DAYS_LATE", "SHP_MODE_CATG_NM")
+
+
+def _modes(nulls: str) -> Query:
+    def run(spark, d):
+        sums = {
+            "on_time": ops.cond_sum("Units", ops.ON_TIME, nulls),
+            "late": ops.cond_sum("Units", ops.LATE, nulls),
+            "all_units": ops.plain_sum("Units") if nulls == "strict" else ops.cond_sum("Units", "true", nulls),
+        }
+        return ops.measures_by(fx.sot_rough(spark, d, ROUGH), ROUGH_KEYS, sums)
+
+    return run
+
+
+QUERIES["a01_strict_sums"] = _modes("strict")
+QUERIES["a02_lenient_sums"] = _modes("lenient")
+QUERIES["a03_subset_sums"] = _modes("subset")
+
+
+@query
+def a04_mixed_impact(spark, d):
+    """On-time units skip every null; measured units do not skip missing units."""
+    sums = {
+        "on_time": ops.cond_sum("Units", ops.ON_TIME, "lenient"),
+        "measured": ops.cond_sum("Units", "Lateness <> 'Unmeasured'", "subset"),
+    }
+    return ops.measures_by(fx.sot_rough(spark, d, ROUGH), ROUGH_KEYS, sums)
+
+
+@query
+def x01_floor(spark, d):
+    """Floored totals of fractional units."""
+    lines = fx.sot_rough(spark, d, ROUGH).where("Units IS NOT NULL AND Lateness IS NOT NULL")
+    return ops.finish(ops.measures_by(lines, ("ShipCancelMonth",), ops.sot_sums()), ops.SOT_NAMES)
+
+
+@query
+def m05_weighted(spark, d):
+    """All shipped measures, lenient: unit-days only count late rows with at least one day."""
+    lines = fx.sot_rough(spark, d, ROUGH)
+    sums = {n: c for n, c in ops.sot_sums("lenient").items() if n != "SOTUnits"}
+    return ops.finish(ops.measures_by(lines, ROUGH_KEYS, sums), sums)
+
+
+@query
+def j06_any_status(spark, d):
+    """The cross-table over lines with a status outside the usual ones."""
+    shipped = fx.sot_rough(spark, d, ("NUMBER_SEQ", "Lateness"))
+    return monthly.stocked_vs_shipped(
+        _ots(spark, d, "NUMBER_SEQ", "Month_Number", "Lateness", "Units"), shipped
+    )
 
 
 @query
@@ -389,7 +464,7 @@ def r14_ots_preferred(spark, d):
 def _level_combined(level: str, *extra: str) -> Query:
     def run(spark, d):
         return monthly.level_combined(
-            _sot(spark, d, *SOT_MEASURED, *extra), _ots(spark, d, *OTS_MEASURED, *extra), level
+            _sot(spark, d, *SOT_MEASURED, *extra), _ots_year(spark, d, *OTS_MEASURED, *extra), level
         )
 
     return run
@@ -427,7 +502,7 @@ QUERIES["r18n_company_combined"] = _level_combined_n("company")
 def r19_preferred_combined(spark, d):
     return monthly.preferred_combined(
         _sot(spark, d, *SOT_MEASURED, "Category"),
-        _ots(spark, d, *OTS_MEASURED, "Category"),
+        _ots_year(spark, d, *OTS_MEASURED, "Category"),
         fx.preferred_vendor(spark, d),
     )
 
@@ -459,7 +534,7 @@ def r20n_ots_by_centre(spark, d):
 @query
 def r21_country_sot(spark, d):
     sot = _sot(spark, d, *SOT_MEASURED, "CountryOfOrigin")
-    return monthly.listed_sot(sot, r03_top_countries(spark, d), "CountryOfOrigin")
+    return monthly.country_sot(sot, fx.country(spark, d))
 
 
 @query
@@ -473,8 +548,8 @@ def r22_country_ots(spark, d):
 def r23_country_combined(spark, d):
     return monthly.country_combined(
         _sot(spark, d, *SOT_MEASURED, "CountryOfOrigin"),
-        _ots(spark, d, *OTS_MEASURED, "ORIGIN_COUNTRY_CODE"),
-        r03_top_countries(spark, d),
+        _ots_year(spark, d, *OTS_MEASURED, "ORIGIN_COUNTRY_CODE"),
+        fx.country(spark, d),
     )
 
 
@@ -483,15 +558,15 @@ def r23n_country_combined(spark, d):
     return monthly.country_combined(
         _sot_n(spark, d, *SOT_MEASURED, "CountryOfOrigin"),
         _ots_n(spark, d, *OTS_MEASURED, "ORIGIN_COUNTRY_CODE"),
-        r03n_top_countries(spark, d),
+        fx.country(spark, d),
         "notebook",
+        _sot_extract(spark, d, "ShipCancelMonth", "CountryOfOrigin", "Units"),
     )
 
 
 @query
 def r24_vendor_sot(spark, d):
-    sot = _sot(spark, d, *SOT_MEASURED)
-    return monthly.listed_sot(sot, r04_top_vendors(spark, d), "Parent_Vendor")
+    return monthly.vendor_sot(_sot(spark, d, *SOT_MEASURED))
 
 
 @query
@@ -503,7 +578,7 @@ def r25_vendor_ots(spark, d):
 @query
 def r26_vendor_combined(spark, d):
     return monthly.vendor_combined(
-        _sot(spark, d, *SOT_MEASURED), _ots(spark, d, *OTS_MEASURED), r04_top_vendors(spark, d)
+        _sot(spark, d, *SOT_MEASURED), _ots_year(spark, d, *OTS_MEASURED)
     )
 
 
@@ -512,15 +587,15 @@ def r26n_vendor_combined(spark, d):
     return monthly.vendor_combined(
         _sot_n(spark, d, *SOT_MEASURED),
         _ots_n(spark, d, *OTS_MEASURED),
-        r04n_top_vendors(spark, d),
         "notebook",
+        _sot_extract(spark, d, "ShipCancelMonth", "Units"),
     )
 
 
 @query
 def r27_stocked_vs_shipped(spark, d):
     return monthly.stocked_vs_shipped(
-        _ots(spark, d, "NUMBER_SEQ", "Month_Number", "Lateness", "Units"),
+        _ots_year(spark, d, "NUMBER_SEQ", "Month_Number", "Lateness", "Units"),
         _sot(spark, d, "NUMBER_SEQ", "Lateness"),
     )
 
@@ -751,9 +826,7 @@ def r60_leading_vendors(spark, d):
 
 
 def _vendor_impact(spark: SparkSession, d: str, span: str) -> DataFrame:
-    table = impact.vendor_impact(
-        _classified(spark, d), r60_leading_vendors(spark, d), PARAMS, span
-    )
+    table = impact.vendor_impact(_classified(spark, d), PARAMS, span)
     return _rounded(table, *ops.IMPACT_COLUMNS)
 
 
@@ -805,23 +878,22 @@ def r66_sub_reason_spread(spark, d):
 # ---- ship choice ----
 
 ROUTES = (*choice.ROUTE, "Contract_Ship_Cancel", "SHP_RSN_TYP_DESC", "Lateness", "Units")
-ROUTE_LINES = ("ReportingBrand", *ROUTES)
 
 
 def _routed(spark: SparkSession, d: str) -> DataFrame:
-    return choice.routed_units(fx.sot(spark, d, ROUTE_LINES), fx.ship_choice(spark, d))
+    return choice.routed_units(_sot(spark, d, *ROUTES), fx.ship_choice(spark, d))
 
 
 @query
 def r67_choice_base(spark, d):
-    return choice.choice_base(fx.sot(spark, d, ROUTE_LINES), fx.ship_choice(spark, d))
+    return choice.choice_base(_sot(spark, d, *ROUTES), fx.ship_choice(spark, d))
 
 
 @query
 def f15_first_choice_units(spark, d):
     """Units by route, first choices only."""
     rules = choice.first_choice(fx.ship_choice(spark, d))
-    units = fx.sot(spark, d, ROUTE_LINES).groupBy(*choice.ROUTE).agg(F.sum("Units").alias("units"))
+    units = _sot(spark, d, *ROUTES).groupBy(*choice.ROUTE).agg(F.sum("Units").alias("units"))
     return ops.restrict(units, rules, {k: k for k in choice.ROUTE})
 
 

@@ -95,11 +95,12 @@ _BOTH = (
 
 _PARTS = dict(check_ctes())
 _PARTS |= {
-    "sot_year": f"SELECT * FROM sot WHERE FISCAL_YEAR = {YEAR}",
-    "sot_n": f"SELECT * FROM ({_SOT_N}) WHERE FISCAL_YEAR = {YEAR}",
-    "ots_n": f"SELECT * FROM ({_OTS_N}) WHERE FISCAL_YEAR = {YEAR}",
-    "sot_c": f"SELECT * FROM sot_n WHERE {_NO_FRANCHISE}",
+    "sot_n": _SOT_N,
+    "ots_n": _OTS_N,
+    "sot_c": f"SELECT * FROM sot_n WHERE FISCAL_YEAR = {YEAR} AND {_NO_FRANCHISE}",
     "ots_c": f"SELECT * FROM ots_n WHERE DC_NAME IS NOT NULL AND {_NO_FRANCHISE}",
+    # The combined tables compare with one shipped year.
+    "ots_y": f"SELECT * FROM ots_c WHERE FISCAL_YEAR = {YEAR}",
 }
 
 
@@ -120,9 +121,9 @@ def _vendor_list(fact: str) -> str:
 
 _PARTS |= {
     "top_country": _country_list("sot_c"),
-    "top_country_n": _country_list("sot_year"),
+    "top_country_n": _country_list("sot"),
     "top_vendor": _vendor_list("sot_c"),
-    "top_vendor_n": _vendor_list("sot_year"),
+    "top_vendor_n": _vendor_list("sot"),
 }
 
 _LATE_FOB = "Lateness = 'Late' AND SALES_TERMS_CODE = 'FOB' AND SHIP_MODE_CD = 'O'"
@@ -202,7 +203,7 @@ _PARTS["choices"] = (
     "WHEN g.SHP_RSN_TYP_DESC = '-' THEN '' END AS delay_label "
     "FROM ship_choice r LEFT JOIN (SELECT ReportingBrand, Contract_Ship_Cancel, SHIP_MODE_CD, "
     "Trade_Lane_Type, SALES_TERMS_CODE, ShipDateChoice, SHP_RSN_TYP_DESC, Lateness, "
-    "sum(Units) AS vendor_units FROM sot GROUP BY ALL) g "
+    "sum(Units) AS vendor_units FROM sot_c GROUP BY ALL) g "
     "ON r.SHIP_MODE_CD = g.SHIP_MODE_CD AND r.Trade_Lane_Type = g.Trade_Lane_Type "
     "AND r.SALES_TERMS_CODE = g.SALES_TERMS_CODE AND r.ShipDateChoice = g.ShipDateChoice"
 )
@@ -313,7 +314,7 @@ for _number, (_level, _keys) in enumerate(_LEVELS.items()):
     check(f"r{5 + _number:02d}_sot_{_level}", _sot_by(_keys))
     check(f"r{9 + _number:02d}_ots_{_level}", _ots_by(_keys, unfloored=_total))
     for _tag, _sot, _ots, _skip in (
-        ("", "sot_c", "ots_c", ()),
+        ("", "sot_c", "ots_y", ()),
         ("n", "sot_n", "ots_n", ("PPAOTSUnits",)),
     ):
         _lead = f"ShipCancelMonth, {_keys}" if _keys else "ShipCancelMonth"
@@ -355,6 +356,56 @@ check(
     ),
 )
 
+# ---- measures of fractional and missing values ----
+
+_ROUGH_KEYS = "Parent_Vendor, FISCAL_YEAR, ShipCancelMonth"
+_EXACT = "CAST(Units AS DECIMAL(18, 4))"
+
+
+def _mode(cond: str, nulls: str) -> str:
+    total = f"CAST({_sum(cond, _EXACT)} AS DOUBLE)"
+    bad = {
+        "lenient": "false",
+        "strict": f"({cond}) IS NULL OR (({cond}) AND Units IS NULL)",
+        "subset": f"coalesce({cond}, false) AND Units IS NULL",
+    }[nulls]
+    return f"CASE WHEN coalesce(bool_or({bad}), false) THEN NULL ELSE {total} END"
+
+
+for _name, _nulls in (("a01_strict", "strict"), ("a02_lenient", "lenient"), ("a03_subset", "subset")):
+    check(
+        f"{_name}_sums",
+        f"SELECT {_ROUGH_KEYS}, {_mode(_ON_TIME, _nulls)} AS on_time, {_mode(_LATE, _nulls)} AS late, "
+        f"{_mode('true', _nulls)} AS all_units FROM sot_rough GROUP BY ALL",
+    )
+check(
+    "a04_mixed_impact",
+    f"SELECT {_ROUGH_KEYS}, {_mode(_ON_TIME, 'lenient')} AS on_time, "
+    f"""{_mode("Lateness <> 'Unmeasured'", 'subset')} AS measured FROM sot_rough GROUP BY ALL""",
+)
+_exact_raw = {n: e.replace("Units", _EXACT) for n, e in _sot_raw().items()}
+check(
+    "x01_floor",
+    f"SELECT ShipCancelMonth, {_measures(_exact_raw)} FROM sot_rough "
+    "WHERE Units IS NOT NULL AND Lateness IS NOT NULL GROUP BY 1",
+)
+check(
+    "m05_weighted",
+    f"SELECT {_ROUGH_KEYS}, {_measures(_exact_raw, skip=('SOTUnits',))} FROM sot_rough GROUP BY ALL",
+)
+check(
+    "j06_any_status",
+    "SELECT o.Month_Number, o.Lateness AS StockedOnTime, s.Lateness AS ShippedOnTime, "
+    f"{_floor('sum(o.Units)')} AS SumOfUnits FROM ots_c o JOIN sot_rough s "
+    "ON o.NUMBER_SEQ = s.NUMBER_SEQ WHERE o.Lateness <> 'Undetermined' "
+    "AND s.Lateness <> 'Unmeasured' GROUP BY 1, 2, 3",
+)
+check(
+    "p15_random_rows",
+    f"SELECT * FROM ({_sot_by('ReportingBrand, Category')}) ORDER BY "
+    "md5(concat_ws('|', '7', ShipCancelMonth, ReportingBrand, Category)) LIMIT 10",
+)
+
 # ---- preferred vendors ----
 
 _PREFERRED = "ON Category = new_category AND Parent_Vendor = vendor_name"
@@ -376,7 +427,7 @@ check(
     "AND Parent_Vendor = vendor_name) GROUP BY 1, 2, 3",
 )
 for _tag, _sot, _ots, _skip in (
-    ("", "sot_c", "ots_c", ()),
+    ("", "sot_c", "ots_y", ()),
     ("n", "sot_n", "ots_n", ("PPAOTSUnits",)),
 ):
     check(
@@ -394,7 +445,7 @@ check(
     "SELECT a.Category, a.Parent_Vendor, a.ShipCancelMonth, "
     + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _zeroed)
     + f" FROM ({_preferred('sot_c', _sot_raw(), 'ShipCancelMonth')}) a "
-    f"LEFT JOIN ({_preferred('ots_c', _ots_raw(), 'Month_Number')}) b "
+    f"LEFT JOIN ({_preferred('ots_y', _ots_raw(), 'Month_Number')}) b "
     "ON a.Category = b.Category AND a.Parent_Vendor = b.Parent_Vendor "
     "AND a.ShipCancelMonth = b.Month_Number",
 )
@@ -440,7 +491,7 @@ check(
 check("r24_vendor_sot", _listed_sot("top_vendor", "Parent_Vendor", "sot_c"))
 check("r25_vendor_ots", _listed_ots("top_vendor", "Parent_Vendor", "Parent_Vendor", "ots_c"))
 for _tag, _sot, _ots, _skip in (
-    ("", "sot_c", "ots_c", ()),
+    ("", "sot_c", "ots_y", ()),
     ("n", "sot_n", "ots_n", ("PPAOTSUnits",)),
 ):
     _suffix = "_n" if _tag else ""
@@ -458,7 +509,7 @@ for _tag, _sot, _ots, _skip in (
 check(
     "r27_stocked_vs_shipped",
     "SELECT o.Month_Number, o.Lateness AS StockedOnTime, s.Lateness AS ShippedOnTime, "
-    f"{_floor('sum(o.Units)')} AS SumOfUnits FROM ots_c o JOIN sot_c s "
+    f"{_floor('sum(o.Units)')} AS SumOfUnits FROM ots_y o JOIN sot_c s "
     "ON o.NUMBER_SEQ = s.NUMBER_SEQ WHERE o.Lateness <> 'Undetermined' "
     "AND s.Lateness <> 'Unmeasured' GROUP BY 1, 2, 3",
 )
@@ -752,7 +803,7 @@ check("r67_choice_base", "SELECT * FROM choices")
 check(
     "f15_first_choice_units",
     "SELECT g.*, Ship_Choice_Status FROM (SELECT SHIP_MODE_CD, Trade_Lane_Type, "
-    "SALES_TERMS_CODE, ShipDateChoice, sum(Units) AS units FROM sot GROUP BY ALL) g "
+    "SALES_TERMS_CODE, ShipDateChoice, sum(Units) AS units FROM sot_c GROUP BY ALL) g "
     "JOIN ship_choice USING (SHIP_MODE_CD, Trade_Lane_Type, SALES_TERMS_CODE, ShipDateChoice) "
     "WHERE Ship_Choice_Status = 1",
 )
@@ -791,7 +842,17 @@ check(
     "SELECT ReportingBrand, SHIP_MODE_CD, Trade_Lane_Type, SALES_TERMS_CODE, ShipDateChoice, "
     f"sum(Units) AS vendor_units FROM sot_c WHERE {_LATE_BRAND} GROUP BY ALL",
 )
-CHECKS["s12_book"] = CHECKS["r71_late_brand_routes"]
+_ROUTE = "SHIP_MODE_CD, Trade_Lane_Type, SALES_TERMS_CODE, ShipDateChoice"
+check(
+    "s12_book",
+    f"SELECT 'Late lines' AS \"table\", {_ROUTE}, Units AS units FROM sot_c WHERE {_LATE_BRAND} "
+    f"UNION ALL SELECT 'By route', {_ROUTE}, sum(Units) FROM sot_c WHERE {_LATE_BRAND} GROUP BY ALL",
+)
+check(
+    "s06_rule_table",
+    f"SELECT r.*, units FROM ship_choice r LEFT JOIN (SELECT {_ROUTE}, sum(Units) AS units "
+    f"FROM sot_c GROUP BY ALL) USING ({_ROUTE})",
+)
 
 # ---- detail ----
 

@@ -118,6 +118,15 @@ SOT = {
     f"ELSE {SHIPPED} + CAST(l_linenumber % 4 AS INT) END",
 }
 
+# The same lines with what real extracts hold: fractional and missing units, unknown and
+# missing status, late lines without a day.  It tells the null modes apart.
+SOT_ROUGH = SOT | {
+    "Units": "CASE WHEN l_linenumber = 4 AND l_partkey % 10 = 3 THEN NULL ELSE l_quantity * 0.35 END",
+    "Lateness": f"CASE WHEN l_orderkey % 29 = 0 THEN NULL WHEN l_orderkey % 31 = 0 "
+    f"THEN 'Unmeasurable' ELSE {SOT['Lateness']} END",
+    "DAYS_LATE": f"CASE WHEN l_orderkey % 17 = 0 THEN 0 ELSE {SOT['DAYS_LATE']} END",
+}
+
 OTS = {
     "NUMBER_SEQ": LINE_ID,
     "Data_Pulled": "DATE '2001-06-30'",
@@ -266,6 +275,13 @@ def sot(
     return _view(spark, sf_dir, SOT, columns, lines)
 
 
+def sot_rough(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
+) -> DataFrame:
+    """Shipped lines with fractional and missing values."""
+    return _view(spark, sf_dir, SOT_ROUGH, columns, table(spark, sf_dir, "lineitem"))
+
+
 def ots(
     spark: SparkSession,
     sf_dir: str,
@@ -346,6 +362,7 @@ def check_ctes() -> dict[str, str]:
     plain = {"nation": "nation", "supplier": "supplier", "region": "region"}
     return {
         "sot": f"SELECT {body(SOT)} FROM {joined}",
+        "sot_rough": f"SELECT {body(SOT_ROUGH)} FROM {joined}",
         "ots": f"SELECT {body(OTS)} FROM {joined} "
         f"LEFT JOIN {DC_MAP} ON c_nationkey % 20 = idx WHERE {OTS_ROWS}",
         "country": COUNTRY.format(**plain),

@@ -39,11 +39,20 @@ OTS_NAMES = (
 OTS_ORDER = ("on_time", "late", "late5", "weighted", "air_late", "air")
 
 
+def fixed_sum(value: str, cond: str | None = None) -> str:
+    """SQL text of a sum in ten-thousandths, as a double; zero on no rows.
+
+    Whole numbers are added, so the result does not depend on the order or the number
+    of partitions, and a total that is whole in exact arithmetic is whole here.
+    """
+    within = f" FILTER (WHERE {cond})" if cond else ""
+    total = f"sum(CAST(rint(({value}) * 10000) AS BIGINT)){within}"
+    return f"(CAST(coalesce({total}, 0) AS DOUBLE) / 10000)"
+
+
 def plain_sum(value: str) -> Column:
     """Sum that is null when any value is null, and zero on no rows."""
-    return F.expr(
-        f"CASE WHEN count_if(({value}) IS NULL) = 0 THEN coalesce(sum({value}), 0) END"
-    )
+    return F.expr(f"CASE WHEN count_if(({value}) IS NULL) = 0 THEN {fixed_sum(value)} END")
 
 
 def cond_sum(value: str, cond: str, nulls: str = "lenient") -> Column:
@@ -53,7 +62,7 @@ def cond_sum(value: str, cond: str, nulls: str = "lenient") -> Column:
     gives null if a condition, or a selected value, is null.  ``subset`` skips null
     conditions but gives null if a selected value is null.
     """
-    total = f"coalesce(sum({value}) FILTER (WHERE {cond}), 0)"
+    total = fixed_sum(value, cond)
     if nulls == "lenient":
         return F.expr(total)
     if nulls == "strict":
@@ -126,16 +135,17 @@ def on_time_ratio(nulls: str = "lenient", within: str = "true") -> Column:
     )
 
 
-def impact_sums() -> Sums:
+def impact_sums(within: str = "true") -> Sums:
     """Raw numerators and the shared denominator of the impact shares."""
     vendor = "probable_failure = 'Vendor'"
-    return {
-        "on_time": cond_sum("Units", ON_TIME, "lenient"),
-        "transport": cond_sum("Units", "probable_failure = 'Transportation'", "subset"),
-        "vendor_air": cond_sum("Units", f"{vendor} AND SHIP_MODE_CD = 'A'", "subset"),
-        "vendor_other": cond_sum("Units", f"{vendor} AND SHIP_MODE_CD <> 'A'", "subset"),
-        "measured": cond_sum("Units", "Lateness <> 'Unmeasured'", "subset"),
+    conditions = {
+        "on_time": (ON_TIME, "lenient"),
+        "transport": ("probable_failure = 'Transportation'", "subset"),
+        "vendor_air": (f"{vendor} AND SHIP_MODE_CD = 'A'", "subset"),
+        "vendor_other": (f"{vendor} AND SHIP_MODE_CD <> 'A'", "subset"),
+        "measured": ("Lateness <> 'Unmeasured'", "subset"),
     }
+    return {n: cond_sum("Units", f"{within} AND {c}", nulls) for n, (c, nulls) in conditions.items()}
 
 
 IMPACT_COLUMNS = (
@@ -150,11 +160,11 @@ IMPACT_COLUMNS = (
 
 
 def impact_measures(
-    df: DataFrame, keys: Sequence[str] = (), extra: Sums | None = None
+    df: DataFrame, keys: Sequence[str] = (), extra: Sums | None = None, within: str = "true"
 ) -> DataFrame:
-    """Impact shares by ``keys``; the five shares add up to one by construction."""
+    """Impact shares by ``keys`` over the rows ``within``; the five add up to one by construction."""
     target = 0.95  # fixed value: the on-time goal
-    sums = impact_sums() | (extra or {})
+    sums = impact_sums(within) | (extra or {})
     agg = measures_by(df, keys, sums)
     shares = {
         "sot_pct": "on_time",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +56,10 @@ def nth_level(df: DataFrame, col: str, n: int) -> DataFrame:
     return domain_of(df, col).offset(n - 1).limit(1)
 
 
-def peek(df: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:
-    """A random sample of ``n`` rows for inspection."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def peek(df: DataFrame, keys: Sequence[str], n: int = 10, seed: int = 0) -> DataFrame:
+    """A sample of ``n`` rows for inspection, in the order of seeded digests of the keys.
+
+    The same seed gives the same rows however the table is partitioned.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
+    return df.orderBy(digest, *(F.col(k).asc_nulls_last() for k in keys)).limit(n)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     IMPACT_COLUMNS,
-    combine,
+    cond_sum,
     domain_frame,
     impact_measures,
     nulls_to_text,
@@ -62,14 +62,25 @@ def leading_vendors(classified: DataFrame, params: ReportParams, n: int = 15) ->
 
 
 def vendor_impact(
-    classified: DataFrame, vendors: DataFrame, params: ReportParams, span: str
+    classified: DataFrame, params: ReportParams, span: str, n: int = 15
 ) -> DataFrame:
-    """Impact of the leading vendors; categories without one keep an empty row."""
-    keys = ("Parent_Vendor", "Category")
-    table = impact_measures(
-        classified.where(_span(params, span)), keys, {"units": plain_sum("Units")}
-    ).withColumn("blank", F.lit(""))
-    led = combine(vendors.select(*keys), table, {k: k for k in keys})
+    """Impact of the leading vendors; categories without one keep an empty row.
+
+    One aggregate gives both the year's units, which decide who leads, and the measures
+    of the span.
+    """
+    keys = ("Category", "Parent_Vendor")
+    rows = classified.withColumns({"in_year": _span(params, "year"), "in_span": _span(params, span)})
+    year = F.expr("count_if(in_year) > 0")
+    own = {
+        "total_units": F.when(year, cond_sum("Units", "in_year", "subset")),
+        "lines": F.expr("count_if(in_span)"),
+        "units": cond_sum("Units", "in_span", "subset"),
+    }
+    table = impact_measures(rows.where("in_year OR in_span"), keys, own, within="in_span")
+    seen = F.col("lines") > 0  # a leader without a line in the span has no measures
+    table = table.withColumns({c: F.when(seen, F.col(c)) for c in ("units", *IMPACT_COLUMNS)})
+    led = top_n(table, n, "total_units", ("Category",)).withColumn("blank", F.when(seen, ""))
     spine = domain_frame(classified.sparkSession, domains.CATEGORIES, "Category")
     return on_spine(led, spine, "Category").select(
         "Category", "Parent_Vendor", "blank", "units", *IMPACT_COLUMNS

@@ -1,18 +1,19 @@
 """Whole report runs: from the extracts to the written files.
 
 Inputs are the raw facts, read by :func:`dockside.sources.read_fact`.  Tables that
-several reports share are written once to the scratch folder and read back.
+several reports share are written once to a scratch folder of the run and read back; the
+folder is gone when the run ends.  File and table names are fixed values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import (
-    OTS_NAMES,
     SOT_NAMES,
     finish,
     measures_by,
@@ -23,119 +24,151 @@ from ..operators import (
     sot_sums,
 )
 from ..params import ReportParams
-from ..sources import stage, tee, with_headings, write_book, write_report
-from . import choice, dashboard, detail, failure, impact, monthly
+from ..sources import run_folder, stage, tee, with_headings, write_book, write_report, write_snapshot
+from . import choice, dashboard, delays, detail, failure, impact, monthly
 from .cleaning import clean_ots, clean_sot
 
 
 @dataclass(frozen=True)
 class Facts:
-    """Cleaned facts and the parameters with the snapshot date filled in."""
+    """Cleaned facts, the shipped lines before cleaning, and the parameters with the
+    snapshot date filled in."""
 
     sot: DataFrame
     ots: DataFrame
     params: ReportParams
+    extract: DataFrame
+    profile: str = "script"
 
 
 def prepare(
-    sot: DataFrame, ots: DataFrame, params: ReportParams, fiscal_year: int | None = None
+    sot: DataFrame,
+    ots: DataFrame,
+    params: ReportParams,
+    fiscal_year: int | None = None,
+    profile: str = "script",
+    save_to: str | None = None,
 ) -> Facts:
-    """Clean both facts; the snapshot date is looked up once, if it is not given."""
+    """Clean both facts; the snapshot date is looked up once, if it is not given.
+
+    With ``save_to``, both extracts are first saved there as snapshots, and the reports
+    read those.  ``fiscal_year`` cuts a stocked extract of several years.
+    """
+    if save_to:
+        sot = write_snapshot(sot, f"{save_to}/SOT_Master")
+        # A stocked extract of one year may lack the year.
+        by = ("FISCAL_YEAR",) if "FISCAL_YEAR" in ots.columns else ()
+        ots = write_snapshot(ots, f"{save_to}/OTS_Master", by)
     if params.snapshot is None:
         params = replace(params, snapshot=read_snapshot_date(sot))
-    return Facts(clean_sot(sot, params), clean_ots(ots, params, fiscal_year), params)
+    return Facts(
+        clean_sot(sot, params, profile), clean_ots(ots, params, fiscal_year, profile), params, sot, profile
+    )
 
 
 def _sot_level(base: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return finish(roll_up(base, ("ShipCancelMonth", *keys), SOT_NAMES), SOT_NAMES)
 
 
-def _ots_level(
-    base: DataFrame, keys: tuple[str, ...], keep: tuple[str, ...] = ()
-) -> DataFrame:
-    return finish(roll_up(base, ("Month_Number", *keys), OTS_NAMES), OTS_NAMES, keep)
+@dataclass(frozen=True)
+class Table:
+    """A table of a run: its order in the file, and whether its size is bounded by months,
+    brands, categories or centres."""
+
+    rows: DataFrame
+    order: Sequence[str] = ()
+    bounded: bool = True
 
 
 def weekly_tables(
-    facts: Facts, vendors: DataFrame, country: DataFrame
-) -> dict[str, tuple[DataFrame, bool]]:
-    """The eleven tables of the weekly run, each with whether its size is bounded.
+    facts: Facts, vendors: DataFrame, country: DataFrame, folder: str
+) -> dict[str, Table]:
+    """The tables of the weekly run.
 
-    Both facts are summed once by month, brand, category, vendor and country.  All
-    combined tables and both lists come from these sums; only the centre table, the
-    cross-table and the two rankings read the facts again.
+    Both facts are summed once by month, brand, category, vendor and country.  The combined
+    tables, both lists and both rankings come from these sums; only the centre table and
+    the cross-table read the facts again.  The notebook run has no cross-table.
     """
+    notebook = facts.profile == "notebook"
+    stocked_sums = ots_sums(air_total=not notebook)
+    ots_names = tuple(stocked_sums)
     sot_base = stage(
         measures_by(
             facts.sot,
             ("ShipCancelMonth", "ReportingBrand", "Category", "Parent_Vendor", "CountryOfOrigin"),
-            sot_sums(),
+            sot_sums() | ({} if notebook else monthly.lenient_sums()),
         ),
         "sot_base",
+        f"{folder}/sot_base",
     )
     ots_base = stage(
         measures_by(
             facts.ots,
             ("Month_Number", "ReportingBrand", "Category", "Parent_Vendor", "ORIGIN_COUNTRY_CODE"),
-            ots_sums(),
+            stocked_sums,
         ),
         "ots_base",
+        f"{folder}/ots_base",
     )
-    units = sot_base.withColumn("Units", F.col("SOTUnits"))
-    countries = stage(monthly.top_countries(units, country), "countries")
-    leaders = stage(monthly.top_vendors(units), "vendors")
+    # The notebook draws its lists from lines before cleaning.
+    units = facts.extract if notebook else sot_base.withColumn("Units", F.col("SOTUnits"))
+    countries = stage(monthly.top_countries(units, country), "countries", f"{folder}/countries")
+    leaders = stage(monthly.top_vendors(units), "vendors", f"{folder}/vendors")
     unfloored = ("OTSUnits",)
 
-    def level(name: str) -> DataFrame:
+    def ots_level(base: DataFrame, keys: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
+        return finish(roll_up(base, ("Month_Number", *keys), ots_names), ots_names, keep)
+
+    def level(name: str) -> Table:
         keys = monthly.LEVELS[name]
         keep = unfloored if name == "company" else ()
-        return monthly.combined(_sot_level(sot_base, keys), _ots_level(ots_base, keys, keep), keys)
+        rows = monthly.combined(_sot_level(sot_base, keys), ots_level(ots_base, keys, keep), keys)
+        return Table(rows, ("ShipCancelMonth", *keys))
 
-    def listed(chosen: DataFrame, key: str, ots_key: str, how: str) -> DataFrame:
+    def listed(chosen: DataFrame, key: str, ots_key: str, how: str) -> Table:
         shipped = restrict(sot_base, chosen, {key: key}, dedupe=True)
         stocked = restrict(ots_base, chosen, {ots_key: key}, dedupe=True)
-        return monthly.combined(
-            _sot_level(shipped, ()), _ots_level(stocked, (), unfloored), (), how
-        )
+        rows = monthly.combined(_sot_level(shipped, ()), ots_level(stocked, (), unfloored), (), how)
+        return Table(rows, ("ShipCancelMonth",))
 
     vendor_keys = ("Category", "Parent_Vendor")
+
+    def copies(base: DataFrame, month: str, names: Sequence[str]) -> DataFrame:
+        rolled = roll_up(base, (*vendor_keys, month), names)
+        return finish(monthly.listed_copies(rolled, vendors, names), names)
+
     preferred = monthly.combined(
-        finish(
-            monthly.listed_copies(
-                roll_up(sot_base, (*vendor_keys, "ShipCancelMonth"), SOT_NAMES), vendors, SOT_NAMES
-            ),
-            SOT_NAMES,
-        ),
-        finish(
-            monthly.listed_copies(
-                roll_up(ots_base, (*vendor_keys, "Month_Number"), OTS_NAMES), vendors, OTS_NAMES
-            ),
-            OTS_NAMES,
-        ),
+        copies(sot_base, "ShipCancelMonth", SOT_NAMES),
+        copies(ots_base, "Month_Number", ots_names),
         (*vendor_keys, "ShipCancelMonth"),
-    ).orderBy("ShipCancelMonth", "Category", "Parent_Vendor")
-    return {
-        "Monthly_Brand_Category_Combine": (level("brand_category"), True),
-        "Monthly_Brand_Combine": (level("brand"), True),
-        "Monthly_Category_Combine": (level("category"), True),
-        "Monthly_Company_Combine": (level("company"), True),
-        "Preferred_Vendor_New_Combine": (preferred, False),
-        "Monthly_by_DC": (monthly.ots_by_centre(facts.ots), True),
-        "Monthly_Top_20_Countries": (
-            listed(countries, "CountryOfOrigin", "ORIGIN_COUNTRY_CODE", "inner"),
-            True,
-        ),
-        "Monthly_Top_50_Vendors": (
-            listed(leaders, "Parent_Vendor", "Parent_Vendor", "left"),
-            True,
+    ).orderBy(*(F.col(c).asc_nulls_last() for c in ("ShipCancelMonth", *vendor_keys)))
+
+    def ranking(key: str) -> Table:
+        return Table(monthly.delays_of_sums(sot_base, key, profile=facts.profile), bounded=False)
+
+    tables = {
+        "Monthly_Brand_Category_Combine": level("brand_category"),
+        "Monthly_Brand_Combine": level("brand"),
+        "Monthly_Category_Combine": level("category"),
+        "Monthly_Company_Combine": level("company"),
+        "Preferred_Vendor_New_Combine": Table(preferred, bounded=False),
+        "Monthly_by_DC": Table(
+            monthly.ots_by_centre(facts.ots, facts.profile),
+            ("Fiscal_Month", "Month_Number", "DCCampus", "DC_NAME", "DestCtryCD"),
         ),
-        "OTSvsSOT": (monthly.stocked_vs_shipped(facts.ots, facts.sot), True),
-        "Brand_Top_10_Delay": (monthly.top_delays(facts.sot, "ReportingBrand"), False),
-        "Category_Top_10_Delay": (monthly.top_delays(facts.sot, "Category"), False),
+        "Monthly_Top_20_Countries": listed(countries, "CountryOfOrigin", "ORIGIN_COUNTRY_CODE", "inner"),
+        "Monthly_Top_50_Vendors": listed(leaders, "Parent_Vendor", "Parent_Vendor", "left"),
+        "Brand_Top_10_Delay": ranking("ReportingBrand"),
+        "Category_Top_10_Delay": ranking("Category"),
     }
+    if not notebook:
+        tables["OTSvsSOT"] = Table(
+            monthly.stocked_vs_shipped(facts.ots, facts.sot),
+            ("Month_Number", "StockedOnTime", "ShippedOnTime"),
+        )
+    return tables
 
 
-# The tables whose missing cells are written as 0.
 ZERO_FILLED = (
     "Monthly_Brand_Category_Combine",
     "Monthly_Brand_Combine",
@@ -145,40 +178,77 @@ ZERO_FILLED = (
 
 def weekly_run(facts: Facts, vendors: DataFrame, country: DataFrame) -> dict[str, str]:
     """Write the weekly tables and return their folders."""
-    return {
-        name: write_report(
-            table, name, facts.params, "0" if name in ZERO_FILLED else None, single_file=bounded
+    with run_folder(facts.sot.sparkSession, "weekly") as folder:
+        return {
+            name: write_report(
+                t.rows, name, facts.params, "0" if name in ZERO_FILLED else None, t.bounded, order=t.order
+            )
+            for name, t in weekly_tables(facts, vendors, country, folder).items()
+        }
+
+
+def stock_run(facts: Facts) -> dict[str, str]:
+    """Write the stock table by vendor and week."""
+    table = monthly.vendor_week_stock(facts.ots, with_percent=True)
+    return {"OTS": write_report(table, "OTS", facts.params)}
+
+
+def impact_run(facts: Facts, plan: DataFrame, save_to: str | None = None) -> dict[str, str]:
+    """Classify late lines, then write the line file, the impact tables, the vendor tables,
+    the air failures and the consolidation series.
+
+    With ``save_to`` the classified lines stay there as a snapshot; else they are scratch.
+    """
+    params, spark = facts.params, facts.sot.sparkSession
+    with run_folder(spark, "impact") as folder:
+        lines = failure.classify(facts.sot, plan)
+        if save_to:
+            classified = write_snapshot(lines, f"{save_to}/SOT_Master_FOB")
+        else:
+            classified = stage(lines, "classified", f"{folder}/classified")
+        tables = {
+            "Trans_output": ("ReportingBrand", "month"),
+            "Trans_output_category": ("Category", "month"),
+            "Trans_output_company": (None, "month"),
+            "Trans_output_YTD": ("ReportingBrand", "ytd"),
+            "Trans_output_category_YTD": ("Category", "ytd"),
+            "Trans_output_company_YTD": (None, "ytd"),
+        }
+        paths = {
+            name: write_report(
+                impact.impact_by(classified, params, key, span).coalesce(1), name, params
+            )
+            for name, (key, span) in tables.items()
+        }
+        vendor_tables = {
+            name: impact.vendor_impact_text(impact.vendor_impact(classified, params, span))
+            for name, span in (("Trans_output_Vendor", "month"), ("Trans_output_Vendor_YTD", "year"))
+        }
+        paths |= write_book(vendor_tables, f"{params.out_dir}/Impact_files")
+        paths["SOT_Impact_lines"] = write_report(classified, "SOT_Impact_lines", params)
+        paths["Vendor_air_failures"] = write_report(
+            failure.vendor_air_failures(classified, params), "Vendor_air_failures", params
         )
-        for name, (table, bounded) in weekly_tables(facts, vendors, country).items()
-    }
+        paths["Consolidation_series"] = write_report(
+            failure.consolidation_series(classified), "Consolidation_series", params
+        )
+        paths["Delay_sub_reasons"] = write_report(
+            delays.sub_reason_spread(classified, params), "Delay_sub_reasons", params,
+            single_file=True, order=("sub_reason",),
+        )
+    return paths
 
 
-def impact_run(facts: Facts, plan: DataFrame) -> dict[str, str]:
-    """Classify late lines, then write the line file, six impact tables and two vendor tables."""
+def delay_run(facts: Facts) -> dict[str, str]:
+    """Write the tables of the week's transport delay reasons."""
     params = facts.params
-    classified = stage(failure.classify(facts.sot, plan), "classified")
-    leaders = stage(impact.leading_vendors(classified, params), "leaders")
     tables = {
-        "Trans_output": ("ReportingBrand", "month"),
-        "Trans_output_category": ("Category", "month"),
-        "Trans_output_company": (None, "month"),
-        "Trans_output_YTD": ("ReportingBrand", "ytd"),
-        "Trans_output_category_YTD": ("Category", "ytd"),
-        "Trans_output_company_YTD": (None, "ytd"),
+        "Delayed_units": delays.delayed_units(facts.sot, params),
+        "Delay_reasons": delays.reason_units(facts.sot, params, delays_only=True),
+        "All_reasons": delays.reason_units(facts.sot, params),
+        "Delay_reason_spread": delays.reason_spread(facts.sot, params),
     }
-    paths = {
-        name: write_report(
-            impact.impact_by(classified, params, key, span), name, params, single_file=True
-        )
-        for name, (key, span) in tables.items()
-    }
-    vendor_tables = {
-        name: impact.vendor_impact_text(impact.vendor_impact(classified, leaders, params, span))
-        for name, span in (("Trans_output_Vendor", "month"), ("Trans_output_Vendor_YTD", "year"))
-    }
-    paths |= write_book(vendor_tables, f"{params.out_dir}/Impact_files")
-    paths["SOT_Impact_lines"] = write_report(classified, "SOT_Impact_lines", params)
-    return paths
+    return write_book(tables, f"{params.out_dir}/Delay_reasons")
 
 
 def dashboard_run(facts: Facts) -> dict[str, str]:
@@ -189,26 +259,28 @@ def dashboard_run(facts: Facts) -> dict[str, str]:
     board = dashboard.dashboard(facts.ots, params).drop("block")
     return {
         "check": check,
-        "Log_All_bind": write_report(board, "Log_All_bind", params, single_file=True),
+        "Log_All_bind": write_report(board.coalesce(1), "Log_All_bind", params),
         "Monthly_by_DC_log": write_report(
-            dashboard.centre_by_month(facts.ots), "Monthly_by_DC_log", params, single_file=True
+            dashboard.centre_by_month(facts.ots), "Monthly_by_DC_log", params, single_file=True,
+            order=("Month_Number", "DC_NAME"),
         ),
     }
 
 
-def choice_run(facts: Facts, sot: DataFrame, rules: DataFrame) -> dict[str, str]:
+def choice_run(facts: Facts, rules: DataFrame) -> dict[str, str]:
     """Write the choice tables and the late lines of one brand."""
     params = facts.params
-    base = stage(choice.routed_units(sot, rules), "routed")
-    return write_book(
-        {
-            "First choice": choice.first_choice_performance(base, params),
-            "By choice": choice.performance_by_choice(base, params),
-            "By Ship Choice Matrix": choice.late_brand_routes(facts.sot, params),
-            "Late DPOs curr week": choice.late_brand_lines(facts.sot, params),
-        },
-        f"{params.out_dir}/Ship_Choice",
-    )
+    with run_folder(facts.sot.sparkSession, "choice") as folder:
+        base = stage(choice.routed_units(facts.sot, rules), "routed", f"{folder}/routed")
+        return write_book(
+            {
+                "First choice": choice.first_choice_performance(base, params),
+                "By choice": choice.performance_by_choice(base, params),
+                "By Ship Choice Matrix": choice.late_brand_routes(facts.sot, params),
+                "Late DPOs curr week": choice.late_brand_lines(facts.sot, params),
+            },
+            f"{params.out_dir}/Ship_Choice",
+        )
 
 
 def detail_tables(
@@ -226,3 +298,9 @@ def detail_tables(
         "largest_lines": detail.largest_lines(sot, params, dimension),
     }
     return {name: with_headings(df) for name, df in tables.items()}
+
+
+def detail_run(facts: Facts, dimension: str) -> dict[str, str]:
+    """Write the tables of a vendor or brand detail page; they read lines before cleaning."""
+    tables = detail_tables(facts.extract, facts.params, dimension)
+    return write_book(tables, f"{facts.params.out_dir}/Detail_{dimension}")

@@ -7,7 +7,7 @@ levels cost one pass over a fact.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +27,12 @@ from ..operators import (
     ots_sums,
     plain_sum,
     restrict,
+    roll_up,
     sot_sums,
     top_k,
     top_n,
 )
-from ..schemas import SHIPPED_STATES, SHIPPED_UNKNOWN, STOCKED_UNKNOWN
+from ..schemas import SHIPPED_UNKNOWN, STOCKED_UNKNOWN
 
 LEVELS = {
     "brand_category": ("ReportingBrand", "Category"),
@@ -213,9 +214,51 @@ def top_vendors(sot: DataFrame, k: int = 50) -> DataFrame:
     return top_k(totals, k, "units_by_vendor", ("Parent_Vendor",))
 
 
-def listed_sot(sot: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
-    """Monthly shipped measures of the listed countries or vendors."""
-    return sot_by(restrict(sot, chosen, {key: key}, dedupe=True), ())
+def _members(sums: DataFrame, key: str, month: str, names: Sequence[str], side: str) -> DataFrame:
+    """One row for each country or vendor, its months in an array named ``side``."""
+    return sums.groupBy(key).agg(
+        F.collect_list(F.struct(F.col(month).alias("month"), *names)).alias(side),
+        plain_sum(names[0]).alias("units"),
+    )
+
+
+def _leading_countries(members: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
+    """The ``k`` countries with most units; a code with two names may rank twice but counts once."""
+    named = enrich(members, country.select("CTRY_CD", "CTRY_DESC"), {"CountryOfOrigin": "CTRY_CD"})
+    totals = named.groupBy("CountryOfOrigin", "CTRY_DESC").agg(
+        whole(plain_sum("units")).alias("units_by_country"), F.first("shipped").alias("shipped")
+    )
+    chosen = top_k(totals, k, "units_by_country", ("CountryOfOrigin", "CTRY_DESC"))
+    return chosen.dropDuplicates(["CountryOfOrigin"]).select("CountryOfOrigin", "shipped")
+
+
+def _leading_vendors(members: DataFrame, k: int = 50) -> DataFrame:
+    """The ``k`` vendors with most units; lines without a vendor count as one vendor."""
+    chosen = top_k(members.withColumn("units", whole("units")), k, "units", ("Parent_Vendor",))
+    return chosen.select("Parent_Vendor", "shipped")
+
+
+def _shipped_sums(sot: DataFrame, key: str) -> DataFrame:
+    sums = measures_by(sot, (key, "ShipCancelMonth"), sot_sums())
+    return _members(sums, key, "ShipCancelMonth", SOT_NAMES, "shipped")
+
+
+def _months(chosen: DataFrame) -> DataFrame:
+    months = chosen.select(F.inline("shipped")).withColumnRenamed("month", "ShipCancelMonth")
+    return finish(roll_up(months, ("ShipCancelMonth",), SOT_NAMES), SOT_NAMES)
+
+
+def country_sot(sot: DataFrame, country: DataFrame) -> DataFrame:
+    """Monthly shipped measures of the leading countries.
+
+    Each country carries its months, so the list and the measures come from one pass.
+    """
+    return _months(_leading_countries(_shipped_sums(sot, "CountryOfOrigin"), country))
+
+
+def vendor_sot(sot: DataFrame) -> DataFrame:
+    """Monthly shipped measures of the leading vendors, from one pass."""
+    return _months(_leading_vendors(_shipped_sums(sot, "Parent_Vendor")))
 
 
 def listed_ots(
@@ -225,25 +268,70 @@ def listed_ots(
     return company_ots(restrict(ots, chosen, on, dedupe=True), profile)
 
 
+def _beside_stock(chosen: DataFrame, stocked: DataFrame, key: str, ots_key: str, names: Sequence[str], how: str) -> DataFrame:
+    """Shipped months of the chosen members beside their stocked months, added up."""
+    both = combine(chosen, stocked.select(ots_key, "stocked"), {key: ots_key})
+    empty = {"shipped": SOT_NAMES, "stocked": names}
+
+    def cells(side: str) -> Column:
+        shown = ", ".join(
+            f"{f'm.{n}' if n in empty[side] else 'CAST(NULL AS DOUBLE)'} AS {n}" for n in (*SOT_NAMES, *names)
+        )
+        make = f"transform({side}, m -> named_struct('side', '{side}', 'month', m.month, 'sums', struct({shown})))"
+        return F.expr(f"coalesce({make}, array())")
+
+    rows = both.select(F.explode(F.concat(cells("shipped"), cells("stocked"))).alias("x")).select("x.side", "x.month", "x.sums.*")
+    sums = {}
+    for side, own in empty.items():
+        for n in own:
+            held = F.expr(f"count_if(side = '{side}') > 0")
+            sums[n] = F.when(held, cond_sum(n, f"side = '{side}'", "subset"))
+    wanted = ("shipped", "stocked") if how == "inner" else ("shipped",)
+    table = rows.groupBy(F.col("month").alias("ShipCancelMonth")).agg(
+        *(c.alias(n) for n, c in sums.items()), F.collect_set("side").alias("sides")
+    )
+    for side in wanted:
+        table = table.where(F.array_contains("sides", side))
+    table = finish(table.drop("sides"), sums, keep=("OTSUnits",))
+    return table.select("ShipCancelMonth", *(c for c in COMBINED_ORDER if c in table.columns))
+
+
+def _listed_combined(
+    sot: DataFrame, ots: DataFrame, listed_from: DataFrame | None, lead: Callable[[DataFrame], DataFrame],
+    key: str, ots_key: str, how: str, profile: str,
+) -> DataFrame:
+    members = _shipped_sums(sot, key)
+    if listed_from is None:
+        chosen = lead(members)
+    else:
+        units = measures_by(listed_from, (key, "ShipCancelMonth"), {"SOTUnits": plain_sum("Units")})
+        chosen = lead(_members(units, key, "ShipCancelMonth", ("SOTUnits",), "shipped")).select(key)
+        chosen = combine(chosen, members.drop("units"), {key: key})
+    sums = ots_sums(air_total=profile == "script")
+    stocked = measures_by(ots, (ots_key, "Month_Number"), sums)
+    stocked = _members(stocked, ots_key, "Month_Number", tuple(sums), "stocked")
+    return _beside_stock(chosen, stocked, key, ots_key, tuple(sums), how)
+
+
 def country_combined(
-    sot: DataFrame, ots: DataFrame, chosen: DataFrame, profile: str = "script"
+    sot: DataFrame, ots: DataFrame, country: DataFrame, profile: str = "script", listed_from: DataFrame | None = None
 ) -> DataFrame:
-    """Only months that both sides have."""
-    return combined(
-        listed_sot(sot, chosen, "CountryOfOrigin"),
-        listed_ots(ots, chosen, {"ORIGIN_COUNTRY_CODE": "CountryOfOrigin"}, profile),
-        (),
-        how="inner",
-    )
+    """Leading countries, only months that both sides have; each fact is read once.
+
+    The notebook draws its list from lines before cleaning, ``listed_from``.
+    """
+    return _listed_combined(
+        sot, ots, listed_from, lambda m: _leading_countries(m, country),
+        "CountryOfOrigin", "ORIGIN_COUNTRY_CODE", "inner", profile,
+    )
 
 
 def vendor_combined(
-    sot: DataFrame, ots: DataFrame, chosen: DataFrame, profile: str = "script"
+    sot: DataFrame, ots: DataFrame, profile: str = "script", listed_from: DataFrame | None = None
 ) -> DataFrame:
-    return combined(
-        listed_sot(sot, chosen, "Parent_Vendor"),
-        listed_ots(ots, chosen, {"Parent_Vendor": "Parent_Vendor"}, profile),
-        (),
+    """Leading vendors; each fact is read once."""
+    return _listed_combined(
+        sot, ots, listed_from, _leading_vendors, "Parent_Vendor", "Parent_Vendor", "left", profile
     )
 
 
@@ -282,52 +370,27 @@ def ots_by_centre(ots: DataFrame, profile: str = "script") -> DataFrame:
 def stocked_vs_shipped(ots: DataFrame, sot: DataFrame) -> DataFrame:
     """Stocked units by month, stocked status and shipped status of the same line.
 
-    Both sides collapse by line id before they meet: shipped lines to one row per id
-    with a count per status, stocked lines to one row per id, month and status.  An id
-    that repeats very often shrinks in the tasks that read it, and its pairs are added
-    up without being listed.  A shipped status outside the closed list stops the job
-    instead of being lost.
+    Both sides collapse by line id before they meet: shipped lines to one row per id and
+    status with a count, stocked lines to one row per id, month and status.  An id that
+    repeats very often shrinks in the tasks that read it, and its pairs are added up
+    without being listed.  Every status is carried, known or not.  Stocked lines cross
+    the network twice for that: by id, month and status, then by id.
     """
-    counts = {s: f"__n_{s}" for s in SHIPPED_STATES}
     status = F.col("Lateness")
-    checked = F.when(status.isin(*counts), status).otherwise(
-        F.raise_error(F.concat(F.lit("unknown shipped status: "), status))
-    )
     shipped = (
         sot.where(status != SHIPPED_UNKNOWN)
-        .select("NUMBER_SEQ", checked.alias("status"))
-        .groupBy("NUMBER_SEQ")
-        .agg(*(F.count_if(F.col("status") == s).alias(c) for s, c in counts.items()))
+        .groupBy("NUMBER_SEQ", status.alias("ShippedOnTime"))
+        .agg(F.count("*").alias("lines"))
     )
     stocked = (
         ots.where(status != STOCKED_UNKNOWN)
         .groupBy("NUMBER_SEQ", "Month_Number", status.alias("StockedOnTime"))
         .agg(plain_sum("Units").alias("Units"))
     )
-    sums = []
-    for c in counts.values():
-        weighted = cond_sum(f"Units * {c}", f"{c} > 0", "subset")
-        sums += [F.sum(c).alias(c), weighted.alias(f"{c}_units")]
-    wide = stocked.join(shipped, "NUMBER_SEQ").groupBy("Month_Number", "StockedOnTime").agg(*sums)
-    cells = F.array(
-        *(
-            F.struct(
-                F.lit(s).alias("ShippedOnTime"),
-                F.col(c).alias("pairs"),
-                F.col(f"{c}_units").alias("units"),
-            )
-            for s, c in counts.items()
-        )
-    )
     return (
-        wide.select("Month_Number", "StockedOnTime", F.inline(cells))
-        .where("pairs > 0")
-        .select(
-            "Month_Number",
-            "StockedOnTime",
-            "ShippedOnTime",
-            whole(F.col("units")).alias("SumOfUnits"),
-        )
+        stocked.join(shipped, "NUMBER_SEQ")
+        .groupBy("Month_Number", "StockedOnTime", "ShippedOnTime")
+        .agg(whole(plain_sum("Units * lines")).alias("SumOfUnits"))
     )
 
 
@@ -359,21 +422,39 @@ def vendor_week_stock(ots: DataFrame, with_percent: bool = False) -> DataFrame:
 
 # ---- rankings ----
 
+_LENIENT = "lenient_"
 
-def top_delays(sot: DataFrame, key: str, n: int = 10, profile: str = "script") -> DataFrame:
-    """Vendors with most late units per month and brand (or category), ties kept."""
-    if profile == "notebook":
-        sums, adjusted = sot_sums("strict"), "strict"
-    else:
-        deep = "strict" if key == "ReportingBrand" else "lenient"
-        sums, adjusted = sot_sums("lenient", late5_nulls=deep), "lenient"
-    measured = cond_sum("Units", ON_TIME, adjusted) + cond_sum("Units", LATE, adjusted)
+
+def lenient_sums() -> dict[str, Column]:
+    """The shipped measures that rankings show, skipping nulls, under names of their own."""
+    sums = sot_sums("lenient")
+    return {f"{_LENIENT}{n}": sums[n] for n in SOT_NAMES[1:5]}
+
+
+def _ranked(table: DataFrame, key: str, n: int) -> DataFrame:
+    """The vendors with most late units of each month and brand (or category), ties kept."""
     shown = ("SOTUnits", "AdjustedSOTUnits", *SOT_NAMES[1:5])
-    sums = {n: c for n, c in (sums | {"AdjustedSOTUnits": measured}).items() if n in shown}
-    keys = (key, "ShipCancelMonth", "Parent_Vendor")
-    table = finish(measures_by(sot, keys, sums), sums).select(*keys, *shown)
+    table = finish(table, shown).select(key, "ShipCancelMonth", "Parent_Vendor", *shown)
     return top_n(table, n, "SOTLateUnits", (key, "ShipCancelMonth")).orderBy(
         *_in_order(key, "ShipCancelMonth"),
         F.col("SOTLateUnits").desc_nulls_last(),
         *_in_order("Parent_Vendor"),
     )
+
+
+def delays_of_sums(base: DataFrame, key: str, n: int = 10, profile: str = "script") -> DataFrame:
+    """The ranking from finer sums that also hold :func:`lenient_sums`."""
+    source = {m: m if profile == "notebook" else f"{_LENIENT}{m}" for m in SOT_NAMES[1:5]}
+    if key == "ReportingBrand":
+        source["SOTLate5daysUnits"] = "SOTLate5daysUnits"
+    sums = {"SOTUnits": plain_sum("SOTUnits"), **{m: plain_sum(c) for m, c in source.items()}}
+    table = measures_by(base, (key, "ShipCancelMonth", "Parent_Vendor"), sums)
+    measured = F.col("SOTOnTimeUnits") + F.col("SOTLateUnits")
+    return _ranked(table.withColumn("AdjustedSOTUnits", measured), key, n)
+
+
+def top_delays(sot: DataFrame, key: str, n: int = 10, profile: str = "script") -> DataFrame:
+    """The ranking straight from the fact."""
+    sums = sot_sums() | ({} if profile == "notebook" else lenient_sums())
+    base = measures_by(sot, (key, "ShipCancelMonth", "Parent_Vendor"), sums)
+    return delays_of_sums(base, key, n, profile)

@@ -11,13 +11,15 @@ def build_session(
     app: str = "dockside",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    initial_partitions: int = 8000,
     **conf: str,
 ) -> SparkSession:
     """A session with adaptive execution on.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` unset: the submit
     command names the first, and adaptive execution coalesces the second from the
-    high initial count to partitions near the advisory size.
+    high initial count to partitions near the advisory size.  ``initial_partitions`` should let
+    the largest shuffle's partitions fit in memory: about one for each 128 MB of it.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -42,7 +44,7 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     else:
         builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8000"
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions)
         )
     for key, value in conf.items():
         builder = builder.config(key, value)

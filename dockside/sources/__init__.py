@@ -1,18 +1,21 @@
 from .dims import read_countries, read_dim, read_preferred_vendors
-from .facts import JdbcSource, jdbc_ranges, read_fact, write_snapshot
-from .scratch import scratch_path, stage
+from .facts import JdbcSource, jdbc_ranges, read_fact, warehouse_types, write_snapshot
+from .scratch import drop_folder, run_folder, scratch_path, stage
 from .sinks import tee, with_headings, write_book, write_report
 
 __all__ = [
     "JdbcSource",
+    "drop_folder",
     "jdbc_ranges",
     "read_countries",
     "read_dim",
     "read_fact",
     "read_preferred_vendors",
+    "run_folder",
     "scratch_path",
     "stage",
     "tee",
+    "warehouse_types",
     "with_headings",
     "write_book",
     "write_report",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import conform
@@ -16,7 +17,8 @@ class JdbcSource:
     """A fact view in a database, read in parallel over ranges of one column.
 
     ``cuts`` are ascending boundaries of ``column``; each range is one partition.
-    Ranges over a text line id work as well as over a number.
+    Ranges over a text line id work as well as over a number.  A read through one task
+    has to be asked for with ``single_task``.
     """
 
     url: str
@@ -24,6 +26,11 @@ class JdbcSource:
     column: str = "NUMBER_SEQ"
     cuts: Sequence[str | int] = ()
     properties: Mapping[str, str] = field(default_factory=dict)
+    single_task: bool = False
+
+    def __post_init__(self):
+        if bool(self.cuts) == self.single_task:
+            raise ValueError("give either cuts, for a parallel read, or single_task=True")
 
 
 def jdbc_ranges(column: str, cuts: Sequence[str | int]) -> list[str]:
@@ -54,6 +61,7 @@ def read_fact(
     """
     if columns:
         schema = T.StructType([schema[c] for c in columns])
+    typed = isinstance(source, JdbcSource)
     if isinstance(source, JdbcSource):
         raw = spark.read.jdbc(
             source.url,
@@ -63,7 +71,25 @@ def read_fact(
         )
     else:
         raw = spark.read.parquet(source)
-    return conform(raw, schema)
+    return conform(warehouse_types(raw, schema) if typed else raw, schema)
+
+
+def warehouse_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Database columns cast to the schema; names match in any case.
+
+    Warehouses give decimals, wider integers, timestamps and padded text where the schema
+    wants doubles, integers, dates and text.  A value that has no such form fails the read.
+    Text loses trailing blanks.
+    """
+    found = {c.lower(): c for c in df.columns}
+
+    def typed(f: T.StructField) -> Column:
+        value = F.col(f"`{found[f.name.lower()]}`")
+        if isinstance(df.schema[found[f.name.lower()]].dataType, T.StringType):
+            value = F.rtrim(value)
+        return value.cast(f.dataType).alias(f.name)
+
+    return df.select(*(typed(f) for f in schema.fields if f.name.lower() in found))
 
 
 def write_snapshot(df: DataFrame, path: str, by: Sequence[str] = ("FISCAL_YEAR",)) -> DataFrame:

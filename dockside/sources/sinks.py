@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import ReportParams
 from ..plans.domains import HEADINGS
-from .scratch import stage
 
 
 def with_headings(df: DataFrame) -> DataFrame:
@@ -24,17 +23,23 @@ def write_report(
     null_token: str | None = None,
     single_file: bool = False,
     headings: bool = True,
+    order: Sequence[str] = (),
 ) -> str:
     """Write a report as CSV with a header and return its folder.
 
     The folder carries the report name and the week.  ``single_file`` is for tables
-    whose row count is bounded by months, brands, categories or centres; others keep
-    one file per task.
+    whose row count is bounded by months, brands, categories or centres, sorted by ``order``
+    with missing values last; others keep one file per task.
     """
     path = f"{params.out_dir}/{name}_WE_{params.eow}.csv"
     out = with_headings(df) if headings else df
     if single_file:
-        out = out.coalesce(1)
+        # A shuffle, so that the aggregate above keeps its tasks; then the file's own order.
+        out = out.repartition(1)
+        if order:
+            out = out.sortWithinPartitions(
+                *(F.col(f"`{HEADINGS.get(c, c) if headings else c}`").asc_nulls_last() for c in order)
+            )
     writer = out.write.mode("overwrite").option("header", True).option("escape", '"')
     if null_token is not None:
         writer = writer.option("nullValue", null_token)
@@ -43,10 +48,9 @@ def write_report(
 
 
 def tee(df: DataFrame, path: str) -> DataFrame:
-    """Write a CSV copy and pass the table on; the table is computed once."""
-    kept = stage(df, "tee")
-    kept.write.mode("overwrite").option("header", True).csv(path)
-    return kept
+    """Write a CSV copy and pass the table on, read back from that copy: it is computed once."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return df.sparkSession.read.schema(df.schema).option("header", True).option("escape", '"').csv(path)
 
 
 def write_book(tables: Mapping[str, DataFrame], path: str) -> dict[str, str]:

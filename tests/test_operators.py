@@ -51,6 +51,19 @@ def test_plain_sum_is_null_with_a_null(lines):
     assert lines.where("Units > 0").agg(ops.plain_sum("Units")).first()[0] == 22.0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 8, 64])
+def test_totals_do_not_depend_on_partitions(spark, parts):
+    # 200,000 lines of fractional units whose exact total is a whole number.
+    lines = spark.range(0, 200_000, 1, parts).select(
+        F.expr("CASE WHEN id % 2 = 0 THEN 0.37 ELSE 0.63 END").alias("Units"), F.lit("Late").alias("Lateness")
+    )
+    base = lines.withColumn("k", F.spark_partition_id()).groupBy("k").agg(ops.plain_sum("Units").alias("u"))
+    for total in (
+        lines.agg(ops.plain_sum("Units")), lines.agg(ops.cond_sum("Units", ops.LATE)), base.agg(ops.plain_sum("u")),
+    ):
+        assert total.first()[0] == 100_000.0
+
+
 def test_roll_up_keeps_the_null_of_a_part(spark):
     base = spark.createDataFrame([(1, 2.0), (1, None), (2, 3.0)], "k int, s double")
     assert rows(ops.roll_up(base, ("k",), ("s",))) == [(1, None), (2, 3.0)]

@@ -12,6 +12,8 @@ from dockside import fixtures as fx
 from dockside import schemas
 from dockside.catalog import QUERIES
 from dockside.plans import domains, failure, impact, jobs, monthly
+from dockside.sources import run_folder
+from dockside.sources.scratch import scratch_root
 
 
 def rows(df):
@@ -201,14 +203,15 @@ def test_repeated_ids_add_up_without_pairs(spark):
     ]
 
 
-def test_an_unknown_status_stops_the_cross_table(spark):
+def test_the_cross_table_carries_any_status(spark):
     ots = spark.createDataFrame(
-        [("a", 1, "OnTime", 2.0)],
+        [("a", 1, "OnTime", 2.0), ("a", 1, "OnTime", 0.5), ("b", 1, "Odd", 1.0)],
         "NUMBER_SEQ string, Month_Number int, Lateness string, Units double",
     )
-    sot = spark.createDataFrame([("a", "Lost")], "NUMBER_SEQ string, Lateness string")
-    with pytest.raises(Exception, match="unknown shipped status"):
-        monthly.stocked_vs_shipped(ots, sot).collect()
+    shipped = [("a", "Lost"), ("a", "Lost"), ("a", "Late"), ("b", None), ("b", "Unmeasured"), ("b", "Lost")]
+    sot = spark.createDataFrame(shipped, "NUMBER_SEQ string, Lateness string")
+    got = {tuple(r) for r in monthly.stocked_vs_shipped(ots, sot).collect()}
+    assert got == {(1, "OnTime", "Lost", 5), (1, "OnTime", "Late", 2), (1, "Odd", "Lost", 1)}
 
 
 def test_vendor_text_has_no_missing_cell(spark, sf_dir):
@@ -232,12 +235,20 @@ def test_no_cross_join(spark, sf_dir, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["r05_r08_sot_levels", "r39_centre_joined", "r48_dashboard", "r65_reason_spread", "r67_choice_base"],
-)
+    [
+        "r05_r08_sot_levels", "r21_country_sot", "r24_vendor_sot", "r39_centre_joined", "r48_dashboard",
+        "r61_vendor_impact_month", "r62_vendor_impact_ytd", "r65_reason_spread", "r67_choice_base",
+    ],
+)
 def test_the_fact_is_read_once(spark, sf_dir, name):
     assert final_plan(QUERIES[name](spark, sf_dir)).count("FileScan parquet [l_") == 1
 
 
+@pytest.mark.parametrize("name", ["r23_country_combined", "r26_vendor_combined"])
+def test_each_fact_is_read_once(spark, sf_dir, name):
+    assert final_plan(QUERIES[name](spark, sf_dir)).count("FileScan parquet [l_") == 2
+
+
 def test_rank_limit_is_pushed_below_the_shuffle(spark, sf_dir):
     plan = QUERIES["r28_brand_delays"](spark, sf_dir)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("WindowGroupLimit") == 2
@@ -263,58 +274,112 @@ def facts(spark, sf_dir, tmp_path_factory):
     return prepared
 
 
-def test_weekly_run(spark, sf_dir, facts):
+@pytest.fixture
+def clean_scratch(spark):
+    """No run leaves a scratch folder behind."""
+
+    def folders():
+        root = Path(scratch_root(spark))
+        return set(root.iterdir()) if root.exists() else set()
+
+    before = folders()
+    yield
+    assert folders() <= before
+
+
+SAME = {
+    "Monthly_Brand_Category_Combine": "r15{}_brand_category_combined",
+    "Monthly_Brand_Combine": "r16{}_brand_combined",
+    "Monthly_Category_Combine": "r17{}_category_combined",
+    "Monthly_Company_Combine": "r18{}_company_combined",
+    "Preferred_Vendor_New_Combine": "r19{}_preferred_combined",
+    "Monthly_Top_20_Countries": "r23{}_country_combined",
+    "Monthly_Top_50_Vendors": "r26{}_vendor_combined",
+    "Brand_Top_10_Delay": "r28{}_brand_delays",
+    "Category_Top_10_Delay": "r29{}_category_delays",
+}
+
+
+@pytest.mark.parametrize("profile", ["script", "notebook"])
+def test_weekly_tables(spark, sf_dir, facts, profile, clean_scratch):
+    vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
+    tag = ""
+    if profile == "notebook":
+        tag = "n"
+        facts = jobs.prepare(fx.sot(spark, sf_dir), fx.ots(spark, sf_dir), facts.params, profile=profile)
+    with run_folder(spark, "test") as folder:
+        tables = jobs.weekly_tables(facts, vendors, country, folder)
+        for name, query in SAME.items():
+            assert rows(tables[name].rows) == rows(QUERIES[query.format(tag)](spark, sf_dir)), name
+    assert ("OTSvsSOT" in tables) == (profile == "script")
+
+
+def test_weekly_run(spark, sf_dir, facts, clean_scratch):
     vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
-    tables = jobs.weekly_tables(facts, vendors, country)
-    same = {
-        "Monthly_Brand_Category_Combine": "r15_brand_category_combined",
-        "Monthly_Brand_Combine": "r16_brand_combined",
-        "Monthly_Category_Combine": "r17_category_combined",
-        "Monthly_Company_Combine": "r18_company_combined",
-        "Preferred_Vendor_New_Combine": "r19_preferred_combined",
-        "Monthly_Top_20_Countries": "r23_country_combined",
-        "Monthly_Top_50_Vendors": "r26_vendor_combined",
-        "OTSvsSOT": "r27_stocked_vs_shipped",
-    }
-    for name, query in same.items():
-        assert rows(tables[name][0]) == rows(QUERIES[query](spark, sf_dir)), name
     paths = jobs.weekly_run(facts, vendors, country)
     assert len(paths) == 11
     by_centre = read_csv(paths["Monthly_by_DC"])
     assert {"OTS%", "Total Units"} <= set(by_centre[0])
     assert paths["OTSvsSOT"].endswith("OTSvsSOT_WE_48.csv")
     filled = read_csv(paths["Preferred_Vendor_New_Combine"])
-    missing = tables["Preferred_Vendor_New_Combine"][0].where("OTSUnits IS NULL").count()
+    missing = QUERIES["r19_preferred_combined"](spark, sf_dir).where("OTSUnits IS NULL").count()
     assert missing > 0
     assert sum(r["OTSUnits"] == "0" for r in filled) >= missing
+    brands = read_csv(paths["Monthly_Brand_Combine"])
+    keys = [(int(r["ShipCancelMonth"]), r["ReportingBrand"]) for r in brands]
+    assert keys == sorted(keys)
+
 
+def test_a_single_file_does_not_narrow_the_aggregate(spark, sf_dir, facts):
+    table = monthly.ots_by_centre(facts.ots).repartition(1).sortWithinPartitions("DC_NAME")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "RoundRobinPartitioning(1)" in plan or "SinglePartition" in plan
 
-def test_impact_run(spark, sf_dir, facts):
-    paths = jobs.impact_run(facts, fx.transit_plan(spark, sf_dir))
-    assert len(paths) == 9
+
+def test_impact_run(spark, sf_dir, facts, clean_scratch, tmp_path):
+    paths = jobs.impact_run(facts, fx.transit_plan(spark, sf_dir), str(tmp_path))
+    assert len(paths) == 12
     brands = read_csv(paths["Trans_output"])
     assert [r["ReportingBrand"] for r in brands] == list(domains.BRANDS)
     lines = read_csv(paths["SOT_Impact_lines"])
-    assert len(lines) == facts.sot.count()
+    assert len(lines) == facts.sot.count() == spark.read.parquet(f"{tmp_path}/SOT_Master_FOB").count()
     assert {"Probable Failure", "Match?"} <= set(lines[0])
     vendors = read_csv(paths["Trans_output_Vendor"])
     assert {r["Category"] for r in vendors} == set(domains.CATEGORIES)
+    air = QUERIES["r57_vendor_air_failures"](spark, sf_dir).count()
+    assert len(read_csv(paths["Vendor_air_failures"])) == air
+
+
+def test_prepare_saves_snapshots(spark, sf_dir, facts, tmp_path):
+    columns = [c for c in fx.OTS if c != "FISCAL_YEAR"]
+    saved = jobs.prepare(fx.sot(spark, sf_dir), fx.ots(spark, sf_dir, columns), facts.params, save_to=str(tmp_path))
+    assert {"SOT_Master", "OTS_Master"} == {p.name for p in tmp_path.iterdir()}
+    assert saved.sot.count() == facts.sot.count()
+    assert saved.ots.count() == QUERIES["r01_clean_ots"](spark, sf_dir).count()
 
 
-def test_dashboard_run(facts):
+def test_dashboard_run(facts, clean_scratch):
     paths = jobs.dashboard_run(facts)
     board = read_csv(paths["Log_All_bind"])
     assert len(board) == 27
     assert {r["Entity"] for r in board} >= {domains.NA_EU_TOTAL, domains.GLOBAL_TOTAL}
 
 
-def test_choice_run(spark, sf_dir, facts):
-    paths = jobs.choice_run(facts, fx.sot(spark, sf_dir), fx.ship_choice(spark, sf_dir))
+def test_choice_run(spark, sf_dir, facts, clean_scratch):
+    paths = jobs.choice_run(facts, fx.ship_choice(spark, sf_dir))
     assert len(read_csv(paths["First choice"])) == QUERIES["r68_first_choice"](spark, sf_dir).count()
     late = read_csv(paths["Late DPOs curr week"])
     assert {r["ReportingBrand"] for r in late} == {"ATHLETA"}
 
 
+def test_delay_stock_and_detail_runs(spark, sf_dir, facts, clean_scratch):
+    paths = jobs.delay_run(facts)
+    assert len(read_csv(paths["Delayed_units"])) == QUERIES["r63_delayed_units"](spark, sf_dir).count()
+    assert len(read_csv(jobs.stock_run(facts)["OTS"])) > 0
+    pages = jobs.detail_run(facts, "brand")
+    assert len(pages) == 7 and all(read_csv(p) for p in pages.values())
+
+
 @pytest.mark.parametrize("dimension", ["vendor", "brand"])
 def test_detail_tables(spark, sf_dir, dimension):
     tables = jobs.detail_tables(fx.sot(spark, sf_dir), fx.PARAMS, dimension)

@@ -2,22 +2,27 @@
 
 import csv
 from dataclasses import replace
+from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockside import fixtures as fx
 from dockside import schemas
 from dockside.sources import (
+    JdbcSource,
     jdbc_ranges,
     read_countries,
     read_dim,
     read_fact,
     read_preferred_vendors,
+    run_folder,
     scratch_path,
     stage,
     tee,
+    warehouse_types,
     write_book,
     write_report,
     write_snapshot,
@@ -112,8 +117,38 @@ def test_stage_keeps_schema(spark):
     assert stage(df, "t").dtypes == df.dtypes
 
 
-def test_scratch_uses_the_shared_folder(spark):
+def test_scratch_lies_in_the_shared_folder_and_is_removed(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert first.startswith(root.rstrip("/") + "/x-")
+    before = spark.sparkContext.getCheckpointDir()
+    with run_folder(spark, "run") as folder:
+        stage(spark.range(3), "t", f"{folder}/t")
+        assert Path(folder, "t").exists()
+    assert not Path(folder).exists()
+    # The caller's checkpoint folder is left alone.
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_database_columns_are_cast_to_the_schema(spark):
+    raw = spark.sql(
+        "SELECT 'L1  ' AS number_seq, CAST(10.25 AS DECIMAL(18,2)) AS UNITS, "
+        "CAST(3 AS BIGINT) AS Week, TIMESTAMP '2000-01-02 00:00:00' AS Data_Pulled"
+    )
+    schema = T.StructType([schemas.OTS[c] for c in ("NUMBER_SEQ", "Data_Pulled", "Week", "Units")])
+    got = warehouse_types(raw, schema)
+    assert got.schema.simpleString() == schema.simpleString()
+    assert tuple(got.first()) == ("L1", date(2000, 1, 2), 3, 10.25)
+
+
+def test_a_database_read_needs_cuts_or_a_word():
+    with pytest.raises(ValueError, match="cuts"):
+        JdbcSource("jdbc:x", "t")
+    assert JdbcSource("jdbc:x", "t", single_task=True).cuts == ()
+    assert JdbcSource("jdbc:x", "t", cuts=("b",)).cuts == ("b",)
+
+
+def test_a_stocked_extract_may_lack_the_year(spark, sf_dir):
+    columns = [c for c in fx.OTS if c != "FISCAL_YEAR"]
+    assert schemas.conform(fx.ots(spark, sf_dir, columns), schemas.OTS).columns == columns
+    with pytest.raises(ValueError, match="Week"):
+        schemas.conform(fx.ots(spark, sf_dir, [c for c in columns if c != "Week"]), schemas.OTS)
