@@ -25,6 +25,7 @@ from .base import BYTE_CODES, LOWER, Words, mix, prefix_hash, share_below, span_
 TOXIC_ROWS, OTHER_ROWS, VOCABULARY = 3000, 5000, 20000
 #: A term needs so many toxic rows to be selected.
 LEAST_ROWS = 4
+SLACK = 0.01
 #: Beginnings of so many bytes are terms of their own.
 STEMS = (4, 5)
 GRADES = 3
@@ -124,11 +125,13 @@ def severity_grades(rows: Rows, marked: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights by word hash (sorted) and thresholds in rising order."""
+    """Weights by term hash (sorted), thresholds in rising order, and the chance of a grade
+    above 0 from which a text is called toxic."""
 
     words: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    cut: float = 0.5
 
     def above(self, z: np.ndarray) -> np.ndarray:
         """Chance that the severity is above each grade."""
@@ -196,13 +199,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     x = 1 + np.log(rows.count[own])
     weights, thresholds = ordinal_fit(rows.row[own], column[index[own]], x, grade, len(chosen))
     heavy = np.abs(weights) >= LEAST_WEIGHT * np.abs(weights).max(initial=0)
-    return Model(words[chosen][heavy], weights[heavy], thresholds)
+    model = Model(words[chosen][heavy], weights[heavy], thresholds)
+    z = np.bincount(rows.row[own], weights=(weights * heavy)[column[index[own]]] * x, minlength=len(rows.size))
+    model.cut = best_cut(model.above(z)[:, 0], rows.toxic == 1)
+    return model
+
+
+def best_cut(chance: np.ndarray, toxic: np.ndarray) -> float:
+    """The middle of the widest gap among the cuts with about fewest errors.
+
+    Errors count by the share of their kind; ``SLACK`` more than the fewest are allowed, so
+    that a few odd training rows don't push the cut to the edge of a kind.
+    """
+    order = np.argsort(chance)
+    chance, toxic = chance[order], toxic[order]
+    missed = np.concatenate([[0], np.cumsum(toxic)]) / toxic.sum()
+    false = 1 - np.concatenate([[0], np.cumsum(~toxic)]) / (~toxic).sum()
+    edges = np.concatenate([[0], chance, [1]])
+    errors, gap = missed + false, np.diff(edges)
+    best = int(np.argmax(np.where(errors <= errors[gap > 0].min() + SLACK, gap, -1)))
+    return float(np.clip((edges[best] + edges[best + 1]) / 2, 0.05, 0.95))
 
 
 def severity(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, severity`` (expected grade), ``grade`` (likeliest) and ``toxic`` of every row.
 
-    ``toxic`` holds where a grade above 0 is likelier than not.  Null texts count as empty;
+    ``toxic`` holds where the chance of a grade above 0 reaches the model's cut.  Null texts count as empty;
     without a model everything has severity 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -214,7 +236,7 @@ def severity(docs: DataFrame, model: Model | None) -> DataFrame:
             model, n = shared.value, rows.num_rows
             above = model.above(model.evidence(data, offsets)) if model else np.zeros((n, GRADES))
             chances = -np.diff(np.concatenate([np.ones((n, 1)), above, np.zeros((n, 1))], axis=1), axis=1)
-            found = above.sum(axis=1), chances.argmax(axis=1).astype(np.int32), above[:, 0] >= 0.5
+            found = above.sum(axis=1), chances.argmax(axis=1).astype(np.int32), above[:, 0] >= (model.cut if model else 0.5)
             yield pa.RecordBatch.from_arrays([rows.column(0), *map(pa.array, found)], schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(predict, schema)
