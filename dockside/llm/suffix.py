@@ -29,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import BYTE_CODES, PIECE_BYTES, Workspace, byte_column, mix, pieces, prefix_hash, ragged, runs, span_hash, text_size
+from .base import BYTE_CODES, Workspace, byte_column, mix, pieces, prefix_hash, ragged, runs, span_hash, text_size
 
 LENGTH = 100
 GRAM = 32
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
+#: Texts are cut into fragments in pieces of this size, whose 64-bit arrays set the memory of a task.
+ANCHOR_BYTES = 1 << 18
 
 TEXT, COPIES, CHOSEN, MARKS = range(4)
 _NO_ID = np.iinfo(np.int64).max
@@ -100,7 +102,7 @@ class Fragments:
         rank = np.empty(len(keys), np.int64)  # the texts in the order of the corpus
         rank[np.argsort(keys, kind="stable")] = np.arange(len(keys))
         parts = []
-        for i, j in pieces(offsets, PIECE_BYTES):
+        for i, j in pieces(offsets, ANCHOR_BYTES):
             parts.append(self._cut(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, gram, i))
         names = ("anchor", "content", "text", "start", "n", "left")
         kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64)
@@ -131,7 +133,8 @@ class Fragments:
         n = np.diff(np.append(at, len(valid)))
         begin, own = valid[at], text[at]
         content = span_hash(prefix_hash(BYTE_CODES[data]), begin, begin + n - 1 + length)
-        return hashes[place[at]], content, own + text0, begin - offsets[own], n, place[at] - begin
+        # Anchors have small hashes; hashed again, they are dealt out evenly.
+        return mix(~hashes[place[at]]), content, own + text0, begin - offsets[own], n, place[at] - begin
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -181,6 +184,15 @@ def _rows(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in kinds.items()], list(kinds))
 
 
+#: A distinct fragment of a block on its way to its bucket, in one array: few bytes more than
+#: its numbers even where a bucket gets a single one.
+_ROW = np.dtype(
+    [
+        ("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("text", "<u4"), ("start", "<u4"),
+        ("n", "u1"), ("left", "u1"), ("repeated", "?"), ("entry", "<u4"),
+    ]
+)
+
 _REPLY = {"block": pa.int64(), "kind": pa.int32(), "value": pa.binary()}
 _DEALT = {"bucket": pa.int64(), "block": pa.int64(), "value": pa.binary()}
 _REPLY_SQL, _DEALT_SQL = "block long, kind int, value binary", "bucket long, block long, value binary"
@@ -202,17 +214,14 @@ def anchored(texts: DataFrame, buckets: int) -> DataFrame:
                 ends = np.append(cuts[1:], len(own))
                 repeated = np.diff(np.append(own, len(f.anchor))) > 1
                 out: dict[str, list] = {c: [] for c in _DEALT}
+                rows = np.empty(len(own), _ROW)
+                rows["anchor"], rows["content"], rows["doc"] = f.anchor[own], f.content[own], keys[f.text[own]]
+                rows["text"], rows["start"], rows["n"], rows["left"] = f.text[own], f.start[own], f.n[own], f.left[own]
+                rows["repeated"], rows["entry"] = repeated, np.arange(len(own))
                 for low, high in zip(cuts, ends, strict=True):
-                    at = own[low:high]
                     out["bucket"].append(int(bucket[low]))
                     out["block"].append(block)
-                    out["value"].append(
-                        pack(
-                            f.anchor[at], f.content[at], keys[f.text[at]], f.text[at].astype(np.uint32),
-                            f.start[at].astype(np.uint32), f.n[at].astype(np.uint8), f.left[at].astype(np.uint8),
-                            repeated[low:high], np.array([low], np.int64),
-                        )
-                    )
+                    out["value"].append(pack(rows[low:high]))
                 yield _rows(out, _DEALT)
 
     return texts.mapInArrow(deal, _DEALT_SQL)
@@ -223,10 +232,11 @@ def _meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     parts = []
     for batch in batches:
         for block, value in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            *arrays, low = unpack(value.as_py())
-            entry = low[0] + np.arange(len(arrays[0]))
-            parts.append([*arrays, entry, np.full(len(entry), block, np.int64)])
-    anchor, content, doc, text, start, n, left, repeated, entry, block = (np.concatenate(x) for x in zip(*parts, strict=True))
+            rows = unpack(value.as_py())[0].view(_ROW)
+            parts.append((rows, np.full(len(rows), block, np.int64)))
+    rows, block = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    anchor, content, doc, text, start, n, left, repeated, entry = (rows[c] for c in _ROW.names)
     # An anchor that occurs once, in one block, has no equal window anywhere.
     _, which, seen = np.unique(anchor, return_inverse=True, return_counts=True)
     keep = np.flatnonzero((seen[which] > 1) | repeated)
