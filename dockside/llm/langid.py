@@ -294,7 +294,8 @@ def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
     there was nothing to learn from.
     """
     shared = net and _Shared(docs, net)
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    more = (("lang_pred", T.StringType()), ("score", T.DoubleType()))
+    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, k) for n, k in more)])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):

@@ -272,7 +272,8 @@ def components(edges: DataFrame, workspace: Workspace, name: str) -> DataFrame:
     all its smaller ones do, until nothing moves; hubs are aggregated, never gathered.
     """
     step = 0
-    stars = workspace.stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-0")
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    stars = workspace.stage(edges.where("a <> b").distinct(), f"{name}-0")
     while True:
         step += 1
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -281,18 +282,17 @@ def components(edges: DataFrame, workspace: Workspace, name: str) -> DataFrame:
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
-        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b")))
+        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.unionByName(joined.select("a", F.col("m").alias("b")))
         after = workspace.stage(small.where("a <> b").distinct(), f"{name}-{step}")
         mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         done = mark(after) == mark(stars)
         stars = after
         if done:
             break
-    roots = stars.select(F.col("b").alias("key")).distinct()
-    return workspace.stage(
-        stars.select(F.col("a").alias("key"), F.col("b").alias("part")).unionByName(roots.select("key", F.col("key").alias("part"))),
-        f"{name}-parts",
-    )
+    roots = stars.select(F.col("b").alias("key")).distinct().withColumn("part", F.col("key"))
+    members = stars.select(F.col("a").alias("key"), F.col("b").alias("part"))
+    return workspace.stage(members.unionByName(roots), f"{name}-parts")
 
 
 def _deal(key: str, size: Column, most: int) -> Column:
@@ -365,10 +365,18 @@ def near_classes(docs: DataFrame, workspace: Workspace | None = None) -> DataFra
     classes = found.groupBy("part").agg(F.min("first").alias("head"), F.sum("n").alias("class_size"))
     told = found.select("key", "part").join(classes, "part").select("key", "head", "class_size")
     alone = signed.where("key IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "text_hash"
+        "doc_id",
+        F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("long").alias("class_size"),
+        F.lit(True).alias("kept"),
+        "text_hash",
     )
     rest = signed.join(told, "key").select(
-        "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_hash"
+        "doc_id",
+        F.col("head.doc_id").alias("class_id"),
+        "class_size",
+        (F.col("row") == F.col("head.row")).alias("kept"),
+        "text_hash",
     )
     return rest.unionByName(alone)
 

@@ -183,10 +183,11 @@ def findings(docs: DataFrame) -> DataFrame:
                 text = data[offsets[i] : offsets[i + 1]].tobytes().decode(errors="replace")
                 spans = base_spans(text)
                 base[i] = [{"start": s, "kind": k, "end": e} for s, k, e in spans]
-                seeds[i] = [{"kind": k, "value": text[s:e].lower(), "patterns": patterns(text, s, e)} for s, k, e in spans]
+                instance = lambda s, e: {"value": text[s:e].lower(), "patterns": patterns(text, s, e)}  # noqa: B023, E731
+                seeds[i] = [{"kind": k} | instance(s, e) for s, k, e in spans]
                 for s, e in candidates(text, spans):
                     kinds = [k for k, name in enumerate(KINDS) if well_formed(name, text[s:e])]
-                    found[i].append({"start": s, "end": e, "value": text[s:e].lower(), "kinds": kinds, "patterns": patterns(text, s, e)})
+                    found[i].append({"start": s, "end": e, "kinds": kinds} | instance(s, e))
             names = [_text_of([(b["start"], b["kind"], b["end"]) for b in x]) for x in base]
             columns = [pa.array(row + np.arange(n)), rows.column(0), pa.array(names)]
             columns += [pa.array(x, t) for x, t in zip((base, seeds, found), kinds_of, strict=True)]

@@ -155,7 +155,14 @@ class Model:
 
 
 def ordinal_fit(
-    row: np.ndarray, column: np.ndarray, x: np.ndarray, grade: np.ndarray, size: int, steps: int = 400, rate: float = 0.1, decay: float = 3e-5
+    row: np.ndarray,
+    column: np.ndarray,
+    x: np.ndarray,
+    grade: np.ndarray,
+    size: int,
+    steps: int = 400,
+    rate: float = 0.1,
+    decay: float = 3e-5,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Adam on the likelihood; thresholds are a first value and positive gaps, so they stay in order."""
     n, levels = len(grade), int(grade.max())
