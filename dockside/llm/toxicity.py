@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import BYTE_CODES, LOWER, Words, mix, prefix_hash, share_below, span_hash, text_pieces
+from .base import BYTE_CODES, LOWER, Words, Workspace, mix, prefix_hash, share_below, span_hash, text_pieces
 
 #: Bounds of the fit: about so many rows of each kind, and terms of the vocabulary.
 TOXIC_ROWS, OTHER_ROWS, VOCABULARY = 3000, 5000, 20000
@@ -57,68 +57,92 @@ def _term_counts(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nd
     return doc[at], hashes[at], np.diff(np.append(at, len(doc)))
 
 
+def sample_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text, toxic`` of a bounded sample of the labelled rows."""
+    labels = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    toxic, known = labels.agg(F.count_if(F.col("toxic") == 1), F.count("*")).first()
+    share = F.when(F.col("toxic") == 1, TOXIC_ROWS / max(toxic, 1)).otherwise(OTHER_ROWS / max(known - toxic, 1))
+    sample = F.broadcast(labels.where(share_below("doc_id", share, 23)))
+    return docs.join(sample, "doc_id").select("text", F.col("toxic").cast("long").alias("toxic"))
+
+
+def select_terms(sample: DataFrame, n_toxic: int, n: int, workspace: Workspace) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the terms tied to toxic rows, in order, and which of them mark a row.
+
+    Rows are counted by term in Spark; only the selected terms come to the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in text_pieces(batches):
+            doc, hashes, _ = _term_counts(*terms(data, offsets)[:2])
+            found, which = np.unique(hashes, return_inverse=True)
+            toxic = rows.column(1).to_numpy()[doc] == 1
+            a = np.bincount(which[toxic], minlength=len(found))
+            both = np.bincount(which, minlength=len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found.view(np.int64), a, both)], ["term", "a", "both"])
+
+    counts = sample.mapInArrow(count, "term long, a long, both long").groupBy("term")
+    counts = workspace.stage(counts.agg(F.sum("a").alias("a"), F.sum("both").alias("both")), "terms")
+    expected, b = F.col("both") * (n_toxic / n), F.col("both") - F.col("a")
+    part = lambda seen, mean: F.when(seen > 0, seen * F.log(seen / mean)).otherwise(0.0)
+    ratio = 2 * (part(F.col("a"), expected) + part(b, F.col("both") - expected))
+    # So strict that of all terms about one would pass by chance.
+    tied = (F.col("a") > expected) & (F.col("a") >= LEAST_ROWS) & (ratio >= 2 * np.log(max(counts.count(), 2)))
+    odds = (F.col("a") + 0.5) / (n_toxic + 1) / ((b + 0.5) / (n - n_toxic + 1))
+    chosen = counts.where(tied).select("term", ratio.alias("ratio"), (odds > float(np.exp(2))).alias("marks"))
+    chosen = chosen.orderBy(F.desc("ratio"), "term").limit(VOCABULARY).collect()
+    hashes = np.array([r.term for r in chosen], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r.marks for r in chosen], bool)[order]
+
+
 @dataclass
 class Rows:
-    """Training rows: sparse term counts by row, sizes in words, and labels."""
+    """Training rows: counts of selected terms by row and place of the term, and labels."""
 
     row: np.ndarray
-    word: np.ndarray
+    term: np.ndarray
     count: np.ndarray
-    size: np.ndarray
     toxic: np.ndarray
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> Rows:
-    """A bounded sample of labelled rows, at the driver."""
-    labels = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    toxic, known = labels.agg(F.count_if(F.col("toxic") == 1), F.count("*")).first()
-    share = F.when(F.col("toxic") == 1, TOXIC_ROWS / max(toxic, 1)).otherwise(OTHER_ROWS / max(known - toxic, 1))
-    sample = F.broadcast(labels.where(share_below("doc_id", share, 23)))
+def training_rows(sample: DataFrame, vocabulary: np.ndarray) -> Rows:
+    """The sample's rows over the selected terms, at the driver."""
+    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):
-            doc, hashes, size = terms(data, offsets)
-            doc, hashes, counts = _term_counts(doc, hashes)
+            doc, hashes, counts = _term_counts(*terms(data, offsets)[:2])
+            doc, term, counts = _known(shared.value, doc, hashes, counts)
             first = np.searchsorted(doc, np.arange(rows.num_rows + 1))
-            cut = lambda x: [x[first[i] : first[i + 1]].tobytes() for i in range(rows.num_rows)]
-            columns = [pa.array(cut(hashes), pa.binary()), pa.array(cut(counts.astype(np.int32)), pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(1), pa.array(size), *columns], ["toxic", "size", "words", "counts"]
-            )
-
-    found = docs.join(sample, "doc_id").select("text", F.col("toxic").cast("long").alias("toxic"))
-    rows = found.mapInArrow(count, "toxic long, size long, words binary, counts binary").collect()
-    words = [np.frombuffer(bytes(r.words), np.uint64) for r in rows]
+            cut = lambda x: [x[first[i] : first[i + 1]].astype(np.int32).tobytes() for i in range(rows.num_rows)]
+            columns = [rows.column(1), *(pa.array(cut(x), pa.binary()) for x in (term, counts))]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "terms", "counts"])
+
+    rows = sample.mapInArrow(count, "toxic long, terms binary, counts binary").collect()
+    found = [np.frombuffer(bytes(r.terms), np.int32) for r in rows]
     counts = [np.frombuffer(bytes(r["counts"]), np.int32) for r in rows]
-    join = lambda x, kind: np.concatenate([np.zeros(0, kind), *x])
-    return Rows(
-        np.repeat(np.arange(len(rows)), [len(w) for w in words]),
-        join(words, np.uint64),
-        join(counts, np.int32),
-        np.array([r["size"] for r in rows], np.int64),
-        np.array([r.toxic for r in rows], np.int64),
-    )
-
-
-def select_terms(rows: Rows, index: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Terms tied to toxic rows, the strongest first, and which of all terms mark a row."""
-    n_toxic, n = int(rows.toxic.sum()), len(rows.toxic)
-    a = np.bincount(index[rows.toxic[rows.row] == 1], minlength=size)
-    b = np.bincount(index, minlength=size) - a
-    expected = (a + b) * n_toxic / n
-    part = lambda seen, mean: np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(mean, 1e-9)), 0)
-    ratio = 2 * (part(a, expected) + part(b, a + b - expected))
-    # So strict that of all terms about one would pass by chance.
-    tied = (a > expected) & (a >= LEAST_ROWS) & (ratio >= 2 * np.log(max(size, 2)))
-    chosen = np.flatnonzero(tied)
-    chosen = chosen[np.argsort(-ratio[chosen], kind="stable")[:VOCABULARY]]
-    odds = (a + 0.5) / (n_toxic + 1) / ((b + 0.5) / (n - n_toxic + 1))
-    return np.sort(chosen), tied & (odds > np.exp(2))
+    join = lambda x: np.concatenate([np.zeros(0, np.int32), *x])
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in found])
+    return Rows(row, join(found), join(counts), np.array([r.toxic for r in rows], np.int64))
+
+
+def _known(vocabulary: np.ndarray, doc: np.ndarray, hashes: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The occurrences of known terms: text, place in the sorted vocabulary, and the rest."""
+    if not len(vocabulary):
+        return tuple(x[:0] for x in (doc, doc, *more))
+    known = np.zeros(1 << 16, bool)
+    known[(vocabulary >> np.uint64(48)).astype(np.int64)] = True
+    maybe = np.flatnonzero(known[(hashes >> np.uint64(48)).astype(np.int64)])
+    at = np.minimum(np.searchsorted(vocabulary, hashes[maybe]), len(vocabulary) - 1)
+    hit = vocabulary[at] == hashes[maybe]
+    return doc[maybe[hit]], at[hit], *(x[maybe[hit]] for x in more)
 
 
-def severity_grades(rows: Rows, marked: np.ndarray) -> np.ndarray:
+def severity_grades(rows: Rows, marks: np.ndarray) -> np.ndarray:
     """Grade 0 for other rows; toxic ones by terciles of their marked terms."""
-    amount = np.bincount(rows.row, weights=marked * (1 + np.log(rows.count)), minlength=len(rows.size))
+    weights = marks[rows.term] * (1 + np.log(rows.count))
+    amount = np.bincount(rows.row, weights=weights, minlength=len(rows.toxic))
     cuts = np.quantile(amount[rows.toxic == 1], [1 / 3, 2 / 3])
     return np.where(rows.toxic == 1, 1 + np.searchsorted(cuts, amount, side="left"), 0)
 
@@ -140,16 +164,10 @@ class Model:
     def evidence(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """``w x`` of each text."""
         n = len(offsets) - 1
-        if not len(self.words):
+        doc, word = _known(self.words, *terms(data, offsets)[:2])
+        if not len(doc):
             return np.zeros(n)
-        known = np.zeros(1 << 16, bool)
-        known[(self.words >> np.uint64(48)).astype(np.int64)] = True
-        doc, hashes, _ = terms(data, offsets)
-        maybe = known[(hashes >> np.uint64(48)).astype(np.int64)]
-        doc, hashes = doc[maybe], hashes[maybe]
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        hit = self.words[at] == hashes
-        pairs, count = np.unique(doc[hit] * len(self.words) + at[hit], return_counts=True)
+        pairs, count = np.unique(doc * len(self.words) + word, return_counts=True)
         doc, word = np.divmod(pairs, len(self.words))
         return np.bincount(doc, weights=self.weights[word] * (1 + np.log(count)), minlength=n)
 
@@ -192,22 +210,20 @@ def ordinal_fit(
     return params[:size], np.cumsum(np.append(params[size], np.logaddexp(0, params[size + 1 :])))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, workspace: Workspace | None = None) -> Model | None:
     """Train on ``text`` of ``docs`` and ``doc_id, toxic`` of ``labels``; None unless both kinds occur."""
-    rows = training_rows(docs, labels)
-    if len(np.unique(rows.toxic)) < 2:
+    workspace = workspace or Workspace(docs.sparkSession, "toxicity")
+    sample = sample_rows(docs, labels)
+    n_toxic, n = sample.agg(F.count_if(F.col("toxic") == 1), F.count("*")).first()
+    if not 0 < n_toxic < n:
         return None
-    words, index = np.unique(rows.word, return_inverse=True)
-    chosen, marks = select_terms(rows, index, len(words))
-    grade = severity_grades(rows, marks[index])
-    column = np.full(len(words), -1)
-    column[chosen] = np.arange(len(chosen))
-    own = column[index] >= 0
-    x = 1 + np.log(rows.count[own])
-    weights, thresholds = ordinal_fit(rows.row[own], column[index[own]], x, grade, len(chosen))
+    vocabulary, marks = select_terms(sample, n_toxic, n, workspace)
+    rows = training_rows(sample, vocabulary)
+    x = 1 + np.log(rows.count)
+    weights, thresholds = ordinal_fit(rows.row, rows.term, x, severity_grades(rows, marks), len(vocabulary))
     heavy = np.abs(weights) >= LEAST_WEIGHT * np.abs(weights).max(initial=0)
-    model = Model(words[chosen][heavy], weights[heavy], thresholds)
-    z = np.bincount(rows.row[own], weights=(weights * heavy)[column[index[own]]] * x, minlength=len(rows.size))
+    model = Model(vocabulary[heavy], weights[heavy], thresholds)
+    z = np.bincount(rows.row, weights=(weights * heavy)[rows.term] * x, minlength=len(rows.toxic))
     model.cut = best_cut(model.above(z)[:, 0], rows.toxic == 1)
     return model
 
