@@ -5,7 +5,9 @@ holds one block at a time.  The training texts are the shards: each task builds,
 piece, the suffix array of its words and looks up every test suffix in it by binary
 search.  Suffixes that can't begin with a whole window (a word that no test item has comes
 too early) are left out of the array; no match starts there.  Each hit is extended to its
-longest verbatim match.  All matches of a document lie in one task, so nothing is joined.
+longest verbatim match over all places of its window in the benchmark: a block has a suffix
+array of its own, and a match narrows the range of the suffixes that go on like the text.
+All matches of a document lie in one task, so nothing is joined.
 
 A window is ``size`` consecutive item words; an item of fewer words, but not none, is one
 window.  Missing texts have no words; a null item id counts as an empty one; repeated items
@@ -29,7 +31,11 @@ BLOCK_BYTES = 2 << 20
 
 
 class TestBlock:
-    """Some test items: word ids, one search key for each distinct window, items by key."""
+    """Some test items: word ids, one search key for each distinct window, items by key.
+
+    ``suffixes`` has the places of all windows, those of one key together, from
+    ``first_suffix`` on, and sorted by the words that follow up to the item's end.
+    """
 
     __test__ = False
 
@@ -49,10 +55,13 @@ class TestBlock:
         keys = self._keys(self.sequence, starts, lengths)
         self.keys, first, key_of = np.unique(keys, return_index=True, return_inverse=True)
         self.starts, self.lengths = starts[first], lengths[first]
-        self.ends = words.first[item[first] + 1]
         self.last = self._keys(self.sequence, self.starts, self.lengths, fill=0xFFFFFFFF)
         pairs = np.unique(np.stack([key_of.ravel(), item]), axis=1) if len(item) else np.zeros((2, 0), np.int64)
         self.items, self.first_item = pairs[1], np.searchsorted(pairs[0], np.arange(len(self.keys) + 1))
+        self.tails, places = self._tails(inverse + 1, words.first, starts, item)
+        order = np.lexsort((_ranks(self.tails, int(n.max(initial=0)) + 1)[places], key_of.ravel()))
+        self.suffixes = places[order].astype(np.int32)
+        self.first_suffix = np.searchsorted(key_of.ravel()[order], np.arange(len(self.keys) + 1))
         self.ids = np.array(ids, dtype=object)
         self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
 
@@ -63,6 +72,13 @@ class TestBlock:
         table = np.where(steps < lengths[:, None], sequence[places], np.uint32(fill)).astype(">u4")
         return np.ascontiguousarray(table).view(f"S{4 * self.size}").ravel()
 
+    @staticmethod
+    def _tails(sequence, first, starts, item) -> tuple[np.ndarray, np.ndarray]:
+        """The word ids with a zero after each item, and the windows' places among them."""
+        out = np.zeros(len(sequence) + len(first), np.uint32)
+        out[np.arange(len(sequence)) + np.repeat(np.arange(len(first) - 1), np.diff(first))] = sequence
+        return out, starts + item
+
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(hashes), np.uint32)
         maybe = np.flatnonzero(self.known[(hashes >> np.uint64(48)).astype(np.int64)])
@@ -98,20 +114,46 @@ class TestBlock:
         return array[found], np.repeat(np.arange(len(self.keys)), high - low)
 
     def longest(self, words: Words, at: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Words of the longest verbatim match that starts at each occurrence."""
+        """Words of the longest verbatim match that starts at each occurrence, in any item."""
         ids = self.word_ids(words.hashes)
-        text_end = words.first[np.searchsorted(words.first, at, side="right")]
+        room = words.first[np.searchsorted(words.first, at, side="right")] - at
         length = self.lengths[key].copy()
-        room = np.minimum(text_end - at, self.ends[key] - self.starts[key])
-        live = np.flatnonzero(length < room)
+        low, high = self.first_suffix[key], self.first_suffix[key + 1]
+        live = np.flatnonzero((length < room) & (length == self.size))  # a short item is one window
         while len(live):
-            step = length[live]
-            go = ids[at[live] + step] == self.sequence[self.starts[key[live]] + step]
+            step, symbol = length[live], ids[at[live] + length[live]]
+            start = self._bound(low[live], high[live], step, symbol)
+            end = self._bound(start, high[live], step, symbol + np.uint32(1))
+            go = (start < end) & (symbol > 0)
             live = live[go]
+            low[live], high[live] = start[go], end[go]
             length[live] += 1
             live = live[length[live] < room[live]]
         return length
 
+    def _bound(self, low: np.ndarray, high: np.ndarray, step: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """First suffix of each range whose word after ``step`` words is at least ``symbol``."""
+        low, high = low.copy(), high.copy()
+        live = np.flatnonzero(low < high)
+        while len(live):
+            middle = (low[live] + high[live]) // 2
+            less = self.tails[self.suffixes[middle] + step[live]] < symbol[live]
+            low[live[less]] = middle[less] + 1
+            high[live[~less]] = middle[~less]
+            live = live[low[live] < high[live]]
+        return low
+
+
+def _ranks(sequence: np.ndarray, most: int) -> np.ndarray:
+    """Ranks of all suffixes by their first ``most`` symbols, by doubling."""
+    rank, width = sequence.astype(np.int64), 1
+    while width < most:
+        after = np.zeros_like(rank)
+        after[:-width] = rank[width:] + 1
+        _, rank = np.unique(rank * (len(rank) + int(rank.max(initial=0)) + 2) + after, return_inverse=True)
+        rank, width = rank.ravel(), 2 * width
+    return rank
+
 
 def test_blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list:
     """The benchmark as broadcast blocks; the driver holds one block of texts at a time."""

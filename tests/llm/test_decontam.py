@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -60,3 +61,45 @@ def test_longest_match_goes_past_the_window(spark):
     bench = spark.createDataFrame([(7, text)], "item_id int, text string")
     row = decontam.contamination(docs, bench).first()
     assert (row.n_hit, row.longest_match, row["items"]) == (25, 25, ["7"])
+
+
+def test_longest_match_over_all_items_that_share_a_passage(spark):
+    """Ten shared words and own ones: the window occurs in both items, the longest match in one."""
+    shared = [f"w{i}" for i in range(1, 11)]
+    items = [("a", " ".join([*shared, "x"])), ("b", " ".join([*shared, "y", "z"]))]
+    long = " ".join(f"p{i}" for i in range(100))
+    items += [(f"q{k}", f"{long} " + " ".join(f"o{k}x{i}" for i in range(20))) for k in range(5)]
+    texts = {
+        1: items[1][1], 2: f"0 {items[0][1]} z", 3: " ".join(shared), 4: f"{items[5][1]} more", 5: long, 6: f"x y z {long} o9x0",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    for order in (items, items[::-1]):
+        bench = spark.createDataFrame(order, "item_id string, text string")
+        found = {r.doc_id: r.longest_match for r in decontam.contamination(docs, bench).collect()}
+        assert found == {1: 12, 2: 11, 3: 10, 4: 120, 5: 100, 6: 100}
+
+
+def longest_brute(doc, items, size):
+    """Longest common run of words with an item, of a whole window at least."""
+    w, best = words(doc), 0
+    for text in items:
+        v = words(text)
+        k = min(size, len(v))
+        for i in range(len(w)):
+            for j in range(len(v)):
+                n = 0
+                while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                    n += 1
+                best = max(best, n) if k and n >= k else best
+    return best
+
+
+def test_longest_match_against_brute_force(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choice("ab") for _ in range(n))
+    items, docs = [text(rng.randrange(30)) for _ in range(12)], [text(rng.randrange(40)) + rng.choice(["", " c a"]) for _ in range(60)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    for block_bytes in (1, 1 << 20):
+        rows = decontam.contamination(spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string"), bench, 4, block_bytes)
+        found = {r.doc_id: r.longest_match for r in rows.collect()}
+        assert found == {i: longest_brute(d, items, 4) for i, d in enumerate(docs)}
