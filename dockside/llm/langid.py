@@ -24,6 +24,7 @@ from .base import (
     LETTER_BYTES,
     LOWER,
     WordTable,
+    byte_column,
     prefix_hash,
     ragged,
     runs,
@@ -37,7 +38,10 @@ LONGEST = 24
 #: The fit takes about so many documents of each language, and words of each document.
 SAMPLE_DOCS = 300
 SAMPLE_WORDS = 150
-MOST_LANGUAGES = 64
+#: The network and its training are made for so many languages, and grow beyond.
+USUAL_LANGUAGES = 64
+#: Labels by language that a worker holds, and that are summed at once.
+TABLE_CELLS, SUM_CELLS = 1 << 26, 1 << 22
 
 
 def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +112,8 @@ class BiGru:
         self.layers = (Direction(rng, hidden), Direction(rng, hidden))
         self.out = rng.normal(0, 0.2, (2 * hidden, len(languages))).astype(np.float32)
         self.bias = np.zeros(len(languages), np.float32)
+        #: The least score of an accepted text, by language.
+        self.least = np.zeros(len(languages))
 
     def label(self, columns: np.ndarray) -> np.ndarray:
         """Language probabilities of every position of equally long sequences."""
@@ -137,22 +143,30 @@ class BiGru:
         d_out = np.einsum("tbh,tbl->hl", states, p)
         return loss, [*grads_a.values(), *grads_b.values(), d_out, p.sum(axis=(0, 1))]
 
-    def fit(self, words: list[bytes], target: np.ndarray, steps: int = 600, batch: int = 256, rate: float = 0.01) -> float:
-        """Adam over batches of equally long words; returns the last losses' mean."""
+    def fit(
+        self,
+        data: np.ndarray,
+        first: np.ndarray,
+        lengths: np.ndarray,
+        target: np.ndarray,
+        drawn: np.ndarray,
+        steps: int = 600,
+        batch: int = 256,
+        rate: float = 0.01,
+    ) -> float:
+        """Adam over batches of equally long words of ``data``; ``drawn`` names words, some several
+        times.  Returns the last losses' mean."""
         rng = np.random.default_rng(0)
         params = [*self.layers[0].params.values(), *self.layers[1].params.values(), self.out, self.bias]
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-        lengths = np.array([len(w) for w in words])
-        groups = {n: np.flatnonzero(lengths == n) for n in np.unique(lengths)}
-        columns = {
-            n: np.frombuffer(b"".join(words[i] for i in rows), np.uint8).reshape(-1, n) for n, rows in groups.items()
-        }
-        chance = np.array([n * len(rows) for n, rows in groups.items()], float)
+        groups = {int(n): drawn[lengths[drawn] == n] for n in np.unique(lengths)}
+        groups = {n: own for n, own in groups.items() if len(own)}
+        chance = np.array([n * len(own) for n, own in groups.items()], float)
         losses = []
         for step in range(1, steps + 1):
             n = rng.choice(list(groups), p=chance / chance.sum())
-            pick = rng.integers(0, len(groups[n]), batch)
-            loss, grads = self._step(columns[n][pick], target[groups[n][pick]])
+            pick = groups[n][rng.integers(0, len(groups[n]), batch)]
+            loss, grads = self._step(data[first[pick, None] + np.arange(n)], target[pick])
             losses.append(loss)
             slow = rate * (1 - 0.9 * step / steps)
             for p, g, (m, v) in zip(params, grads, moments, strict=True):
@@ -166,7 +180,8 @@ class Labeller:
     """Sums of position labels of words, each distinct word labelled once."""
 
     def __init__(self, net: BiGru):
-        self.net, self.table = net, WordTable(20)
+        bits = min(20, max(10, int(TABLE_CELLS // len(net.languages)).bit_length() - 1))
+        self.net, self.table = net, WordTable(bits)
         self.sums = np.zeros((1024, len(net.languages)), np.float32)
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
@@ -187,6 +202,23 @@ class Labeller:
         starts, ends = segments(data, offsets)
         keys = span_hash(prefix_hash(BYTE_CODES[data]), starts, ends)
         keys[keys == 0] = 1
+        first = np.searchsorted(starts, offsets)
+        sums = np.zeros((len(offsets) - 1, len(self.net.languages)))
+        text = np.repeat(np.arange(len(sums)), np.diff(first))
+        most = max(1, min(self.table.most, SUM_CELLS // sums.shape[1]))
+        for low in range(0, len(keys), most):
+            part = slice(low, low + most)
+            place = self._places(keys[part], data, starts[part], (ends - starts)[part])
+            own = text[part]
+            heads = np.flatnonzero(np.diff(own, prepend=-1))
+            sums[own[heads]] += np.add.reduceat(self.sums[place], heads, axis=0, dtype=np.float64)
+        letters = np.concatenate([[0], np.cumsum(LETTER_BYTES[data])])
+        ascii_letters = np.concatenate([[0], np.cumsum((data >= 0x61) & (data <= 0x7A))])
+        positions = np.maximum(np.diff(letters[offsets]), 1)
+        return sums / positions[:, None], np.diff(ascii_letters[offsets]) > 0
+
+    def _places(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Places of the words' sums; unknown words are labelled first."""
         if self.table.used + len(keys) > self.table.most:
             self.table.clear()
         place = self.table.find(keys)
@@ -194,22 +226,18 @@ class Labeller:
         if len(new):
             fresh, which = np.unique(keys[new], return_index=True)
             which = new[which]
-            self._learn(fresh, data, starts[which], (ends - starts)[which])
+            self._learn(fresh, data, starts[which], lengths[which])
             place[new] = self.table.find(keys[new])
-        first = np.searchsorted(starts, offsets)
-        total = np.zeros((len(starts) + 1, self.sums.shape[1]))
-        np.cumsum(self.sums[place], axis=0, out=total[1:], dtype=np.float64)
-        letters = np.concatenate([[0], np.cumsum(LETTER_BYTES[data])])
-        ascii_letters = np.concatenate([[0], np.cumsum((data >= 0x61) & (data <= 0x7A))])
-        positions = np.maximum(np.diff(letters[offsets]), 1)
-        return np.diff(total[first], axis=0) / positions[:, None], np.diff(ascii_letters[offsets]) > 0
+        return place
 
 
-def training_words(docs: DataFrame, languages: dict[str, int]) -> list[tuple[str, bytes]]:
-    """A bounded sample of words with their document's language."""
-    shares = [x for lang, n in languages.items() for x in (F.lit(lang), F.lit(min(1.0, SAMPLE_DOCS / n)))]
-    chosen = share_below("doc_id", F.create_map(*shares)[F.col("lang")], 11)
-    sample = docs.where(F.col("lang").isin(*languages)).where(chosen)
+def training_texts(docs: DataFrame) -> list[tuple[str, bytes]]:
+    """Of a sample of documents, bounded for each language: language, and some words with spaces between."""
+    counts = docs.groupBy("lang").count().collect()
+    shares = [x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, SAMPLE_DOCS / r["count"])))]
+    if not shares:
+        return []
+    sample = docs.where(share_below("doc_id", F.create_map(*shares)[F.col("lang")], 11))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):
@@ -225,35 +253,56 @@ def training_words(docs: DataFrame, languages: dict[str, int]) -> list[tuple[str
             yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(out, pa.binary())], ["lang", "words"])
 
     found = sample.select("text", "lang").mapInArrow(cut, "lang string, words binary")
-    return [(r.lang, w) for r in found.toLocalIterator() for w in bytes(r.words).split(b" ") if w]
+    return sorted((r.lang, bytes(r.words)) for r in found.toLocalIterator() if r.words)
 
 
 def fit(docs: DataFrame, steps: int = 600) -> BiGru | None:
     """Train on ``text`` and non-null ``lang`` of the given rows; None without such rows.
 
-    The ``MOST_LANGUAGES`` most frequent languages are learned.
+    Every language is learned.  Beyond ``USUAL_LANGUAGES`` the network's states and the steps
+    grow with their number.
     """
-    docs = docs.where("lang IS NOT NULL")
-    counts = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    words = training_words(docs, {r["lang"]: r["count"] for r in counts}) if counts else []
-    if not words:
+    texts = training_texts(docs.where("lang IS NOT NULL").select("doc_id", "text", "lang"))
+    if not texts:
         return None
-    languages = sorted({lang for lang, _ in words})
+    languages = sorted({lang for lang, _ in texts})
     index = {lang: i for i, lang in enumerate(languages)}
-    by_language: dict[str, list[bytes]] = {lang: [] for lang in languages}
-    for lang, word in sorted(words):
-        by_language[lang].append(word)
-    each = max(map(len, by_language.values()))
+    data = np.frombuffer(b" ".join(w for _, w in texts), np.uint8)
+    first, ends = (x.astype(np.int32) for x in runs(data != 0x20, np.array([0, len(data)])))
+    sizes = np.array([len(w) for _, w in texts])
+    heads = np.cumsum(sizes + 1) - sizes - 1
+    label = np.array([index[lang] for lang, _ in texts], np.int32)
+    target = label[np.searchsorted(heads, first, side="right") - 1]
+    counts = np.bincount(target)
     rng = np.random.default_rng(0)
-    balanced, target = [], []
-    for lang, own in by_language.items():
-        balanced += [own[i] for i in rng.integers(0, len(own), each)]
-        target += [index[lang]] * each
-    net = BiGru(languages)
-    net.fit(balanced, np.array(target), steps)
+    # Each language as often as the others.
+    drawn = np.empty((len(counts), counts.max()), np.int32)
+    for i, n in enumerate(counts):
+        drawn[i] = counts[:i].sum() + rng.integers(0, n, drawn.shape[1])
+    grown = max(1.0, len(languages) / USUAL_LANGUAGES)
+    net = BiGru(languages, hidden=int(16 * np.sqrt(grown)))
+    net.fit(data, first, (ends - first).astype(np.uint8), target, drawn.ravel(), int(steps * grown))
+    net.least = least_scores(net, texts)
     return net
 
 
+def least_scores(net: BiGru, texts: list[tuple[str, bytes]]) -> np.ndarray:
+    """The least score that is accepted, by language.
+
+    A text without any sign of a language scores about one part in the number of languages.
+    The cut lies above that by a tenth of the way to the lowest score of the training texts
+    that get the language (short texts vary more), so it falls with the number of languages
+    and where close ones share the chance.
+    """
+    n = len(net.languages)
+    labeller, lowest = Labeller(net), np.ones(n)
+    for low in range(0, len(texts), 1000):
+        data, offsets = byte_column(pa.array([w for _, w in texts[low : low + 1000]], pa.binary()))
+        p, _ = labeller.probabilities(data, offsets)
+        np.minimum.at(lowest, p.argmax(axis=1), p.max(axis=1))
+    return 1 / n + (lowest - 1 / n) / 10 - 1e-6 if n > 1 else np.zeros(1)
+
+
 _labellers: dict[str, Labeller] = {}
 
 
@@ -305,14 +354,18 @@ def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(predict, schema)
 
 
-def keep_identified(docs: DataFrame, net: BiGru | None, least: float = 0.0) -> DataFrame:
-    """The rows whose language is known with at least the score ``least``, all columns."""
+def keep_identified(docs: DataFrame, net: BiGru | None, least: np.ndarray | float = 0.0) -> DataFrame:
+    """The rows whose language is known with at least the score ``least``, all columns.
+
+    ``least`` is one score, or one for each of the network's languages (see ``BiGru.least``).
+    """
     shared = net and _Shared(docs, net)
+    cuts = dict(zip(net.languages, np.broadcast_to(least, len(net.languages)).tolist(), strict=True)) if net else {}
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):
             names, score = _labels(shared, rows, data, offsets)
-            yield rows.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score, strict=True)]))
+            yield rows.filter(pa.array([n != UNKNOWN and s >= cuts[n] for n, s in zip(names, score, strict=True)]))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -1,5 +1,6 @@
 import zlib
 
+import corpus_pipeline
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -60,3 +61,28 @@ def test_long_words_are_labelled_in_parts():
     data = np.frombuffer(b"a" * 60 + b" " + b"b" * 24, np.uint8)
     starts, ends = langid.segments(data, np.array([0, len(data)]))
     assert list(ends - starts) == [24, 24, 12, 24]
+
+
+def test_every_language_is_learned(spark):
+    """Seventy languages, the last ones with the fewest rows."""
+    rng = np.random.default_rng(1)
+    consonants, vowels = "bcdfghjklmn", "aeiou"
+    codes = [a + b for a in consonants for b in consonants if a != b][:70]
+    word = lambda c: c + "".join(rng.choice(list(vowels), 2)) + c
+    rows = [(100 * i + k, " ".join(word(c) for _ in range(30)), f"l{i}") for i, c in enumerate(codes) for k in range(6 - i // 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = langid.fit(docs)
+    assert sorted(net.languages) == sorted({r[2] for r in rows})
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs, net).collect()}
+    right = [found[i] == lang for i, _, lang in rows]
+    assert sum(right) >= 0.95 * len(rows)
+    assert sum(found[i] == lang for i, _, lang in rows if int(lang[1:]) >= 64) >= 15
+    assert (net.least > 1 / 70).all() and langid.keep_identified(docs, net, net.least).count() == len(rows)
+
+
+def test_close_languages_are_kept_by_the_pipeline(spark):
+    """Five languages that share all their words get a fifth of the chance each."""
+    words = ["lorem", "ipsum", "dolor", "amet"]
+    rows = [(i, " ".join(words[(i + k) % 4] for k in range(20)), f"l{i % 5}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert corpus_pipeline.identify_language(spark, docs, "").count() == 100
