@@ -1,18 +1,22 @@
 """Personal data: fixed rules, and contexts bootstrapped from what they find.
 
 The rules find e-mail addresses, IP addresses, card and phone numbers.  These seed entities
-induce lexical patterns: the word before and the word after an entity, or the marks around
-it, each with the shape of the entity.  Tokens that hold many digits and that no rule took
-are instances of the same patterns.  A pattern is trusted as far as its distinct instances
-are, and an instance as far as its patterns are; Spark scores this graph in rounds, seeds
-staying at 1.  Patterns that end with high confidence and enough seeds name further spans;
-a span is added only if it is a well-formed identifier of that kind.
+induce lexical patterns: the word before and the word after an entity, whatever its shape, or
+the marks around it with its shape.  Numbers of many digits with any marks between them, and
+e-mail addresses that are spelled out, are instances of the same patterns if no rule took
+them.  A pattern is trusted as far as its distinct instances are, and an instance as far as
+its patterns are; Spark scores this graph in rounds, seeds staying at 1.  Instances that come
+to be trusted support further patterns in the next round.  Patterns that end with high
+confidence and enough support name further spans; a span is added only if it is a well-formed
+identifier of that kind.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +37,21 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 ROUNDS = 4
 CONFIDENCE = 0.7
 SEEDS = 3
-#: Tokens are looked at up to so many characters either side of their digits.
-REACH = 64
-LEAST_DIGITS = 7
-
-_DIGIT_RUN = re.compile(r"[0-9]{4,}")
-_EDGE = " \t\r\n.,;:!?\"'()[]{}<>|%$#&*=~`"
+LEAST_DIGITS, MOST_DIGITS = 7, 19
+
+_MARKS = r"[./()_·‐-―-]"
+#: Numbers with marks and single spaces between them, with marks alone, and without.
+_CHAINS = (
+    re.compile(rf"\(?[0-9]+(?:{_MARKS}{{0,2}}[  ]?{_MARKS}{{0,2}}[0-9]+)*"),
+    re.compile(rf"\(?[0-9]+(?:{_MARKS}{{1,2}}[0-9]+)*"),
+    re.compile(r"[0-9]+"),
+)
+_AT = re.compile(r"\s?[\[({<]\s?at\s?[\])}>]\s?|\sat\s", re.IGNORECASE)
+_DOT = re.compile(r"\s?[\[({<]\s?dot\s?[\])}>]\s?|\sdot\s", re.IGNORECASE)
+_LOCAL = re.compile(rf"[A-Za-z0-9_%+-]+(?:(?:\.|{_DOT.pattern})[A-Za-z0-9_%+-]+)*$", re.IGNORECASE)
+_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:(?:\.|{_DOT.pattern})[A-Za-z0-9-]+)+", re.IGNORECASE)
+#: What a text with an e-mail address that is spelled out has at least.
+_SPELLED = re.compile(rb"dot|[\[({<]\s?at", re.IGNORECASE)
 _BEFORE = re.compile(r"([^\W_]+)(\W{0,4})$")
 _AFTER = re.compile(r"^(\W{0,4})([^\W_]+)")
 _NUMBER = re.compile(r"[0-9]+")
@@ -116,47 +129,52 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     edge = lambda c: " " if c.isspace() or not c else "a" if c.isalnum() else c
     out = [f"around {edge(text[start - 1 : start])}_{edge(text[end : end + 1])} {form}"]
     if before:
-        out.append(f"after {word(before[1])}{marks(before[2])}_ {form}")
+        out.append(f"after {word(before[1])}{marks(before[2])}_")
     if after:
-        out.append(f"before _{marks(after[1])}{word(after[2])} {form}")
+        out.append(f"before _{marks(after[1])}{word(after[2])}")
     return out
 
 
+def spelled_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses such as ``ann (at) example dot org``; a bare ``at`` needs a spelled dot."""
+    for at in _AT.finditer(text):
+        low = max(0, at.start() - 64)
+        local, domain = _LOCAL.search(text[low : at.start()]), _DOMAIN.match(text[at.end() : at.end() + 256])
+        if local and domain and (at[0].strip().lower() != "at" or _DOT.search(domain[0])):
+            yield low + local.start(), at.end() + domain.end()
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens with many digits outside the given spans."""
-    last, spans = -1, sorted((s, e) for s, _, e in taken)
-    for run in _DIGIT_RUN.finditer(text):
-        if run.start() < last:
-            continue
-        start, end = run.span()
-        low, high = max(0, start - REACH), min(len(text), end + REACH)
-        while start > low and not text[start - 1].isspace():
-            start -= 1
-        while end < high and not text[end].isspace():
-            end += 1
-        last = end
-        if end - start > 2 * REACH:
-            continue
-        while start < end and text[start] in _EDGE:
-            start += 1
-        while end > start and text[end - 1] in _EDGE:
-            end -= 1
-        if sum(c.isdigit() for c in text[start:end]) < LEAST_DIGITS:
-            continue
-        if not any(s < end and e > start for s, e in spans):
+    """Numbers with many digits, cut out at letters and other marks, and spelled addresses,
+    outside the given spans.  Cuts of one place can overlap."""
+    spans = sorted((s, e) for s, _, e in taken)
+    starts = [s for s, _ in spans]
+    ends = list(accumulate((e for _, e in spans), max))
+    found = set(spelled_emails(text))
+    for chain in _CHAINS:
+        for m in chain.finditer(text):
+            if LEAST_DIGITS <= sum(c.isdigit() for c in m[0]) <= MOST_DIGITS:
+                start = m.start() + (m[0][0] == "(" and ")" not in m[0])
+                found.add((start, m.end()))
+    for start, end in sorted(found):
+        i = bisect_left(starts, end)
+        if not i or ends[i - 1] <= start:
             yield start, end
 
 
 def well_formed(kind: str, value: str) -> bool:
     """Whether a found token can be an identifier of the kind at all."""
     digits = _digits(value)
+    if kind == "email":
+        value = _DOT.sub(".", _AT.sub("@", value))
+        return list(emails(value)) == [(0, len(value))]
+    if _LETTERS.search(value):
+        return False
     if kind == "card":
         return 12 <= len(digits) <= 19 and luhn(digits)
     if kind == "ip":
         return list(addresses(value)) == [(0, len(value))]
-    if kind == "phone":
-        return 9 <= len(digits) <= 15
-    return list(emails(value)) == [(0, len(value))]
+    return 9 <= len(digits) <= 15
 
 
 def _text_of(spans: list[tuple[int, int, int]]) -> str:
@@ -176,7 +194,9 @@ def findings(docs: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         for rows, data, offsets in text_pieces(batches):
-            some = np.concatenate([[0], np.cumsum(digit[data])])[offsets]
+            marks = digit[data]
+            marks[[m.start() for m in _SPELLED.finditer(data.tobytes())]] = True
+            some = np.concatenate([[0], np.cumsum(marks)])[offsets]
             n = rows.num_rows
             base, seeds, found = ([[] for _ in range(n)] for _ in range(3))
             for i in np.flatnonzero(np.diff(some)):
@@ -209,33 +229,50 @@ def findings(docs: DataFrame) -> DataFrame:
 
 
 def score_patterns(edges: DataFrame, workspace: Workspace, rounds: int = ROUNDS) -> DataFrame:
-    """``pattern, kind, confidence, seeds`` from distinct edges ``pattern, value, kind`` (null: no seed).
+    """``pattern, kind, confidence, seeds`` from distinct edges ``pattern, value, kind, kinds``.
 
-    Each round: a pattern's confidence is its instances' sum over their count and one; an
-    instance's is the chance that at least one of its patterns is right.
+    ``kind`` is null but for seeds, ``kinds`` says what the value can be.  Each round: a
+    pattern's confidence is its instances' sum over their count and one; an instance's is the
+    chance that at least one of its patterns is right.  A pattern's ``seeds`` are its seeds and
+    the instances that are trusted by then; patterns with too few of them trust nothing.
     """
-    instances = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n"))
     seeded = edges.where("kind IS NOT NULL").select("value", "kind").distinct()
-    support = edges.join(seeded, ["value", "kind"]).groupBy("pattern", "kind").agg(F.countDistinct("value").alias("seeds"))
-    support = workspace.stage(support.join(instances, "pattern"), "support")
-    links = edges.select("pattern", "value").distinct()
-    links = workspace.stage(links.join(support.select("pattern").distinct(), "pattern"), "links")
+    instances = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n")).where(F.col("n") >= SEEDS)
+    links = workspace.stage(edges.select("pattern", "value", "kinds").distinct().join(instances, "pattern"), "links")
     trust = seeded.withColumn("trust", F.lit(1.0))
+    own = links.select("pattern", "value", "n").distinct()
     for k in range(rounds):
-        sums = links.join(trust, "value").groupBy("pattern", "kind").agg(F.sum("trust").alias("sum"))
-        scored = support.join(sums, ["pattern", "kind"]).select(
-            "pattern", "kind", (F.col("sum") / (F.col("n") + 1)).alias("confidence"), "seeds"
+        sure = F.count(F.when(F.col("trust") >= CONFIDENCE, 1))
+        sums = own.join(trust, "value").groupBy("pattern", "kind").agg(
+            (F.sum("trust") / (F.first("n") + 1)).alias("confidence"), sure.alias("seeds")
         )
-        scored = workspace.stage(scored, f"patterns-{k}")
+        scored = workspace.stage(sums.where(F.col("seeds") >= SEEDS), f"patterns-{k}")
         if k + 1 < rounds:
             miss = F.sum(F.log(1 - 0.9 * F.least("confidence", F.lit(1.0))))
-            felt = links.join(scored, "pattern").groupBy("value", "kind").agg((1 - F.exp(miss)).alias("felt"))
+            felt = links.join(scored, "pattern").where(F.array_contains("kinds", F.col("kind")))
+            felt = felt.groupBy("value", "kind").agg((1 - F.exp(miss)).alias("felt"))
             trust = felt.join(seeded.withColumn("is_seed", F.lit(True)), ["value", "kind"], "full").select(
                 "value", "kind", F.when(F.col("is_seed"), 1.0).otherwise(F.col("felt")).alias("trust")
             )
     return scored
 
 
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted cuts, those that don't overlap an earlier one."""
+    integer = pa.int32()
+    kind = pa.list_(pa.struct([("start", integer), ("kind", integer), ("end", integer)]))
+    for batch in batches:
+        out = []
+        for cuts in batch.column(1).to_pylist():
+            last, own = 0, []
+            for x in cuts:
+                if x["start"] >= last:
+                    last = -x["back"]
+                    own.append({"start": x["start"], "kind": x["kind"], "end": last})
+            out.append(own)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["row", "added"])
+
+
 def detect(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
     """One row a document: ``doc_id, base_text, base`` (the rules' spans), ``added`` and ``spans``.
 
@@ -245,16 +282,20 @@ def detect(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
     """
     workspace = workspace or Workspace(docs.sparkSession, "pii")
     rows = workspace.stage(findings(docs), "findings")
-    each = lambda column, kind: (
-        rows.select(F.explode(column).alias("x")).select(F.explode("x.patterns").alias("pattern"), "x.value", kind)
+    each = lambda column, kind, kinds: (
+        rows.select(F.explode(column).alias("x")).select(F.explode("x.patterns").alias("pattern"), "x.value", kind, kinds)
     )
     none = F.lit(None).cast("int").alias("kind")
-    edges = workspace.stage(each("seeds", F.col("x.kind")).unionByName(each("found", none)).distinct(), "edges")
+    seeds = each("seeds", F.col("x.kind"), F.array("x.kind").alias("kinds"))
+    edges = workspace.stage(seeds.unionByName(each("found", none, F.col("x.kinds"))).distinct(), "edges")
     trusted = score_patterns(edges, workspace).where((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= SEEDS))
     hits = rows.select("row", F.explode("found").alias("x")).select("row", "x.*").withColumn("pattern", F.explode("patterns"))
     hits = hits.join(trusted, "pattern").where(F.array_contains("kinds", F.col("kind")))
     best = hits.groupBy("row", "start", "end").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
-    added = best.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("added"))
+    # Of overlapping cuts the first and longest stays.
+    longest = F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("back"), "kind")))
+    added = best.groupBy("row").agg(longest.alias("x"))
+    added = added.mapInArrow(_apart, f"row long, added array<{_SPAN}>")
     names = F.array(*map(F.lit, KINDS))
     text = lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])
     whole = F.sort_array(F.concat("base", "added"))

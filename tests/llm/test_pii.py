@@ -85,3 +85,32 @@ def test_awkward_rows(awkward, empty):
     assert {r.doc_id for r in rows if r.spans} == {10}
     assert [r.spans for r in rows if r.doc_id == 10] == ["ip:0:7"]
     assert pii.detect(empty).collect() == []
+
+
+def test_contexts_find_unseen_formats(spark):
+    rng = random.Random(3)
+    digits = lambda n: "".join(str(rng.randrange(10)) for _ in range(n))
+    rows = [(i, f"please call me at +1 {digits(3)} {digits(3)} {digits(4)} tonight") for i in range(20)]
+    rows += [(100 + i, f"he paid with card {valid_card(rng)} in town") for i in range(20)]
+    rows += [(200 + i, f"write to contact mail user{i}@example.org for help") for i in range(20)]
+    dotted = ".".join(re.findall("....", valid_card(rng)))
+    expected = {300: "phone:18:30", 301: f"card:18:{18 + len(dotted)}", 302: "email:22:44", 303: "email:22:40"}
+    rows += [(300, "please call me at 555-867-5309 tonight"), (301, f"he paid with card {dotted} in town")]
+    rows += [(302, "write to contact mail ann at example dot org for help"), (303, "write to contact mail ann[at]example.org for help")]
+    rows += [(304, "look at example.com and the dot there"), (305, "build number 555-867-5309 passed")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.detect(docs).collect()}
+    for i, end in ((302, len("ann at example dot org")), (303, len("ann[at]example.org"))):
+        expected[i] = f"email:22:{22 + end}"
+    assert {i: found[i].spans for i in range(300, 306)} == expected | {304: "", 305: ""}
+
+
+def test_trusted_instances_induce_patterns(spark):
+    """Contexts that no seed has, but numbers that trusted contexts found elsewhere."""
+    numbers = [f"555-867-{i}" for i in range(5300, 5312)]
+    rows = [(i, f"call me at +1 202 555 {i + 1000} now") for i in range(40)]
+    rows += [(100 + i, f"call me at {n} now") for i, n in enumerate(numbers[:8])]
+    rows += [(200 + i, f"hotline: {n} daily") for i, n in enumerate(numbers[:9])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.detect(docs).collect()}
+    assert found[100] == "phone:11:23" and found[208] == "phone:9:21"
