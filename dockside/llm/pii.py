@@ -52,6 +52,8 @@ _LOCAL = re.compile(rf"[A-Za-z0-9_%+-]+(?:(?:\.|{_DOT.pattern})[A-Za-z0-9_%+-]+)
 _DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:(?:\.|{_DOT.pattern})[A-Za-z0-9-]+)+", re.IGNORECASE)
 #: What a text with an e-mail address that is spelled out has at least.
 _SPELLED = re.compile(rb"dot|[\[({<]\s?at", re.IGNORECASE)
+#: Text without spaces between its words: the nearest two characters stand for a word.
+_UNSPACED = re.compile("[฀-໿぀-ヿ㐀-鿿]")
 _BEFORE = re.compile(r"([^\W_]+)(\W{0,4})$")
 _AFTER = re.compile(r"^(\W{0,4})([^\W_]+)")
 _NUMBER = re.compile(r"[0-9]+")
@@ -125,13 +127,14 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     before = _BEFORE.search(text[max(0, start - 40) : start])
     after = _AFTER.search(text[end : end + 40])
     word = lambda w: shape(w) if any(map(str.isdigit, w)) else w.lower()
+    near = lambda w, part: w[part] if _UNSPACED.search(w[part]) else w
     marks = lambda m: re.sub(r"\s+", " ", m)
     edge = lambda c: " " if c.isspace() or not c else "a" if c.isalnum() else c
     out = [f"around {edge(text[start - 1 : start])}_{edge(text[end : end + 1])} {form}"]
     if before:
-        out.append(f"after {word(before[1])}{marks(before[2])}_")
+        out.append(f"after {word(near(before[1], slice(-2, None)))}{marks(before[2])}_")
     if after:
-        out.append(f"before _{marks(after[1])}{word(after[2])}")
+        out.append(f"before _{marks(after[1])}{word(near(after[2], slice(2)))}")
     return out
 
 

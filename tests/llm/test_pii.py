@@ -114,3 +114,18 @@ def test_trusted_instances_induce_patterns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r.spans for r in pii.detect(docs).collect()}
     assert found[100] == "phone:11:23" and found[208] == "phone:9:21"
+
+
+@pytest.mark.parametrize("wrap", [
+    lambda n, i: '{"a":"' + "x" * 100 + f'","card":"{n}","b":"' + "y" * 100 + '"}',
+    lambda n, i: "汉" * 90 + f"卡号{n}支付" + "字" * 90,
+])
+def test_candidates_in_text_without_spaces(spark, wrap):
+    rng = random.Random(6)
+    numbers = [valid_card(rng) for _ in range(20)]
+    dotted = ".".join(re.findall("....", valid_card(rng)))
+    rows = [(i, wrap(n, i)) for i, n in enumerate([*numbers, dotted])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.detect(docs).collect()}
+    start = rows[20][1].index(dotted)
+    assert found[20].spans == f"card:{start}:{start + len(dotted)}"
