@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, near, packing, pii, quality, sharding, suffix, toxicity
+from . import decontam, exact, langid, near, negatives, packing, pii, quality, sharding, suffix, toxicity
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,12 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     net = langid.fit(docs.where(fold(5) != 0).select("doc_id", "text", "lang"))
     found = langid.identify(docs, net)
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; the label of every seventh is moved on by one."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = _table(spark, d, "embeddings", "vec_id", "label", "embedding").withColumn("label", moved)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
