@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, near, negatives, packing, pii, quality, sharding, suffix, toxicity
+from . import decontam, exact, langid, near, negatives, packing, pii, quality, sharding, suffix, toxicity, trie
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,12 @@ def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     rows = _table(spark, d, "embeddings", "vec_id", "label", "embedding").withColumn("label", moved)
     return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    """Prefix trie of all conversations, rebuilt so that each family of five shares its heads."""
+    turns = trie.sequences(_table(spark, d, "conversations", "conv_id", "turn", "role", "text"))
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string").cast("binary")) % 9
+    return trie.prefix_trie(trie.with_shared_heads(turns, conv - conv % 5, head, 8))

@@ -123,3 +123,42 @@ FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND label <> anchor_
   AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3
 """
+
+#: CRC-32 of a text as an unsigned number, bit by bit.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], "
+    "list_transform(range(1, length({0}) + 1), lambda i: CAST(ascii(substr({0}, i, 1)) AS BIGINT))), "
+    "lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT) for z in range(8)]), "
+    "lambda a, z: xor(a >> 1, CAST(3988292384 AS BIGINT) * (a & 1)))))"
+)
+
+CHECKS["op13_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, list(x ORDER BY k) AS seq FROM turns GROUP BY conv_id),
+heads AS (SELECT conv_id, seq, CAST({_CRC32.format("CAST(conv_id AS VARCHAR)")} % 9 AS INTEGER) AS h FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.seq[1:c.h], []), c.seq[c.h + 1:]) AS seq
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+prefixes AS (SELECT conv_id, len(seq) AS n, seq[1:d] AS p, d FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '') AS ends,
+         bool_and(n = d) AS childless,
+         CASE WHEN any_value(d) = 0 THEN 0 ELSE (count(*) - 1) * strlen(any_value(p)[-1].t) END AS saved
+  FROM prefixes GROUP BY p
+),
+under AS (
+  SELECT v.p, sum(w.saved) AS saved, count(*) FILTER (w.childless) AS leaves, count(*) FILTER (w.d = v.d + 1) AS children
+  FROM nodes v JOIN nodes w ON w.d >= v.d AND w.p[1:v.d] = v.p GROUP BY v.p
+)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, v.n_convs,
+       CAST(children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(under.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v JOIN under ON under.p = v.p LEFT JOIN nodes u ON u.d = v.d - 1 AND u.p = v.p[1:v.d - 1]
+"""
