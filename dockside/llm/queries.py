@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, near, negatives, packing, pii, quality, sharding, suffix, toxicity, trie
+from . import decontam, exact, langid, licenses, near, negatives, packing, pii, quality, sharding, suffix, toxicity, trie
 from .base import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,18 @@ def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     conv = F.col("conv_id")
     head = F.crc32(conv.cast("string").cast("binary")) % 9
     return trie.prefix_trie(trie.with_shared_heads(turns, conv - conv % 5, head, 8))
+
+
+@query
+def op11_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    """License labels of every text, and the places of the base phrases."""
+    return licenses.scan(_texts(spark, d)).select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base").alias("first_word"),
+        F.array_max("base").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
