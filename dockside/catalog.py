@@ -8,6 +8,7 @@ reads, so that only the tables behind those columns are joined.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +29,22 @@ from .plans import (
     impact,
     monthly,
 )
+from .plans.checks import RunChecks
 from .schemas import PREFERRED_VENDOR, SHIP_CHOICE, TRANSIT_PLAN
 from .sources import (
+    OTS_LINE_KEYS,
+    SOT_LINE_KEYS,
+    equal_cuts,
+    jdbc_ranges,
     read_dim,
     read_fact,
+    read_lines,
     scratch_path,
+    session_folder,
+    split_dim,
     tee,
     write_book,
+    write_lines,
     write_report,
     write_snapshot,
 )
@@ -49,6 +59,8 @@ SOT_MEASURED = ("ShipCancelMonth", "Units", "Lateness", "DAYS_LATE", "SHP_MODE_C
 OTS_MEASURED = ("Month_Number", "Units", "Lateness", "Days_Late", "SHP_MODE_CATG_NM")
 SHARE = ("Month_Number", "Units", "Lateness")
 YEAR = PARAMS.fis_yr
+LINE_BUCKETS = 8
+RANGES = 8
 
 
 def query(fn: Query) -> Query:
@@ -121,6 +133,23 @@ def s03_snapshot(spark, d):
     )
 
 
+@query
+def s03_failed_save(spark, d):
+    """A save that fails half-way, then one that reads what it replaces: lines of late years."""
+    path = session_folder(spark, "sot_versions")
+    columns = ("NUMBER_SEQ", "FISCAL_YEAR", "ShipCancelMonth", "Units", "Lateness")
+    lines = fx.sot(spark, d, columns)
+    write_snapshot(lines, path)
+    broken = F.when(F.col("FISCAL_YEAR") == YEAR, F.raise_error(F.lit("broken"))).otherwise(F.col("Units"))
+    with suppress(Exception):
+        write_snapshot(lines.withColumn("Units", broken), path)
+    write_snapshot(read_fact(spark, path, SOT_SCHEMA, columns).where(F.col("FISCAL_YEAR") >= YEAR - 2), path)
+    saved = read_fact(spark, path, SOT_SCHEMA, columns)
+    return saved.groupBy("FISCAL_YEAR", "ShipCancelMonth", "Lateness").agg(
+        F.count("*").alias("n"), F.sum("Units").alias("units")
+    )
+
+
 def _delimited(df: DataFrame, name: str, sep: str) -> str:
     path = scratch_path(df.sparkSession, name)
     df.write.option("header", True).option("sep", sep).option("escape", '"').csv(path)
@@ -204,6 +233,46 @@ def s06_rule_table(spark, d):
     return ops.enrich(rules, units, {k: k for k in choice.ROUTE})
 
 
+@query
+def s06_bad_rows(spark, d):
+    """A vendor file in which some identifiers are no numbers: its good rows and its bad records."""
+    ident = F.expr("CASE WHEN vendor_id % 10 = 3 THEN concat('x', vendor_id) ELSE CAST(vendor_id AS STRING) END")
+    vendors = fx.preferred_vendor(spark, d).withColumn("vendor_id", ident)
+    split = split_dim(spark, _delimited(vendors, "vendors", ","), PREFERRED_VENDOR)
+    line = F.concat_ws(",", *PREFERRED_VENDOR.names)
+    good = split.good.select(F.lit("good").alias("kind"), line.alias("line"))
+    return good.unionByName(split.bad.select(F.lit("bad").alias("kind"), F.col("record").alias("line")))
+
+
+@query
+def s01_equal_cuts(spark, d):
+    """Ranges of the line id for a parallel read: how many, whether even, and their lines."""
+    lines = fx.sot(spark, d, ("NUMBER_SEQ",))
+    ranges = jdbc_ranges("NUMBER_SEQ", equal_cuts(lines, "NUMBER_SEQ", RANGES))
+    sizes = lines.agg(*(F.count_if(F.expr(r)).alias(f"n{i}") for i, r in enumerate(ranges)))
+    each = F.array(*(F.col(f"n{i}") for i in range(len(ranges))))
+    total = F.aggregate(each, F.lit(0).cast("long"), lambda a, n: a + n)
+    return sizes.select(
+        F.lit(len(ranges)).alias("ranges"),
+        F.forall(each, lambda n: F.abs(n * len(ranges) - total) <= total / 10).alias("even"),
+        total.alias("lines"),
+    )
+
+
+@query
+def w04_run_checks(spark, d):
+    """Snapshot dates of both facts as a weekly run sees them, from the pass that sums the lines."""
+    checks = RunChecks()
+    for name, fact, month in (
+        ("sot", _sot(spark, d, "Data_Pulled", *SOT_MEASURED), "ShipCancelMonth"),
+        ("ots", _ots(spark, d, "Data_Pulled", *OTS_MEASURED), "Month_Number"),
+    ):
+        sums = checks.one_snapshot_date(fact, name).groupBy(month).agg(ops.plain_sum("Units").alias("units"))
+        sums.write.format("noop").mode("overwrite").save()
+    rows = [(name, m["first"], m["last"], m["lines"]) for name, m in checks.verify().items()]
+    return spark.createDataFrame(rows, "fact string, first date, last date, lines long")
+
+
 # ---- single operators that no report shows alone ----
 
 
@@ -264,6 +333,16 @@ def a04_mixed_impact(spark, d):
     return ops.measures_by(fx.sot_rough(spark, d, ROUGH), ROUGH_KEYS, sums)
 
 
+@query
+def a05_large_totals(spark, d):
+    """Totals beyond 64 bits: sums by year and brand, added up by year and over all years."""
+    lines = fx.sot_large(spark, d, ("FISCAL_YEAR", "ReportingBrand", *SOT_MEASURED))
+    base = ops.measures_by(lines, ("FISCAL_YEAR", "ReportingBrand"), ops.sot_sums("lenient"))
+    years = ops.roll_up(base, ("FISCAL_YEAR",), ops.SOT_NAMES)
+    total = ops.roll_up(base, (), ops.SOT_NAMES).withColumn("FISCAL_YEAR", F.lit(None).cast("int"))
+    return ops.finish(years.unionByName(total), ops.SOT_NAMES)
+
+
 @query
 def x01_floor(spark, d):
     """Floored totals of fractional units."""
@@ -288,6 +367,21 @@ def j06_any_status(spark, d):
     )
 
 
+@query
+def j06_bucketed_lines(spark, d):
+    """The cross-table from lines saved in buckets of their id."""
+    root = session_folder(spark, "lines")
+    ots = fx.ots(spark, d, _columns(OTS_LINE_KEYS, ("Units",)))
+    sot = fx.sot(spark, d, _columns(SOT_LINE_KEYS, ("Units",)), YEAR)
+    write_lines(ots, f"{root}/ots", OTS_LINE_KEYS, LINE_BUCKETS)
+    write_lines(sot, f"{root}/sot", SOT_LINE_KEYS, LINE_BUCKETS)
+    return monthly.stocked_vs_shipped(
+        cleaning.clean_ots(read_lines(spark, f"{root}/ots"), PARAMS, YEAR),
+        cleaning.clean_sot(read_lines(spark, f"{root}/sot"), PARAMS),
+        collapsed=True,
+    )
+
+
 @query
 def w03_first_lines(spark, d):
     return ops.first_rows(fx.sot(spark, d), 6, ("NUMBER_SEQ",))
@@ -311,6 +405,15 @@ def x04_percent_text(spark, d):
     return share.select("entity", "Month_Number", pct_text(F.col("ots_pct")).alias("ots_text"))
 
 
+@query
+def x04_percent_digits(spark, d):
+    """Shares of centres and months as text, with the digits that the whole column asks for."""
+    shares = _ots(spark, d, "DC_NAME", *SHARE).groupBy("DC_NAME", "Month_Number").agg(
+        ops.on_time_ratio().alias("share")
+    )
+    return ops.percent_texts(shares, {"share": "share_text"}).drop("share")
+
+
 @query
 def x05_thousands(spark, d):
     table = _brand_totals(spark, d)
@@ -875,6 +978,33 @@ def r66_sub_reason_spread(spark, d):
     return delays.sub_reason_spread(_classified(spark, d), PARAMS)
 
 
+@query
+def r65_reason_box(spark, d):
+    return delays.reason_boxes(_sot(spark, d, *REASONS), PARAMS)[0]
+
+
+@query
+def r65_reason_outliers(spark, d):
+    """Outliers of the units of all lines with a reason, capped or not."""
+    uncapped = replace(PARAMS, unit_cap=float("inf"))
+    return delays.reason_boxes(_skewed(_sot(spark, d, *REASONS)), uncapped)[1]
+
+
+@query
+def r66_sub_reason_box(spark, d):
+    return delays.sub_reason_boxes(_skewed(_classified(spark, d)), PARAMS)[0]
+
+
+@query
+def r66_sub_reason_outliers(spark, d):
+    return delays.sub_reason_boxes(_skewed(_classified(spark, d)), PARAMS)[1]
+
+
+def _skewed(lines: DataFrame) -> DataFrame:
+    """Units to the third power: a long tail, which equal spacing lacks."""
+    return lines.withColumn("Units", F.col("Units") * F.col("Units") * F.col("Units"))
+
+
 # ---- ship choice ----
 
 ROUTES = (*choice.ROUTE, "Contract_Ship_Cancel", "SHP_RSN_TYP_DESC", "Lateness", "Units")

@@ -237,6 +237,23 @@ check(
     "SELECT FISCAL_YEAR, ShipCancelMonth, Lateness, count(*) AS n, sum(Units) AS units "
     "FROM sot GROUP BY ALL",
 )
+check(
+    "s03_failed_save",
+    "SELECT FISCAL_YEAR, ShipCancelMonth, Lateness, count(*) AS n, sum(Units) AS units "
+    f"FROM sot WHERE FISCAL_YEAR >= {YEAR - 2} GROUP BY ALL",
+)
+check("s01_equal_cuts", "SELECT 8 AS ranges, true AS even, count(*) AS lines FROM sot")
+check(
+    "w04_run_checks",
+    "SELECT 'sot' AS fact, min(Data_Pulled) AS first, max(Data_Pulled) AS last, count(*) AS lines FROM sot_c "
+    "UNION ALL SELECT 'ots', min(Data_Pulled), max(Data_Pulled), count(*) FROM ots_c",
+)
+check(
+    "s06_bad_rows",
+    "SELECT CASE WHEN vendor_id % 10 = 3 THEN 'bad' ELSE 'good' END AS kind, "
+    "concat_ws(',', new_category, vendor_name, CASE WHEN vendor_id % 10 = 3 THEN concat('x', vendor_id) "
+    "ELSE CAST(vendor_id AS VARCHAR) END, category_status) AS line FROM preferred_vendor",
+)
 check(
     "s04_quoted_csv",
     "SELECT new_category, vendor_name || ', \"Ltd\"' AS vendor_name, vendor_id, category_status "
@@ -384,6 +401,11 @@ check(
     f"""{_mode("Lateness <> 'Unmeasured'", 'subset')} AS measured FROM sot_rough GROUP BY ALL""",
 )
 _exact_raw = {n: e.replace("Units", _EXACT) for n, e in _sot_raw().items()}
+_large = {n: e.replace("Units", "CAST(Units AS DECIMAL(28, 4))") for n, e in _sot_raw().items()}
+check(
+    "a05_large_totals",
+    f"SELECT FISCAL_YEAR, {_measures(_large)} FROM sot_large GROUP BY ROLLUP (FISCAL_YEAR)",
+)
 check(
     "x01_floor",
     f"SELECT ShipCancelMonth, {_measures(_exact_raw)} FROM sot_rough "
@@ -513,6 +535,7 @@ check(
     "ON o.NUMBER_SEQ = s.NUMBER_SEQ WHERE o.Lateness <> 'Undetermined' "
     "AND s.Lateness <> 'Unmeasured' GROUP BY 1, 2, 3",
 )
+CHECKS["j06_bucketed_lines"] = CHECKS["r27_stocked_vs_shipped"]
 for _tag, _sot in (("", "sot_c"), ("n", "sot_n")):
     for _name, _key in (
         ("r28{}_brand_delays", "ReportingBrand"),
@@ -610,6 +633,32 @@ for _block, (_m, _y, _j) in {
     check(f"{_m}_{_block}_month", _BLOCKS[_block][0])
     check(f"{_y}_{_block}_ytd", _BLOCKS[_block][1])
     check(f"{_j}_{_block}_joined", _joined(*_BLOCKS[_block]))
+# Shares of one column have the digits that its spread asks for: a step of one below the spread's
+# leading digit, in percent, less the zeros that all of them end with.
+_TENTHS = " ".join(f"WHEN {d} THEN printf('%.{d}f', round_even(p, {d}))" for d in range(7))
+
+
+def _percent_digits(table: str, keys: str) -> str:
+    ends = "length(CAST(CAST(round_even(p * power(10, digits), 0) AS BIGINT) AS VARCHAR))"
+    cut = "length(rtrim(CAST(CAST(round_even(p * power(10, digits), 0) AS BIGINT) AS VARCHAR), '0'))"
+    return (
+        f"SELECT * FROM (WITH t AS ({table}), p AS (SELECT *, 100 * share AS p FROM t), "
+        "s AS (SELECT CASE WHEN max(share) = min(share) THEN max(share) ELSE max(share) - min(share) END AS span "
+        "FROM t), d AS (SELECT CASE WHEN span > 0 THEN CAST(-floor(log10(span)) AS INT) ELSE 0 END AS digits FROM s), "
+        f"n AS (SELECT greatest(max(CASE WHEN p = 0 THEN 0 ELSE greatest(digits - ({ends} - {cut}), 0) END), 0) "
+        "AS shown FROM p, d) "
+        f"SELECT {keys}, CASE shown {_TENTHS} END || '%' AS share_text FROM p, d, n)"
+    )
+
+
+check(
+    "x04_percent_digits",
+    _percent_digits(
+        "SELECT DC_NAME, Month_Number, "
+        f"CAST({_sum(_ON_TIME)} AS DOUBLE) / nullif({_sum(_MEASURED)}, 0) AS share FROM ots_c GROUP BY 1, 2",
+        "DC_NAME, Month_Number",
+    ),
+)
 check(
     "x04_percent_text",
     "SELECT spine.entity, m AS Month_Number, ots_text "
@@ -797,6 +846,38 @@ check(
     "AND sub_reason <> 'Not Tested' GROUP BY 1",
 )
 
+
+def _boxes(key: str, rows: str, value: str, outliers: bool) -> str:
+    five = (
+        f"SELECT {key}, count(Units) AS rows, quantile_cont(Units, 0.25) AS q1, "
+        "quantile_cont(Units, 0.5) AS median, quantile_cont(Units, 0.75) AS q3 FROM v GROUP BY 1"
+    )
+    lead = (
+        f"WITH v AS (SELECT {key}, {value} AS Units FROM {rows} AND Units IS NOT NULL), five AS ({five}), "
+        "f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS low_fence, q3 + 1.5 * (q3 - q1) AS high_fence FROM five) "
+    )
+    if outliers:
+        return (
+            f"SELECT * FROM ({lead} SELECT {key}, Units, count(*) AS n FROM v JOIN f USING ({key}) "
+            "WHERE Units < low_fence OR Units > high_fence GROUP BY 1, 2)"
+        )
+    inside = "Units BETWEEN low_fence AND high_fence"
+    return (
+        f"SELECT * FROM ({lead} SELECT {key}, rows, least(min(Units) FILTER ({inside}), q1) AS low_whisker, q1, median, q3, "
+        f"greatest(max(Units) FILTER ({inside}), q3) AS high_whisker, low_fence, high_fence, "
+        f"count(*) FILTER (NOT ({inside})) AS outliers FROM v JOIN f USING ({key}) "
+        f"GROUP BY {key}, rows, q1, median, q3, low_fence, high_fence)"
+    )
+
+
+_REASON_ROWS = f"sot_c WHERE ShipCancelWeek = {WEEK} AND SHP_RSN_TYP_DESC <> '-'"
+_TESTED_ROWS = f"classified WHERE ShipCancelWeek = {WEEK} AND sub_reason <> 'Not Tested'"
+_CUBED = "Units * Units * Units"
+check("r65_reason_box", _boxes("SHP_RSN_TYP_DESC", f"{_REASON_ROWS} AND Units < 40", "Units", False))
+check("r65_reason_outliers", _boxes("SHP_RSN_TYP_DESC", _REASON_ROWS, _CUBED, True))
+check("r66_sub_reason_box", _boxes("sub_reason", _TESTED_ROWS, _CUBED, False))
+check("r66_sub_reason_outliers", _boxes("sub_reason", _TESTED_ROWS, _CUBED, True))
+
 # ---- ship choice ----
 
 check("r67_choice_base", "SELECT * FROM choices")

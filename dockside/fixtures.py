@@ -127,6 +127,9 @@ SOT_ROUGH = SOT | {
     "DAYS_LATE": f"CASE WHEN l_orderkey % 17 = 0 THEN 0 ELSE {SOT['DAYS_LATE']} END",
 }
 
+# The same lines in units so small that a year's total passes 64 bits in ten-thousandths.
+SOT_LARGE = SOT | {"Units": "l_quantity * 4000000000 + 0.25"}
+
 OTS = {
     "NUMBER_SEQ": LINE_ID,
     "Data_Pulled": "DATE '2001-06-30'",
@@ -282,6 +285,13 @@ def sot_rough(
     return _view(spark, sf_dir, SOT_ROUGH, columns, table(spark, sf_dir, "lineitem"))
 
 
+def sot_large(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
+) -> DataFrame:
+    """Shipped lines with very many units."""
+    return _view(spark, sf_dir, SOT_LARGE, columns, table(spark, sf_dir, "lineitem"))
+
+
 def ots(
     spark: SparkSession,
     sf_dir: str,
@@ -363,6 +373,7 @@ def check_ctes() -> dict[str, str]:
     return {
         "sot": f"SELECT {body(SOT)} FROM {joined}",
         "sot_rough": f"SELECT {body(SOT_ROUGH)} FROM {joined}",
+        "sot_large": f"SELECT {body(SOT_LARGE)} FROM {joined}",
         "ots": f"SELECT {body(OTS)} FROM {joined} "
         f"LEFT JOIN {DC_MAP} ON c_nationkey % 20 = idx WHERE {OTS_ROWS}",
         "country": COUNTRY.format(**plain),

@@ -18,13 +18,14 @@ from .measures import (
     roll_up,
     sot_sums,
 )
-from .quantiles import five_numbers
+from .quantiles import box_plots, five_numbers, five_of_counts, value_counts
 from .shape import (
     beside,
     domain_of,
     nth_level,
     nulls_to_text,
     peek,
+    percent_texts,
     relabel,
     stack,
 )
@@ -47,7 +48,10 @@ __all__ = [
     "enrich",
     "finish",
     "first_rows",
+    "box_plots",
     "five_numbers",
+    "five_of_counts",
+    "value_counts",
     "impact_measures",
     "impact_sums",
     "measures_by",
@@ -59,6 +63,7 @@ __all__ = [
     "on_time_ratio",
     "ots_sums",
     "peek",
+    "percent_texts",
     "plain_sum",
     "read_snapshot_date",
     "relabel",

@@ -1,13 +1,14 @@
 """Conditional unit sums, and the measure sets built from them.
 
-Every report reduces to sums of units under a condition.  The sums are kept raw
-(not floored) until :func:`finish`, so that they can be added up again: an
-aggregate at the finest keys feeds all coarser levels without reading the fact twice.
+Every report reduces to sums of units under a condition.  The sums are kept raw, as exact
+wide decimals, until :func:`finish`, so that they can be added up again: an aggregate at the
+finest keys feeds all coarser levels without reading the fact twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,39 +40,78 @@ OTS_NAMES = (
 OTS_ORDER = ("on_time", "late", "late5", "weighted", "air_late", "air")
 
 
-def fixed_sum(value: str, cond: str | None = None) -> str:
-    """SQL text of a sum in ten-thousandths, as a double; zero on no rows.
+#: Type of a sum that is carried on: ten-thousandths with 34 digits before the point.
+WIDE = "DECIMAL(38,4)"
+_LIMB = 1 << 24
 
-    Whole numbers are added, so the result does not depend on the order or the number
-    of partitions, and a total that is whole in exact arithmetic is whole here.
+
+def _known(value: str) -> str:
+    """A line's number as a double; NaN counts as missing."""
+    return f"nanvl(CAST({value} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def wide_sum(value: str, cond: str | None = None) -> str:
+    """SQL text of an exact sum over lines, as a wide decimal; zero on no rows.
+
+    A line counts as whole ten-thousandths, cut into an upper and a lower limb that are added
+    up apart as integers.  So the result does not depend on the order or the number of
+    partitions, and totals go far beyond 64 bits: to 10**22 over 5 * 10**11 lines.  A total
+    beyond that, or an infinite value, ends the run.
     """
     within = f" FILTER (WHERE {cond})" if cond else ""
-    total = f"sum(CAST(rint(({value}) * 10000) AS BIGINT)){within}"
-    return f"(CAST(coalesce({total}, 0) AS DOUBLE) / 10000)"
+    scaled = f"rint({_known(value)} * 10000)"
+    upper = f"floor({scaled} / {_LIMB}D)"
+    lower = f"CAST({scaled} - {upper} * {_LIMB}D AS BIGINT)"
+    total = (
+        f"CAST(coalesce(sum({upper}){within}, 0) AS DECIMAL(20,0)) * CAST({_LIMB} AS DECIMAL(8,0))"
+        f" + CAST(coalesce(sum({lower}){within}, 0) AS DECIMAL(20,0))"
+    )
+    return f"CAST(({total}) * CAST(0.0001 AS DECIMAL(4,4)) AS {WIDE})"
 
 
-def plain_sum(value: str) -> Column:
-    """Sum that is null when any value is null, and zero on no rows."""
-    return F.expr(f"CASE WHEN count_if(({value}) IS NULL) = 0 THEN {fixed_sum(value)} END")
+def _sum_of_sums(value: str, cond: str | None = None) -> str:
+    """SQL text of a sum over wide sums."""
+    within = f" FILTER (WHERE {cond})" if cond else ""
+    return f"CAST(coalesce(sum({value}){within}, 0) AS {WIDE})"
+
+
+def _guarded(value: str, cond: str | None, nulls: str, of: str, wide: bool) -> Column:
+    if of not in ("lines", "sums"):
+        raise ValueError(f"unknown kind of values {of!r}")
+    total = wide_sum(value, cond) if of == "lines" else _sum_of_sums(value, cond)
+    if not wide:
+        total = f"CAST({total} AS DOUBLE)"
+    missing = f"{_known(value)} IS NULL" if of == "lines" else f"({value}) IS NULL"
+    spoiled = {
+        "lenient": None,
+        "strict": f"({cond}) IS NULL OR (({cond}) AND {missing})" if cond else missing,
+        "subset": f"coalesce({cond}, false) AND {missing}" if cond else missing,
+    }
+    if nulls not in spoiled:
+        raise ValueError(f"unknown null mode {nulls!r}")
+    bad = spoiled[nulls]
+    return F.expr(f"CASE WHEN count_if({bad}) = 0 THEN {total} END" if bad else total)
+
+
+def plain_sum(value: str, of: str = "lines", wide: bool = False) -> Column:
+    """Sum that is null when any value is null, and zero on no rows.
+
+    ``value`` is SQL text.  ``of`` says whether it is a number of each line or a wide sum of
+    an earlier aggregate.  The result is a double to show, or ``wide`` to be added up further.
+    """
+    return _guarded(value, None, "strict", of, wide)
 
 
-def cond_sum(value: str, cond: str, nulls: str = "lenient") -> Column:
+def cond_sum(
+    value: str, cond: str, nulls: str = "lenient", of: str = "lines", wide: bool = False
+) -> Column:
     """Sum of ``value`` over the rows where ``cond`` holds; zero when there is none.
 
     Both are SQL text.  ``lenient`` skips null conditions and null values.  ``strict``
     gives null if a condition, or a selected value, is null.  ``subset`` skips null
-    conditions but gives null if a selected value is null.
+    conditions but gives null if a selected value is null.  NaN counts as null.
     """
-    total = fixed_sum(value, cond)
-    if nulls == "lenient":
-        return F.expr(total)
-    if nulls == "strict":
-        spoiled = f"({cond}) IS NULL OR (({cond}) AND ({value}) IS NULL)"
-    elif nulls == "subset":
-        spoiled = f"coalesce({cond}, false) AND ({value}) IS NULL"
-    else:
-        raise ValueError(f"unknown null mode {nulls!r}")
-    return F.expr(f"CASE WHEN count_if({spoiled}) = 0 THEN {total} END")
+    return _guarded(value, cond, nulls, of, wide)
 
 
 ON_TIME = "Lateness = 'OnTime'"
@@ -82,29 +122,30 @@ AIR = "SHP_MODE_CATG_NM = 'PrepaidAir'"
 
 def _late_measures(days: str, nulls: str, late5_nulls: str) -> dict[str, Column]:
     # Unit-days are counted on late rows with at least one day, row by row.
+    total = partial(cond_sum, wide=True)
     unit_days, delayed, deep = f"Units * {days}", f"{LATE} AND {days} >= 1", f"{LATE} AND {days} > 5"
     return {
-        "on_time": cond_sum("Units", ON_TIME, nulls),
-        "late": cond_sum("Units", LATE, nulls),
-        "late5": cond_sum("Units", deep, late5_nulls),
-        "weighted": cond_sum(unit_days, delayed, nulls),
-        "air": cond_sum("Units", AIR, nulls),
-        "air_late": cond_sum("Units", f"{AIR} AND {LATE}", nulls),
-        "air_late5": cond_sum("Units", f"{AIR} AND {deep}", nulls),
-        "air_weighted": cond_sum(unit_days, f"{AIR} AND {delayed}", nulls),
+        "on_time": total("Units", ON_TIME, nulls),
+        "late": total("Units", LATE, nulls),
+        "late5": total("Units", deep, late5_nulls),
+        "weighted": total(unit_days, delayed, nulls),
+        "air": total("Units", AIR, nulls),
+        "air_late": total("Units", f"{AIR} AND {LATE}", nulls),
+        "air_late5": total("Units", f"{AIR} AND {deep}", nulls),
+        "air_weighted": total(unit_days, f"{AIR} AND {delayed}", nulls),
     }
 
 
 def sot_sums(nulls: str = "strict", late5_nulls: str | None = None) -> Sums:
     """The nine shipped-side measures, raw."""
     m = _late_measures("DAYS_LATE", nulls, late5_nulls or nulls)
-    return dict(zip(SOT_NAMES, (plain_sum("Units"), *m.values()), strict=True))
+    return dict(zip(SOT_NAMES, (plain_sum("Units", wide=True), *m.values()), strict=True))
 
 
 def ots_sums(nulls: str = "strict", air_total: bool = True) -> Sums:
     """The seven stocked-side measures, raw; six without the prepaid-air total."""
     m = _late_measures("Days_Late", nulls, nulls)
-    columns = (plain_sum("Units"), *(m[k] for k in OTS_ORDER))
+    columns = (plain_sum("Units", wide=True), *(m[k] for k in OTS_ORDER))
     sums = dict(zip(OTS_NAMES, columns, strict=True))
     if not air_total:
         del sums["PPAOTSUnits"]
@@ -118,13 +159,13 @@ def measures_by(df: DataFrame, keys: Sequence[str], sums: Sums) -> DataFrame:
 
 def roll_up(base: DataFrame, keys: Sequence[str], names: Iterable[str]) -> DataFrame:
     """Add raw sums up to coarser keys; a null part makes the total null."""
-    return base.groupBy(*keys).agg(*(plain_sum(n).alias(n) for n in names))
+    return base.groupBy(*keys).agg(*(plain_sum(n, of="sums", wide=True).alias(n) for n in names))
 
 
 def finish(df: DataFrame, names: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
-    """Floor the raw sums to whole numbers, except those in ``keep``."""
+    """Floor the raw sums to whole numbers; those in ``keep`` are shown as they are, as doubles."""
     kept = set(keep)
-    return df.withColumns({n: whole(n) for n in names if n not in kept})
+    return df.withColumns({n: F.col(n).cast("double") if n in kept else whole(n) for n in names})
 
 
 def on_time_ratio(nulls: str = "lenient", within: str = "true") -> Column:

@@ -1,4 +1,4 @@
-"""Exact five-number summaries without gathering a group in one task."""
+"""Exact five-number summaries and box plots without gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -13,10 +13,20 @@ from .joins import combine
 POINTS = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """How often each value occurs in each group, as ``n``; missing values are left out."""
+    return df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count("*").alias("n"))
+
+
 def five_numbers(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """Minimum, quartiles and maximum per group, interpolating between neighbours.
+    """Minimum, quartiles and maximum per group, interpolating between neighbours."""
+    return five_of_counts(value_counts(df, keys, col), keys, col)
+
 
-    1. Rows collapse to (keys, value, copies) before any shuffle.
+def five_of_counts(counts: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """The same from :func:`value_counts`.
+
+    1. Rows have collapsed to (keys, value, copies) before any shuffle.
     2. Values are cut into slices of about one percent of their size, in value order.
        Slice totals give the rank at which every slice starts; that window sees one
        row per slice, which the range of the numbers bounds, not the count of rows.
@@ -26,12 +36,7 @@ def five_numbers(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """
     on = {k: k for k in (*keys, "slice")}
     size = F.expr(f"CAST(floor(signum({col}) * log1p(abs({col})) * 128) AS INT)")
-    counts = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(*keys, col)
-        .agg(F.count("*").alias("n"))
-        .withColumn("slice", size)
-    )
+    counts = counts.withColumn("slice", size)
     group = Window.partitionBy(*keys)
     starts = (
         counts.groupBy(*keys, "slice")
@@ -68,6 +73,50 @@ def five_numbers(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     return out.select(*keys, "rows", *(point(n, p) for n, p in POINTS.items()))
 
 
+def box_plots(
+    counts: DataFrame, keys: Sequence[str], col: str, reach: float = 1.5
+) -> tuple[DataFrame, DataFrame]:
+    """Box-plot statistics per group, and the outliers, from :func:`value_counts`.
+
+    The fences lie ``reach`` box lengths outside the quartiles.  Whiskers end at the outermost
+    values within the fences, but never inside the box; what lies outside is an outlier.  Both
+    tables come from the same value counts, so a group of any size is counted once, and the
+    one row of a group meets its counts, not its rows.
+
+    The first table holds the keys, ``rows, low_whisker, q1, median, q3, high_whisker,
+    low_fence, high_fence, outliers`` (their number of rows); the second holds the keys, each
+    outlying value and its ``n``.  A group without a value is in neither.
+    """
+    five = five_of_counts(counts, keys, col)
+    fences = five.withColumns(
+        {
+            "low_fence": F.expr(f"q1 - {reach}D * (q3 - q1)"),
+            "high_fence": F.expr(f"q3 + {reach}D * (q3 - q1)"),
+        }
+    ).drop("low", "high")
+    within = f"{col} >= low_fence AND {col} <= high_fence"
+    box = ("rows", "q1", "median", "q3", "low_fence", "high_fence")
+    placed = combine(counts, fences, {k: k for k in keys}, "inner")
+    boxes = placed.groupBy(*keys, *box).agg(
+        F.expr(f"min({col}) FILTER (WHERE {within})").alias("__low"),
+        F.expr(f"max({col}) FILTER (WHERE {within})").alias("__high"),
+        F.expr(f"coalesce(sum(n) FILTER (WHERE NOT ({within})), 0)").alias("outliers"),
+    )
+    boxes = boxes.select(
+        *keys,
+        "rows",
+        F.least("__low", "q1").alias("low_whisker"),
+        "q1",
+        "median",
+        "q3",
+        F.greatest("__high", "q3").alias("high_whisker"),
+        "low_fence",
+        "high_fence",
+        "outliers",
+    )
+    return boxes, placed.where(f"NOT ({within})").select(*keys, col, "n")
+
+
 def _ranks(p: float) -> tuple[str, str]:
     """The two neighbouring zero-based ranks around quantile ``p``."""
     return f"floor((rows - 1) * {p}D)", f"ceil((rows - 1) * {p}D)"

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import pct_text_of, percent_digits
+
 
 def relabel(col: str, groups: Mapping[str, tuple[str, ...]]) -> Column:
     """Many-to-one relabelling ``{new: (old, ...)}``; an unlisted value becomes null."""
@@ -35,6 +37,20 @@ def nulls_to_text(df: DataFrame, token: str = "-", decimals: int = 6) -> DataFra
     return df.select(*(text(f) for f in df.schema.fields))
 
 
+def percent_texts(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add shares as text ``{share: text}``, each column with the digits it asks for.
+
+    The digits are a scalar subquery over the table; where that is an aggregate of a fact, the
+    subquery reads the aggregate's exchange again, not the fact.
+    """
+    return df.withColumns(
+        {
+            text: pct_text_of(F.col(share), df.agg(percent_digits(share)).scalar())
+            for share, text in columns.items()
+        }
+    )
+
+
 def stack(*blocks: DataFrame) -> DataFrame:
     """Union by column name, duplicates kept."""
     return reduce(DataFrame.unionByName, blocks)

@@ -18,7 +18,7 @@ REASON = "SHP_RSN_TYP_DESC"
 
 def _units_by_route(sot: DataFrame) -> DataFrame:
     return sot.groupBy("ReportingBrand", DATE, *ROUTE, REASON, "Lateness").agg(
-        plain_sum("Units").alias("vendor_units")
+        plain_sum("Units", wide=True).alias("vendor_units")
     )
 
 
@@ -34,7 +34,7 @@ def choice_base(sot: DataFrame, rules: DataFrame) -> DataFrame:
             *ROUTE,
             REASON,
             "Lateness",
-            "vendor_units",
+            F.col("vendor_units").cast("double").alias("vendor_units"),
             "Ship_Choice_Status",
             "delay_label",
         )
@@ -57,7 +57,7 @@ def first_choice(rules: DataFrame) -> DataFrame:
 
 
 def _units_where(cond: str, nulls: str = "strict") -> Column:
-    return cond_sum("vendor_units", cond, nulls)
+    return cond_sum("vendor_units", cond, nulls, of="sums")
 
 
 def first_choice_performance(base: DataFrame, params: ReportParams) -> DataFrame:
@@ -78,7 +78,7 @@ def first_choice_performance(base: DataFrame, params: ReportParams) -> DataFrame
                 (100 * ratio(_units_where(a, "lenient"), _units_where(b, "lenient"))).alias(n)
                 for n, (a, b) in share.items()
             ),
-            plain_sum("vendor_units").alias("units"),
+            plain_sum("vendor_units", of="sums").alias("units"),
         )
         .withColumn("choice_impact", F.col("sot_pct_first") - F.col("sot_pct_all"))
         .where(F.col("units") >= params.min_units)
@@ -87,7 +87,7 @@ def first_choice_performance(base: DataFrame, params: ReportParams) -> DataFrame
 
 def performance_by_choice(base: DataFrame, params: ReportParams) -> DataFrame:
     """On-time percent by contract date and choice status."""
-    total = plain_sum("vendor_units")
+    total = plain_sum("vendor_units", of="sums")
     return (
         base.groupBy(DATE, "Ship_Choice_Status")
         .agg(

@@ -21,6 +21,7 @@ from ..operators import (
     month_vs_ytd,
     on_spine,
     on_time_ratio,
+    percent_texts,
     plain_sum,
     relabel,
     sql_text,
@@ -229,8 +230,8 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
         _rows(ots, False)
         .groupBy("DC_NAME", "ReportingBrand", MONTH)
         .agg(
-            cond_sum("Units", ON_TIME).alias("on_time"),
-            cond_sum("Units", MEASURED).alias("measured"),
+            cond_sum("Units", ON_TIME, wide=True).alias("on_time"),
+            cond_sum("Units", MEASURED, wide=True).alias("measured"),
         )
     )
     centre = F.col("DC_NAME")
@@ -282,12 +283,18 @@ def dashboard(ots: DataFrame, params: ReportParams) -> DataFrame:
     )
 
 
+def as_text(board: DataFrame) -> DataFrame:
+    """The dashboard as published: shares as percent text, each column with its own digits."""
+    texts = percent_texts(board, {"ots_pct": "__month", "ytd_ots_pct": "__ytd"})
+    return texts.select("entity", MONTH, F.col("__month").alias("ots_pct"), F.col("__ytd").alias("ytd_ots_pct"))
+
+
 def centre_by_month(ots: DataFrame) -> DataFrame:
     """Units and on-time share by month and centre, all months."""
     return _rows(ots, False).groupBy(MONTH, "DC_NAME").agg(
         on_time_ratio("strict").alias("ots_pct"),
-        whole(plain_sum("Units")).alias("raw_units"),
-        whole(cond_sum("Units", MEASURED, "strict")).alias("measured_units"),
-        whole(cond_sum("Units", ON_TIME, "strict")).alias("OnTimeUnits"),
-        whole(cond_sum("Units", LATE, "strict")).alias("LateUnits"),
+        whole(plain_sum("Units", wide=True)).alias("raw_units"),
+        whole(cond_sum("Units", MEASURED, "strict", wide=True)).alias("measured_units"),
+        whole(cond_sum("Units", ON_TIME, "strict", wide=True)).alias("OnTimeUnits"),
+        whole(cond_sum("Units", LATE, "strict", wide=True)).alias("LateUnits"),
     )

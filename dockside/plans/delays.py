@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cond_sum, five_numbers, plain_sum
+from ..operators import box_plots, cond_sum, five_numbers, plain_sum, value_counts
 from ..params import ReportParams
 
 NO_REASON = "-"
@@ -34,15 +34,34 @@ def reason_units(sot: DataFrame, params: ReportParams, delays_only: bool = False
     return rows.groupBy(REASON).agg(plain_sum("Units").alias("units"))
 
 
-def reason_spread(sot: DataFrame, params: ReportParams) -> DataFrame:
-    """Five-number summary of line units per delay reason, large lines left out."""
-    rows = sot.where(
+def _reason_lines(sot: DataFrame, params: ReportParams) -> DataFrame:
+    """Lines of the week with a reason; large lines are left out."""
+    return sot.where(
         _week(params) & (F.col(REASON) != NO_REASON) & (F.col("Units") < params.unit_cap)
     )
-    return five_numbers(rows, (REASON,), "Units")
+
+
+def _tested_lines(classified: DataFrame, params: ReportParams) -> DataFrame:
+    """Lines of the week with a tested failure sub-reason."""
+    return classified.where(_week(params) & (F.col("sub_reason") != "Not Tested"))
+
+
+def reason_spread(sot: DataFrame, params: ReportParams) -> DataFrame:
+    """Five-number summary of line units per delay reason."""
+    return five_numbers(_reason_lines(sot, params), (REASON,), "Units")
 
 
 def sub_reason_spread(classified: DataFrame, params: ReportParams) -> DataFrame:
     """Five-number summary of line units per tested failure sub-reason."""
-    rows = classified.where(_week(params) & (F.col("sub_reason") != "Not Tested"))
-    return five_numbers(rows, ("sub_reason",), "Units")
+    return five_numbers(_tested_lines(classified, params), ("sub_reason",), "Units")
+
+
+def reason_boxes(sot: DataFrame, params: ReportParams) -> tuple[DataFrame, DataFrame]:
+    """Box plot of line units per delay reason: the boxes, and the outliers as value and count."""
+    return box_plots(value_counts(_reason_lines(sot, params), (REASON,), "Units"), (REASON,), "Units")
+
+
+def sub_reason_boxes(classified: DataFrame, params: ReportParams) -> tuple[DataFrame, DataFrame]:
+    """Box plot of line units per tested failure sub-reason."""
+    key = ("sub_reason",)
+    return box_plots(value_counts(_tested_lines(classified, params), key, "Units"), key, "Units")

@@ -7,7 +7,8 @@ levels cost one pass over a fact.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from ..operators import (
     top_n,
 )
 from ..schemas import SHIPPED_UNKNOWN, STOCKED_UNKNOWN
+from ..sources.scratch import session_folder, stage
 
 LEVELS = {
     "brand_category": ("ReportingBrand", "Category"),
@@ -88,7 +90,7 @@ def _levels(base: DataFrame, month: str, names: Sequence[str]) -> DataFrame:
     keys = (month, "ReportingBrand", "Category")
     sets = [[F.col(month), *(F.col(k) for k in level)] for level in LEVELS.values()]
     rolled = base.groupingSets(sets, *(F.col(k) for k in keys)).agg(
-        F.grouping_id().alias("__gid"), *(plain_sum(n).alias(n) for n in names)
+        F.grouping_id().alias("__gid"), *(plain_sum(n, of="sums", wide=True).alias(n) for n in names)
     )
     # grouping_id has one bit per key, set where the key is summed over.
     label = F.element_at(
@@ -193,72 +195,84 @@ def preferred_combined(
 # ---- lists ----
 
 
-def top_countries(sot: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` countries with most units.
+def _totals(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(plain_sum("Units", wide=True).alias("units"))
+
 
-    Units are summed per code before the names are joined.
+def leading_countries(totals: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
+    """The ``k`` countries with most units, from wide sums ``units`` by code or finer.
+
+    Units are summed per code before the names are joined.  A code with two names may rank
+    twice, once under each.
     """
-    by_code = sot.groupBy("CountryOfOrigin").agg(plain_sum("Units").alias("units"))
+    by_code = totals.groupBy("CountryOfOrigin").agg(plain_sum("units", of="sums", wide=True).alias("units"))
     named = enrich(by_code, country.select("CTRY_CD", "CTRY_DESC"), {"CountryOfOrigin": "CTRY_CD"})
-    totals = named.groupBy("CountryOfOrigin", "CTRY_DESC").agg(
-        whole(plain_sum("units")).alias("units_by_country")
+    named = named.groupBy("CountryOfOrigin", "CTRY_DESC").agg(
+        whole(plain_sum("units", of="sums", wide=True)).alias("units_by_country")
     )
-    return top_k(totals, k, "units_by_country", ("CountryOfOrigin", "CTRY_DESC"))
+    return top_k(named, k, "units_by_country", ("CountryOfOrigin", "CTRY_DESC"))
 
 
-def top_vendors(sot: DataFrame, k: int = 50) -> DataFrame:
+def leading_vendors(totals: DataFrame, k: int = 50) -> DataFrame:
     """The ``k`` vendors with most units; lines without a vendor count as one vendor."""
-    totals = sot.groupBy("Parent_Vendor").agg(
-        whole(plain_sum("Units")).alias("units_by_vendor")
+    by_vendor = totals.groupBy("Parent_Vendor").agg(
+        whole(plain_sum("units", of="sums", wide=True)).alias("units_by_vendor")
     )
-    return top_k(totals, k, "units_by_vendor", ("Parent_Vendor",))
+    return top_k(by_vendor, k, "units_by_vendor", ("Parent_Vendor",))
 
 
-def _members(sums: DataFrame, key: str, month: str, names: Sequence[str], side: str) -> DataFrame:
-    """One row for each country or vendor, its months in an array named ``side``."""
-    return sums.groupBy(key).agg(
-        F.collect_list(F.struct(F.col(month).alias("month"), *names)).alias(side),
-        plain_sum(names[0]).alias("units"),
-    )
+def top_countries(sot: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
+    """The ``k`` countries with most units."""
+    return leading_countries(_totals(sot, "CountryOfOrigin"), country, k)
 
 
-def _leading_countries(members: DataFrame, country: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` countries with most units; a code with two names may rank twice but counts once."""
-    named = enrich(members, country.select("CTRY_CD", "CTRY_DESC"), {"CountryOfOrigin": "CTRY_CD"})
-    totals = named.groupBy("CountryOfOrigin", "CTRY_DESC").agg(
-        whole(plain_sum("units")).alias("units_by_country"), F.first("shipped").alias("shipped")
-    )
-    chosen = top_k(totals, k, "units_by_country", ("CountryOfOrigin", "CTRY_DESC"))
-    return chosen.dropDuplicates(["CountryOfOrigin"]).select("CountryOfOrigin", "shipped")
+def top_vendors(sot: DataFrame, k: int = 50) -> DataFrame:
+    """The ``k`` vendors with most units."""
+    return leading_vendors(_totals(sot, "Parent_Vendor"), k)
 
 
-def _leading_vendors(members: DataFrame, k: int = 50) -> DataFrame:
-    """The ``k`` vendors with most units; lines without a vendor count as one vendor."""
-    chosen = top_k(members.withColumn("units", whole("units")), k, "units", ("Parent_Vendor",))
-    return chosen.select("Parent_Vendor", "shipped")
+def sums_of_listed(sums: DataFrame, chosen: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Monthly shipped measures of the listed countries or vendors, from finer sums."""
+    return finish(roll_up(restrict(sums, chosen, on, dedupe=True), ("ShipCancelMonth",), SOT_NAMES), SOT_NAMES)
 
 
-def _shipped_sums(sot: DataFrame, key: str) -> DataFrame:
-    sums = measures_by(sot, (key, "ShipCancelMonth"), sot_sums())
-    return _members(sums, key, "ShipCancelMonth", SOT_NAMES, "shipped")
+def stock_of_listed(sums: DataFrame, chosen: DataFrame, on: Mapping[str, str], names: Sequence[str]) -> DataFrame:
+    """The stocked counterpart; the total stays unfloored."""
+    listed = roll_up(restrict(sums, chosen, on, dedupe=True), ("Month_Number",), names)
+    return finish(listed, names, keep=("OTSUnits",))
 
 
-def _months(chosen: DataFrame) -> DataFrame:
-    months = chosen.select(F.inline("shipped")).withColumnRenamed("month", "ShipCancelMonth")
-    return finish(roll_up(months, ("ShipCancelMonth",), SOT_NAMES), SOT_NAMES)
+def listed_combined(
+    shipped: DataFrame, stocked: DataFrame, chosen: DataFrame, key: str, ots_key: str, how: str,
+    names: Sequence[str] = OTS_NAMES,
+) -> DataFrame:
+    """Both sides of the listed countries or vendors, from sums by key and month or finer."""
+    return combined(
+        sums_of_listed(shipped, chosen, {key: key}),
+        stock_of_listed(stocked, chosen, {ots_key: key}, names),
+        (),
+        how,
+    )
+
 
+def _key_sums(sot: DataFrame, key: str, folder: str | None) -> tuple[DataFrame, DataFrame]:
+    """Shipped sums by key and month, written once, and their units: a list and its measures
+    come from one pass over the fact."""
+    sums = measures_by(sot, (key, "ShipCancelMonth"), sot_sums())
+    sums = stage(sums, "key_sums", folder or session_folder(sot.sparkSession, "key_sums"))
+    return sums, sums.select(key, F.col("SOTUnits").alias("units"))
 
-def country_sot(sot: DataFrame, country: DataFrame) -> DataFrame:
-    """Monthly shipped measures of the leading countries.
 
-    Each country carries its months, so the list and the measures come from one pass.
-    """
-    return _months(_leading_countries(_shipped_sums(sot, "CountryOfOrigin"), country))
+def country_sot(sot: DataFrame, country: DataFrame, folder: str | None = None) -> DataFrame:
+    """Monthly shipped measures of the leading countries; the fact is read once."""
+    sums, totals = _key_sums(sot, "CountryOfOrigin", folder)
+    return sums_of_listed(sums, leading_countries(totals, country), {"CountryOfOrigin": "CountryOfOrigin"})
 
 
-def vendor_sot(sot: DataFrame) -> DataFrame:
-    """Monthly shipped measures of the leading vendors, from one pass."""
-    return _months(_leading_vendors(_shipped_sums(sot, "Parent_Vendor")))
+def vendor_sot(sot: DataFrame, folder: str | None = None) -> DataFrame:
+    """Monthly shipped measures of the leading vendors; the fact is read once."""
+    sums, totals = _key_sums(sot, "Parent_Vendor", folder)
+    return sums_of_listed(sums, leading_vendors(totals), {"Parent_Vendor": "Parent_Vendor"})
 
 
 def listed_ots(
@@ -268,71 +282,31 @@ def listed_ots(
     return company_ots(restrict(ots, chosen, on, dedupe=True), profile)
 
 
-def _beside_stock(chosen: DataFrame, stocked: DataFrame, key: str, ots_key: str, names: Sequence[str], how: str) -> DataFrame:
-    """Shipped months of the chosen members beside their stocked months, added up."""
-    both = combine(chosen, stocked.select(ots_key, "stocked"), {key: ots_key})
-    empty = {"shipped": SOT_NAMES, "stocked": names}
-
-    def cells(side: str) -> Column:
-        shown = ", ".join(
-            f"{f'm.{n}' if n in empty[side] else 'CAST(NULL AS DOUBLE)'} AS {n}" for n in (*SOT_NAMES, *names)
-        )
-        make = f"transform({side}, m -> named_struct('side', '{side}', 'month', m.month, 'sums', struct({shown})))"
-        return F.expr(f"coalesce({make}, array())")
-
-    rows = both.select(F.explode(F.concat(cells("shipped"), cells("stocked"))).alias("x")).select("x.side", "x.month", "x.sums.*")
-    sums = {}
-    for side, own in empty.items():
-        for n in own:
-            held = F.expr(f"count_if(side = '{side}') > 0")
-            sums[n] = F.when(held, cond_sum(n, f"side = '{side}'", "subset"))
-    wanted = ("shipped", "stocked") if how == "inner" else ("shipped",)
-    table = rows.groupBy(F.col("month").alias("ShipCancelMonth")).agg(
-        *(c.alias(n) for n, c in sums.items()), F.collect_set("side").alias("sides")
-    )
-    for side in wanted:
-        table = table.where(F.array_contains("sides", side))
-    table = finish(table.drop("sides"), sums, keep=("OTSUnits",))
-    return table.select("ShipCancelMonth", *(c for c in COMBINED_ORDER if c in table.columns))
-
-
-def _listed_combined(
-    sot: DataFrame, ots: DataFrame, listed_from: DataFrame | None, lead: Callable[[DataFrame], DataFrame],
-    key: str, ots_key: str, how: str, profile: str,
-) -> DataFrame:
-    members = _shipped_sums(sot, key)
-    if listed_from is None:
-        chosen = lead(members)
-    else:
-        units = measures_by(listed_from, (key, "ShipCancelMonth"), {"SOTUnits": plain_sum("Units")})
-        chosen = lead(_members(units, key, "ShipCancelMonth", ("SOTUnits",), "shipped")).select(key)
-        chosen = combine(chosen, members.drop("units"), {key: key})
-    sums = ots_sums(air_total=profile == "script")
-    stocked = measures_by(ots, (ots_key, "Month_Number"), sums)
-    stocked = _members(stocked, ots_key, "Month_Number", tuple(sums), "stocked")
-    return _beside_stock(chosen, stocked, key, ots_key, tuple(sums), how)
-
-
 def country_combined(
-    sot: DataFrame, ots: DataFrame, country: DataFrame, profile: str = "script", listed_from: DataFrame | None = None
-) -> DataFrame:
+    sot: DataFrame, ots: DataFrame, country: DataFrame, profile: str = "script",
+    listed_from: DataFrame | None = None, folder: str | None = None,
+) -> DataFrame:
     """Leading countries, only months that both sides have; each fact is read once.
 
     The notebook draws its list from lines before cleaning, ``listed_from``.
     """
-    return _listed_combined(
-        sot, ots, listed_from, lambda m: _leading_countries(m, country),
-        "CountryOfOrigin", "ORIGIN_COUNTRY_CODE", "inner", profile,
-    )
+    key, stock = "CountryOfOrigin", ots_sums(air_total=profile == "script")
+    sums, totals = _key_sums(sot, key, folder)
+    chosen = leading_countries(totals if listed_from is None else _totals(listed_from, key), country)
+    stocked = measures_by(ots, ("ORIGIN_COUNTRY_CODE", "Month_Number"), stock)
+    return listed_combined(sums, stocked, chosen, key, "ORIGIN_COUNTRY_CODE", "inner", tuple(stock))
 
 
 def vendor_combined(
-    sot: DataFrame, ots: DataFrame, profile: str = "script", listed_from: DataFrame | None = None
-) -> DataFrame:
+    sot: DataFrame, ots: DataFrame, profile: str = "script",
+    listed_from: DataFrame | None = None, folder: str | None = None,
+) -> DataFrame:
     """Leading vendors; each fact is read once."""
-    return _listed_combined(
-        sot, ots, listed_from, _leading_vendors, "Parent_Vendor", "Parent_Vendor", "left", profile
-    )
+    key, stock = "Parent_Vendor", ots_sums(air_total=profile == "script")
+    sums, totals = _key_sums(sot, key, folder)
+    chosen = leading_vendors(totals if listed_from is None else _totals(listed_from, key))
+    stocked = measures_by(ots, (key, "Month_Number"), stock)
+    return listed_combined(sums, stocked, chosen, key, key, "left", tuple(stock))
 
 
 # ---- stocked-side tables ----
@@ -340,18 +314,19 @@ def vendor_combined(
 
 def ots_by_centre(ots: DataFrame, profile: str = "script") -> DataFrame:
     """Distribution centres by month; the notebook divides by all units."""
-    on_time = cond_sum("Units", ON_TIME, "strict")
+    total = partial(cond_sum, nulls="strict", wide=True)
+    on_time, units = total("Units", ON_TIME), plain_sum("Units", wide=True)
     share = (
-        on_time_ratio("strict") if profile == "script" else ratio(on_time, plain_sum("Units"))
+        on_time_ratio("strict") if profile == "script" else ratio(on_time, units)
     )
-    unit_days = cond_sum("Units * Days_Late", f"{LATE} AND Days_Late >= 1", "strict")
+    unit_days = total("Units * Days_Late", f"{LATE} AND Days_Late >= 1")
     return ots.groupBy("Fiscal_Month", "Month_Number", "DCCampus", "DC_NAME", "DestCtryCD").agg(
         whole(on_time).alias("OnTimeUnits"),
-        whole(plain_sum("Units")).alias("total_units"),
+        whole(units).alias("total_units"),
         share.alias("ots_pct"),
-        whole(cond_sum("Units", f"{LATE} AND Days_Late > 5", "strict")).alias("OTSLate5daysUnits"),
+        whole(total("Units", f"{LATE} AND Days_Late > 5")).alias("OTSLate5daysUnits"),
         whole(unit_days).alias("WTOTSLateUnits"),
-        whole(cond_sum("Units", LATE, "strict")).alias("LateUnits"),
+        whole(total("Units", LATE)).alias("LateUnits"),
     ).select(
         "Fiscal_Month",
         "Month_Number",
@@ -367,30 +342,35 @@ def ots_by_centre(ots: DataFrame, profile: str = "script") -> DataFrame:
     )
 
 
-def stocked_vs_shipped(ots: DataFrame, sot: DataFrame) -> DataFrame:
+def stocked_vs_shipped(ots: DataFrame, sot: DataFrame, collapsed: bool = False) -> DataFrame:
     """Stocked units by month, stocked status and shipped status of the same line.
 
     Both sides collapse by line id before they meet: shipped lines to one row per id and
     status with a count, stocked lines to one row per id, month and status.  An id that
     repeats very often shrinks in the tasks that read it, and its pairs are added up
-    without being listed.  Every status is carried, known or not.  Stocked lines cross
-    the network twice for that: by id, month and status, then by id.
+    without being listed.  Every status is carried, known or not.
+
+    From facts, stocked lines cross the network twice for that: by id, month and status, then
+    by id.  With ``collapsed`` both inputs are cleaned tables of
+    :func:`dockside.sources.write_lines`, whose buckets need no shuffle for either.
     """
     status = F.col("Lateness")
+    count = F.sum("lines") if collapsed else F.count("*")
+    units = plain_sum("Units", of="sums" if collapsed else "lines", wide=True)
     shipped = (
         sot.where(status != SHIPPED_UNKNOWN)
         .groupBy("NUMBER_SEQ", status.alias("ShippedOnTime"))
-        .agg(F.count("*").alias("lines"))
+        .agg(count.alias("lines"))
     )
     stocked = (
         ots.where(status != STOCKED_UNKNOWN)
         .groupBy("NUMBER_SEQ", "Month_Number", status.alias("StockedOnTime"))
-        .agg(plain_sum("Units").alias("Units"))
+        .agg(units.alias("Units"))
     )
     return (
         stocked.join(shipped, "NUMBER_SEQ")
         .groupBy("Month_Number", "StockedOnTime", "ShippedOnTime")
-        .agg(whole(plain_sum("Units * lines")).alias("SumOfUnits"))
+        .agg(whole(plain_sum("Units * lines", of="sums", wide=True)).alias("SumOfUnits"))
     )
 
 
@@ -447,7 +427,8 @@ def delays_of_sums(base: DataFrame, key: str, n: int = 10, profile: str = "scrip
     source = {m: m if profile == "notebook" else f"{_LENIENT}{m}" for m in SOT_NAMES[1:5]}
     if key == "ReportingBrand":
         source["SOTLate5daysUnits"] = "SOTLate5daysUnits"
-    sums = {"SOTUnits": plain_sum("SOTUnits"), **{m: plain_sum(c) for m, c in source.items()}}
+    add = partial(plain_sum, of="sums", wide=True)
+    sums = {"SOTUnits": add("SOTUnits"), **{m: add(c) for m, c in source.items()}}
     table = measures_by(base, (key, "ShipCancelMonth", "Parent_Vendor"), sums)
     measured = F.col("SOTOnTimeUnits") + F.col("SOTLateUnits")
     return _ranked(table.withColumn("AdjustedSOTUnits", measured), key, n)

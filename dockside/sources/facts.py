@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import conform
+from .versions import VersionedFolder, resolve
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,7 @@ def read_fact(
             properties={"fetchsize": "10000", **source.properties},
         )
     else:
-        raw = spark.read.parquet(source)
+        raw = spark.read.parquet(resolve(spark, source))
     return conform(warehouse_types(raw, schema) if typed else raw, schema)
 
 
@@ -95,9 +96,19 @@ def warehouse_types(df: DataFrame, schema: T.StructType) -> DataFrame:
 def write_snapshot(df: DataFrame, path: str, by: Sequence[str] = ("FISCAL_YEAR",)) -> DataFrame:
     """Save a fact, split by fiscal year, and return the saved table.
 
+    The save is a new version under ``path`` that readers see once it is whole: one that fails
+    leaves the snapshot before it as it was, and a save may read the snapshot it replaces.
     Rows stay in the tasks that hold them: sending each year to one task would put a
     whole year on it.
     """
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    versions = VersionedFolder(df.sparkSession, path)
+    folder = versions.new_folder()
+    try:
+        df.write.partitionBy(*by).parquet(folder)
+    except Exception:
+        versions.drop(folder)
+        raise
+    versions.publish(folder)
+    versions.clean()
     # Partition values come back typed from the schema, not inferred from folder names.
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)

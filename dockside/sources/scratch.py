@@ -6,6 +6,7 @@ lineage, keeps it when executors are lost, and leaves nothing cached.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,6 +48,18 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     store.delete(folder, True)
 
 
+def session_folder(spark: SparkSession, name: str) -> str:
+    """A scratch folder for a result that is read later: it is gone when the process ends."""
+    path = scratch_path(spark, f"session-{name}")
+
+    def drop() -> None:
+        if spark.sparkContext._jsc is not None:  # else the session ended before
+            drop_folder(spark, path)
+
+    atexit.register(drop)
+    return path
+
+
 @contextmanager
 def run_folder(spark: SparkSession, name: str) -> Iterator[str]:
     """A scratch folder for the length of one run; it is gone when the run ends or fails."""

@@ -1,14 +1,16 @@
-"""Report files."""
+"""Report files, and runs whose files appear together."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import ReportParams
 from ..plans.domains import HEADINGS
+from .versions import VersionedFolder
 
 
 def with_headings(df: DataFrame) -> DataFrame:
@@ -59,3 +61,33 @@ def write_book(tables: Mapping[str, DataFrame], path: str) -> dict[str, str]:
     for name, df in tables.items():
         with_headings(df).write.mode("overwrite").option("header", True).csv(paths[name])
     return paths
+
+
+def publish_run(
+    spark: SparkSession,
+    params: ReportParams,
+    name: str,
+    write: Callable[[ReportParams], dict[str, str]],
+) -> dict[str, str]:
+    """Write the files of a run and publish them together.
+
+    ``write`` gets parameters whose output folder is new, and returns the path of each table.
+    The run is published when all of them are written; if one fails, the files of the last
+    run stay the published ones, all of them.  Returns the published paths.
+    """
+    runs = VersionedFolder(spark, f"{params.out_dir}/{name}")
+    folder = runs.new_folder()
+    try:
+        paths = write(replace(params, out_dir=folder))
+    except Exception:
+        runs.drop(folder)
+        raise
+    runs.publish(folder, {table: path.removeprefix(f"{folder}/") for table, path in paths.items()})
+    runs.clean()
+    return paths
+
+
+def published_files(spark: SparkSession, params: ReportParams, name: str) -> dict[str, str]:
+    """The paths of the last whole run, by table; empty if there is none."""
+    current = VersionedFolder(spark, f"{params.out_dir}/{name}").current()
+    return {t: f"{current.folder}/{file}" for t, file in current.notes.items()} if current else {}

@@ -2,6 +2,7 @@
 
 import random
 from datetime import date
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -57,13 +58,51 @@ def test_totals_do_not_depend_on_partitions(spark, parts):
     lines = spark.range(0, 200_000, 1, parts).select(
         F.expr("CASE WHEN id % 2 = 0 THEN 0.37 ELSE 0.63 END").alias("Units"), F.lit("Late").alias("Lateness")
     )
-    base = lines.withColumn("k", F.spark_partition_id()).groupBy("k").agg(ops.plain_sum("Units").alias("u"))
+    base = lines.groupBy(F.spark_partition_id().alias("k")).agg(ops.plain_sum("Units", wide=True).alias("u"))
     for total in (
-        lines.agg(ops.plain_sum("Units")), lines.agg(ops.cond_sum("Units", ops.LATE)), base.agg(ops.plain_sum("u")),
+        lines.agg(ops.plain_sum("Units")), lines.agg(ops.cond_sum("Units", ops.LATE)),
+        base.agg(ops.plain_sum("u", of="sums")),
     ):
         assert total.first()[0] == 100_000.0
 
 
+@pytest.mark.parametrize("parts", [1, 8, 64])
+def test_totals_beyond_64_bits_are_exact(spark, parts):
+    # 100,000 lines: 10**16 unit-days and a quarter each; a double could not hold the last digits.
+    lines = spark.range(0, 100_000, 1, parts).select(
+        F.expr("25000000000 + 0.25D").alias("Units"), F.lit(4).alias("DAYS_LATE"), F.lit("Late").alias("Lateness"),
+        F.lit("Ocean").alias("SHP_MODE_CATG_NM"),
+    )
+    once = lines.agg(*(c.alias(n) for n, c in ops.sot_sums().items()))
+    base = ops.measures_by(lines.withColumn("k", F.spark_partition_id()), ("k",), ops.sot_sums())
+    for sums in (once, ops.roll_up(base, (), ops.SOT_NAMES)):
+        row = ops.finish(sums, ops.SOT_NAMES).first()
+        assert row["WTSOTLateUnits"] == 10**16 + 100_000 and row["SOTUnits"] == 25 * 10**14 + 25_000
+        assert row["PPAUnits"] == 0
+
+
+def test_far_totals_and_their_end(spark):
+    # One line of 10**20 units, and as much taken away again.
+    lines = spark.sql("SELECT * FROM VALUES (1e20D), (-1e20D), (0.5D), (1e18D) AS t(Units)")
+    assert lines.agg(ops.plain_sum("Units", wide=True)).first()[0] == Decimal(10**18) + Decimal('0.5')
+    with pytest.raises(Exception, match="OVERFLOW"):
+        spark.sql("SELECT CAST('Infinity' AS DOUBLE) AS Units").agg(ops.plain_sum("Units")).collect()
+
+
+def test_nan_counts_as_missing(spark):
+    lines = spark.sql("SELECT * FROM VALUES (1.5D, 'Late'), (CAST('NaN' AS DOUBLE), 'Late'), (2D, 'OnTime') AS t(Units, Lateness)")
+    totals = lines.agg(
+        ops.plain_sum("Units"), *(ops.cond_sum("Units", ops.LATE, m) for m in ("lenient", "strict", "subset")),
+        ops.cond_sum("Units", ops.ON_TIME, "strict"),
+    )
+    assert tuple(totals.first()) == (None, 1.5, None, None, 2.0)
+
+
+def test_kind_of_values_is_checked():
+    with pytest.raises(ValueError, match="kind of values"):
+        ops.plain_sum("Units", of="other")
+
+
 def test_roll_up_keeps_the_null_of_a_part(spark):
     base = spark.createDataFrame([(1, 2.0), (1, None), (2, 3.0)], "k int, s double")
     assert rows(ops.roll_up(base, ("k",), ("s",))) == [(1, None), (2, 3.0)]
@@ -207,3 +246,70 @@ def test_five_numbers_are_exact(spark, shape):
         want = np.quantile(values, [0, 0.25, 0.5, 0.75, 1])
         assert got[key][0] == len(values)
         np.testing.assert_allclose(got[key][1:], want, rtol=1e-12)
+
+
+def box(values, reach=1.5):
+    """Box-plot statistics by numpy, and the outliers."""
+    q1, median, q3 = np.quantile(values, (0.25, 0.5, 0.75))
+    low, high = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
+    inside = [v for v in values if low <= v <= high]
+    outside = sorted(v for v in values if not low <= v <= high)
+    return (len(values), min([*inside, q1]), q1, median, q3, max([*inside, q3]), low, high, len(outside)), outside
+
+
+def test_box_plots_against_numpy(spark):
+    rng = random.Random(2)
+    groups = {
+        "even": [float(i) for i in range(50)],
+        "tail": [rng.lognormvariate(0, 2) for _ in range(400)],
+        "flat": [3.0] * 20 + [9.0, -1.0, -1.0],
+        "one": [7.5],
+        "two": [1.0, 100.0],
+        # Both hinges are interpolated and no value lies between hinge and fence.
+        "gap": [0.0, 10.0, 10.0, 10.0, 11.0, 11.0, 11.0, 40.0],
+        None: [1.0, 2.0, 50.0, 2.0],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values] + [("even", None), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    boxes, outliers = ops.box_plots(ops.value_counts(df, ("k",), "v"), ("k",), "v")
+    got = {r[0]: tuple(r)[1:] for r in boxes.collect()}
+    assert set(got) == set(groups)
+    for k, values in groups.items():
+        want, outside = box(values)
+        assert got[k] == pytest.approx(want)
+        found = sorted(v for r in outliers.collect() if r.k == k for v in [r.v] * r.n)
+        assert found == pytest.approx(outside)
+
+
+def test_boxes_read_their_input_once(spark, sf_dir):
+    from dockside.catalog import QUERIES
+
+    df = QUERIES["r65_reason_box"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert plan.count("FileScan parquet") - plan.count("ReusedExchange") <= 4
+
+
+@pytest.mark.parametrize(
+    ("shares", "texts"),
+    [
+        ([0.85, 0.9149, 0.98], ["85.0%", "91.5%", "98.0%"]),
+        ([0.85, 0.9, None], ["85%", "90%", None]),
+        ([0.0, 0.5049, 1.0], ["0%", "50%", "100%"]),
+        ([0.931, 0.9344], ["93.10%", "93.44%"]),
+        ([0.93125, 0.93135], ["93.125%", "93.135%"]),
+        ([0.935], ["93.5%"]),
+        ([0.0], ["0%"]),
+        ([0.0, 0.0], ["0%", "0%"]),
+        ([0.0625], ["6.25%"]),
+        ([12.34, 0.5], ["1,230%", "50%"]),
+        ([float("nan"), 0.25], [None, "25%"]),
+        ([None], [None]),
+    ],
+)
+def test_percent_digits_of_a_column(spark, shares, texts):
+    df = spark.createDataFrame(list(enumerate(shares)), "i int, share double")
+    if any(s is not None and s != s for s in shares):
+        df = df.withColumn("share", F.expr("nanvl(share, CAST(NULL AS DOUBLE))"))
+    assert [r.text for r in ops.percent_texts(df, {"share": "text"}).orderBy("i").collect()] == texts

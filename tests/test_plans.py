@@ -12,7 +12,8 @@ from dockside import fixtures as fx
 from dockside import schemas
 from dockside.catalog import QUERIES
 from dockside.plans import domains, failure, impact, jobs, monthly
-from dockside.sources import run_folder
+from dockside.plans.checks import CheckFailed, RunChecks
+from dockside.sources import published_files, resolve, run_folder
 from dockside.sources.scratch import scratch_root
 
 
@@ -280,7 +281,8 @@ def clean_scratch(spark):
 
     def folders():
         root = Path(scratch_root(spark))
-        return set(root.iterdir()) if root.exists() else set()
+        # Those of single reports are gone when the process ends.
+        return {p for p in root.iterdir() if not p.name.startswith("session-")} if root.exists() else set()
 
     before = folders()
     yield
@@ -330,6 +332,76 @@ def test_weekly_run(spark, sf_dir, facts, clean_scratch):
     assert keys == sorted(keys)
 
 
+def test_a_weekly_run_that_fails_leaves_the_last_one(spark, sf_dir, facts, clean_scratch, monkeypatch):
+    vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
+    before = jobs.weekly_run(facts, vendors, country)
+    assert len(before) == 11 == len(published_files(spark, facts.params, "weekly"))
+    texts = {name: read_csv(p) for name, p in before.items()}
+    cross = monthly.stocked_vs_shipped
+
+    def broken(ots, sot, collapsed=False):
+        return cross(ots, sot).withColumn("SumOfUnits", F.raise_error(F.lit("broken")).cast("bigint"))
+
+    monkeypatch.setattr(monthly, "stocked_vs_shipped", broken)  # the last table
+    with pytest.raises(Exception, match="broken"):
+        jobs.weekly_run(facts, vendors, country)
+    after = published_files(spark, facts.params, "weekly")
+    assert after == dict(before) and {name: read_csv(p) for name, p in after.items()} == texts
+
+
+def test_weekly_run_from_saved_and_bucketed_lines(spark, sf_dir, facts, clean_scratch, tmp_path):
+    vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
+    params = replace(facts.params, snapshot=None)
+    saved = jobs.prepare(
+        fx.sot(spark, sf_dir), fx.ots(spark, sf_dir), params, fx.PARAMS.fis_yr, save_to=str(tmp_path), buckets=4
+    )
+    with run_folder(spark, "test") as folder:
+        tables = jobs.weekly_tables(saved, vendors, country, folder)
+        got, want = (rows(t) for t in (tables["OTSvsSOT"].rows, QUERIES["r27_stocked_vs_shipped"](spark, sf_dir)))
+    assert got == want != []
+
+
+def test_run_checks_need_no_job_of_their_own(spark, sf_dir, facts, clean_scratch):
+    vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
+    paths = jobs.weekly_run(facts, vendors, country)
+    day = facts.params.snapshot
+    assert paths.checks["sot_snapshot"] == {"first": day, "last": day, "lines": facts.sot.count()}
+    checks = RunChecks()
+    watched = checks.one_snapshot_date(facts.sot, "sot").groupBy("ShipCancelMonth").count()
+    assert not watched._jdf.queryExecution().executedPlan().toString().count("Subquery")
+    spark.sparkContext.setJobGroup("watch", "")
+    watched.collect()
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("watch"))
+    checks.verify()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("watch")) == before
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_broken_extract_fails_its_checks(spark, sf_dir, facts, clean_scratch):
+    vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
+    day = F.when(F.col("NUMBER_SEQ").startswith("1"), F.date_add("Data_Pulled", -7)).otherwise(F.col("Data_Pulled"))
+    mixed = replace(facts, sot=facts.sot.withColumn("Data_Pulled", day))
+    before = published_files(spark, facts.params, "weekly")
+    with pytest.raises(CheckFailed, match="sot_snapshot"):
+        jobs.weekly_run(mixed, vendors, country)
+    assert published_files(spark, facts.params, "weekly") == before
+    lost = replace(facts, ots=facts.ots.withColumn("DC_NAME", F.lit("NEW CENTRE")))
+    with pytest.raises(CheckFailed, match="known_markets"):
+        jobs.dashboard_run(lost)
+    table = spark.sql("SELECT 0.4D AS total_impact UNION ALL SELECT NULL")
+    checks = RunChecks()
+    checks.shares_add_up(table, "half").collect()
+    with pytest.raises(CheckFailed, match="half"):
+        checks.verify()
+
+
+def test_checks_of_empty_facts(spark, sf_dir, facts):
+    checks = RunChecks()
+    checks.one_snapshot_date(facts.sot.where("false"), "none").groupBy("ShipCancelMonth").count().collect()
+    checks.one_snapshot_date(facts.sot.limit(0), "limit").groupBy("ShipCancelMonth").count().collect()
+    assert all(m in ({}, {"first": None, "last": None, "lines": 0}) for m in checks.verify().values())
+
+
 def test_a_single_file_does_not_narrow_the_aggregate(facts):
     table = monthly.ots_by_centre(facts.ots).repartition(1)
     plan = table._jdf.queryExecution().executedPlan().toString()
@@ -341,11 +413,12 @@ def test_a_single_file_does_not_narrow_the_aggregate(facts):
 
 def test_impact_run(spark, sf_dir, facts, clean_scratch, tmp_path):
     paths = jobs.impact_run(facts, fx.transit_plan(spark, sf_dir), str(tmp_path))
-    assert len(paths) == 12
+    assert len(paths) == 14
+    assert paths.checks["Trans_output"]["rows"] == len(domains.BRANDS)
     brands = read_csv(paths["Trans_output"])
     assert [r["ReportingBrand"] for r in brands] == list(domains.BRANDS)
     lines = read_csv(paths["SOT_Impact_lines"])
-    assert len(lines) == facts.sot.count() == spark.read.parquet(f"{tmp_path}/SOT_Master_FOB").count()
+    assert len(lines) == facts.sot.count() == spark.read.parquet(resolve(spark, f"{tmp_path}/SOT_Master_FOB")).count()
     assert {"Probable Failure", "Match?"} <= set(lines[0])
     vendors = read_csv(paths["Trans_output_Vendor"])
     assert {r["Category"] for r in vendors} == set(domains.CATEGORIES)
@@ -365,6 +438,10 @@ def test_dashboard_run(facts, clean_scratch):
     paths = jobs.dashboard_run(facts)
     board = read_csv(paths["Log_All_bind"])
     assert len(board) == 27
+    texts = [r["OTS%"] for r in read_csv(paths["Log_All_text"])]
+    assert len(texts) == 27 and all(re.fullmatch(r"[0-9.]+%|NA", t) for t in texts)
+    assert len({len(t.partition(".")[2]) for t in texts if t != "NA"}) == 1
+    assert paths.checks == {"known_markets": {"without_market": 0}}
     assert {r["Entity"] for r in board} >= {domains.NA_EU_TOTAL, domains.GLOBAL_TOTAL}
 
 
@@ -378,6 +455,7 @@ def test_choice_run(spark, sf_dir, facts, clean_scratch):
 def test_delay_stock_and_detail_runs(spark, sf_dir, facts, clean_scratch):
     paths = jobs.delay_run(facts)
     assert len(read_csv(paths["Delayed_units"])) == QUERIES["r63_delayed_units"](spark, sf_dir).count()
+    assert {"low_whisker", "outliers"} <= set(read_csv(paths["Delay_reason_boxes"])[0])
     assert len(read_csv(jobs.stock_run(facts)["OTS"])) > 0
     pages = jobs.detail_run(facts, "brand")
     assert len(pages) == 7 and all(read_csv(p) for p in pages.values())
