@@ -1,10 +1,13 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
 A document is its set of five-word shingles (fewer words, but not none: one shingle), each
-with weight ``(1 + ln tf) * idf``.  Document frequencies are counted over all documents in
-hashed features, a table of fixed size as in the usual hashing of term frequencies; the idf
-part is held between 1 and ``1 + IDF_SHARE``, so that a large group of copies, which makes
-its own shingles frequent, does not pull its members below the threshold.
+with weight ``(1 + ln tf) * idf``.  Frequent shingles, those in at least a 65,536th of all
+(document, shingle) pairs, are counted exactly: there are no more than 65,536 of them in any
+corpus.  All others count as if they just reached that floor.  So a weight depends on the share
+of the documents that hold a shingle, not on how many documents there are, and two documents
+are as similar in a large corpus as in a small one of the same kind.  The idf part is held
+between 1 and ``1 + IDF_SHARE``, so that a large group of copies, which makes its own shingles
+frequent, does not pull its members below the threshold.
 
 Steps: equal word sequences become one node.  Every node gets ``BANDS * ROWS`` samples; equal
 samples in a band put nodes in one bucket.  In each bucket all members are compared with one
@@ -32,10 +35,15 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3
 IDF_SHARE = 0.25
-FEATURE_BITS = 20
-SEGMENTS = 64
-#: Documents on either side of a block that is compared in one piece.
-LEFT, RIGHT = 64, 512
+#: At most so many shingles are frequent.
+FREQUENT = 1 << 16
+#: Two tables of this many counters bound the frequency of every shingle from above.
+SKETCH_BITS, TABLES = 20, 2
+SEGMENTS = 128
+#: Counted shingles a task holds before it sends them on.
+HELD = 1 << 20
+#: Shingles on either side of a block that is compared in one piece, a longer text excepted.
+LEFT, RIGHT = 1 << 15, 1 << 18
 
 _TEXTS = 4096  # texts in a piece; their index shares a 64-bit key with 52 hash bits
 _HASH_BITS = 52
@@ -67,55 +75,110 @@ def _pieces(batches: Iterator[pa.RecordBatch]):
 
 @dataclass
 class Frequencies:
-    """Documents in all, and by hashed feature."""
+    """Documents in all; the floor; and the frequent shingles, sorted, with their documents."""
 
     documents: int
+    floor: float
+    hashes: np.ndarray
     counts: np.ndarray
 
+    def __post_init__(self):
+        self.known = np.zeros(1 << 20, bool)
+        self.known[(self.hashes >> np.uint64(_HASH_BITS - 20)).astype(np.int64)] = True
+
     def weights(self, hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
-        feature = (hashes >> np.uint64(_HASH_BITS - FEATURE_BITS)).astype(np.int64)
-        seen = np.log((1 + self.documents) / (1 + np.minimum(self.counts[feature], self.documents)))
-        idf = 1 + IDF_SHARE * seen / np.log(2 + self.documents)
-        return ((1 + np.log(count)) * idf).astype(np.float32)
+        seen = np.full(len(hashes), self.floor)
+        maybe = np.flatnonzero(self.known[(hashes >> np.uint64(_HASH_BITS - 20)).astype(np.int64)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+            hit = self.hashes[at] == hashes[maybe]
+            seen[maybe[hit]] = self.counts[at[hit]]
+        widest = np.log(self.documents / self.floor) if self.documents > self.floor else 0.0
+        rare = np.log(self.documents / np.minimum(seen, self.documents)) / widest if widest else np.ones(len(seen))
+        return ((1 + np.log(count)) * (1 + IDF_SHARE * rare)).astype(np.float32)
 
 
-def document_frequencies(docs: DataFrame) -> Frequencies:
-    """Count documents by feature over all texts; each task sends its counts in segments."""
-    size = 1 << FEATURE_BITS
+def _features(hashes: np.ndarray) -> list[np.ndarray]:
+    """The counter of each shingle in each table."""
+    second = mix(hashes) >> np.uint64(64 - SKETCH_BITS)
+    return [(hashes >> np.uint64(_HASH_BITS - SKETCH_BITS)).astype(np.int64), second.astype(np.int64)]
+
+
+def _sketch(docs: DataFrame) -> tuple[int, int, np.ndarray]:
+    """Documents, (document, shingle) pairs, and the tables of counters over all texts."""
+    size = 1 << SKETCH_BITS
+    width = TABLES * size // SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, documents = np.zeros(size, np.int64), 0
+        counts, documents, pairs = np.zeros((TABLES, size), np.int64), 0, 0
         for rows, data, offsets in _pieces(batches):
             _, _, hashes, _ = _sets(data, offsets)
-            feature = (hashes >> np.uint64(_HASH_BITS - FEATURE_BITS)).astype(np.int64)
-            counts += np.bincount(feature, minlength=size)
-            documents += rows.num_rows
+            for table, feature in zip(counts, _features(hashes), strict=True):
+                table += np.bincount(feature, minlength=size)
+            documents, pairs = documents + rows.num_rows, pairs + len(hashes)
         parts = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in counts.reshape(SEGMENTS, -1)]
-        ids = np.arange(SEGMENTS, dtype=np.int32)
+        none = [0] * (SEGMENTS - 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(parts, pa.binary()), pa.array([documents] + [0] * (SEGMENTS - 1))],
-            ["segment", "counts", "documents"],
-        )
+            [pa.array(np.arange(SEGMENTS, dtype=np.int32)), pa.array(parts, pa.binary()),
+             pa.array([documents, *none]), pa.array([pairs, *none])],
+            ["segment", "counts", "documents", "pairs"],
+        )
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, documents = np.zeros(size // SEGMENTS, np.int64), 0
+        total, documents, pairs = np.zeros(width, np.int64), 0, 0
         for batch in batches:
             for part in batch.column(1):
                 raw = pa.decompress(part.as_py(), total.nbytes, "zstd", asbytes=True)
                 total += np.frombuffer(raw, np.int64)
             documents += sum(batch.column(2).to_pylist())
+            pairs += sum(batch.column(3).to_pylist())
         packed = pa.compress(total.tobytes(), "zstd", asbytes=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([packed], pa.binary()), pa.array([documents])],
-            ["segment", "counts", "documents"],
+            [pa.array([key[0].as_py()], pa.int32()), pa.array([packed], pa.binary()), pa.array([documents]), pa.array([pairs])],
+            ["segment", "counts", "documents", "pairs"],
         )
 
-    schema = "segment int, counts binary, documents long"
+    schema = "segment int, counts binary, documents long, pairs long"
     rows = docs.select("text").mapInArrow(count, schema).groupBy("segment").applyInArrow(add, schema).collect()
-    counts = np.zeros((SEGMENTS, size // SEGMENTS), np.int64)
+    counts = np.zeros((SEGMENTS, width), np.int64)
     for r in rows:
         counts[r.segment] = np.frombuffer(pa.decompress(bytes(r["counts"]), counts[0].nbytes, "zstd", asbytes=True), np.int64)
-    return Frequencies(sum(r.documents for r in rows), counts.ravel())
+    return sum(r.documents for r in rows), sum(r.pairs for r in rows), counts.reshape(TABLES, size)
+
+
+def document_frequencies(docs: DataFrame) -> Frequencies:
+    """Exact document counts of the frequent shingles, over all texts.
+
+    No counter of the sketch is below the count of any of its shingles, so only shingles whose
+    counters all reach the floor are counted one by one.
+    """
+    documents, pairs, counts = _sketch(docs)
+    floor = max(1.0, pairs / FREQUENT)
+    shared = docs.sparkSession.sparkContext.broadcast(counts >= floor)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["hash", "n"])
+
+        for _, data, offsets in _pieces(batches):
+            _, _, hashes, _ = _sets(data, offsets)
+            maybe = np.ones(len(hashes), bool)
+            for table, feature in zip(shared.value, _features(hashes), strict=True):
+                maybe &= table[feature]
+            held.append(hashes[maybe])
+            if sum(map(len, held)) >= HELD:
+                yield flush()
+        if held:
+            yield flush()
+
+    rows = docs.select("text").mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    rows = rows.where(F.col("n") >= floor).orderBy("hash").collect()
+    hashes, counts = (np.array([r[k] for r in rows], np.int64) for k in ("hash", "n"))
+    return Frequencies(documents, floor, hashes.view(np.uint64), counts)
 
 
 # ---- samples ----
@@ -167,7 +230,10 @@ def _identified(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, frequencies: Frequencies) -> DataFrame:
-    """``at, doc_id, text_hash, row, key, buckets`` of every row; no words: no key, no buckets."""
+    """``at, doc_id, text_hash, row, key, shingles, buckets`` of every row.
+
+    ``shingles`` is their distinct number; without words there is no key and no bucket.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((frequencies, Sampler()))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,19 +254,24 @@ def signatures(docs: DataFrame, frequencies: Frequencies) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(filled) * BANDS]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(buckets).view(np.int64).ravel()))
             keys = [k if f else None for k, f in zip(_content_keys(words), filled, strict=True)]
-            columns = [rows.column(i) for i in (0, 1, 3)] + [pa.array(row + np.arange(n)), pa.array(keys, pa.binary()), lists]
+            sizes = pa.array(np.bincount(doc, minlength=n))
+            columns = [rows.column(i) for i in (0, 1, 3)]
+            columns += [pa.array(row + np.arange(n)), pa.array(keys, pa.binary()), sizes, lists]
             row += n
-            yield pa.RecordBatch.from_arrays(columns, ["at", "doc_id", "text_hash", "row", "key", "buckets"])
+            yield pa.RecordBatch.from_arrays(columns, ["at", "doc_id", "text_hash", "row", "key", "shingles", "buckets"])
 
     rows = _identified(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        sign, f"at long, doc_id {kind}, text_hash long, row long, key binary, buckets array<long>"
+        sign, f"at long, doc_id {kind}, text_hash long, row long, key binary, shingles long, buckets array<long>"
     )
 
 
 def weighted_sets(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies) -> DataFrame:
-    """``key, hashes, weights`` (arrays as bytes) of the given nodes (``at, key``)."""
+    """``key, hashes, weights`` (arrays as bytes) of the given nodes (``at, text_hash, key``).
+
+    A node finds its own text alone, once, however many rows and texts share its doc_id.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequencies)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +287,9 @@ def weighted_sets(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies) -
                 ["key", "hashes", "weights"],
             )
 
-    texts = _identified(docs).select("at", "text").join(nodes.select("at", "key"), "at").select("text", "key")
+    own = ("at", "text_hash")
+    texts = _identified(docs).select(*own, "text").join(nodes.select(*own, "key"), list(own))
+    texts = texts.groupBy(*own, "key").agg(F.first("text").alias("text")).select("text", "key")
     return texts.mapInArrow(build, "key binary, hashes binary, weights binary")
 
 
@@ -296,7 +369,7 @@ def components(edges: DataFrame, workspace: Workspace, name: str) -> DataFrame:
 
 
 def _deal(key: str, size: Column, most: int) -> Column:
-    """A block number that deals ``size`` members into blocks of about ``most``."""
+    """A block number that deals members with ``size`` shingles into blocks of about ``most``."""
     return F.pmod(F.xxhash64(key, F.lit(5)), F.greatest(F.ceil(size / most), F.lit(1)).cast("long")).cast("long")
 
 
@@ -311,26 +384,33 @@ def near_classes(docs: DataFrame, workspace: Workspace | None = None) -> DataFra
     workspace = workspace or Workspace(docs.sparkSession, "near")
     frequencies = document_frequencies(docs)
     signed = workspace.stage(signatures(docs, frequencies), "signatures")
-    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row", "at"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row", "at", "text_hash"))
     nodes = workspace.stage(
         signed.where("key IS NOT NULL")
         .groupBy("key")
-        .agg(first.alias("first"), F.count("*").alias("n"), F.first("buckets").alias("buckets")),
+        .agg(
+            first.alias("first"),
+            F.count("*").alias("n"),
+            F.first("buckets").alias("buckets"),
+            F.first("shingles").alias("shingles"),
+        ),
         "nodes",
     )
-    members = nodes.select("key", F.explode("buckets").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = nodes.select("key", "shingles", F.explode("buckets").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("shingles").alias("total")).where("size > 1")
     members = members.join(sizes, "bucket")
     weight = members.groupBy("key").agg(F.sum("size").alias("weight"))
     members = workspace.stage(members.join(weight, "key"), "members")
-    wanted = nodes.join(weight.select("key"), "key", "leftsemi").select("key", F.col("first.at").alias("at"))
+    wanted = nodes.join(weight.select("key"), "key", "leftsemi").select(
+        "key", F.col("first.at").alias("at"), F.col("first.text_hash").alias("text_hash")
+    )
     sets = workspace.stage(weighted_sets(docs, wanted, frequencies), "sets")
 
     # Every member against its buckets' pivots.
     pivots = members.groupBy("bucket").agg(F.max_by("key", F.struct("weight", "key")).alias("pivot"))
     pivots = workspace.stage(pivots, "pivots")
-    pairs = members.join(pivots, "bucket").where("key <> pivot").select("key", "pivot").distinct()
-    fans = pairs.groupBy("pivot").agg(F.count("*").alias("fan"))
+    pairs = members.join(pivots, "bucket").where("key <> pivot").select("key", "pivot", "shingles").distinct()
+    fans = pairs.groupBy("pivot").agg(F.sum("shingles").alias("fan"))
     dealt = workspace.stage(pairs.join(fans, "pivot").withColumn("b", _deal("key", F.col("fan"), RIGHT)), "pairs")
     block = F.struct("pivot", "b")
     right = dealt.select(block.alias("block"), F.lit(False).alias("is_left"), "key", F.col("key").alias("part"))
@@ -340,15 +420,17 @@ def near_classes(docs: DataFrame, workspace: Workspace | None = None) -> DataFra
     parts = components(links, workspace, "parts-1")
 
     # Members outside their pivot's component against all members of their bucket.
-    placed = members.join(parts, "key", "left").select("bucket", "key", "size", F.coalesce("part", "key").alias("part"))
+    placed = members.join(parts, "key", "left").select(
+        "bucket", "key", "size", "shingles", "total", F.coalesce("part", "key").alias("part")
+    )
     main = pivots.withColumnRenamed("pivot", "key").join(parts, "key", "left")
     main = main.select("bucket", F.coalesce("part", "key").alias("main"))
     placed = workspace.stage(placed.join(main, "bucket").withColumn("stray", F.col("part") != F.col("main")), "placed")
-    strays = placed.where("stray").groupBy("bucket").agg(F.count("*").alias("strays"))
+    strays = placed.where("stray").groupBy("bucket").agg(F.sum("shingles").alias("strays"))
     # Two members were compared at once if one is the pivot and the other the only stray.
     open_ = placed.join(strays, "bucket").where("size > 2")
     blocks_l = F.greatest(F.ceil(F.col("strays") / LEFT), F.lit(1)).cast("long")
-    blocks_r = F.greatest(F.ceil(F.col("size") / RIGHT), F.lit(1)).cast("long")
+    blocks_r = F.greatest(F.ceil(F.col("total") / RIGHT), F.lit(1)).cast("long")
     open_ = open_.withColumns({"bl": blocks_l, "br": blocks_r})
     name = lambda l, r: F.struct("bucket", l.alias("l"), r.alias("r"))  # noqa: E731, E741
     span = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -356,7 +438,7 @@ def near_classes(docs: DataFrame, workspace: Workspace | None = None) -> DataFra
         name(_deal("key", F.col("strays"), LEFT), F.col("r")).alias("block"), F.lit(True).alias("is_left"), "key", "part"
     )
     right = open_.withColumn("l", span("bl")).select(
-        name(F.col("l"), _deal("key", F.col("size"), RIGHT)).alias("block"), F.lit(False).alias("is_left"), "key", "part"
+        name(F.col("l"), _deal("key", F.col("total"), RIGHT)).alias("block"), F.lit(False).alias("is_left"), "key", "part"
     )
     more = workspace.stage(verified_links(left.unionByName(right), sets), "links-2")
     parts = components(links.unionByName(more), workspace, "parts-2") if not more.isEmpty() else parts

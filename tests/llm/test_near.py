@@ -1,8 +1,10 @@
+import math
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from dockside.llm import near
 from dockside.llm.base import byte_column
@@ -14,11 +16,14 @@ def brute_classes(docs):
     for r in docs:
         _, _, hashes, count = near._sets(*byte_column(pa.array([r.text])))
         sets.append((hashes, count))
-        seen.update((hashes >> np.uint64(near._HASH_BITS - near.FEATURE_BITS)).tolist())
-    counts = np.zeros(1 << near.FEATURE_BITS, np.int64)
-    counts[list(seen)] = list(seen.values())
-    frequencies = near.Frequencies(len(docs), counts)
-    sets = [dict(zip(h.tolist(), frequencies.weights(h, c).tolist(), strict=True)) for h, c in sets]
+        seen.update(hashes.tolist())
+    floor = max(1, sum(seen.values()) / near.FREQUENT)
+
+    def weight(shingle, count):
+        rare = math.log(len(docs) / min(max(seen[shingle], floor), len(docs))) / math.log(len(docs) / floor)
+        return (1 + math.log(count)) * (1 + near.IDF_SHARE * rare)
+
+    sets = [{x: weight(x, n) for x, n in zip(h.tolist(), c.tolist(), strict=True)} for h, c in sets]
     holders = defaultdict(list)
     for i, s in enumerate(sets):
         for h in s:
@@ -37,7 +42,7 @@ def brute_classes(docs):
                 if j < i:
                     shared[j] += min(w, sets[j][h])
         for j, both in shared.items():
-            if both >= near.THRESHOLD * (sum(s.values()) + sum(sets[j].values()) - both):
+            if both >= (near.THRESHOLD - 1e-6) * (sum(s.values()) + sum(sets[j].values()) - both):
                 part[root(i)] = root(j)
     groups = defaultdict(list)
     for i in range(len(docs)):
@@ -65,6 +70,46 @@ def test_given_documents_against_all_pairs(documents):
     assert all(r.class_size == sizes[r.class_id] for r in rows)
 
 
+def test_weights_follow_shares_not_sizes(spark):
+    """Ten times the same corpus, told apart by one word a document: the same weights."""
+    rng = random.Random(1)
+    boiler = " ".join(f"b{i}" for i in range(30))
+    texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(40)) + (f" {boiler}" if i % 3 == 0 else "") for i in range(300)]
+    _, _, probe, count = near._sets(*byte_column(pa.array([texts[0]])))
+    found = []
+    for times in (1, 10):
+        rows = [(i * times + k, t) for i, t in enumerate(texts) for k in range(times)]
+        frequencies = near.document_frequencies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+        # A floor of the same share, as in corpora of more than 65,536 pairs.
+        frequencies.floor = frequencies.documents / 300
+        found.append(frequencies.weights(probe, count))
+    assert np.allclose(*found) and found[0].min() < 1.1 * count.min() and found[0].max() > 1.2
+
+
+def test_frequent_shingles_are_counted_exactly(spark, documents, monkeypatch):
+    seen = Counter()
+    for r in documents.collect():
+        seen.update(near._sets(*byte_column(pa.array([r.text])))[2].tolist())
+    monkeypatch.setattr(near, "FREQUENT", 1 << 15)
+    monkeypatch.setattr(near, "HELD", 1 << 10)
+    got = near.document_frequencies(documents.repartition(5))
+    assert got.floor == sum(seen.values()) / (1 << 15) > 1
+    want = {h: n for h, n in seen.items() if n >= got.floor}
+    assert dict(zip(got.hashes.tolist(), got.counts.tolist(), strict=True)) == want and len(want) > 10
+
+
+def test_one_id_for_very_many_rows(spark):
+    """Each row of a hot doc_id, and of a hot row, meets itself alone."""
+    near_text = " ".join(f"w{i}" for i in range(100))
+    rows = [(7, f"{near_text} z{i}") for i in range(150)] + [(7, near_text)] * 400 + [(8, f"{near_text} y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    signed = near.signatures(docs, frequencies := near.document_frequencies(docs))
+    nodes = signed.groupBy("key").agg(F.min("at").alias("at"), F.min("text_hash").alias("text_hash"))
+    assert near.weighted_sets(docs, nodes, frequencies).count() == nodes.count() == 152
+    found = near.near_classes(docs).collect()
+    assert len(found) == 551 and {(r.class_id, r.class_size) for r in found} == {(7, 551)} and sum(r.kept for r in found) == 1
+
+
 def test_one_large_group_of_varied_copies(spark):
     """Copies with few and many edits: pivots alone don't link them all."""
     rng = random.Random(5)
