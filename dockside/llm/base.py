@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,12 @@ class Workspace:
     a result that is not computed yet may still read from it.
     """
 
+    _open: set[Workspace] = set()
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = scratch_path(spark, name)
+        self._open.add(self)
         atexit.register(self.close)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -44,11 +48,21 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
+        self._open.discard(self)
         atexit.unregister(self.close)
         if self.spark.sparkContext._jsc is not None:  # else the session ended before
             drop_folder(self.spark, self.root)
 
 
+@contextmanager
+def passing_workspaces() -> Iterator[None]:
+    """Close the workspaces that are opened inside, once what they are for has been staged."""
+    before = set(Workspace._open)
+    yield
+    for workspace in Workspace._open - before:
+        workspace.close()
+
+
 def text_size(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts."""
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -61,10 +75,31 @@ def fold(modulus: int) -> Column:
 
 
 def share_below(key: str, share: Column | float, seed: int) -> Column:
-    """Holds for about this share of the rows, chosen by a seeded hash of the key."""
+    """Holds for about this share of the rows, chosen by a seeded hash of the key.
+
+    Rows with one key go together: only for keys that do not repeat.
+    """
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < share
 
 
+def sample_texts(docs: DataFrame, share: Column | float, seed: int) -> DataFrame:
+    """About this share of the distinct rows, chosen by a seeded hash of doc_id and text.
+
+    Repeated rows count once, and rows that share an id, or have none, are drawn each by itself,
+    so no id brings more rows than its share.
+    """
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < share
+    return docs.where(drawn).dropDuplicates()
+
+
+def text_of_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``ids`` (a bounded number of rows, each doc_id once) with one ``text``: of the texts that
+    share an id, the one with the least hash."""
+    found = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id")
+    found = found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return found.join(F.broadcast(ids), "doc_id")
+
+
 def take_rows(docs: DataFrame, decided: DataFrame, digest: Column) -> DataFrame:
     """The rows of ``docs`` that a decision keeps, with all their columns.
 

@@ -28,7 +28,7 @@ from .base import (
     prefix_hash,
     ragged,
     runs,
-    share_below,
+    sample_texts,
     span_hash,
     text_pieces,
 )
@@ -45,13 +45,24 @@ TABLE_CELLS, SUM_CELLS = 1 << 26, 1 << 22
 
 
 def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the letter runs, long ones in parts of at most ``LONGEST`` bytes."""
+    """Starts and ends of the letter runs, long ones in parts of at most ``LONGEST`` bytes.
+
+    A part begins with a whole character: its cut moves back to where the character starts.
+    """
     starts, ends = runs(LETTER_BYTES[data], offsets)
-    parts = -(-(ends - starts) // LONGEST)
-    if (parts == 1).all():
+    if not (ends - starts > LONGEST).any():
         return starts, ends
-    first = np.repeat(starts, parts) + LONGEST * ragged(np.zeros(len(parts), np.int64), parts)
-    return first, np.minimum(first + LONGEST, np.repeat(ends, parts))
+    wide = np.concatenate([[0], np.cumsum(data >= 0x80)])
+    step = np.where(wide[ends] > wide[starts], LONGEST - 3, LONGEST)
+    parts = np.where(ends - starts > LONGEST, -(-(ends - starts) // step), 1)
+    own = np.repeat(np.arange(len(parts)), parts)
+    place = ragged(np.zeros(len(parts), np.int64), parts)
+    first = starts[own] + step[own] * place
+    for _ in range(3):
+        first -= (place > 0) & ((data[first] & 0xC0) == 0x80) & (first > starts[own])
+    after = np.append(first[1:], 0)
+    last = np.append(own[1:] != own[:-1], True)
+    return first, np.where(last, ends[own], after)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -237,7 +248,7 @@ def training_texts(docs: DataFrame) -> list[tuple[str, bytes]]:
     shares = [x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, SAMPLE_DOCS / r["count"])))]
     if not shares:
         return []
-    sample = docs.where(share_below("doc_id", F.create_map(*shares)[F.col("lang")], 11))
+    sample = sample_texts(docs, F.create_map(*shares)[F.col("lang")], 11)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):

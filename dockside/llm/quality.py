@@ -2,7 +2,9 @@
 
 Trusted positives are rows labelled good; the unlabelled set is a sample of all texts.  The
 model minimises the non-negative unbiased risk ``p R+(P) + max(0, R-(U) - p R-(P))`` with
-logistic loss, where ``p`` is the estimated class prior.  Features describe how a text is
+logistic loss.  The class prior ``p`` is estimated from the same two sets: a first model ranks
+held-back halves of both, and among all cuts of its score the least ratio of unlabelled to
+positive texts above the cut, with a margin for chance, bounds the share of positives.  Features describe how a text is
 written, not its language: shares of single punctuation marks, of capitals, digits, line
 breaks, and how often words and word triples repeat.
 """
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import Words, share_below, text_pieces
+from .base import Words, sample_texts, share_below, text_of_each, text_pieces
 
 #: Bounds of the fit: about so many rows of each kind, whatever the table's size.
 POSITIVES, UNLABELLED = 6000, 12000
@@ -107,6 +109,34 @@ def non_negative_fit(
     return Model(prior, center, scale, w[:-1], float(w[-1]))
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, chance: float = 0.1, folds: int = 2) -> float:
+    """Share of positives among the unlabelled, from nothing but the two sets.
+
+    Where the score of a model is high, the unlabelled texts are positives, if there is such a
+    place at all: there ``P(above | unlabelled) / P(above | positive)`` is the prior.  The cut is the
+    one with the least upper confidence bound of that ratio (best-bin estimation).  Every text
+    is scored by a model that was fitted to the other fold.  The result is one standard error
+    below the ratio: the non-negative risk bears a prior that is too low better than one that
+    is too high.
+    """
+    rng = np.random.default_rng(0)
+    fold_p, fold_u = (rng.permutation(len(x)) % folds for x in (positive, unlabelled))
+    p, u = np.zeros(len(positive)), np.zeros(len(unlabelled))
+    for k in range(folds):
+        rest_p, rest_u = positive[fold_p != k], unlabelled[fold_u != k]
+        model = non_negative_fit(rest_p if len(rest_p) else positive, rest_u if len(rest_u) else unlabelled, 0.5)
+        p[fold_p == k], u[fold_u == k] = model.score(positive[fold_p == k]), model.score(unlabelled[fold_u == k])
+    above = lambda scores, cuts: 1 - np.searchsorted(np.sort(scores), cuts, side="left") / len(scores)
+    cuts = np.unique(p)
+    of_p, of_u = above(p, cuts), above(u, cuts)
+    margin = sum(np.sqrt(np.log(4 / chance) / (2 * len(x))) for x in (p, u))
+    best = int(np.argmin((of_u + 1.01 * margin) / of_p))
+    ratio, of_p, of_u = of_u[best] / of_p[best], of_p[best], of_u[best]
+    error = np.sqrt(of_u * (1 - of_u) / len(u)) / of_p + ratio * np.sqrt((1 - of_p) / (of_p * len(p)))
+    least = 1 / (len(unlabelled) + 2)
+    return float(np.clip(ratio - error, least, 1 - least))
+
+
 def _rows(docs: DataFrame) -> np.ndarray:
     """Features of a bounded set of rows, at the driver."""
 
@@ -121,22 +151,21 @@ def _rows(docs: DataFrame) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Train on ``text`` of ``docs`` and ``doc_id, quality`` of ``labels``, both only the rows to
-    learn from.  None if there is no positive label.
+    learn from.  None if there is no positive label with a text, or no text.
 
-    The class prior is the share of good rows among the labelled ones, one row of either kind
-    added; labelled bad rows serve for nothing else.
+    Labels of bad rows are not used.  Labels without id or value count for nothing, and of several
+    labels of one id the best counts; of several texts of one id one is taken.
     """
-    labels = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    good, known = labels.agg(F.count_if(F.col("quality") == 1), F.count("*")).first()
+    labels = labels.where("doc_id IS NOT NULL AND quality = 1").select("doc_id").distinct()
+    good = labels.count()
     total = docs.count()
     if not good or not total:
         return None
-    trusted = labels.where("quality = 1").where(share_below("doc_id", POSITIVES / good, 21)).select("doc_id")
-    positive = _rows(docs.join(F.broadcast(trusted), "doc_id"))
-    unlabelled = _rows(docs.where(share_below("doc_id", UNLABELLED / total, 22)))
+    positive = _rows(text_of_each(docs, labels.where(share_below("doc_id", POSITIVES / good, 21))))
+    unlabelled = _rows(sample_texts(docs.select("doc_id", "text"), UNLABELLED / total, 22))
     if not len(positive) or not len(unlabelled):
         return None
-    return non_negative_fit(positive, unlabelled, (good + 1) / (known + 2))
+    return non_negative_fit(positive, unlabelled, estimated_prior(positive, unlabelled))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

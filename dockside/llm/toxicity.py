@@ -19,18 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import BYTE_CODES, LOWER, Words, Workspace, mix, prefix_hash, share_below, span_hash, text_pieces
+from .base import BYTE_CODES, LOWER, Words, Workspace, mix, prefix_hash, share_below, span_hash, text_of_each, text_pieces
 
-#: Bounds of the fit: about so many rows of each kind, and terms of the vocabulary.
-TOXIC_ROWS, OTHER_ROWS, VOCABULARY = 3000, 5000, 20000
+#: Bounds of the fit: about so many rows of each kind.
+TOXIC_ROWS, OTHER_ROWS = 3000, 5000
 #: A term needs so many toxic rows to be selected.
 LEAST_ROWS = 4
 SLACK = 0.01
 #: Beginnings of so many bytes are terms of their own.
 STEMS = (4, 5)
 GRADES = 3
-#: Words with less weight than this share of the largest are left out of the model.
-LEAST_WEIGHT = 0.02
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,18 +56,18 @@ def _term_counts(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of a bounded sample of the labelled rows."""
+    """``text, toxic`` of a bounded sample of the labelled rows, one text for each id."""
     labels = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     toxic, known = labels.agg(F.count_if(F.col("toxic") == 1), F.count("*")).first()
     share = F.when(F.col("toxic") == 1, TOXIC_ROWS / max(toxic, 1)).otherwise(OTHER_ROWS / max(known - toxic, 1))
-    sample = F.broadcast(labels.where(share_below("doc_id", share, 23)))
-    return docs.join(sample, "doc_id").select("text", F.col("toxic").cast("long").alias("toxic"))
+    sample = text_of_each(docs, labels.where(share_below("doc_id", share, 23)))
+    return sample.select("text", F.col("toxic").cast("long").alias("toxic"))
 
 
 def select_terms(sample: DataFrame, n_toxic: int, n: int, workspace: Workspace) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the terms tied to toxic rows, in order, and which of them mark a row.
 
-    Rows are counted by term in Spark; only the selected terms come to the driver.
+    Rows are counted by term in Spark; only the selected terms come to the driver, all of them.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +88,7 @@ def select_terms(sample: DataFrame, n_toxic: int, n: int, workspace: Workspace)
     tied = (F.col("a") > expected) & (F.col("a") >= LEAST_ROWS) & (ratio >= 2 * np.log(max(counts.count(), 2)))
     odds = (F.col("a") + 0.5) / (n_toxic + 1) / ((b + 0.5) / (n - n_toxic + 1))
     chosen = counts.where(tied).select("term", ratio.alias("ratio"), (odds > float(np.exp(2))).alias("marks"))
-    chosen = chosen.orderBy(F.desc("ratio"), "term").limit(VOCABULARY).collect()
+    chosen = chosen.collect()
     hashes = np.array([r.term for r in chosen], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], np.array([r.marks for r in chosen], bool)[order]
@@ -221,9 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, workspace: Workspace | None = None)
     rows = training_rows(sample, vocabulary)
     x = 1 + np.log(rows.count)
     weights, thresholds = ordinal_fit(rows.row, rows.term, x, severity_grades(rows, marks), len(vocabulary))
-    heavy = np.abs(weights) >= LEAST_WEIGHT * np.abs(weights).max(initial=0)
-    model = Model(vocabulary[heavy], weights[heavy], thresholds)
-    z = np.bincount(rows.row, weights=(weights * heavy)[rows.term] * x, minlength=len(rows.toxic))
+    model = Model(vocabulary, weights, thresholds)
+    z = np.bincount(rows.row, weights=weights[rows.term] * x, minlength=len(rows.toxic))
     model.cut = best_cut(model.above(z)[:, 0], rows.toxic == 1)
     return model
 

@@ -86,3 +86,12 @@ def test_close_languages_are_kept_by_the_pipeline(spark):
     rows = [(i, " ".join(words[(i + k) % 4] for k in range(20)), f"l{i % 5}") for i in range(100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert corpus_pipeline.identify_language(spark, docs, "").count() == 100
+
+
+def test_long_runs_are_cut_between_characters():
+    text = ("a" * 50 + " " + "\u4e2d\u6587" * 40 + " kurz " + "\u00e9" * 13 + "\U00020000" * 9).encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, ends = langid.segments(data, np.array([0, len(data)]))
+    assert (ends - starts).max() <= langid.LONGEST and (ends > starts).all()
+    parts = [text[i:j].decode() for i, j in zip(starts, ends, strict=True)]
+    assert "".join(parts) == text.decode().replace(" ", "")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from dockside.llm import quality, toxicity
-from dockside.llm.base import Words
+from dockside.llm.base import Words, fold, sample_texts, text_of_each
 from dockside.llm.queries import op2_quality, op6_toxicity
 
 
@@ -60,6 +60,36 @@ def test_non_negative_risk_finds_the_hidden_class():
     assert model.score(good[1500:]).mean() > 0.9 > 0.3 > model.score(bad).mean()
 
 
+@pytest.mark.parametrize("prior", [0.1, 0.5, 0.85])
+def test_the_prior_comes_from_positives_and_unlabelled(prior):
+    rng = np.random.default_rng(3)
+    good, bad = rng.normal(1.5, 1, (6000, 3)), rng.normal(-1.5, 1, (4000, 3))
+    n = int(4000 * prior)
+    unlabelled = np.concatenate([good[2000 : 2000 + n], bad[: 4000 - n]])
+    assert abs(quality.estimated_prior(good[:2000], unlabelled) - prior) < 0.06
+
+
+def test_bad_labels_do_not_move_the_prior(spark, documents, labels):
+    learn = fold(4) != 2
+    docs, known = documents.where(learn), labels.where(learn)
+    both = quality.fit(docs, known)
+    good_only = quality.fit(docs, known.where("quality = 1"))
+    assert both.prior == pytest.approx(good_only.prior, abs=0.01) and 0.75 < both.prior < 0.95
+
+
+def test_one_id_or_none_for_very_many_rows(spark):
+    """A sample stays bounded where one id, or no id, has a third of all rows each."""
+    rows = [(7, f"same id {i}") for i in range(3000)] + [(None, f"no id {i}") for i in range(3000)]
+    rows += [(100 + i, f"own id {i}") for i in range(3000)] + [(8, "one row")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for seed in range(3):
+        drawn = sample_texts(docs, 0.1, seed).collect()
+        assert 700 < len(drawn) < 1100 and sum(r.doc_id == 8 for r in drawn) <= 1
+    ids = spark.createDataFrame([(7, 1), (8, 0), (150, 1), (99, 1)], "doc_id long, label int")
+    found = text_of_each(docs, ids).collect()
+    assert sorted((r.doc_id, r.label) for r in found) == [(7, 1), (8, 0), (150, 1)]
+
+
 def test_thresholds_stay_in_order_and_severity_grows():
     rng = np.random.default_rng(1)
     grade = rng.integers(0, 4, 500)
