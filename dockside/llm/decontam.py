@@ -17,6 +17,7 @@ count once; without items nothing is contaminated.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import Words, byte_column, ragged, text_pieces
+from .trie import RangeMin
 
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
@@ -63,6 +65,12 @@ class TestBlock:
         self.suffixes = places[order].astype(np.int32)
         self.first_suffix = np.searchsorted(key_of.ravel()[order], np.arange(len(self.keys) + 1))
         self.ids = np.array(ids, dtype=object)
+        # Of the items that share a match, the one that is named: the least id, then place.
+        self.item_of, self.place_of = item[order], (starts - words.first[item])[order]
+        by_name = np.lexsort((self.place_of, _text_ranks(ids)[self.item_of]))
+        name = np.empty(len(order), np.int64)
+        name[by_name] = np.arange(len(order))
+        self.by_name, self.names = by_name, RangeMin(name) if len(name) else None
         self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
 
     def _keys(self, sequence, starts, lengths, fill: int = 0) -> np.ndarray:
@@ -113,8 +121,11 @@ class TestBlock:
         found = ragged(low, high - low)
         return array[found], np.repeat(np.arange(len(self.keys)), high - low)
 
-    def longest(self, words: Words, at: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Words of the longest verbatim match that starts at each occurrence, in any item."""
+    def longest(
+        self, words: Words, at: np.ndarray, key: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The longest verbatim match that starts at each occurrence, over all items: its words, and
+        the item and place it is found in."""
         ids = self.word_ids(words.hashes)
         room = words.first[np.searchsorted(words.first, at, side="right")] - at
         length = self.lengths[key].copy()
@@ -129,7 +140,8 @@ class TestBlock:
             low[live], high[live] = start[go], end[go]
             length[live] += 1
             live = live[length[live] < room[live]]
-        return length
+        suffix = self.by_name[self.names.over(low, high - 1)]
+        return length, self.item_of[suffix], self.place_of[suffix]
 
     def _bound(self, low: np.ndarray, high: np.ndarray, step: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """First suffix of each range whose word after ``step`` words is at least ``symbol``."""
@@ -144,6 +156,11 @@ class TestBlock:
         return low
 
 
+def _text_ranks(texts: list[str]) -> np.ndarray:
+    """Ranks of texts by their UTF-8 bytes."""
+    return np.unique(np.array([t.encode() for t in texts] or [b""], dtype=object), return_inverse=True)[1].ravel()
+
+
 def _ranks(sequence: np.ndarray, most: int) -> np.ndarray:
     """Ranks of all suffixes by their first ``most`` symbols, by doubling."""
     rank, width = sequence.astype(np.int64), 1
@@ -176,12 +193,24 @@ def test_blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list:
 test_blocks.__test__ = False
 
 
-def _search(words: Words, blocks: list) -> tuple[np.ndarray, list[set], np.ndarray]:
-    """Of consecutive texts: hit words, item ids, and the longest match, in words."""
+@dataclass
+class Found:
+    """What the benchmark has in common with consecutive texts, text by text."""
+
+    hit: np.ndarray
+    items: list[set]
+    longest: np.ndarray
+    #: Matches as (start word, words, item id, start word in the item), in order.
+    spans: list[list[tuple[int, int, str, int]]]
+
+
+def _search(words: Words, blocks: list) -> Found:
+    """Hit words, item ids, the longest match and all maximal matches of consecutive texts."""
     n = len(words.first) - 1
     hit = np.zeros(len(words.hashes) + 1, np.int64)
     items: list[set] = [set() for _ in range(n)]
     longest = np.zeros(n, np.int64)
+    matches: dict[int, tuple[int, bytes, int]] = {}
     for block in (b.value for b in blocks):
         at, key = block.matches(words)
         if not len(at):
@@ -189,30 +218,61 @@ def _search(words: Words, blocks: list) -> tuple[np.ndarray, list[set], np.ndarr
         np.add.at(hit, at, 1)
         np.add.at(hit, at + block.lengths[key], -1)
         doc = np.searchsorted(words.first, at, side="right") - 1
-        np.maximum.at(longest, doc, block.longest(words, at, key))
+        length, item, place = block.longest(words, at, key)
+        np.maximum.at(longest, doc, length)
         for d, k in np.unique(np.stack([doc, key]), axis=1).T:
             items[d].update(block.ids[block.items[block.first_item[k] : block.first_item[k + 1]]])
+        for i, m, t, q in zip(at.tolist(), length.tolist(), item.tolist(), place.tolist(), strict=True):
+            best = (-m, block.ids[t].encode(), q)
+            matches[i] = min(matches.get(i, best), best)
+    spans: list[list] = [[] for _ in range(n)]
+    reach = 0
+    for i in sorted(matches):
+        m, name, q = matches[i]
+        if i - m > reach:  # else it lies inside an earlier match
+            reach = i - m
+            d = int(np.searchsorted(words.first, i, side="right")) - 1
+            spans[d].append((i - int(words.first[d]), -m, name.decode(), q))
     covered = np.cumsum(hit[:-1]) > 0
     total = np.concatenate([[0], np.cumsum(covered)])
-    return np.diff(total[words.first]), items, longest
+    return Found(np.diff(total[words.first]), items, longest, spans)
+
+
+#: A match: words of the document, and the same number of words of an item.
+SPAN = T.StructType(
+    [
+        T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
+        T.StructField("item", T.StringType()), T.StructField("item_start", T.LongType()),
+    ]
+)
+_SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item", pa.string()), ("item_start", pa.int64())])
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """One row a document: ``doc_id, n_words, n_hit, longest_match, items`` (sorted texts)."""
+    """One row a document: ``doc_id, n_words, n_hit, longest_match, items`` (sorted texts) and
+    ``spans``: its maximal matches in order, as ``start, length, item, item_start`` in words from 0.
+
+    Of the items that hold a match, the one with the least id (as text) is named, at its first place.
+    Null texts have no words; repeated rows each give a row; an empty benchmark gives rows without
+    matches, no rows give none; columns other than ``doc_id`` and ``text`` are ignored.
+    """
     blocks = test_blocks(benchmark, size, block_bytes)
     fields = [docs.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("n_words", "n_hit", "longest_match"))]
-    schema = T.StructType([*fields, T.StructField("items", T.ArrayType(T.StringType()))])
+    schema = T.StructType(
+        [*fields, T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(SPAN))]
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):
             words = Words(data, offsets)
-            hit, items, longest = _search(words, blocks)
-            columns = [rows.column(0), *map(pa.array, (words.counts(), hit, longest))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([sorted(x) for x in items], pa.list_(pa.string()))], schema.names
-            )
+            found = _search(words, blocks)
+            columns = [rows.column(0), *map(pa.array, (words.counts(), found.hit, found.longest))]
+            columns.append(pa.array([sorted(x) for x in found.items], pa.list_(pa.string())))
+            spans = [[dict(zip(SPAN.names, x, strict=True)) for x in own] for own in found.spans]
+            columns.append(pa.array(spans, pa.list_(_SPAN)))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(search, schema)
 
@@ -220,13 +280,16 @@ def contamination(
 def remove_contaminated(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The rows without any window of the benchmark, with all their columns."""
+    """The rows without any window of the benchmark, with all their columns, repeated rows each.
+
+    Null texts have no window; without items nothing goes; no rows give none.
+    """
     blocks = test_blocks(benchmark, size, block_bytes)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches):
-            hit, _, _ = _search(Words(data, offsets), blocks)
-            yield rows.filter(pa.array(hit == 0))
+            found = _search(Words(data, offsets), blocks)
+            yield rows.filter(pa.array(found.hit == 0))
 
     return docs.mapInArrow(clean, docs.schema)
 

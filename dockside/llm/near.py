@@ -43,7 +43,7 @@ SEGMENTS = 128
 #: Counted shingles a task holds before it sends them on.
 HELD = 1 << 20
 #: Shingles on either side of a block that is compared in one piece, a longer text excepted.
-LEFT, RIGHT = 1 << 15, 1 << 18
+LEFT, RIGHT = 1 << 16, 1 << 16
 
 _TEXTS = 4096  # texts in a piece; their index shares a 64-bit key with 52 hash bits
 _HASH_BITS = 52

@@ -63,6 +63,9 @@ def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
         "longest_match",
+        F.array_join(
+            F.transform("spans", lambda m: F.concat_ws(":", m["start"], m["length"], m["item"], m["item_start"])), ","
+        ).alias("spans"),
     )
 
 

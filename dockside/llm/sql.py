@@ -56,6 +56,22 @@ heads AS (
          i - row_number() OVER (PARTITION BY doc_id, item_id, k, i - j ORDER BY i) AS run
   FROM pairs
 ),
+-- The longest match from every window on, and those that do not lie inside an earlier one.
+from_runs AS (
+  SELECT doc_id, i, item_id, i - diagonal AS j, max(i) OVER (PARTITION BY doc_id, item_id, k, diagonal, run) - i + k AS n
+  FROM heads
+),
+from_here AS (
+  SELECT * FROM from_runs
+  QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY n DESC, CAST(item_id AS VARCHAR), j) = 1
+),
+maximal AS (
+  SELECT * FROM from_here QUALIFY i + n > coalesce(max(i + n) OVER
+    (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+),
+spans AS (
+  SELECT doc_id, string_agg(concat_ws(':', i - 1, n, item_id, j - 1), ',' ORDER BY i) AS spans FROM maximal GROUP BY doc_id
+),
 longest AS (
   SELECT doc_id, max(n) AS longest_match
   FROM (SELECT doc_id, count(*) - 1 + k AS n FROM heads GROUP BY doc_id, item_id, k, diagonal, run) GROUP BY doc_id
@@ -66,8 +82,8 @@ SELECT d.doc_id,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(items.items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated,
-       CAST(coalesce(longest_match, 0) AS BIGINT) AS longest_match
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
+       CAST(coalesce(longest_match, 0) AS BIGINT) AS longest_match, coalesce(spans.spans, '') AS spans
+FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
 
 CHECKS["op5_suffix_dedup"] = """

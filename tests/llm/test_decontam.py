@@ -103,3 +103,36 @@ def test_longest_match_against_brute_force(spark):
         rows = decontam.contamination(spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string"), bench, 4, block_bytes)
         found = {r.doc_id: r.longest_match for r in rows.collect()}
         assert found == {i: longest_brute(d, items, 4) for i, d in enumerate(docs)}
+
+
+def spans_brute(doc, items, size):
+    """Maximal matches: from each word on the longest one, unless an earlier one holds it."""
+    w, out, reach = words(doc), [], 0
+    for i in range(len(w)):
+        found = []
+        for name, text in items:
+            v = words(text)
+            k = min(size, len(v))
+            for j in range(len(v)):
+                n = 0
+                while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                    n += 1
+                if k and n >= k and j + k <= len(v):
+                    found.append((-n, name, j))
+        if found and i - min(found)[0] > reach:
+            n, name, j = min(found)
+            reach = i - n
+            out.append((i, -n, name, j))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [1, 30, 1 << 20])
+def test_spans_against_brute_force(spark, block_bytes):
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    items = [(f"q{i}", text(rng.randrange(25))) for i in range(14)]
+    docs = [text(rng.randrange(50)) + rng.choice(["", " d a b"]) for _ in range(80)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = decontam.contamination(spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string"), bench, 4, block_bytes)
+    for r in rows.collect():
+        assert [tuple(s) for s in r.spans] == spans_brute(docs[r.doc_id], items, 4)
