@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import Words, sample_texts, share_below, text_of_each, text_pieces

@@ -10,6 +10,12 @@ occurs once are done.  Of equal fragments the first in the corpus stands for all
 of texts it comes from and again in its bucket, so that a passage which a third of all
 documents hold is one fragment a block, and then one.
 
+An anchor with very many distinct fragments, such as a common line in different texts, would bring
+them all to one task.  Its fragments are dealt window by window instead: each block sends one
+hash for each distinct window, windows whose hash occurs in other blocks too go on as fragments
+of one window, dealt by that hash, and all others are done.  Equal windows still meet, and no
+anchor brings more than its share to a task.
+
 The remaining fragments are the documents of the construction.  They are aligned on their
 anchors and written to a file column by column.  Round by round, from the last column to the
 first, each fragment gets one more symbol in front: a stable sort of the symbols that precede
@@ -38,7 +44,10 @@ BUCKET_BYTES = 4 << 20
 #: Texts are cut into fragments in pieces of this size, whose 64-bit arrays set the memory of a task.
 ANCHOR_BYTES = 1 << 18
 
-TEXT, COPIES, CHOSEN, MARKS = range(4)
+#: An anchor with more distinct fragments is dealt by window.
+HOT = 4096
+
+TEXT, COPIES, CHOSEN, MARKS, CROWDED, SHARED = range(6)
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -227,38 +236,110 @@ def anchored(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(deal, _DEALT_SQL)
 
 
-def _meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In one bucket: tell each block which of its fragments are copies, and which are chosen."""
+def _meet(hot: int):
+    """In one bucket: tell each block which of its fragments are copies, and which are chosen, as
+    whole fragments or, where their anchor is hot, window by window."""
+
+    def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            for block, value in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                rows = unpack(value.as_py())[0].view(_ROW)
+                parts.append((rows, np.full(len(rows), block, np.int64)))
+        rows, block = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        anchor, content, doc, text, start, n, left, repeated, entry = (rows[c] for c in _ROW.names)
+        # An anchor that occurs once, in one block, has no equal window anywhere.
+        _, which, seen = np.unique(anchor, return_inverse=True, return_counts=True)
+        keep = np.flatnonzero((seen[which] > 1) | repeated)
+        order = keep[np.lexsort((start[keep], text[keep], block[keep], doc[keep], content[keep], anchor[keep]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (content[order][1:] != content[order][:-1])
+        copies, chosen = order[~new], order[new]
+        _, which, fragments = np.unique(anchor[chosen], return_inverse=True, return_counts=True)
+        crowded = fragments[which] > hot
+        out: dict[str, list] = {c: [] for c in _REPLY}
+        for kind, own in ((COPIES, copies), (CHOSEN, chosen[~crowded]), (CROWDED, chosen[crowded])):
+            own = own[np.argsort(block[own], kind="stable")]
+            cuts = np.flatnonzero(np.diff(block[own], prepend=-1))
+            for at in np.split(own, cuts[1:]) if len(own) else ():
+                more = () if kind == COPIES else (anchor[at], doc[at], text[at], start[at], n[at], left[at])
+                out["block"].append(int(block[at[0]]))
+                out["kind"].append(kind)
+                out["value"].append(pack(entry[at], *more))
+        yield _rows(out, _REPLY)
+
+    return meet
+
+
+def _fragments(values: list[bytes]) -> list[np.ndarray]:
+    """Entry, anchor, doc, text, start, n and left of the fragments of some replies."""
+    return [np.concatenate(x) for x in zip(*map(unpack, values), strict=True)]
+
+
+def _crowded_windows(buckets: int):
+    """Of a block's crowded fragments: a hash of each distinct window, dealt by it; and, in bucket
+    -1, the windows that an earlier one of the block equals."""
+
+    def cut(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, values = _group(batches)
+        out: dict[str, list] = {c: [] for c in _DEALT}
+        if values[CROWDED]:
+            _, _, data, offsets = _block_text(values[TEXT][0])
+            entry, _, doc, text, start, n, left = _fragments(values[CROWDED])
+            place = np.lexsort((start.astype(np.int64) + left, text, doc))
+            rank = np.empty(len(place), np.int32)
+            rank[place] = np.arange(len(place))
+            own = np.repeat(np.arange(len(n), dtype=np.int32), n)
+            window = ragged(np.zeros(len(n), np.int64), n.astype(np.int64))
+            begin = offsets[text[own]] + start[own] + window
+            hashes = span_hash(prefix_hash(BYTE_CODES[data]), begin, begin + LENGTH)
+            del begin
+            order = np.lexsort((rank[own], hashes))
+            hashes, own, window = hashes[order], own[order], window[order].astype(np.uint8)
+            new = np.ones(len(hashes), bool)
+            new[1:] = hashes[1:] != hashes[:-1]
+
+            def send(bucket: int, *arrays: np.ndarray) -> None:
+                out["bucket"].append(bucket)
+                out["block"].append(block)
+                out["value"].append(pack(*arrays))
+
+            if not new.all():
+                send(-1, entry[own[~new]], window[~new])
+            hashes, own, window = hashes[new], own[new], window[new]
+            bucket = _deal(hashes, buckets)  # rises with the hash, as they do
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for low, high in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+                send(int(bucket[low]), hashes[low:high], entry[own[low:high]], window[low:high])
+        yield _rows(out, _DEALT)
+
+    return cut
+
+
+def _shared_windows(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In one bucket of hashes: tell each block which of its windows occur in others too."""
     parts = []
     for batch in batches:
         for block, value in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            rows = unpack(value.as_py())[0].view(_ROW)
-            parts.append((rows, np.full(len(rows), block, np.int64)))
-    rows, block = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
-    anchor, content, doc, text, start, n, left, repeated, entry = (rows[c] for c in _ROW.names)
-    # An anchor that occurs once, in one block, has no equal window anywhere.
-    _, which, seen = np.unique(anchor, return_inverse=True, return_counts=True)
-    keep = np.flatnonzero((seen[which] > 1) | repeated)
-    order = keep[np.lexsort((start[keep], text[keep], block[keep], doc[keep], content[keep], anchor[keep]))]
-    new = np.ones(len(order), bool)
-    new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (content[order][1:] != content[order][:-1])
-    copies, chosen = order[~new], order[new]
+            hashes, entry, window = unpack(value.as_py())
+            parts.append((hashes, entry, window, np.full(len(hashes), block, np.int64)))
+    hashes, entry, window, block = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, which, seen = np.unique(hashes, return_inverse=True, return_counts=True)
+    own = np.flatnonzero(seen[which] > 1)
+    own = own[np.argsort(block[own], kind="stable")]
     out: dict[str, list] = {c: [] for c in _REPLY}
-    for kind, own in ((COPIES, copies), (CHOSEN, chosen)):
-        own = own[np.argsort(block[own], kind="stable")]
-        cuts = np.flatnonzero(np.diff(block[own], prepend=-1))
-        for at in np.split(own, cuts[1:]) if len(own) else ():
-            more = () if kind == COPIES else (anchor[at], doc[at], text[at], start[at], n[at], left[at])
-            out["block"].append(int(block[at[0]]))
-            out["kind"].append(kind)
-            out["value"].append(pack(entry[at], *more))
+    cuts = np.flatnonzero(np.diff(block[own], prepend=-1))
+    for at in np.split(own, cuts[1:]) if len(own) else ():
+        out["block"].append(int(block[at[0]]))
+        out["kind"].append(SHARED)
+        out["value"].append(pack(hashes[at], entry[at], window[at]))
     yield _rows(out, _REPLY)
 
 
 def _group(batches: Iterator[pa.RecordBatch]) -> tuple[int, dict[int, list[bytes]]]:
     """The block of a group and its values by kind."""
-    values: dict[int, list[bytes]] = {k: [] for k in (TEXT, COPIES, CHOSEN, MARKS)}
+    values: dict[int, list[bytes]] = {k: [] for k in (TEXT, COPIES, CHOSEN, MARKS, CROWDED, SHARED)}
     block = 0
     for batch in batches:
         for b, kind, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -268,15 +349,26 @@ def _group(batches: Iterator[pa.RecordBatch]) -> tuple[int, dict[int, list[bytes
 
 
 def _cut_chosen(buckets: int):
-    """Bytes of the chosen fragments of a block, dealt by anchor."""
+    """Bytes of the chosen fragments of a block, dealt by anchor, and of its shared windows."""
 
     def cut(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, values = _group(batches)
         out: dict[str, list] = {c: [] for c in _DEALT}
+        parts = []  # entry, doc, text, start, n, left, first window, what it is dealt by
         if values[CHOSEN]:
+            entry, anchor, doc, text, start, n, left = _fragments(values[CHOSEN])
+            parts.append((entry, doc, text, start, n, left, np.zeros(len(n), np.uint8), mix(anchor)))
+        if values[SHARED]:
+            entry, _, doc, text, start, n, left = _fragments(values[CROWDED])
+            hashes, of, window = (np.concatenate(x) for x in zip(*map(unpack, values[SHARED]), strict=True))
+            by_entry = np.argsort(entry)
+            at = by_entry[np.searchsorted(entry[by_entry], of)]
+            one = np.ones(len(at), n.dtype)
+            parts.append((of, doc[at], text[at], start[at] + window, one, left[at] - window, window, mix(hashes)))
+        if parts:
             _, _, data, offsets = _block_text(values[TEXT][0])
-            entry, anchor, doc, text, start, n, left = (np.concatenate(x) for x in zip(*map(unpack, values[CHOSEN]), strict=True))
-            bucket = _deal(mix(anchor), buckets)
+            entry, doc, text, start, n, left, window, dealt = (np.concatenate(x) for x in zip(*parts, strict=True))
+            bucket = _deal(dealt, buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             for at in np.split(order, cuts[1:]):
@@ -284,7 +376,9 @@ def _cut_chosen(buckets: int):
                 content = data[ragged(offsets[text[at]] + start[at], size)]
                 out["bucket"].append(int(bucket[at[0]]))
                 out["block"].append(block)
-                out["value"].append(pack(entry[at], doc[at], text[at], start[at], n[at], left[at], content))
+                out["value"].append(
+                    pack(entry[at], doc[at], text[at], start[at], n[at], left[at], window[at], content)
+                )
         yield _rows(out, _DEALT)
 
     return cut
@@ -376,7 +470,7 @@ def _construct(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         for block, value in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
             arrays = unpack(value.as_py())
             parts.append([*arrays, np.full(len(arrays[0]), block, np.int64)])
-    entry, doc, text, start, n, left, content, block = (np.concatenate(x) for x in zip(*parts, strict=True))
+    entry, doc, text, start, n, left, base, content, block = (np.concatenate(x) for x in zip(*parts, strict=True))
     left = left.astype(np.int64)
     order = np.empty(len(n), np.int64)
     order[np.lexsort((start + left, text, block, doc))] = np.arange(len(n))
@@ -389,7 +483,7 @@ def _construct(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         row, window = np.nonzero(marks[at])
         out["block"].append(int(block[at[0]]))
         out["kind"].append(MARKS)
-        out["value"].append(pack(entry[at][row], window.astype(np.uint8)))
+        out["value"].append(pack(entry[at][row], window.astype(np.uint8) + base[at][row]))
     yield _rows(out, _REPLY)
 
 
@@ -443,6 +537,7 @@ def remove_repeats(
     workspace: Workspace | None = None,
     block_bytes: int = BLOCK_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row a document: ``doc_id, n_bytes, spans`` (removed runs of bytes), ``kept`` (the rest).
 
@@ -455,16 +550,21 @@ def remove_repeats(
     buckets = max(1, -(-text_size(docs) // bucket_bytes))
     texts = workspace.stage(blocks(docs, block_bytes), "texts")
     replies = workspace.stage(
-        anchored(texts, buckets).groupBy("bucket").applyInArrow(_meet, _REPLY_SQL), "replies"
+        anchored(texts, buckets).groupBy("bucket").applyInArrow(_meet(hot), _REPLY_SQL), "replies"
     )
-    chosen = replies.where(F.col("kind") == CHOSEN)
+    crowded = replies.where(F.col("kind") == CROWDED)
+    theirs = texts.join(crowded.select("block").distinct(), "block", "leftsemi").unionByName(crowded)
+    windows = workspace.stage(theirs.groupBy("block").applyInArrow(_crowded_windows(buckets), _DEALT_SQL), "windows")
+    within = windows.where("bucket < 0").select("block", F.lit(MARKS).alias("kind"), "value")
+    shared = windows.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_windows, _REPLY_SQL)
+    chosen = replies.where(F.col("kind").isin(CHOSEN, CROWDED)).unionByName(workspace.stage(shared, "shared"))
     # About as many fragments in a bucket as text bytes would allow.
     cut = texts.unionByName(chosen).groupBy("block").applyInArrow(_cut_chosen(buckets), _DEALT_SQL)
     marks = workspace.stage(cut.groupBy("bucket").applyInArrow(_construct, _REPLY_SQL), "marks")
     kind = docs.schema["doc_id"].dataType
     arrow = pa.int32() if kind.simpleString() == "int" else pa.int64()
     names = ["doc_id", "n_bytes", "spans", "kept"]
-    told = texts.unionByName(replies.where(F.col("kind") == COPIES)).unionByName(marks)
+    told = texts.unionByName(replies.where(F.col("kind") == COPIES)).unionByName(marks).unionByName(within)
     return told.groupBy("block").applyInArrow(
         _finish(arrow, names),
         f"doc_id {kind.simpleString()}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary",

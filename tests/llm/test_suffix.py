@@ -1,8 +1,11 @@
 import random
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dockside.llm import suffix
 
@@ -52,6 +55,47 @@ def test_periodic_text_and_one_common_line(spark):
     assert found(docs, block_bytes=4000) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_hot_anchors_are_dealt_by_window(spark, hot):
+    """Common lines shorter and longer than a window, in different and in like surroundings."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    short, long = "A line of sixty bytes or so that very many different texts hold", " ".join(word() for _ in range(25))
+    near = [" ".join(word() for _ in range(6)) for _ in range(4)]
+    rows = []
+    for i in range(150):
+        ends = [rng.choice(near) if rng.random() < 0.3 else " ".join(word() for _ in range(6)) for _ in range(4)]
+        rows.append((i, f"{ends[0]} {short} {ends[1]}" + (f" {ends[2]} {long} {ends[3]}" if i % 3 == 0 else "")))
+    rows += [(500, None), (None, rows[3][1]), (501, rows[4][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for options in ({}, {"block_bytes": 3000, "bucket_bytes": 2000}):
+        assert found(docs, hot=hot, **options) == brute(rows)
+
+
+def test_a_common_line_in_very_many_texts_stays_small(spark, monkeypatch, tmp_path):
+    """20,000 different texts around one line: no task compares more than a share of them."""
+    line = "The same fifty byte line of boilerplate in each text"
+    text = F.concat(F.sha2(F.col("id").cast("string"), 256), F.lit(line), F.sha2((F.col("id") + 10**6).cast("string"), 256))
+    docs = spark.range(0, 20_000, 1, 8).select(F.col("id").alias("doc_id"), text.alias("text"))
+    sizes = str(tmp_path / "sizes")
+    construct = suffix._construct
+
+    def measured(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        n = sum(len(suffix.unpack(v.as_py())[0]) for b in batches for v in b.column(2))
+        with open(sizes, "a") as f:
+            f.write(f"{n}\n")
+        yield from construct(key, iter(batches))
+
+    monkeypatch.setattr(suffix, "_construct", measured)
+    # Several buckets, as one holds the fragments of many anchors.
+    rows = suffix.remove_repeats(docs, hot=1000, bucket_bytes=1 << 18).agg(F.sum("n_bytes"), F.sum(F.size("spans"))).first()
+    assert rows[0] == 20_000 * (128 + len(line)) and rows[1] == 0
+    with open(sizes, "a+") as f:
+        f.seek(0)
+        assert max([0, *map(int, f)]) < 1000
+
+
 def test_awkward_rows(awkward, empty):
     given = [(r.doc_id, r.text) for r in awkward.collect()]
     assert found(awkward) == brute(given)
