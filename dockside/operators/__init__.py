@@ -17,6 +17,7 @@ from .measures import (
     plain_sum,
     roll_up,
     sot_sums,
+    sums_of_sums,
 )
 from .quantiles import box_plots, five_numbers, five_of_counts, value_counts
 from .shape import (
@@ -72,6 +73,7 @@ __all__ = [
     "snapshot_date",
     "sql_text",
     "sot_sums",
+    "sums_of_sums",
     "stack",
     "top_k",
     "top_n",

@@ -7,8 +7,7 @@ finest keys feeds all coarser levels without reading the fact twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import partial
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,12 +74,10 @@ def _sum_of_sums(value: str, cond: str | None = None) -> str:
     return f"CAST(coalesce(sum({value}){within}, 0) AS {WIDE})"
 
 
-def _guarded(value: str, cond: str | None, nulls: str, of: str, wide: bool) -> Column:
+def _spoils(value: str, cond: str | None, nulls: str, of: str) -> str | None:
+    """SQL text of what makes a sum null when it holds for one of its rows."""
     if of not in ("lines", "sums"):
         raise ValueError(f"unknown kind of values {of!r}")
-    total = wide_sum(value, cond) if of == "lines" else _sum_of_sums(value, cond)
-    if not wide:
-        total = f"CAST({total} AS DOUBLE)"
     missing = f"{_known(value)} IS NULL" if of == "lines" else f"({value}) IS NULL"
     spoiled = {
         "lenient": None,
@@ -89,8 +86,12 @@ def _guarded(value: str, cond: str | None, nulls: str, of: str, wide: bool) -> C
     }
     if nulls not in spoiled:
         raise ValueError(f"unknown null mode {nulls!r}")
-    bad = spoiled[nulls]
-    return F.expr(f"CASE WHEN count_if({bad}) = 0 THEN {total} END" if bad else total)
+    return spoiled[nulls]
+
+
+def _total(value: str, cond: str | None, of: str, wide: bool) -> str:
+    total = wide_sum(value, cond) if of == "lines" else _sum_of_sums(value, cond)
+    return total if wide else f"CAST({total} AS DOUBLE)"
 
 
 def plain_sum(value: str, of: str = "lines", wide: bool = False) -> Column:
@@ -99,7 +100,7 @@ def plain_sum(value: str, of: str = "lines", wide: bool = False) -> Column:
     ``value`` is SQL text.  ``of`` says whether it is a number of each line or a wide sum of
     an earlier aggregate.  The result is a double to show, or ``wide`` to be added up further.
     """
-    return _guarded(value, None, "strict", of, wide)
+    return guarded_sums({"sum": (value, None, "strict")}, of, wide)["sum"]
 
 
 def cond_sum(
@@ -111,7 +112,29 @@ def cond_sum(
     gives null if a condition, or a selected value, is null.  ``subset`` skips null
     conditions but gives null if a selected value is null.  NaN counts as null.
     """
-    return _guarded(value, cond, nulls, of, wide)
+    return guarded_sums({"sum": (value, cond, nulls)}, of, wide)["sum"]
+
+
+def guarded_sums(
+    sums: Mapping[str, tuple[str, str | None, str]], of: str = "lines", wide: bool = False
+) -> Sums:
+    """Several sums ``{name: (value, condition, null mode)}`` of one aggregate.
+
+    Which of them a row makes null is one number, a bit for each; the aggregate keeps a single
+    disjunction of it beside the sums, not a count for each sum.
+    """
+    bad = {n: _spoils(value, cond, nulls, of) for n, (value, cond, nulls) in sums.items()}
+    bits = {n: 1 << k for k, n in enumerate(n for n, b in bad.items() if b)}
+    mask = " + ".join(f"CASE WHEN {bad[n]} THEN {bit}L ELSE 0L END" for n, bit in bits.items())
+
+    def one(name: str) -> Column:
+        value, cond, _ = sums[name]
+        total = _total(value, cond, of, wide)
+        if name not in bits:
+            return F.expr(total)
+        return F.expr(f"CASE WHEN coalesce(bit_or({mask}), 0L) & {bits[name]}L = 0 THEN {total} END")
+
+    return {name: one(name) for name in sums}
 
 
 ON_TIME = "Lateness = 'OnTime'"
@@ -120,36 +143,40 @@ MEASURED = f"({ON_TIME} OR {LATE})"
 AIR = "SHP_MODE_CATG_NM = 'PrepaidAir'"
 
 
-def _late_measures(days: str, nulls: str, late5_nulls: str) -> dict[str, Column]:
+Spec = tuple[str, str | None, str]
+
+
+def _late_measures(days: str, nulls: str, late5_nulls: str) -> dict[str, Spec]:
     # Unit-days are counted on late rows with at least one day, row by row.
-    total = partial(cond_sum, wide=True)
     unit_days, delayed, deep = f"Units * {days}", f"{LATE} AND {days} >= 1", f"{LATE} AND {days} > 5"
     return {
-        "on_time": total("Units", ON_TIME, nulls),
-        "late": total("Units", LATE, nulls),
-        "late5": total("Units", deep, late5_nulls),
-        "weighted": total(unit_days, delayed, nulls),
-        "air": total("Units", AIR, nulls),
-        "air_late": total("Units", f"{AIR} AND {LATE}", nulls),
-        "air_late5": total("Units", f"{AIR} AND {deep}", nulls),
-        "air_weighted": total(unit_days, f"{AIR} AND {delayed}", nulls),
+        "on_time": ("Units", ON_TIME, nulls),
+        "late": ("Units", LATE, nulls),
+        "late5": ("Units", deep, late5_nulls),
+        "weighted": (unit_days, delayed, nulls),
+        "air": ("Units", AIR, nulls),
+        "air_late": ("Units", f"{AIR} AND {LATE}", nulls),
+        "air_late5": ("Units", f"{AIR} AND {deep}", nulls),
+        "air_weighted": (unit_days, f"{AIR} AND {delayed}", nulls),
     }
 
 
+_ALL_UNITS: Spec = ("Units", None, "strict")
+
+
 def sot_sums(nulls: str = "strict", late5_nulls: str | None = None) -> Sums:
     """The nine shipped-side measures, raw."""
     m = _late_measures("DAYS_LATE", nulls, late5_nulls or nulls)
-    return dict(zip(SOT_NAMES, (plain_sum("Units", wide=True), *m.values()), strict=True))
+    return guarded_sums(dict(zip(SOT_NAMES, (_ALL_UNITS, *m.values()), strict=True)), wide=True)
 
 
 def ots_sums(nulls: str = "strict", air_total: bool = True) -> Sums:
     """The seven stocked-side measures, raw; six without the prepaid-air total."""
     m = _late_measures("Days_Late", nulls, nulls)
-    columns = (plain_sum("Units", wide=True), *(m[k] for k in OTS_ORDER))
-    sums = dict(zip(OTS_NAMES, columns, strict=True))
+    sums = dict(zip(OTS_NAMES, (_ALL_UNITS, *(m[k] for k in OTS_ORDER)), strict=True))
     if not air_total:
         del sums["PPAOTSUnits"]
-    return sums
+    return guarded_sums(sums, wide=True)
 
 
 def measures_by(df: DataFrame, keys: Sequence[str], sums: Sums) -> DataFrame:
@@ -157,9 +184,15 @@ def measures_by(df: DataFrame, keys: Sequence[str], sums: Sums) -> DataFrame:
     return df.groupBy(*keys).agg(*(c.alias(n) for n, c in sums.items()))
 
 
+def sums_of_sums(names: Iterable[str]) -> list[Column]:
+    """Raw sums added up, each under its name; a null part makes the total null."""
+    sums = guarded_sums({n: (n, None, "strict") for n in names}, of="sums", wide=True)
+    return [c.alias(n) for n, c in sums.items()]
+
+
 def roll_up(base: DataFrame, keys: Sequence[str], names: Iterable[str]) -> DataFrame:
     """Add raw sums up to coarser keys; a null part makes the total null."""
-    return base.groupBy(*keys).agg(*(plain_sum(n, of="sums", wide=True).alias(n) for n in names))
+    return base.groupBy(*keys).agg(*sums_of_sums(names))
 
 
 def finish(df: DataFrame, names: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
@@ -186,7 +219,7 @@ def impact_sums(within: str = "true") -> Sums:
         "vendor_other": (f"{vendor} AND SHIP_MODE_CD <> 'A'", "subset"),
         "measured": ("Lateness <> 'Unmeasured'", "subset"),
     }
-    return {n: cond_sum("Units", f"{within} AND {c}", nulls) for n, (c, nulls) in conditions.items()}
+    return guarded_sums({n: ("Units", f"{within} AND {c}", nulls) for n, (c, nulls) in conditions.items()})
 
 
 IMPACT_COLUMNS = (

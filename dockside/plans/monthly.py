@@ -30,6 +30,7 @@ from ..operators import (
     restrict,
     roll_up,
     sot_sums,
+    sums_of_sums,
     top_k,
     top_n,
 )
@@ -90,7 +91,7 @@ def _levels(base: DataFrame, month: str, names: Sequence[str]) -> DataFrame:
     keys = (month, "ReportingBrand", "Category")
     sets = [[F.col(month), *(F.col(k) for k in level)] for level in LEVELS.values()]
     rolled = base.groupingSets(sets, *(F.col(k) for k in keys)).agg(
-        F.grouping_id().alias("__gid"), *(plain_sum(n, of="sums", wide=True).alias(n) for n in names)
+        F.grouping_id().alias("__gid"), *sums_of_sums(names)
     )
     # grouping_id has one bit per key, set where the key is summed over.
     label = F.element_at(
