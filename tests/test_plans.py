@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dockside import fixtures as fx
 from dockside import schemas
 from dockside.catalog import QUERIES
-from dockside.plans import domains, failure, impact, jobs, monthly
+from dockside.plans import dashboard, domains, failure, impact, jobs, monthly
 from dockside.plans.checks import CheckFailed, RunChecks
 from dockside.sources import published_files, resolve, run_folder
 from dockside.sources.scratch import scratch_root
@@ -234,6 +234,24 @@ def test_no_cross_join(spark, sf_dir, name):
     assert not re.search("CartesianProduct|NestedLoopJoin", plan)
 
 
+@pytest.fixture
+def all_plans(spark, sf_dir, monkeypatch):
+    """A report's own final plan, and the plans of what it writes for itself on the way."""
+
+    def run(name):
+        plans, stage = [], monthly.stage
+
+        def watched(df, *args):
+            plans.append(final_plan(df))
+            return stage(df, *args)
+
+        monkeypatch.setattr(monthly, "stage", watched)
+        own = final_plan(QUERIES[name](spark, sf_dir))
+        return [*plans, own]
+
+    return run
+
+
 @pytest.mark.parametrize(
     "name",
     [
@@ -241,13 +259,13 @@ def test_no_cross_join(spark, sf_dir, name):
         "r61_vendor_impact_month", "r62_vendor_impact_ytd", "r65_reason_spread", "r67_choice_base",
     ],
 )
-def test_the_fact_is_read_once(spark, sf_dir, name):
-    assert final_plan(QUERIES[name](spark, sf_dir)).count("FileScan parquet [l_") == 1
+def test_the_fact_is_read_once(all_plans, name):
+    assert sum(p.count("FileScan parquet [l_") for p in all_plans(name)) == 1
 
 
 @pytest.mark.parametrize("name", ["r23_country_combined", "r26_vendor_combined"])
-def test_each_fact_is_read_once(spark, sf_dir, name):
-    assert final_plan(QUERIES[name](spark, sf_dir)).count("FileScan parquet [l_") == 2
+def test_each_fact_is_read_once(all_plans, name):
+    assert sum(p.count("FileScan parquet [l_") for p in all_plans(name)) == 2
 
 
 def test_rank_limit_is_pushed_below_the_shuffle(spark, sf_dir):
@@ -377,7 +395,7 @@ def test_run_checks_need_no_job_of_their_own(spark, sf_dir, facts, clean_scratch
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_a_broken_extract_fails_its_checks(spark, sf_dir, facts, clean_scratch):
+def test_a_broken_extract_fails_its_checks(spark, sf_dir, facts, clean_scratch, monkeypatch):
     vendors, country = fx.preferred_vendor(spark, sf_dir), fx.country(spark, sf_dir)
     day = F.when(F.col("NUMBER_SEQ").startswith("1"), F.date_add("Data_Pulled", -7)).otherwise(F.col("Data_Pulled"))
     mixed = replace(facts, sot=facts.sot.withColumn("Data_Pulled", day))
@@ -385,9 +403,11 @@ def test_a_broken_extract_fails_its_checks(spark, sf_dir, facts, clean_scratch):
     with pytest.raises(CheckFailed, match="sot_snapshot"):
         jobs.weekly_run(mixed, vendors, country)
     assert published_files(spark, facts.params, "weekly") == before
-    lost = replace(facts, ots=facts.ots.withColumn("DC_NAME", F.lit("NEW CENTRE")))
-    with pytest.raises(CheckFailed, match="known_markets"):
-        jobs.dashboard_run(lost)
+    new = replace(facts, ots=facts.ots.withColumn("DC_NAME", F.lit("NEW CENTRE")))
+    assert jobs.dashboard_run(new).checks["known_markets"] == {"without_market": 0, "unlisted": 1}
+    monkeypatch.setattr(dashboard, "market", lambda: F.when(F.col("DC_NAME") != domains.GLOBAL_CENTRES[0], "US"))
+    with pytest.raises(CheckFailed, match="known_markets: {'without_market': 1"):
+        jobs.dashboard_run(facts)
     table = spark.sql("SELECT 0.4D AS total_impact UNION ALL SELECT NULL")
     checks = RunChecks()
     checks.shares_add_up(table, "half").collect()
@@ -441,7 +461,7 @@ def test_dashboard_run(facts, clean_scratch):
     texts = [r["OTS%"] for r in read_csv(paths["Log_All_text"])]
     assert len(texts) == 27 and all(re.fullmatch(r"[0-9.]+%|NA", t) for t in texts)
     assert len({len(t.partition(".")[2]) for t in texts if t != "NA"}) == 1
-    assert paths.checks == {"known_markets": {"without_market": 0}}
+    assert paths.checks["known_markets"]["without_market"] == 0
     assert {r["Entity"] for r in board} >= {domains.NA_EU_TOTAL, domains.GLOBAL_TOTAL}
 
 
