@@ -44,8 +44,10 @@ BUCKET_BYTES = 4 << 20
 #: Texts are cut into fragments in pieces of this size, whose 64-bit arrays set the memory of a task.
 ANCHOR_BYTES = 1 << 18
 
-#: An anchor with more distinct fragments is dealt by window.
-HOT = 4096
+#: An anchor with more distinct fragments is dealt by window, over so many times the buckets.
+HOT, SPREAD = 4096, 8
+#: Symbols that are laid out in columns at once.
+COLUMN_CELLS = 1 << 20
 
 TEXT, COPIES, CHOSEN, MARKS, CROWDED, SHARED = range(6)
 _NO_ID = np.iinfo(np.int64).max
@@ -354,21 +356,22 @@ def _cut_chosen(buckets: int):
     def cut(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, values = _group(batches)
         out: dict[str, list] = {c: [] for c in _DEALT}
-        parts = []  # entry, doc, text, start, n, left, first window, what it is dealt by
+        parts = []  # entry, doc, text, start, n, left, first window, bucket
         if values[CHOSEN]:
             entry, anchor, doc, text, start, n, left = _fragments(values[CHOSEN])
-            parts.append((entry, doc, text, start, n, left, np.zeros(len(n), np.uint8), mix(anchor)))
+            parts.append((entry, doc, text, start, n, left, np.zeros(len(n), np.uint8), _deal(mix(anchor), buckets)))
         if values[SHARED]:
             entry, _, doc, text, start, n, left = _fragments(values[CROWDED])
             hashes, of, window = (np.concatenate(x) for x in zip(*map(unpack, values[SHARED]), strict=True))
             by_entry = np.argsort(entry)
             at = by_entry[np.searchsorted(entry[by_entry], of)]
             one = np.ones(len(at), n.dtype)
-            parts.append((of, doc[at], text[at], start[at] + window, one, left[at] - window, window, mix(hashes)))
+            # Buckets of their own: fragments of one window need less room side by side.
+            bucket = buckets + _deal(mix(hashes), SPREAD * buckets)
+            parts.append((of, doc[at], text[at], start[at] + window, one, left[at] - window, window, bucket))
         if parts:
             _, _, data, offsets = _block_text(values[TEXT][0])
-            entry, doc, text, start, n, left, window, dealt = (np.concatenate(x) for x in zip(*parts, strict=True))
-            bucket = _deal(dealt, buckets)
+            entry, doc, text, start, n, left, window, bucket = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             for at in np.split(order, cuts[1:]):
@@ -397,8 +400,9 @@ def repeated_windows(content: np.ndarray, n: np.ndarray, left: np.ndarray, order
     first = np.cumsum(size) - size
     with tempfile.TemporaryFile() as columns, tempfile.TemporaryFile() as transform:
         # One file of columns, last one first, so that it is read from start to end.
-        for low in range(0, width, 32):
-            steps = width - 1 - np.arange(low, min(low + 32, width))
+        some = max(1, min(32, COLUMN_CELLS // max(m, 1)))
+        for low in range(0, width, some):
+            steps = width - 1 - np.arange(low, min(low + some, width))
             at = steps[:, None] - reach + left
             inside = (at >= 0) & (at < size)
             table = np.where(inside, content[np.minimum(first + np.maximum(at, 0), max(len(content) - 1, 0))], 0)
