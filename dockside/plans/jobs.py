@@ -327,7 +327,7 @@ def delay_run(facts: Facts) -> RunFiles:
 def dashboard_run(facts: Facts) -> RunFiles:
     """Write the dashboard, in numbers and as text, the centre table and the market check.
 
-    Every listed centre has a market; centres of no list are counted.
+    Every centre of a market's list has that market; centres of no list are counted.
     """
 
     def write(params: ReportParams, checks: RunChecks) -> dict[str, str]:
