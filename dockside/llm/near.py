@@ -296,8 +296,9 @@ def weighted_sets(docs: DataFrame, nodes: DataFrame, frequencies: Frequencies) -
 # ---- links ----
 
 
-def _similar(left: list, right: list) -> Iterator[tuple[int, int]]:
-    """Pairs of (hashes, weights) sets with weighted Jaccard similarity at the threshold."""
+def _similar(left: list, right: list) -> Iterator[tuple[int, np.ndarray]]:
+    """Of (hashes, weights) sets: each left one, and the right ones with weighted Jaccard
+    similarity at the threshold."""
     all_hashes = np.concatenate([h for h, _ in right])
     all_weights = np.concatenate([w for _, w in right]).astype(np.float64)
     sizes = np.array([len(h) for h, _ in right])
@@ -308,14 +309,33 @@ def _similar(left: list, right: list) -> Iterator[tuple[int, int]]:
         shared = np.where(hashes[at] == all_hashes, np.minimum(weights[at], all_weights), 0)
         both = np.add.reduceat(shared, first)
         own = weights.astype(np.float64).sum()
-        for j in np.flatnonzero(both >= (THRESHOLD - 1e-9) * (total + own - both)):
-            yield i, int(j)
+        yield i, np.flatnonzero(both >= (THRESHOLD - 1e-9) * (total + own - both))
+
+
+def _joining(similar: Iterator[tuple[int, np.ndarray]], left: list, right: list) -> Iterator[tuple[int, int]]:
+    """Of the similar pairs, those that join two parts which the pairs before them left apart.
+
+    ``left`` and ``right`` tell each member's part.  There are fewer such pairs than parts, and
+    they connect the same members as all pairs do.
+    """
+    _, code = np.unique(np.array([*left, *right], dtype=object), return_inverse=True)
+    code = code.ravel()
+    mine, theirs = code[: len(left)], code[len(left) :]
+    joined = np.arange(code.max(initial=-1) + 1)
+    for i, found in similar:
+        parts, first = np.unique(joined[theirs[found]], return_index=True)
+        new = parts != joined[mine[i]]
+        if new.any():
+            yield from ((i, int(j)) for j in found[first[new]])
+            joined[np.isin(joined, parts)] = joined[mine[i]]
 
 
 def verified_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
     """Links ``a, b`` between the two sides of each block (``block, is_left, key, part``).
 
-    Members that are in the same ``part`` already are not linked again.
+    All members of both sides are compared.  Links that would not join two parts, after those of
+    the same block, are left out: a block gives fewer links than it has members, and their
+    components are those of all links.
     """
 
     def compare(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,10 +348,9 @@ def verified_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
             sides[not is_left].append((node, part, arrays))
         links = []
         if all(sides):
-            for i, j in _similar(*([x[2] for x in side] for side in sides)):
-                a, b = sides[0][i], sides[1][j]
-                if a[1] != b[1]:
-                    links.append((a[0], b[0]))
+            similar = _similar(*([x[2] for x in side] for side in sides))
+            for i, j in _joining(similar, *([x[1] for x in side] for side in sides)):
+                links.append((sides[0][i][0], sides[1][j][0]))
         columns = list(zip(*links, strict=True)) or [[], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["a", "b"])
 

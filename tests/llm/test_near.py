@@ -126,6 +126,27 @@ def test_one_large_group_of_varied_copies(spark):
     assert classes_of(found) == brute_classes(docs.collect())
 
 
+def test_a_block_gives_fewer_links_than_members(spark):
+    """Two groups of like members, some in one part already: a forest with the components of all links."""
+    weights = np.ones(20, np.float32).tobytes()
+    blobs = [np.arange(k, k + 20, dtype=np.uint64).tobytes() for k in (0, 100)]
+    keys = [bytes([i]) for i in range(90)]
+    sets = spark.createDataFrame(
+        [(k, blobs[i % 2], weights) for i, k in enumerate(keys)], "key binary, hashes binary, weights binary"
+    )
+    part = {k: keys[i % 2] if i < 20 else k for i, k in enumerate(keys)}
+    rows = [(0, side, k, part[k]) for i, k in enumerate(keys) for side in (True, False) if not side or i % 3]
+    blocks = spark.createDataFrame(rows, "block long, is_left boolean, key binary, part binary")
+    links = [(bytes(r.a), bytes(r.b)) for r in near.verified_links(blocks, sets).collect()]
+    assert all(keys.index(a) % 2 == keys.index(b) % 2 for a, b in links)
+    root = dict(part)
+    for a, b in links:
+        old, new = root[a], root[b]
+        assert old != new  # no link that earlier ones make needless
+        root = {k: new if r == old else r for k, r in root.items()}
+    assert len(set(root.values())) == 2 and len(links) == len(set(part.values())) - 2
+
+
 def test_awkward_rows(awkward, empty):
     rows = near.near_classes(awkward).collect()
     given = awkward.collect()
