@@ -42,6 +42,7 @@ from .sources import (
     scratch_path,
     session_folder,
     split_dim,
+    stage,
     tee,
     write_book,
     write_lines,
@@ -335,12 +336,16 @@ def a04_mixed_impact(spark, d):
 
 @query
 def a05_large_totals(spark, d):
-    """Totals beyond 64 bits: sums by year and brand, added up by year and over all years."""
+    """Totals beyond 64 bits: sums by year and brand, added up by year and over all years.
+
+    A measure is a bigint as long as its totals are, else a wide decimal.
+    """
     lines = fx.sot_large(spark, d, ("FISCAL_YEAR", "ReportingBrand", *SOT_MEASURED))
     base = ops.measures_by(lines, ("FISCAL_YEAR", "ReportingBrand"), ops.sot_sums("lenient"))
     years = ops.roll_up(base, ("FISCAL_YEAR",), ops.SOT_NAMES)
     total = ops.roll_up(base, (), ops.SOT_NAMES).withColumn("FISCAL_YEAR", F.lit(None).cast("int"))
-    return ops.finish(years.unionByName(total), ops.SOT_NAMES)
+    totals = stage(years.unionByName(total), "totals", session_folder(spark, "totals"))
+    return ops.finish_wide(totals, ops.SOT_NAMES)
 
 
 @query

@@ -9,6 +9,7 @@ from .measures import (
     SOT_NAMES,
     cond_sum,
     finish,
+    finish_wide,
     impact_measures,
     impact_sums,
     measures_by,
@@ -48,6 +49,7 @@ __all__ = [
     "domain_of",
     "enrich",
     "finish",
+    "finish_wide",
     "first_rows",
     "box_plots",
     "five_numbers",

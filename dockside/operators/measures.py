@@ -201,6 +201,17 @@ def finish(df: DataFrame, names: Iterable[str], keep: Iterable[str] = ()) -> Dat
     return df.withColumns({n: F.col(n).cast("double") if n in kept else whole(n) for n in names})
 
 
+def finish_wide(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Floor the raw sums to whole numbers, as bigint, or as DECIMAL(38,0) where a total passes 64 bits.
+
+    Reads ``df`` to choose each column's type, so give it a written table.
+    """
+    names = list(names)
+    fits = "coalesce(bool_and(floor({0}) BETWEEN -9223372036854775808 AND 9223372036854775807), true) AS {0}"
+    narrow = df.selectExpr(*(fits.format(n) for n in names)).first()
+    return df.withColumns({n: whole(n) if narrow[n] else F.floor(n).cast("decimal(38,0)") for n in names})
+
+
 def on_time_ratio(nulls: str = "lenient", within: str = "true") -> Column:
     """On-time share of the measured (on-time plus late) units, as an aggregate."""
     return ratio(

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from dockside import catalog
 from dockside import operators as ops
 from dockside.functions import first_true, if_else_null, matching, not_matching, ratio
 
@@ -313,3 +314,22 @@ def test_percent_digits_of_a_column(spark, shares, texts):
     if any(s is not None and s != s for s in shares):
         df = df.withColumn("share", F.expr("nanvl(share, CAST(NULL AS DOUBLE))"))
     assert [r.text for r in ops.percent_texts(df, {"share": "text"}).orderBy("i").collect()] == texts
+
+
+def test_large_totals_beyond_64_bits(spark, monkeypatch):
+    """A measure whose total passes 64 bits becomes a wide decimal; the others stay bigint."""
+    held = [(y, b, 10**18, "Late", 1, "Ocean") for y in (2000, 2001) for b in ("a", "b", "c") for _ in range(2)]
+    given = spark.createDataFrame(
+        [(y, b, float(u), *more) for y, b, u, *more in [*held, (2001, "a", 7, "OnTime", None, "PrepaidAir")]],
+        "FISCAL_YEAR int, ReportingBrand string, Units double, Lateness string, DAYS_LATE int, SHP_MODE_CATG_NM string",
+    )
+    monkeypatch.setattr(catalog.fx, "sot_large", lambda *_: given)
+    found = catalog.a05_large_totals(spark, "")
+    kinds = dict(found.dtypes)
+    assert {n for n, k in kinds.items() if k == "decimal(38,0)"} == {"SOTUnits", "SOTLateUnits", "WTSOTLateUnits"}
+    assert set(kinds.values()) == {"int", "bigint", "decimal(38,0)"}
+    got = {r.FISCAL_YEAR: (int(r.SOTUnits), int(r.WTSOTLateUnits), r.SOTOnTimeUnits) for r in found.collect()}
+    six = 6 * 10**18
+    assert got == {2000: (six, six, 0), 2001: (six + 7, six, 7), None: (2 * six + 7, 2 * six, 7)}
+    small = ops.finish_wide(given.limit(0).selectExpr("CAST(Units AS DECIMAL(38,4)) AS Units"), ["Units"])
+    assert small.dtypes == [("Units", "bigint")]
