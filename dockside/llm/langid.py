@@ -24,7 +24,6 @@ from .base import (
     LETTER_BYTES,
     LOWER,
     WordTable,
-    byte_column,
     prefix_hash,
     ragged,
     runs,
@@ -267,13 +266,15 @@ def training_texts(docs: DataFrame) -> list[tuple[str, bytes]]:
     return sorted((r.lang, bytes(r.words)) for r in found.toLocalIterator() if r.words)
 
 
-def fit(docs: DataFrame, steps: int = 600) -> BiGru | None:
+def fit(docs: DataFrame, steps: int = 600, cuts: bool = True) -> BiGru | None:
     """Train on ``text`` and non-null ``lang`` of the given rows; None without such rows.
 
     Every language is learned.  Beyond ``USUAL_LANGUAGES`` the network's states and the steps
-    grow with their number.
+    grow with their number.  With ``cuts`` all those rows are then scored for ``BiGru.least``;
+    else every score is accepted.
     """
-    texts = training_texts(docs.where("lang IS NOT NULL").select("doc_id", "text", "lang"))
+    labelled = docs.where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    texts = training_texts(labelled)
     if not texts:
         return None
     languages = sorted({lang for lang, _ in texts})
@@ -293,25 +294,26 @@ def fit(docs: DataFrame, steps: int = 600) -> BiGru | None:
     grown = max(1.0, len(languages) / USUAL_LANGUAGES)
     net = BiGru(languages, hidden=int(16 * np.sqrt(grown)))
     net.fit(data, first, (ends - first).astype(np.uint8), target, drawn.ravel(), int(steps * grown))
-    net.least = least_scores(net, texts)
+    if cuts:
+        net.least = least_scores(labelled, net)
     return net
 
 
-def least_scores(net: BiGru, texts: list[tuple[str, bytes]]) -> np.ndarray:
-    """The least score that is accepted, by language.
+def least_scores(docs: DataFrame, net: BiGru) -> np.ndarray:
+    """The least score that is accepted, by language, from all rows of ``docs``.
 
     A text without any sign of a language scores about one part in the number of languages.
-    The cut lies above that by a tenth of the way to the lowest score of the training texts
+    The cut lies above that by a tenth of the way to the lowest score of the given texts
     that get the language (short texts vary more), so it falls with the number of languages
     and where close ones share the chance.
     """
     n = len(net.languages)
-    labeller, lowest = Labeller(net), np.ones(n)
-    for low in range(0, len(texts), 1000):
-        data, offsets = byte_column(pa.array([w for _, w in texts[low : low + 1000]], pa.binary()))
-        p, _ = labeller.probabilities(data, offsets)
-        np.minimum.at(lowest, p.argmax(axis=1), p.max(axis=1))
-    return 1 / n + (lowest - 1 / n) / 10 - 1e-6 if n > 1 else np.zeros(1)
+    if n == 1:
+        return np.zeros(1)
+    found = identify(docs, net).groupBy("lang_pred").agg(F.min("score").alias("score"))
+    scores = {r.lang_pred: r.score for r in found.where(F.col("lang_pred") != UNKNOWN).collect()}
+    lowest = np.array([scores.get(lang, 1.0) for lang in net.languages])
+    return 1 / n + (lowest - 1 / n) / 10 - 1e-6
 
 
 _labellers: dict[str, Labeller] = {}

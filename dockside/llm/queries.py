@@ -132,7 +132,7 @@ def op9_near_dedup(spark: SparkSession, d: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     """Language of every text, learned from the rows outside the held-out fold."""
     docs = _table(spark, d, "documents", "doc_id", "text", "lang")
-    net = langid.fit(docs.where(fold(5) != 0).select("doc_id", "text", "lang"))
+    net = langid.fit(docs.where(fold(5) != 0).select("doc_id", "text", "lang"), cuts=False)
     found = langid.identify(docs, net)
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
 

@@ -95,3 +95,17 @@ def test_long_runs_are_cut_between_characters():
     assert (ends - starts).max() <= langid.LONGEST and (ends > starts).all()
     parts = [text[i:j].decode() for i, j in zip(starts, ends, strict=True)]
     assert "".join(parts) == text.decode().replace(" ", "")
+
+
+def test_cuts_come_from_all_labelled_rows(spark, documents, monkeypatch):
+    """The cut follows the lowest score of all rows, not of those the network is fitted on."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
+    monkeypatch.setattr(langid, "SAMPLE_WORDS", 10)
+    docs = documents.select("doc_id", "text", "lang").where("lang IS NOT NULL")
+    net = langid.fit(docs, steps=100)
+    lowest = dict.fromkeys(net.languages, 1.0)
+    for r in langid.identify(docs, net).where("lang_pred <> 'und'").collect():
+        lowest[r.lang_pred] = min(lowest[r.lang_pred], r.score)
+    chance = 1 / len(net.languages)
+    assert np.allclose(net.least, [chance + (lowest[x] - chance) / 10 - 1e-6 for x in net.languages], atol=1e-9)
+    assert not langid.fit(docs, steps=1, cuts=False).least.any()
