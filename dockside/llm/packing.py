@@ -26,6 +26,8 @@ from .base import Workspace, text_pieces
 
 SEQUENCE = 2048
 END_ID = 0
+#: Bytes of text that are tokenized at once; the arrays take about fifty times as much.
+PIECE = 1 << 19
 
 _tokenizers: dict = {}
 
@@ -51,7 +53,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, block = _tokenizer(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
-        for rows, data, offsets in text_pieces(batches):
+        for rows, data, offsets in text_pieces(batches, most=PIECE):
             ids, at = tokenizer.encode(data, offsets)
             total = np.diff(at) + 1
             each = -(-total // size)

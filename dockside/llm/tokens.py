@@ -18,6 +18,8 @@ from .base import WordTable, mix, prefix_hash, ragged, span_hash
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
 SIMPLE = 0x300
+#: Slots of the table of known words, as a power of two.
+TABLE_BITS = 20
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,7 +51,7 @@ class BatchTokenizer:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.table = WordTable()
+        self.table = WordTable(TABLE_BITS)
         self._forget()
 
     def _forget(self) -> None:
@@ -101,6 +103,18 @@ class BatchTokenizer:
         starts = np.flatnonzero(start & ~space)
         return starts, bound[np.searchsorted(bound, starts, side="right")]
 
+    def _places(self, keys: np.ndarray, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of the words' ids; unknown words go through the library first."""
+        if self.table.used + len(keys) > self.table.most:
+            self._forget()
+        place = self.table.find(keys)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            fresh, which = np.unique(keys[new], return_index=True)
+            self._learn(fresh, chars, starts[new[which]], ends[new[which]])
+            place[new] = self.table.find(keys[new])
+        return place
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts and the offsets of each text's ids."""
         n = len(offsets) - 1
@@ -128,17 +142,13 @@ class BatchTokenizer:
             starts, ends = starts[fast], ends[fast]
         keys = span_hash(prefix_hash(_CODES[chars]), starts, ends)
         keys[keys == 0] = 1
-        if self.table.used + len(keys) > self.table.most:
-            self._forget()
-        place = self.table.find(keys)
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            fresh, which = np.unique(keys[new], return_index=True)
-            self._learn(fresh, chars, starts[new[which]], ends[new[which]])
-            place[new] = self.table.find(keys[new])
-        counts = self.start[place + 1] - self.start[place]
-        ids = self.ids[ragged(self.start[place], counts)].astype("<u4")
-        before = np.concatenate([[0], np.cumsum(counts)])
+        found, counts = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for low in range(0, len(keys), self.table.most):  # a long text may have more words than the table
+            part = slice(low, low + self.table.most)
+            place = self._places(keys[part], chars, starts[part], ends[part])
+            counts.append(self.start[place + 1] - self.start[place])
+            found.append(self.ids[ragged(self.start[place], counts[-1])].astype("<u4"))
+        ids, before = np.concatenate(found), np.cumsum(np.concatenate(counts))
         at = before[np.searchsorted(starts, first)]
         if not slow.any():
             return ids, at

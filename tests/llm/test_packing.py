@@ -1,12 +1,16 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from dockside.llm import packing
+from dockside.llm import packing, tokens
 from dockside.llm.queries import op4_packing, tokenizer_path
 
 
@@ -68,3 +72,33 @@ def test_two_documents_replace_the_smallest():
     counts = np.zeros(11, np.int64)
     counts[[6, 3, 2]] = [1, 1, 2]  # greedy takes 6 + 3 and leaves 1; 2 + 2 fit the 4 exactly
     assert packing.best_two_fit(counts, 10)[0] == ({6: 1, 2: 2}, 1)
+
+
+def test_a_task_holds_little_beside_its_batch(monkeypatch):
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(50_000)]
+    texts = [" ".join(rng.choices(words, k=250)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    docs = SimpleNamespace(schema=T.StructType([T.StructField("doc_id", T.LongType())]))
+    docs.select, docs.mapInArrow = lambda *_: docs, lambda task, _: task
+    monkeypatch.setattr(packing, "_tokenizers", {})
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    task = packing.token_pieces(docs, tokenizer_path())
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in task(iter([batch]))) >= len(texts)
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_text_of_more_words_than_the_table(monkeypatch):
+    monkeypatch.setattr(tokens, "TABLE_BITS", 8)
+    texts = [" ".join(f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "klmnopqrstuvwxyz"), "", "kk", "Kł \u0301 ab"]
+    raw = [t.encode() for t in texts]
+    ids, at = tokens.BatchTokenizer(tokenizer_path()).encode(
+        np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    )
+    library = Tokenizer.from_file(tokenizer_path())
+    for i, text in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
